@@ -71,7 +71,7 @@ _ENTITIES = [
     ("&gt;", ">"),
     ("&quot;", '"'),
     ("&#39;", "'"),
-    ("&nbsp;", " "),
+    ("&nbsp;", "\u00a0"),
     ("&copy;", "©"),
     ("&middot;", "·"),
     ("&amp;", "&"),

@@ -79,7 +79,8 @@ def write_csv(df: DataFrame, path: str, order: list[str | Column] = (), mode: st
         nan_to_null(f.name).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name) for f in written
     ]
     rows = _partitioned(df, [], order).select(*plain)
-    rows.write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    writer = rows.write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", "")
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 # --- snapshots -------------------------------------------------------------------------
