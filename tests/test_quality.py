@@ -1,0 +1,225 @@
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketweave.operators import catalog, products, quality, skew, upsert
+from marketweave.schemas import CLEAN, ENRICHED, PRIORITY, TABLE
+
+FILLED = {
+    "name": "cat food", "price": 12.5, "currency": "AED", "image_url": "i", "product_detail_url": "u",
+    "page_url": "p", "marketplace": "m", "category": "c", "subcategory": "s", "date_collected": "2025-07-05",
+    "url": "r", "brand": "acme", "description": "d", "total_reviews": 3.0, "review_score": 4.0,
+}
+
+
+def enriched(spark, rows):
+    full = [(i, *[{**FILLED, **r}[c] for c in ENRICHED.names]) for i, r in enumerate(rows)]
+    schema = "pos int, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ENRICHED)
+    return spark.createDataFrame(full, schema)
+
+
+def test_recorded_profile(spark):
+    """Five rows, one null score, one null review count, everything else filled and distinct."""
+    rows = [{"name": f"n{i}"} for i in range(5)]
+    rows[1]["review_score"] = None
+    rows[3]["total_reviews"] = float("nan")
+    df = enriched(spark, rows)
+    ordered = quality.select_priority(df.drop("pos"))
+    assert ordered.columns == CLEAN.names
+    profile = quality.missing_profile(ordered).orderBy("position").collect()
+    assert [r["column"] for r in profile] == CLEAN.names
+    assert {r["column"] for r in profile if r["missing_count"]} == {"review_score", "total_reviews"}
+    assert all(r["missing_count"] in (0, 1) for r in profile)
+    assert quality.clean_products(df, ["pos"]).count() == 5
+
+
+def test_clean(spark):
+    nan = float("nan")
+    rows = [
+        {"product_detail_url": "u0"},
+        {"product_detail_url": "u1"},
+        {"product_detail_url": "u2", "price": None},
+        {"price": 9.0, "review_score": None},
+        {"price": 9.0, "review_score": nan},
+        {"brand": None},
+        {"currency": ""},
+    ]
+    df = enriched(spark, rows)
+    text_price = df.withColumn("price", F.when(F.col("price").isNull(), "n/a").otherwise(F.col("price").cast("string")))
+    profile = {r["column"]: r["missing_count"] for r in quality.missing_profile(text_price).collect()}
+    assert profile["price"] == 0 and profile["review_score"] == 2
+    kept = [r["pos"] for r in quality.clean_products(text_price, ["pos"]).orderBy("pos").collect()]
+    assert kept == [0, 3, 6]
+
+
+def test_empty_in_empty_out(spark):
+    df = enriched(spark, [{}]).filter("false")
+    assert quality.clean_products(df, ["pos"]).count() == 0
+    assert {r["missing_count"] for r in quality.missing_profile(df).collect()} == {0}
+
+
+def test_missing_columns(spark):
+    df = enriched(spark, [{}]).drop("brand", "url")
+    assert quality.missing_columns(df.columns) == ["brand", "url"]
+    with pytest.raises(ValueError, match="brand"):
+        quality.select_priority(df)
+
+
+def test_dedupe_order_decides_and_nulls_are_equal(spark):
+    rows = [(3, None, 1.0), (1, None, 1.0), (2, "a", None), (4, "a", float("nan")), (5, "a", -0.0), (6, "a", 0.0)]
+    df = spark.createDataFrame(rows, "pos int, k string, v double")
+    kept = [r["pos"] for r in quality.dedupe_keep_first(df, ["k", "v"], ["pos"]).orderBy("pos").collect()]
+    assert kept == [1, 2, 5]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dedupe_limits_each_task_before_the_shuffle(spark):
+    df = spark.range(1000).withColumn("k", (F.col("id") % 3).cast("string"))
+    plan = plan_of(quality.dedupe_keep_first(df, ["k"], ["id"]))
+    assert "WindowGroupLimit" in plan and "Partial" in plan and plan.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 16, 17, 400, 5000])
+def test_first_n(spark, n):
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("k"))
+    got = {r["k"]: r["c"] for r in skew.first_n(df, ["k"], ["id"], n).groupBy("k").agg(F.count("id").alias("c")).collect()}
+    want = {r["k"]: min(r["c"], n) for r in df.groupBy("k").agg(F.count("id").alias("c")).collect()}
+    assert got == {k: c for k, c in want.items() if c}
+    if n:
+        first = skew.first_n(df, ["k"], ["id"], n).filter("k = 'hot'").agg(F.max("id")).head()[0]
+        assert first == 3 * (min(n, 1000) - 1)
+
+
+def test_first_n_without_limit_is_the_input(spark):
+    df = spark.range(3)
+    assert skew.first_n(df, ["id"], ["id"], None) is df
+
+
+def test_hot_keys_and_salted_join(spark):
+    left = spark.range(9000).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k")
+    )
+    hot = skew.hot_keys(left, "k", min_rows=1000, sample=1.0)
+    assert [r[0] for r in hot.collect()] == ["hot"]
+    right = left.filter("k is not null").select("k").distinct().filter("k <> '7'").withColumn("v", F.length("k"))
+    plain = left.join(right, "k", "left").select("id", "k", "v")
+    salted = skew.join_unique(left, right, "k", "left", hot, salts=8).select("id", "k", "v")
+    unsalted = skew.join_unique(left, right, "k").select("id", "k", "v")
+    for got in (salted, unsalted):
+        assert got.count() == 9000 and got.exceptAll(plain).count() == 0
+    inner = skew.join_unique(left, right, "k", "inner", hot, salts=8)
+    assert inner.count() == left.join(right, "k").count()
+
+
+def test_salted_join_spreads_the_hot_key(spark):
+    """No task of the join holds more than a fraction of a key that owns half of the rows."""
+    left = spark.range(20000).select("id", F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    right = left.select("k").distinct()
+    hot = skew.hot_keys(left, "k", min_rows=5000, sample=1.0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        joined = skew.join_unique(left, right, "k", "left", hot).filter("k = 'hot'")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", True)
+    assert sum(sizes) == 10000 and max(sizes) < 6000
+
+
+def test_enrich_overwrites_with_null_but_only_when_found(spark):
+    left = spark.createDataFrame([(1, "u1", "old"), (2, "u2", "old"), (3, None, "old"), (4, "u1", "old")], "i int, product_detail_url string, brand string")
+    right = spark.createDataFrame([("u1", None, 4.0), (None, "x", 1.0)], "product_detail_url string, brand string, review_score double")
+    rows = [tuple(r) for r in products.enrich(left, right, hot_rows=2).orderBy("i").collect()]
+    assert rows == [(1, "u1", None, 4.0), (2, "u2", "old", None), (3, None, "old", None), (4, "u1", None, 4.0)]
+
+
+def test_enrich_takes_the_first_of_several_details(spark):
+    left = spark.createDataFrame([(1, "u")], "i int, product_detail_url string")
+    right = spark.createDataFrame([("u", 2, "b"), ("u", 1, "a")], "product_detail_url string, seen int, brand string")
+    assert [r["brand"] for r in products.enrich(left, right, detail_order=["seen"]).collect()] == ["a"]
+
+
+# --- catalog ---------------------------------------------------------------------------
+
+
+def test_default_catalog(spark):
+    markets, offers = catalog.default_catalog(spark)
+    rows = catalog.expand_catalog(markets, offers, "amazonae").collect()
+    assert len(rows) == 11
+    row = next(r for r in rows if r["subcategory"] == "collars & leashes")
+    assert row["query"] == "pet accessories collars leashes"
+    assert row["page_url"] == f"{row['url']}/s?k=pet+accessories+collars+leashes&ref=nb_sb_noss"
+    assert row["slug"] == "amazonae_pet_accessories_collars_leashes"
+    assert (row["category_key"], row["subcategory_key"]) == ("pet_accessories", "collars_leashes")
+    assert catalog.expand_catalog(markets, offers, "nowhere").count() == 0
+
+
+def test_find_listing(spark):
+    listings = catalog.expand_catalog(*catalog.default_catalog(spark))
+    assert catalog.find_listing(listings, "pet food", "wet food").count() == 1
+    with pytest.raises(LookupError):
+        catalog.find_listing(listings, "pet food", "treatments")
+
+
+def test_page_frontier(spark):
+    df = spark.createDataFrame([("https://x/s?page={page}",)], "template string")
+    rows = catalog.page_frontier(df, "template", 2, 4).orderBy("page_no").collect()
+    assert [r["frontier_url"] for r in rows] == [f"https://x/s?page={i}" for i in (2, 3, 4)]
+    assert catalog.page_frontier(df, "template").count() == 1
+
+
+# --- target table ----------------------------------------------------------------------
+
+
+def test_conform(spark):
+    df = enriched(spark, [{"brand": None, "date_collected": "5/7/2025", "price": 2.675}]).drop("total_reviews", "page_url")
+    row = upsert.conform(df).head()
+    assert row.__fields__ == TABLE.names
+    assert row["brand"] is None and row["page_url"] == "" and row["about"] == "" and row["marketplace_name"] == ""
+    assert str(row["total_reviews"]) == "0.00" and str(row["price"]) == "2.68"
+    assert str(row["date_collected"]) == "2025-07-05 00:00:00"
+    assert upsert.conform(df.drop("date_collected")).head()["date_collected"] is None
+    assert upsert.conform(df).schema.names == TABLE.names
+
+
+def test_insert_only(spark):
+    target = spark.createDataFrame([("u1",), (None,)], "product_detail_url string")
+    rows = [(0, "u1", "x"), (1, None, "n"), (2, None, "n"), (3, "u2", "a"), (4, "u2", "b")]
+    batch = spark.createDataFrame(rows, "pos int, product_detail_url string, name string")
+    new = upsert.rows_to_insert(batch, target, ["pos"])
+    assert new.columns == batch.columns
+    assert [r["pos"] for r in new.orderBy("pos").collect()] == [1, 2, 3]
+
+
+def test_insert_only_with_equal_rows_without_key(spark):
+    batch = spark.createDataFrame([(None, 1)] * 50 + [("k", 1)] * 50, "product_detail_url string, pos int").repartition(4)
+    target = spark.createDataFrame([], "product_detail_url string")
+    assert upsert.rows_to_insert(batch, target, ["pos"]).count() == 51
+
+
+def test_insert_only_reads_only_the_target_key(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("u1", "wide")], "product_detail_url string, description string").write.parquet(path)
+    batch = spark.createDataFrame([(1, "u1")], "pos int, product_detail_url string")
+    plan = plan_of(upsert.rows_to_insert(batch, spark.read.parquet(path), ["pos"]))
+    assert "ReadSchema: struct<product_detail_url:string>" in plan
+
+
+def test_constraints(spark):
+    rows = [("a", 1, "u"), (None, 1, "u"), ("b", None, None), ("c", 2, None), ("d", 1, "u")]
+    df = spark.createDataFrame(rows, "name string, price int, product_detail_url string")
+    got = {r["constraint"]: r["violations"] for r in upsert.constraint_violations(df).collect()}
+    assert got == {"name not null": 1, "price not null": 1, "product_detail_url unique": 2}
+    with pytest.raises(ValueError, match="product_detail_url unique: 2"):
+        upsert.check_constraints(df)
+    upsert.check_constraints(df.filter("name = 'a'"))
+
+
+def test_priority_matches_schema():
+    assert CLEAN.names[: len(PRIORITY)] == PRIORITY
+    assert CLEAN.names[len(PRIORITY) :] == ["page_url", "product_detail_url", "total_reviews"]
+    assert len(TABLE.names) == 16
