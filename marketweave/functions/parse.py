@@ -10,7 +10,7 @@ import unicodedata
 
 from pyspark.sql import Column, functions as F
 
-from .text import _col, words
+from .text import _col, tokens
 
 _NUMBER = r"^(?i)[+-]?(?:(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf(?:inity)?|nan)\z"
 _INFINITE = r"(?i)inf"
@@ -60,7 +60,7 @@ def parse_price(c: Column | str) -> Column:
     currency is empty.  When the price is no number (thousands separators included) or
     there is no text, both are null.
     """
-    parts = words(c)
+    parts = tokens(c)
     two = F.size(parts) == 2
     price = text_to_double(F.when(two, F.get(parts, F.lit(1))).otherwise(F.get(parts, F.lit(0))))
     currency = F.when(price.isNotNull(), F.when(two, F.get(parts, F.lit(0))).otherwise(F.lit("")))

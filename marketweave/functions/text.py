@@ -47,9 +47,9 @@ def strip_text(c: Column | str) -> Column:
     return F.regexp_replace(_col(c), _OUTER_SPACES, "")
 
 
-def words(c: Column | str) -> Column:
-    """Whitespace-separated tokens, without empty ones."""
-    return F.filter(F.split(_col(c), _SPACES), lambda t: t != "")
+def tokens(c: Column | str) -> Column:
+    """Whitespace-separated tokens; blank text has one empty token."""
+    return F.split(strip_text(c), _SPACES)
 
 
 def compose_description(bullets: Column | str, long_text: Column | str) -> Column:

@@ -28,8 +28,12 @@ def form_encode(c: Column | str) -> Column:
     return F.replace(F.replace(F.url_encode(_col(c)), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
 
 
+def search_url_of(base: Column | str, encoded_query: Column | str) -> Column:
+    return F.concat(_col(base), F.lit(SEARCH_PATH), _col(encoded_query), F.lit(SEARCH_SUFFIX))
+
+
 def search_url(base: Column | str, query: Column | str) -> Column:
-    return F.concat(_col(base), F.lit(SEARCH_PATH), form_encode(query), F.lit(SEARCH_SUFFIX))
+    return search_url_of(base, form_encode(query))
 
 
 def is_blocked(

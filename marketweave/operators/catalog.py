@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import text, urls
+from .skew import hot_keys, join_unique
 
 # The default catalog.
 MARKETPLACES = [
@@ -40,20 +41,39 @@ def expand_catalog(marketplaces: DataFrame, subcategories: DataFrame, marketplac
     """
     if marketplace is not None:
         marketplaces = marketplaces.filter(F.col("marketplace") == marketplace)
-    wanted = marketplaces.select("marketplace", "url", F.explode(F.array_distinct("categories")).alias("category"))
-    offered = subcategories.select("category", F.array_distinct("subcategories").alias("subcategories"))
-    listings = wanted.join(offered, "category").withColumn("subcategory", F.explode("subcategories"))
-    query = text.normalize_query("category", "subcategory")
+    wanted = marketplaces.select(
+        "marketplace",
+        "url",
+        text.slug("marketplace").alias("market_slug"),
+        F.explode(F.array_distinct("categories")).alias("category"),
+    )
+    # Words and keys depend on category and subcategory alone: made once, not once per marketplace.
+    offered = subcategories.select(
+        "category", F.transform(F.array_distinct("subcategories"), lambda s: _offer(F.col("category"), s)).alias("offers")
+    )
+    hot = hot_keys(wanted, "category")
+    listings = join_unique(wanted, offered, "category", "inner", hot).select("*", F.inline("offers"))
     return listings.select(
         "marketplace",
         "url",
         "category",
         "subcategory",
+        "query",
+        urls.search_url_of("url", "encoded").alias("page_url"),
+        F.translate(F.trim(F.concat("market_slug", F.lit(" "), "query")), " ", "_").alias("slug"),
+        "category_key",
+        "subcategory_key",
+    )
+
+
+def _offer(category: Column, subcategory: Column) -> Column:
+    query = text.normalize_query(category, subcategory)
+    return F.struct(
+        subcategory.alias("subcategory"),
         query.alias("query"),
-        urls.search_url("url", query).alias("page_url"),
-        text.slug(F.concat_ws(" ", "marketplace", "category", "subcategory")).alias("slug"),
-        text.safe_key("category").alias("category_key"),
-        text.safe_key("subcategory").alias("subcategory_key"),
+        urls.form_encode(query).alias("encoded"),
+        text.safe_key(category).alias("category_key"),
+        text.safe_key(subcategory).alias("subcategory_key"),
     )
 
 

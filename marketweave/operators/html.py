@@ -1,111 +1,158 @@
-"""Per-page helper: element table of one HTML page and first/all matches in it.
+"""Per-page helper: one scan over the markup of a page, then first or all matches in it.
 
-The page becomes two flat lists in document order: elements, each with its subtree as
-index ranges, and text nodes.  Markup errors are handled as a lenient reader does: an
-end tag closes up to its nearest open partner, and is ignored without one.
+The scan is one regular expression over the tags.  It fills plain lists in document order:
+per element its tag, its unparsed attributes, its parent and the ranges of its subtree in
+elements and text nodes.  Attributes are parsed only for elements that a match looks at.
+Markup errors are handled as a lenient reader does: an end tag closes up to its nearest
+open partner, and is ignored without one; a ``<`` that opens no tag is text.
 """
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
+from collections import Counter
 from dataclasses import dataclass
-from html.parser import HTMLParser
+from functools import cached_property
+from html import unescape
 
-# Elements that never have content, and elements whose content is not text.
+# Elements that never have content, elements whose content is no markup, and
+# elements whose content is no text.
 VOID = frozenset(
     "area base br col embed hr img input keygen link menuitem meta param source track wbr "
     "basefont bgsound command frame image isindex nextid spacer".split()
 )
-CODE = frozenset({"script", "style", "template"})
-
-
-class Element:
-    __slots__ = ("tag", "attrs", "classes", "parent", "end", "text_from", "text_to")
-
-    def __init__(self, tag, attrs, parent, text_from):
-        self.tag = tag
-        self.attrs = attrs
-        self.classes = (attrs.get("class") or "").split()
-        self.parent = parent
-        self.end = None
-        self.text_from = text_from
-        self.text_to = None
+RAW = frozenset({"script", "style"})
+NO_TEXT = RAW | {"template"}
+
+_TAG = re.compile(
+    r"""<(?:
+        ([a-zA-Z][^\s/>]*)                               # start tag with its attributes
+        ((?:[^>"'=]+|=\s*(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*)?|["'])*+)>
+      | /([a-zA-Z][^\s/>]*)[^>]*>                        # end tag
+      | !--(?:>|->|.*?(?:--!?>|\Z))                      # comment
+      | [!?/][^>]*>                                      # declaration and the like
+    )""",
+    re.X | re.S,
+)
+_ATTR = re.compile(r"""([^\s/=>]+)(?:\s*=+\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*)|))?""")
+_VALUE_WITH_SLASH = re.compile(r"""=\s*[^\s>"'][^\s>]*/\Z""")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
 
 
-class Page(HTMLParser):
+class Page:
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
-        self.elements: list[Element] = []
+        self.tags: list[str] = []
+        self.raw_attrs: list[str] = []
+        self.parents: list[int] = []
+        self.ends: list[int] = []
+        self.text_from: list[int] = []
+        self.text_to: list[int] = []
         self.texts: list[str] = []
-        self._open: list[int] = []
-        self._in_text = False
-        self.feed(html)
-        self.close()
-        while self._open:
-            self._shut()
-
-    def _shut(self):
-        element = self.elements[self._open.pop()]
-        element.end = len(self.elements)
-        element.text_to = len(self.texts)
-
-    def handle_starttag(self, tag, attrs):
-        self._in_text = False
-        parent = self._open[-1] if self._open else -1
-        values = {k: v if v is not None else "" for k, v in attrs}
-        self.elements.append(Element(tag, values, parent, len(self.texts)))
-        self._open.append(len(self.elements) - 1)
-        if tag in VOID:
-            self._shut()
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self._shut()
-
-    def handle_endtag(self, tag):
-        self._in_text = False
-        if any(self.elements[i].tag == tag for i in reversed(self._open)):
-            while self.elements[self._open[-1]].tag != tag:
-                self._shut()
-            self._shut()
-
-    def handle_data(self, data):
-        if self._open and self.elements[self._open[-1]].tag in CODE:
-            return
-        if self._in_text:
-            self.texts[-1] += data
-        else:
-            self.texts.append(data)
-            self._in_text = True
+        self.by_tag: dict[str, list[int]] = {}
+        self._attrs: dict[int, dict[str, str]] = {}
+        self._scan(html)
+
+    def __len__(self):
+        return len(self.tags)
+
+    def _scan(self, html: str) -> None:
+        tags, texts, by_tag, search = self.tags, self.texts, self.by_tag, _TAG.search
+        open_, parent, open_count = [], -1, Counter()
+        at, hidden = 0, 0
+        last = html.rfind(">") + 1  # beyond it no tag can end
+        found = search(html, 0, last)
+        while found:
+            start = found.start()
+            if start > at and not hidden:
+                piece = html[at:start]
+                texts.append(unescape(piece) if "&" in piece else piece)
+            at = found.end()
+            tag, attrs, closing = found.groups()
+            if tag:
+                tag = tag.lower()
+                i, text = len(tags), len(texts)
+                tags.append(tag)
+                self.raw_attrs.append(attrs)
+                self.parents.append(parent)
+                self.ends.append(i + 1)
+                self.text_from.append(text)
+                self.text_to.append(text)
+                if tag in by_tag:
+                    by_tag[tag].append(i)
+                else:
+                    by_tag[tag] = [i]
+                if tag not in VOID and not (attrs and attrs[-1] == "/" and not _VALUE_WITH_SLASH.search(attrs)):
+                    open_.append(i)
+                    open_count[tag] += 1
+                    parent = i
+                    if tag in NO_TEXT:
+                        hidden += 1
+                        if tag in RAW:
+                            close = _RAW_END[tag].search(html, at)
+                            at = close.start() if close else len(html)
+            elif closing:
+                tag = closing.lower()
+                if open_count[tag]:
+                    closed = None
+                    while closed != tag:
+                        closed = self._close(open_.pop())
+                        open_count[closed] -= 1
+                        hidden -= closed in NO_TEXT
+                    parent = open_[-1] if open_ else -1
+            elif html.startswith("<!--", start) and not html.endswith(("-->", "--!>"), start + 2, at):
+                at = len(html)  # a comment without an end
+            found = search(html, at, last)
+        if at < len(html) and not hidden:
+            texts.append(unescape(html[at:]))
+        while open_:
+            self._close(open_.pop())
+
+    def _close(self, i: int) -> str:
+        self.ends[i] = len(self.tags)
+        self.text_to[i] = len(self.texts)
+        return self.tags[i]
+
+    def attrs(self, i: int) -> dict[str, str]:
+        known = self._attrs.get(i)
+        if known is None:
+            known = self._attrs[i] = {
+                name.lower(): unescape(double or single or bare)
+                for name, double, single, bare in _ATTR.findall(self.raw_attrs[i])
+            }
+        return known
 
-    def _break_text(self, _):
-        self._in_text = False
+    def inside(self, i: int) -> range:
+        return range(i + 1, self.ends[i])
 
-    handle_comment = handle_decl = handle_pi = unknown_decl = _break_text
+    def text(self, i: int, strip: bool = True) -> str:
+        nodes = self.texts[self.text_from[i] : self.text_to[i]]
+        return "".join(n.strip() for n in nodes) if strip else "".join(nodes)
 
     def matches(self, path: tuple[Match, ...], scope: range, root: int = -1):
         """Elements of ``scope`` that match the path; ancestors count up to ``root``."""
         target, above = path[-1], path[:-1]
-        for i in scope:
-            if target.accepts(self.elements[i]) and (not above or self._below(i, above, root)):
+        if target.tag is None:
+            candidates = scope
+        else:
+            same = self.by_tag.get(target.tag, ())
+            candidates = same[bisect_left(same, scope.start) : bisect_left(same, scope.stop)]
+        needle, raw_attrs = target.needle, self.raw_attrs
+        for i in candidates:
+            if needle and needle not in raw_attrs[i] and "&" not in raw_attrs[i]:
+                continue
+            if target.accepts(self, i) and (not above or self._below(i, above, root)):
                 yield i
 
     def _below(self, i: int, above: tuple[Match, ...], root: int) -> bool:
         left = len(above)
-        i = self.elements[i].parent
+        i = self.parents[i]
         while left and i > root:
-            if above[left - 1].accepts(self.elements[i]):
+            if above[left - 1].accepts(self, i):
                 left -= 1
-            i = self.elements[i].parent
+            i = self.parents[i]
         return not left
 
-    def inside(self, i: int) -> range:
-        return range(i + 1, self.elements[i].end)
-
-    def text(self, i: int, strip: bool = True) -> str:
-        nodes = self.texts[self.elements[i].text_from : self.elements[i].text_to]
-        return "".join(n.strip() for n in nodes) if strip else "".join(nodes)
-
 
 @dataclass(frozen=True)
 class Match:
@@ -117,11 +164,23 @@ class Match:
     attr: tuple[str, str] | None = None
     class_attr: str | None = None  # the whole class attribute, not one class of it
 
-    def accepts(self, e: Element) -> bool:
-        return (
-            (self.tag is None or e.tag == self.tag)
-            and all(c in e.classes for c in self.classes)
-            and (self.id is None or e.attrs.get("id") == self.id)
-            and (self.attr is None or e.attrs.get(self.attr[0]) == self.attr[1])
-            and (self.class_attr is None or " ".join(e.classes) == self.class_attr)
-        )
+    @cached_property
+    def needle(self) -> str:
+        """A text the attributes must contain, unless they use character references."""
+        wanted = [self.id, self.attr and self.attr[1], *self.classes, *(self.class_attr or "").split()]
+        return max(filter(None, wanted), key=len, default="")
+
+    def accepts(self, page: Page, i: int) -> bool:
+        if self.tag is not None and page.tags[i] != self.tag:
+            return False
+        if not self.needle:
+            return True
+        if self.needle not in page.raw_attrs[i] and "&" not in page.raw_attrs[i]:
+            return False
+        attrs = page.attrs(i)
+        if self.id is not None and attrs.get("id") != self.id:
+            return False
+        if self.attr is not None and attrs.get(self.attr[0]) != self.attr[1]:
+            return False
+        own = attrs.get("class", "").split()
+        return all(c in own for c in self.classes) and self.class_attr in (None, " ".join(own))

@@ -59,7 +59,7 @@ class Rule:
         if first is None:
             return None
         if self.kind == "attr":
-            return page.elements[first].attrs.get(self.attr)
+            return page.attrs(first).get(self.attr)
         return page.text(first, strip=self.kind == "text")
 
 
@@ -78,7 +78,7 @@ class Profile:
 
     def records(self, html: str) -> Iterator[list]:
         page = Page(html)
-        scope, outer, root = range(len(page.elements)), None, -1
+        scope, outer, root = range(len(page)), None, -1
         for region in self.regions:
             found = next(page.matches((region,), scope, root), None)
             if found is None:

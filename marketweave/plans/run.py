@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.products import HOT_ROWS, detail_rows, enrich, page_cards, to_products
 from ..operators.quality import clean_products
 from ..operators.skew import first_n, hot_keys, join_unique
-from ..schemas import CLEAN
+from ..schemas import CLEAN, TABLE_KEY
+from ..session import stage
 
 # Row order of a listing: page after page, card after card.
 LISTING_ORDER = ["page_no", "pos"]
 LISTING_KEYS = ["marketplace", "category", "subcategory"]
 
+# URLs that may be broadcast: counted before, a few ten megabytes at most.
+MAX_SENT_URLS = 200_000
+
 
 def extract(pages: DataFrame, listings: DataFrame, run_date: str) -> DataFrame:
     """Collected listing pages -> listing records, with their order columns.
@@ -34,9 +38,32 @@ def transform(
     by: list[str] = LISTING_KEYS,
     detail_order: list[str | Column] | None = None,
 ) -> DataFrame:
-    """The first ``limit`` products of each listing, with what their own pages say."""
-    details = detail_rows(detail_pages)
-    return enrich(first_n(products, by, order, limit), details, detail_order=detail_order)
+    """The first ``limit`` products of each listing, with what their own pages say.
+
+    ``products`` is read more than once, so give a stage table.  With a limit only the pages
+    of the limited products are parsed, while their URLs are few enough to be sent along.
+    """
+    chosen = first_n(products, by, order, limit)
+    if limit is not None:
+        detail_pages = wanted_pages(detail_pages, chosen)
+    return enrich(chosen, detail_rows(detail_pages), detail_order=detail_order)
+
+
+def wanted_pages(detail_pages: DataFrame, products: DataFrame, most: int = MAX_SENT_URLS) -> DataFrame:
+    """Pages of these products; all pages when there are more than ``most`` URLs to look for."""
+    wanted = products.select(F.col(TABLE_KEY).alias("url")).distinct()
+    if wanted.limit(most + 1).count() > most:
+        return detail_pages
+    return detail_pages.join(F.broadcast(wanted), "url", "left_semi")
+
+
+def listing_run(
+    pages: DataFrame, listings: DataFrame, detail_pages: DataFrame, run_date: str, limit: int | None = 5
+) -> DataFrame:
+    """All three stages.  Products are written once between parsing and enrichment: later
+    steps, and tasks that are run again, read that table and parse nothing twice."""
+    products = stage(extract(pages, listings, run_date), "products")
+    return load(transform(products, detail_pages, limit))
 
 
 def load(enriched: DataFrame, order: list[str] = (*LISTING_KEYS, *LISTING_ORDER)) -> DataFrame:

@@ -43,10 +43,10 @@ def test_safe_key(column):
     assert column(MIXED, text.safe_key) == expected
 
 
-def test_strip_and_words(column):
+def test_strip_and_tokens(column):
     values = ["\u00a0 a b \u2003\n", "", "  ", "x"]
     assert column(values, text.strip_text) == [v.strip() for v in values]
-    assert column(values, text.words) == [v.split() for v in values]
+    assert column(values, text.tokens) == [v.split() or [""] for v in values]
 
 
 def test_compose_description(spark):

@@ -1,10 +1,14 @@
 """Cards and product pages from markup."""
 
+from html.parser import HTMLParser
+
+import pyarrow.parquet as pq
 import pytest
+from hypothesis import given, settings, strategies as st
 
 from marketweave.functions import text
 from marketweave.operators import catalog, pages, products, quality
-from marketweave.operators.html import Match, Page
+from marketweave.operators.html import NO_TEXT, VOID, Match, Page
 from marketweave.plans import run
 
 ROOT = "https://shop.example.com"
@@ -167,8 +171,100 @@ def test_all_or_nothing_drops_the_page(spark):
 def test_page_is_lenient():
     page = Page('<div><p>a<br>b<p>c</i></p> d <!-- x -->e <script>if (a < b) "</p>"</script><img src=x /> 1 < 2 &amp; 3</div>z')
     assert page.text(0) == "abcde1 < 2 & 3"
-    assert [e.tag for e in page.elements] == ["div", "p", "br", "p", "script", "img"]
-    assert page.elements[0].end == 6
+    assert page.tags == ["div", "p", "br", "p", "script", "img"]
+    assert page.ends[0] == 6
+
+
+class PlainReader(HTMLParser):
+    """The same lists from the standard library's event parser."""
+
+    def __init__(self, html):
+        super().__init__(convert_charrefs=True)
+        self.rows, self.texts, self.open, self.joined = [], [], [], False
+        self.feed(html)
+        self.close()
+        while self.open:
+            self.shut()
+
+    def shut(self):
+        row = self.rows[self.open.pop()]
+        row[3], row[5] = len(self.rows), len(self.texts)
+
+    def handle_starttag(self, tag, attrs):
+        self.joined = False
+        self.rows.append([tag, {k: v or "" for k, v in attrs}, self.open[-1] if self.open else -1, None, len(self.texts), None])
+        self.open.append(len(self.rows) - 1)
+        if tag in VOID:
+            self.shut()
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self.shut()
+
+    def handle_endtag(self, tag):
+        self.joined = False
+        if any(self.rows[i][0] == tag for i in self.open):
+            while self.rows[self.open[-1]][0] != tag:
+                self.shut()
+            self.shut()
+
+    def handle_data(self, data):
+        if any(self.rows[i][0] in NO_TEXT for i in self.open):
+            return
+        if self.joined:
+            self.texts[-1] += data
+        else:
+            self.texts.append(data)
+        self.joined = True
+
+    def other(self, _):
+        self.joined = False
+
+    handle_comment = handle_decl = handle_pi = unknown_decl = other
+
+
+def ours(html):
+    page = Page(html)
+    columns = zip(page.tags, map(page.attrs, range(len(page))), page.parents, page.ends, page.text_from, page.text_to)
+    return [list(row) for row in columns], page.texts
+
+
+PIECES = [
+    "<div>", "</div>", "<p>", "</p>", "<b>", "</b>", "<br>", "<br/>", "</br>", '<img src="a b">', "<img src='x>y' alt=q/>",
+    "<a href=x/y/>", '<div class="a b" id=z/>', '<A HREF="q&amp;r">', "</A>", "text ", " ", "a < b", "1<2", " &amp; ",
+    "&nbsp;", "<!-- c -->", "<!-- <b> -->", "<!DOCTYPE html>", '<script>if(a<b){"</p>"}</script>', "<style>p>b{}</style>",
+    "<template>t<i>", "</template>", "<input disabled value=1>", '<span\n class = "x"\n>', "</span >", "<?pi x>", ">",
+    "<x-y z>", '<a b="1" b="2">', "<h2 data-a='\"'>", "</h2>", "<script src=x></script>",
+]
+
+
+@settings(max_examples=2000, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=12))
+def test_scan_agrees_with_the_event_parser(pieces):
+    html = "".join(pieces)
+    plain = PlainReader(html)
+    assert ours(html) == (plain.rows, plain.texts)
+
+
+def test_scan_agrees_on_the_test_pages():
+    for html in pq.read_table("/root/testdata/sf0.01/pages.parquet")["html"].to_pylist():
+        plain = PlainReader(html)
+        assert ours(html) == (plain.rows, plain.texts)
+
+
+def test_scan_is_linear_in_broken_markup():
+    for html in ('<a b="' * 20000, "<" * 100000, "<!--" * 20000, "<a '" * 20000, "<div" * 50000, "</" * 50000):
+        Page(html)
+        Page(html + ">")
+        Page(html + "\">'>")
+    assert len(Page("<div>" * 50000 + "</b>" * 50000)) == 50000
+
+
+def test_comment_without_end_hides_the_rest():
+    page = Page("<p>a<!-- b <i>c</i> d")
+    assert page.tags == ["p"] and page.texts == ["a"]
+    assert Page("<p>a<!-->b</p>").texts == ["a", "b"]
 
 
 def test_ancestors_count_inside_the_region_only():

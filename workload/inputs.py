@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def wide(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    """A table for row-wise work: the wanted columns, on every core even if the file is small."""
+    rows = table(spark, sf, name)
+    return spread(rows.select(*columns) if columns else rows)
+
+
 # Markup of the collected test pages: a menu, one article, one advertisement.
 MENU = Profile(
     regions=(Match("nav"),),
@@ -41,7 +47,7 @@ def order_pages(spark: SparkSession, sf: str) -> DataFrame:
     The first card is a product whose price text depends on the order's priority.  The
     second depends on its status: F no name, O no link, P a product inside the first card.
     """
-    orders = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"))
+    orders = wide(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     customer = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
     row = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
@@ -113,7 +119,7 @@ def customer_pages(spark: SparkSession, sf: str) -> DataFrame:
 
     Negative balance: the page lacks its centre column.  Segment MACHINERY: no brand.
     """
-    customer = spread(table(spark, sf, "customer"))
+    customer = wide(spark, sf, "customer")
     row = customer.join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     brand = F.when(
         F.col("c_mktsegment") != "MACHINERY",
@@ -168,7 +174,9 @@ def priced_lines(spark: SparkSession, sf: str) -> DataFrame:
         .when(shape == 6, F.concat(F.lit(" AED\u00a0"), number, F.lit("  ")))
         .otherwise(F.concat(number, F.lit("d")))
     )
-    return table(spark, sf, "lineitem").withColumn("price_text", price_text)
+    return wide(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice").withColumn(
+        "price_text", price_text
+    )
 
 
 def keyed_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -180,7 +188,7 @@ def keyed_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def snapshot_names(spark: SparkSession, sf: str) -> DataFrame:
     """A snapshot file name per order, and one without digits per status."""
-    orders = table(spark, sf, "orders")
+    orders = wide(spark, sf, "orders", "o_orderdate", "o_orderstatus")
     stamped = F.concat(F.lit("final_x_"), F.date_format("o_orderdate", "ddMMyyyy"), F.lit("_000000.csv"))
     plain = F.concat(F.lit("notes_"), F.col("o_orderstatus"), F.lit(".csv"))
     return orders.select(F.explode(F.array(stamped, plain)).alias("name"))

@@ -8,7 +8,7 @@ from marketweave.functions import parse, text, urls
 from marketweave.operators import catalog, pages, products, quality, skew, upsert
 from marketweave.plans import run
 from marketweave.schemas import CLEAN, PRIORITY
-from marketweave.session import shared_dir, spread
+from marketweave.session import shared_dir, stage
 from marketweave.sources import files
 
 from . import inputs as I
@@ -21,21 +21,21 @@ HREF = r'<li><a href="([^"]*)"'
 
 
 def q_slug(spark, sf):
-    return spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", text.slug("text").alias("slug"))
+    return I.wide(spark, sf, "documents", "doc_id", "text").select("doc_id", text.slug("text").alias("slug"))
 
 
 def q_normalize_query(spark, sf):
-    docs = spread(table(spark, sf, "documents").select("doc_id", "source", "text"))
+    docs = I.wide(spark, sf, "documents", "doc_id", "source", "text")
     return docs.select("doc_id", text.normalize_query("source", "text").alias("query"))
 
 
 def q_safe_key(spark, sf):
-    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    docs = I.wide(spark, sf, "documents", "doc_id", "text")
     return docs.select("doc_id", text.safe_key("text").alias("safe_key"))
 
 
 def q_search_url(spark, sf):
-    docs = spread(table(spark, sf, "documents").select("doc_id", "source", "text"))
+    docs = I.wide(spark, sf, "documents", "doc_id", "source", "text")
     return docs.select("doc_id", urls.search_url(F.concat(F.lit("https://"), "source"), F.col("text")).alias("search_url"))
 
 
@@ -45,13 +45,13 @@ def q_page_frontier(spark, sf):
 
 
 def q_page_links(spark, sf):
-    collected = spread(table(spark, sf, "pages").select("page_id", "html"))
+    collected = I.wide(spark, sf, "pages", "page_id", "html")
     links = pages.flat_matches(collected, HREF, "href", keep=["page_id"])
     return links.filter(pages.has_link("href"))
 
 
 def q_resolve_url(spark, sf):
-    collected = spread(table(spark, sf, "pages").select("page_id", "url", "html"))
+    collected = I.wide(spark, sf, "pages", "page_id", "url", "html")
     links = pages.flat_matches(collected, HREF, "href", keep=["page_id", "url"])
     return links.select("page_id", "pos", urls.resolve_url("url", "href").alias("resolved"))
 
@@ -82,7 +82,7 @@ def q_parse_reviews(spark, sf):
         .when(shape == "4", F.lit(","))
         .otherwise(F.concat(key, F.lit(" of 7")))
     )
-    return table(spark, sf, "orders").select("o_orderkey", parse.parse_reviews(words).alias("total_reviews"))
+    return I.wide(spark, sf, "orders").select("o_orderkey", parse.parse_reviews(words).alias("total_reviews"))
 
 
 def q_parse_score(spark, sf):
@@ -95,17 +95,17 @@ def q_parse_score(spark, sf):
         .when(shape == "4", F.lit("."))
         .otherwise(F.concat(F.lit("."), key, F.lit("/10")))
     )
-    return table(spark, sf, "orders").select("o_orderkey", parse.parse_score(words).alias("review_score"))
+    return I.wide(spark, sf, "orders").select("o_orderkey", parse.parse_score(words).alias("review_score"))
 
 
 def q_compose_description(spark, sf):
-    docs = spread(table(spark, sf, "documents").select("doc_id", "lang", "text"))
+    docs = I.wide(spark, sf, "documents", "doc_id", "lang", "text")
     bullets = F.when(F.col("lang") != "en", F.concat(F.lit(" "), "lang"))
     return docs.select("doc_id", text.compose_description(bullets, "text").alias("description"))
 
 
 def q_strip_text(spark, sf):
-    collected = spread(table(spark, sf, "pages").select("page_id", "html"))
+    collected = I.wide(spark, sf, "pages", "page_id", "html")
     return collected.select("page_id", text.markup_text("html").alias("text"))
 
 
@@ -118,7 +118,7 @@ def q_parse_date(spark, sf):
         .when(shape == "4", F.date_format(day, "yyyyMMdd"))
         .otherwise(F.date_format(day, "yyyy-MM-dd HH:mm:ss"))
     )
-    return table(spark, sf, "orders").select("o_orderkey", parse.parse_date(written).alias("date_collected"))
+    return I.wide(spark, sf, "orders").select("o_orderkey", parse.parse_date(written).alias("date_collected"))
 
 
 def q_coerce_numeric(spark, sf):
@@ -137,7 +137,7 @@ def q_decimal_cast(spark, sf):
 
 def customer_listings(spark: SparkSession, sf: str) -> DataFrame:
     """Every customer as a marketplace with its segment and one category nobody offers."""
-    customer = table(spark, sf, "customer")
+    customer = I.wide(spark, sf, "customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey")
     nation = table(spark, sf, "nation")
     markets = customer.select(
         F.col("c_name").alias("marketplace"),
@@ -163,7 +163,7 @@ def q_catalog_lookup(spark, sf):
 
 
 def collected_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "pages").select("page_id", "html"))
+    return I.wide(spark, sf, "pages", "page_id", "html")
 
 
 def q_page_region(spark, sf):
@@ -206,7 +206,7 @@ def q_enrich_left(spark, sf):
 
 def q_enrich_pages(spark, sf):
     found = run.extract(I.order_pages(spark, sf), I.order_listings(spark, sf), I.RUN_DATE)
-    return run.transform(found, I.customer_pages(spark, sf), limit=None).select(
+    return run.transform(stage(found, "products"), I.customer_pages(spark, sf), limit=None).select(
         "page_no", "pos", "product_detail_url", "brand", "description", "total_reviews", "review_score"
     )
 
@@ -265,7 +265,7 @@ def q_dedupe_missing_equal(spark, sf):
 
 
 def q_run_counts(spark, sf):
-    collected = spread(table(spark, sf, "pages").select("page_id", "html"))
+    collected = I.wide(spark, sf, "pages", "page_id", "html")
     links = pages.flat_matches(collected, HREF, "href", keep=["page_id"])
     return quality.run_counts(links, "page_id", "href")
 
@@ -319,7 +319,7 @@ def q_latest_snapshot_time(spark, sf):
 
 
 def q_conform_schema(spark, sf):
-    lines = table(spark, sf, "lineitem").select(
+    lines = I.wide(spark, sf, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_partkey", "l_linenumber").alias("name"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("price"),
         F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("currency"),
@@ -351,9 +351,8 @@ def q_constraint_check(spark, sf):
 
 
 def q_listing_run(spark, sf, limit=5):
-    found = run.extract(I.order_pages(spark, sf), I.order_listings(spark, sf), I.RUN_DATE)
-    rich = run.transform(found, I.customer_pages(spark, sf), limit=limit)
-    return run.load(rich).select(*CLEAN.names)
+    collected, listings = I.order_pages(spark, sf), I.order_listings(spark, sf)
+    return run.listing_run(collected, listings, I.customer_pages(spark, sf), I.RUN_DATE, limit).select(*CLEAN.names)
 
 
 def q_listing_run_all(spark, sf):
