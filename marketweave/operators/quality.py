@@ -53,8 +53,10 @@ def coerce_columns(df: DataFrame, columns: list[str] = NUMERIC_COLUMNS) -> DataF
 
 
 def drop_incomplete(df: DataFrame, required: list[str]) -> DataFrame:
-    """Rows with a value in every required column."""
-    return df.na.drop("any", subset=required)
+    """Rows with a value in every required column, as predicates a file scan can use."""
+    for c in required:
+        df = df.filter(~is_missing(df, c))
+    return df
 
 
 def dedupe_keep_first(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:

@@ -61,10 +61,11 @@ def rows_to_insert(batch: DataFrame, target: DataFrame, order: list[str | Column
     """Rows of ``batch`` an insert-only upsert adds to ``target``.
 
     A key that exists is left alone, the first row of a new key wins, and rows without a key
-    never conflict.  Those get a number of their own as a second key part, so that they
-    neither collapse nor meet in one task; of the target only the key column is read.
+    never conflict: those pass without a shuffle, so they cannot meet in one task.  Of the
+    target only the key column is read.  Deduplication and look-up share one partitioning by
+    key, and a target that is bucketed by it is not moved at all.
     """
-    numbered = batch.withColumn("_alone", F.when(F.col(key).isNull(), F.monotonically_increasing_id()).otherwise(-1))
-    first = dedupe_keep_first(numbered, [key, "_alone"], order)
-    known = target.filter(F.col(key).isNotNull()).select(F.col(key), F.lit(-1).cast("long").alias("_alone"))
-    return first.join(known, [key, "_alone"], "left_anti").drop("_alone").select(*batch.columns)
+    first = dedupe_keep_first(batch.filter(F.col(key).isNotNull()), [key], order)
+    known = target.filter(F.col(key).isNotNull()).select(key)
+    new = first.join(known, key, "left_anti").select(*batch.columns)
+    return new.unionByName(batch.filter(F.col(key).isNull()))

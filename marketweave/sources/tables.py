@@ -22,15 +22,20 @@ def table_name(run_key: str) -> str:
     return run_key.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
 
 
-def create_table(spark: SparkSession, table: str) -> None:
-    """The managed table, if it does not exist: a number and the fixed columns."""
+def create_table(spark: SparkSession, table: str, buckets: int | None = None) -> None:
+    """The managed table, if it does not exist: a number and the fixed columns.
+
+    ``buckets`` stores the rows by key, so that an upsert into a large table moves only the batch.
+    """
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TABLE)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ID} bigint, {columns}) USING parquet")
+    clustered = f" CLUSTERED BY ({TABLE_KEY}) INTO {buckets} BUCKETS" if buckets else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ID} bigint, {columns}) USING parquet{clustered}")
 
 
 def insert_new(batch: DataFrame, table: str, order: list[str | Column]) -> int:
     """Insert-only upsert of conformed rows; returns how many rows were offered.
 
+    ``batch`` is read more than once, so give rows of files or of a stage table.
     A null in a not-null column fails the batch before anything is written.  One writer at
     a time: looking up and appending is not a transaction.  Numbers are distinct and grow
     from run to run, with gaps.

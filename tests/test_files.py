@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketweave.operators.quality import dedupe_keep_first
-from marketweave.operators.upsert import conform
+from marketweave.operators.upsert import conform, rows_to_insert
 from marketweave.schemas import CLEAN, ENRICHED, LISTING, TABLE
 from marketweave.session import shared_dir, spread, stage
 from marketweave.sources import files, tables
@@ -140,6 +140,22 @@ def test_table_upsert(spark):
     assert spark.table(table).count() == 5
 
 
+def test_upsert_does_not_move_a_bucketed_table(spark):
+    tables.create_table(spark, "bucketed", buckets=4)
+    df = enriched(spark, [{"product_detail_url": f"u{i % 20}", "name": f"n{i}"} for i in range(40)] + [{"product_detail_url": None}])
+    batch = conform(df, keep=["pos"])
+    tables.insert_new(batch.filter("pos < 10"), "bucketed", ["pos"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        new = rows_to_insert(batch, spark.table("bucketed"), ["pos"])
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+        tables.insert_new(batch, "bucketed", ["pos"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(r["name"] for r in spark.table("bucketed").collect()) == sorted([f"n{i}" for i in range(20)] + ["cat food"])
+
+
 def test_destinations(spark, tmp_path):
     df = enriched(spark, [{}]).select(*CLEAN.names, "pos")
     path = str(tmp_path / "final_x_01012025_000000.csv")
