@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.parse import nan_to_null
+from ..functions.text import safe_key
 from ..schemas import CLEAN, LISTING
 
 # Row position in the source: file, split within the file, row within the split.
@@ -62,6 +63,20 @@ def write_json(df: DataFrame, path: str, partition_by: list[str] = (), order: li
     ).json(path)
 
 
+LISTING_LAYOUT = ["marketplace_key", "category_key", "subcategory_key"]
+
+
+def write_listings(df: DataFrame, root: str, order: list[str | Column] = ()) -> None:
+    """Product rows under ``root/<marketplace>/<category>/<subcategory>``, in listing order.
+
+    The folder names are path-safe copies of the three columns, so the rows stay whole;
+    ``order`` columns set the sequence and are not written.
+    """
+    keys = {key: safe_key(key.removesuffix("_key")) for key in LISTING_LAYOUT}
+    keyed = _partitioned(df.withColumns(keys), LISTING_LAYOUT, order).drop(*order)
+    keyed.write.mode("overwrite").partitionBy(*LISTING_LAYOUT).option("ignoreNullFields", False).json(root)
+
+
 def _partitioned(df: DataFrame, partition_by: list[str], order: list) -> DataFrame:
     if order:
         keys = [*partition_by, *[c for c in order if c not in partition_by]]

@@ -5,6 +5,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from marketweave.plans import run
 from marketweave.operators.quality import dedupe_keep_first
 from marketweave.operators.upsert import conform, rows_to_insert
 from marketweave.schemas import CLEAN, ENRICHED, LISTING, TABLE
@@ -53,6 +54,19 @@ def test_json_by_listing_replaces_and_keeps_nulls(spark, tmp_path):
     assert sum('"brand":null' in r[0] for r in texts) == 1
 
 
+def test_listing_folders(spark, tmp_path):
+    rows = [{"category": "pet food", "subcategory": "dry & wet", "name": f"n{i}"} for i in range(6)]
+    df = enriched(spark, rows + [{"category": "other"}])
+    files.write_listings(df, str(tmp_path / "out"), order=["pos"])
+    folder = tmp_path / "out" / "marketplace_key=m" / "category_key=pet_food" / "subcategory_key=dry_wet"
+    assert folder.is_dir()
+    back = files.scan_products(spark, str(folder), ENRICHED).orderBy(files.SOURCE_POS)
+    assert back.columns == [*ENRICHED.names, files.SOURCE_POS]
+    assert [(r["name"], r["category"], r["subcategory"]) for r in back.collect()] == [
+        (f"n{i}", "pet food", "dry & wet") for i in range(6)
+    ]
+
+
 def test_hot_listing_is_cut_into_files(spark, tmp_path):
     df = spark.range(20000).select(F.lit("hot").alias("category"), F.lit("n").alias("name"), F.col("id").alias("pos"))
     spark.conf.set("spark.sql.adaptive.enabled", False)
@@ -166,6 +180,24 @@ def test_destinations(spark, tmp_path):
             tables.write_products(df, **bad)
 
 
+def test_products_reach_folder_and_table(spark, tmp_path):
+    """JSON rows -> clean CSV snapshot -> table, as one listing's load."""
+    rows = [{"name": "a", "date_collected": "2025-07-05"}, {"name": "a"}, {"name": "b", "brand": None}, {"name": "c", "product_detail_url": "v"}]
+    files.write_json(enriched(spark, rows), str(tmp_path / "rich"), order=["pos"])
+    rich = files.scan_products(spark, str(tmp_path / "rich"), ENRICHED)
+    clean = run.load(rich, order=[files.SOURCE_POS])
+    assert clean.columns == [*CLEAN.names, files.SOURCE_POS]
+    path = tables.snapshot_path(str(tmp_path / "out"), "m_c_s", datetime(2025, 7, 5, 2, 39, 18))
+    tables.write_products(clean, "dir", path=path, order=[files.SOURCE_POS])
+    latest = files.scan_latest(spark, str(tmp_path / "out"))
+    tables.write_products(latest, "db", table="c_s", order=[files.SOURCE_POS])
+    stored = spark.table("c_s").orderBy("name").collect()
+    assert [(r["name"], str(r["price"]), str(r["date_collected"])) for r in stored] == [
+        ("a", "12.50", "2025-07-05 00:00:00"), ("c", "12.50", "2025-07-05 00:00:00"),
+    ]
+    assert stored[0]["about"] == "" and stored[0]["marketplace_name"] == ""
+
+
 def test_database_statements():
     """The statements as another engine understands them, apart from its number generator."""
     con = duckdb.connect()
