@@ -10,10 +10,18 @@ import unicodedata
 
 from pyspark.sql import Column, functions as F
 
-from .text import _col, tokens
+from .text import WS, _col
 
-_NUMBER = r"^(?i)[+-]?(?:(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf(?:inity)?|nan)\z"
+# A float literal.  The sign of a NaN stays outside the group.
+_NUMBER = r"(?:[+-](?=nan))?([+-]?(?:(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf(?:inity)?)|nan)"
 _INFINITE = r"(?i)inf"
+_BLANK = r"[ \t\n\r\f\x0b]*"
+_NUMBER_ONLY = rf"(?i)^{_BLANK}{_NUMBER}{_BLANK}\z"
+
+# The number is the second of two tokens, or else the first one.
+_TOKEN = rf"[^{WS}]+"
+_PRICE = rf"(?i)^[{WS}]*(?:{_TOKEN}[{WS}]+(?={_TOKEN}[{WS}]*\z))?{_NUMBER}(?:(?:[{WS}]+{_TOKEN}){{2,}})?[{WS}]*\z"
+_FIRST_OF_TWO = rf"^[{WS}]*({_TOKEN})[{WS}]+{_TOKEN}[{WS}]*\z"
 
 # Every decimal digit outside ASCII and its value, from the Unicode database.
 _FOREIGN = [(ch, unicodedata.decimal(ch)) for ch in map(chr, range(128, 0x110000)) if unicodedata.decimal(ch, None) is not None]
@@ -21,31 +29,20 @@ _FOREIGN_DIGITS = "".join(ch for ch, _ in _FOREIGN)
 _ASCII_DIGITS = "".join(str(v) for _, v in _FOREIGN)
 
 
-def _literal(text: Column) -> Column:
-    """Text as double, by the pattern; what the pattern admits and the cast does not is a signed NaN."""
-    return F.when(text.rlike(_NUMBER), F.coalesce(text.try_cast("double"), F.lit(float("nan"))))
-
-
 def ascii_digits(c: Column | str) -> Column:
     """Decimal digits of any script as 0-9."""
-    return F.translate(_col(c), _FOREIGN_DIGITS, _ASCII_DIGITS)
-
-
-def text_to_double(c: Column | str) -> Column:
-    """A float literal without blanks as page text writes it: any digits, ``_`` between them, inf, nan."""
     c = _col(c)
-    plain = F.regexp_replace(ascii_digits(c), r"(?<=[0-9])_(?=[0-9])", "")
-    return F.when(c.rlike(r"_|[^\x00-\x7f]"), _literal(plain)).otherwise(_literal(c))
+    return F.when(c.rlike(r"[^\x00-\x7f]"), F.translate(c, _FOREIGN_DIGITS, _ASCII_DIGITS)).otherwise(c)
 
 
 def coerce_numeric(c: Column | str) -> Column:
     """A column as double; text that is no number, and NaN, become null.
 
-    Unlike :func:`text_to_double` this takes ASCII digits only, no separators, blanks
-    around the number, and a literal too large for a double is not a number.
+    ASCII digits only, blanks around them allowed; a literal too large for a double is not
+    a number, the word for infinity is.
     """
-    text = F.btrim(_col(c).cast("string"), F.lit(" \t\n\r\f\x0b"))
-    value = nan_to_null(_literal(text))
+    text = _col(c).cast("string")
+    value = nan_to_null(F.regexp_extract(text, _NUMBER_ONLY, 1).try_cast("double"))
     return F.when((F.abs(value) < F.lit(float("inf"))) | text.rlike(_INFINITE), value)
 
 
@@ -58,28 +55,24 @@ def parse_price(c: Column | str) -> Column:
 
     Two tokens are currency and price.  Otherwise the first token is the price and the
     currency is empty.  When the price is no number (thousands separators included) or
-    there is no text, both are null.
+    there is no text, both are null.  Digits of any script count, also with ``_`` between.
     """
-    parts = tokens(c)
-    two = F.size(parts) == 2
-    price = text_to_double(F.when(two, F.get(parts, F.lit(1))).otherwise(F.get(parts, F.lit(0))))
-    currency = F.when(price.isNotNull(), F.when(two, F.get(parts, F.lit(0))).otherwise(F.lit("")))
+    c = _col(c)
+    plain = F.when(c.contains("_"), F.regexp_replace(ascii_digits(c), r"(?<=[0-9])_(?=[0-9])", "")).otherwise(ascii_digits(c))
+    price = F.regexp_extract(plain, _PRICE, 1).try_cast("double")
+    currency = F.when(price.isNotNull(), F.regexp_extract(c, _FIRST_OF_TWO, 1))
     return F.struct(price.alias("price"), currency.alias("currency"))
 
 
-def _first_number(c: Column | str, pattern: str, drop: str) -> Column:
-    text = F.nullif(F.regexp_extract(_col(c), pattern, 1), F.lit(""))
-    return text_to_double(F.replace(text, F.lit(drop), F.lit("")) if drop else text)
-
-
 def parse_reviews(c: Column | str) -> Column:
-    """First run of digits and commas: ``"1,234 ratings"`` -> 1234.0."""
-    return _first_number(c, r"([\p{Nd},]+)", ",")
+    """First run of digits and commas: ``"1,234 ratings"`` -> 1234.0; without digits null."""
+    run = F.regexp_extract(ascii_digits(c), r"([0-9,]+)", 1)
+    return F.replace(run, F.lit(","), F.lit("")).try_cast("double")
 
 
 def parse_score(c: Column | str) -> Column:
-    """First run of digits and dots: ``"4.5 out of 5"`` -> 4.5."""
-    return _first_number(c, r"([\p{Nd}.]+)", "")
+    """First run of digits and dots: ``"4.5 out of 5"`` -> 4.5; null if that is no number."""
+    return F.regexp_extract(ascii_digits(c), r"([0-9.]+)", 1).try_cast("double")
 
 
 # The three accepted layouts, tried in this order; one- or two-digit

@@ -47,11 +47,6 @@ def strip_text(c: Column | str) -> Column:
     return F.regexp_replace(_col(c), _OUTER_SPACES, "")
 
 
-def tokens(c: Column | str) -> Column:
-    """Whitespace-separated tokens; blank text has one empty token."""
-    return F.split(strip_text(c), _SPACES)
-
-
 def compose_description(bullets: Column | str, long_text: Column | str) -> Column:
     """Bullets and long text on separate lines, lower-cased and trimmed; never null."""
     whole = F.concat(

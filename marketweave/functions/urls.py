@@ -87,48 +87,73 @@ def _walk(path: Column, rooted: Column) -> Column:
     return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
 
 
+# References that resolve without taking anything apart: a rooted path, or a whole web
+# address; no blanks or control characters, no empty query or fragment.
+_TAIL = r"[^\x00-\x20?#]*(?:\?[^\x00-\x20#]+)?(?:#[^\x00-\x20]+)?\z"
+_ROOTED = rf"^/(?!/){_TAIL}"
+_WEB = rf"^https?://[^\x00-\x20/?#]{_TAIL}"
+_ORIGIN = r"^(https?://[^/?#]+)"
+
+
 def resolve_url(base: Column | str, href: Column | str) -> Column:
     """``href`` as an absolute URL against ``base``.
 
-    Plain absolute, ``//host``, ``/path`` and relative references are concatenations; the
-    segment walk runs only for paths that hold dot segments or empty inner segments.
+    Nearly all references of a page are rooted paths or whole addresses: one pattern each.
+    The others are split into their parts and resolved segment by segment.
     """
-    base = _col(base)
-    ref = F.regexp_replace(F.regexp_replace(_col(href), r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
-    base_scheme = F.lower(_part(base, _SCHEME))
-    own_scheme = F.lower(_part(ref, _SCHEME))
-    base_authority = _part(base, _AUTHORITY)
-    origin = F.concat(base_scheme, F.lit("://"), base_authority)
-    base_path = _part(base, _PATH)
-    base_query = _part(base, _QUERY)
-
-    path, query, fragment = _part(ref, _PATH), _part(ref, _QUERY), _part(ref, _FRAGMENT)
-    tail_query = F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit(""))
-    tail_fragment = F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(F.lit(""))
-
-    # A reference without a path keeps the base path, and the base query unless it has one.
-    kept_query = F.when(query != "", query).otherwise(base_query)
-    same_document = F.concat(
-        origin,
-        base_path,
-        F.when(kept_query != "", F.concat(F.lit("?"), kept_query)).otherwise(F.lit("")),
-        tail_fragment,
+    base, href = _col(base), _col(href)
+    origin = _part(base, _ORIGIN)
+    rooted = href.rlike(_ROOTED) & ~href.contains("/.") & (origin != "")
+    return (
+        F.when(rooted, F.concat(origin, href)).when(href.rlike(_WEB), href).otherwise(_resolve_parts(base, href))
     )
 
-    directory = F.regexp_replace(base_path, r"[^/]*$", "")
-    merged = F.when(path.startswith("/"), path).otherwise(
-        F.concat(F.when(directory == "", F.lit("/")).otherwise(directory), path)
+
+def _resolve_parts(base: Column, href: Column) -> Column:
+    ref = F.regexp_replace(F.regexp_replace(href, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+    return _once(ref, lambda r: _once(_parts(r), lambda own: _once(_parts(base), lambda b: _joined(base, href, r, b, own))))
+
+
+def _once(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _parts(c: Column) -> Column:
+    return F.struct(
+        F.lower(_part(c, _SCHEME)).alias("scheme"),
+        _part(c, _AUTHORITY).alias("authority"),
+        _part(c, _PATH).alias("path"),
+        _part(c, _QUERY).alias("query"),
+        _part(c, _FRAGMENT).alias("fragment"),
     )
-    walked = F.when(merged.rlike(r"//|/\.\.?(/|$)"), _walk(merged, path.startswith("/"))).otherwise(merged)
-    relative = F.concat(origin, walked, tail_query, tail_fragment)
 
-    network = F.concat(base_scheme, F.lit("://"), _part(ref, _AUTHORITY), path, tail_query, tail_fragment)
+
+def _led(mark: str, c: Column) -> Column:
+    return F.when(c != "", F.concat(F.lit(mark), c)).otherwise(F.lit(""))
+
+
+def _joined(base: Column, href: Column, ref: Column, b: Column, own: Column) -> Column:
+    scheme, path = own["scheme"], own["path"]
+    origin = F.concat(b["scheme"], F.lit("://"), b["authority"])
+    query, fragment = _led("?", own["query"]), _led("#", own["fragment"])
+
+    # A reference without a path keeps the base path, and the base query unless it has one.
+    kept_query = F.when(own["query"] != "", query).otherwise(_led("?", b["query"]))
+    same_document = F.concat(origin, b["path"], kept_query, fragment)
+
+    directory = F.regexp_replace(b["path"], r"[^/]*$", "")
+    rooted = path.startswith("/")
+    merged = F.when(rooted, path).otherwise(F.concat(F.when(directory == "", F.lit("/")).otherwise(directory), path))
+    relative = F.concat(origin, _once(merged, lambda m: _walk(m, rooted)), query, fragment)
+
+    network = F.concat(b["scheme"], F.lit("://"), own["authority"], path, query, fragment)
 
     return (
         F.when(ref == "", base)
-        .when((own_scheme != "") & (own_scheme != base_scheme), _col(href))
-        .when((own_scheme != "") & ~own_scheme.isin(_HIERARCHICAL), _col(href))
-        .when(_part(ref, _AUTHORITY) != "", network)
+        .when(base == "", href)
+        .when((scheme != "") & ((scheme != b["scheme"]) | ~scheme.isin(_HIERARCHICAL)), href)
+        .when(own["authority"] != "", network)
         .when(path == "", same_document)
         .otherwise(relative)
     )

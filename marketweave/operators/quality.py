@@ -49,7 +49,8 @@ def missing_profile(df: DataFrame, columns: list[str] | None = None) -> DataFram
 
 def coerce_columns(df: DataFrame, columns: list[str] = NUMERIC_COLUMNS) -> DataFrame:
     """Number columns as double; whatever is no number becomes null."""
-    return df.withColumns({c: coerce_numeric(c) for c in columns if c in df.columns})
+    present = [c for c in columns if c in df.columns]
+    return df.withColumns({c: nan_to_null(c) if _is_float(df, c) else coerce_numeric(c) for c in present})
 
 
 def drop_incomplete(df: DataFrame, required: list[str]) -> DataFrame:

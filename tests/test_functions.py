@@ -43,10 +43,9 @@ def test_safe_key(column):
     assert column(MIXED, text.safe_key) == expected
 
 
-def test_strip_and_tokens(column):
+def test_strip(column):
     values = ["\u00a0 a b \u2003\n", "", "  ", "x"]
     assert column(values, text.strip_text) == [v.strip() for v in values]
-    assert column(values, text.tokens) == [v.split() or [""] for v in values]
 
 
 def test_compose_description(spark):
@@ -159,12 +158,15 @@ BASES = [
     "http://m.example/a/b/c?x=1#f",
     "https://m.example/a/b/",
     "https://M.example:8080/a?q",
+    "HTTP://m.example/a",
+    "",
 ]
 REFS = [
     "/dp/1", "dp/1", "//cdn.example/i.png", "https://o.example/x", "http://o.example/x", "", "?q=2", "#top",
     "../x", "../../x", "./x", "a/./b/../c", "/a/../../b", "..", ".", "/x/..", "mailto:a@b", "javascript:void(0)",
     "a//b", "/a//b", "x?y=../z", "x#../z", " /lead", "/t\tab", "g;x=1/../y", "/a/b/./", "https:rel", "HTTPS://O.example/Q",
-    "/a?b#c", "é/ü", "data:x", "/", "a/b/c/../../../..",
+    "/a?b#c", "/a?b", "/a#", "/a?", "/a?#", "/a?#f", "/a b", "/.x", "/a/..b", "https://o.example", "https://o.example/..?",
+    "http://o.example/a b", "http://o.example/?#", "https:///x", "é/ü", "data:x", "/", "a/b/c/../../../..",
 ]
 
 
