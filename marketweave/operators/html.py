@@ -132,16 +132,20 @@ class Page:
     def matches(self, path: tuple[Match, ...], scope: range, root: int = -1):
         """Elements of ``scope`` that match the path; ancestors count up to ``root``."""
         target, above = path[-1], path[:-1]
-        if target.tag is None:
-            candidates = scope
-        else:
-            same = self.by_tag.get(target.tag, ())
-            candidates = same[bisect_left(same, scope.start) : bisect_left(same, scope.stop)]
-        needle, raw_attrs = target.needle, self.raw_attrs
-        for i in candidates:
-            if needle and needle not in raw_attrs[i] and "&" not in raw_attrs[i]:
-                continue
-            if target.accepts(self, i) and (not above or self._below(i, above, root)):
+        tag, needle, raw_attrs = target.tag, target.needle, self.raw_attrs
+        if tag is not None:
+            same = self.by_tag.get(tag)
+            if same is None:
+                return
+            scope = same[bisect_left(same, scope.start) : bisect_left(same, scope.stop)]
+        for i in scope:
+            if needle:
+                raw = raw_attrs[i]
+                if needle not in raw and "&" not in raw:
+                    continue
+                if not target.accepts(self, i):
+                    continue
+            if not above or self._below(i, above, root):
                 yield i
 
     def _below(self, i: int, above: tuple[Match, ...], root: int) -> bool:

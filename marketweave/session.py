@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Recording a call site per expression takes longer than building the plans here.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.parse import nan_to_null
+from ..functions.parse import coerce_numeric, nan_to_null
 from ..functions.text import safe_key
 from ..schemas import CLEAN, LISTING
 
@@ -44,11 +44,21 @@ def scan_products(
 def scan_csv(spark: SparkSession, path: str | list[str], schema: T.StructType = CLEAN) -> DataFrame:
     """Rows of CSV files with a header; quoted fields may hold line breaks.
 
-    An empty field is missing, whether it was empty text or null when it was written.
-    A header that differs from the schema fails the job.
+    The columns are those of the header, in its order, with the schema's type where it names
+    them and text otherwise.  An empty field is missing, whether it was empty text or null
+    when it was written.  Files with different headers fail the job.
     """
     reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    return _with_position(reader.option("enforceSchema", False).schema(schema).csv(path))
+    rows = _with_position(reader.option("enforceSchema", False).csv(path))
+    types = {f.name: f.dataType for f in schema}
+    return rows.select(*[_typed(c, types.get(c)) for c in rows.columns])
+
+
+def _typed(column: str, kind: T.DataType | None) -> Column:
+    if kind is None or isinstance(kind, T.StringType):
+        return F.col(column)
+    value = coerce_numeric(column) if isinstance(kind, T.DoubleType) else F.col(column).try_cast(kind)
+    return value.alias(column)
 
 
 def write_json(df: DataFrame, path: str, partition_by: list[str] = (), order: list[str | Column] = ()) -> None:

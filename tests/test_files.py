@@ -100,10 +100,15 @@ def test_csv_bytes(spark, tmp_path):
     assert written == 'a,b,c\n"a,b",,1.0\n"q""q",,2.5\n s ,x,\n'
 
 
-def test_csv_header_must_fit(spark, tmp_path):
-    (tmp_path / "x.csv").write_text("wrong\n1\n")
+def test_csv_columns_follow_the_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('price,name,other\n12.5,"x\ny",1\n,z,\n')
+    df = files.scan_csv(spark, str(tmp_path / "a.csv"))
+    assert df.dtypes[:3] == [("price", "double"), ("name", "string"), ("other", "string")]
+    assert [tuple(r)[:3] for r in df.orderBy(files.SOURCE_POS).collect()] == [(12.5, "x\ny", "1"), (None, "z", None)]
+    assert conform(df).head()["brand"] == "" and conform(df.filter("price is null")).head()["price"] is None
+    (tmp_path / "b.csv").write_text("name,price,other\nx,1,2\n")
     with pytest.raises(Exception):
-        files.scan_csv(spark, str(tmp_path / "x.csv")).collect()
+        files.scan_csv(spark, str(tmp_path)).collect()
 
 
 NAMES = ["final_x_31122024_000000.csv", "final_x_01012025_000000.csv", "notes.csv", "final_x_02012025_000000.txt"]
