@@ -62,14 +62,14 @@ def compose_description(bullets: Column | str, long_text: Column | str) -> Colum
 _NON_TEXT = r"(?s)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1>"
 _TAG = r"<[^>]*>"
 _ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", "\u00a0"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
+    ("&lt;?", "<"),
+    ("&gt;?", ">"),
+    ("&quot;?", '"'),
+    ("&#39;?", "'"),
+    ("&nbsp;?", "\u00a0"),
+    ("&copy;?", "©"),
+    ("&middot;?", "·"),
+    ("&amp;?", "&"),
 ]
 
 
@@ -81,7 +81,8 @@ def markup_text(c: Column | str) -> Column:
 
 
 def decode_entities(c: Column | str) -> Column:
-    out = _col(c)
-    for name, char in _ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    """The references of the list above; their semicolon may be missing, as readers allow."""
+    c = out = _col(c)
+    for pattern, char in _ENTITIES:
+        out = F.regexp_replace(out, pattern, char)
+    return F.when(c.contains("&"), out).otherwise(c)

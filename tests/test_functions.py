@@ -56,8 +56,8 @@ def test_compose_description(spark):
 
 
 def test_markup_text_joins_trimmed_nodes(column):
-    values = ["a <b>b</b> c", "<p>x &amp; y</p><!-- no --> z", "<script>if (a<b) x()</script>t", "&amp;lt;"]
-    assert column(values, text.markup_text) == ["abc", "x & yz", "t", "&lt;"]
+    values = ["a <b>b</b> c", "<p>x &amp; y</p><!-- no --> z", "<script>if (a<b) x()</script>t", "&amp;lt;", "a &amp", "&copy 1"]
+    assert column(values, text.markup_text) == ["abc", "x & yz", "t", "&lt;", "a &", "© 1"]
 
 
 PRICES = {

@@ -284,7 +284,7 @@ def test_one_python_pass_per_scan(spark):
 
 
 def test_both_readings_of_the_test_pages_agree(spark):
-    df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "html")
+    df = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "html")
     whole = pages.Profile(regions=(Match("html"),), fields={"text": pages.Rule("text", (Match("body"),))})
     parsed = pages.extract_records(df, whole, keep=["page_id"]).select("page_id", "text")
     body = text.F.regexp_extract("html", r"(?s)<body>(.*)", 1)

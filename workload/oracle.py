@@ -33,9 +33,9 @@ def strip(x: str) -> str:
 
 
 def decode(x: str) -> str:
-    for name, char in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", "\u00a0"),
-                       ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]:
-        x = f"replace({x}, '{name}', '{char}')"
+    for name, char in [("&lt", "<"), ("&gt", ">"), ("&quot", '"'), ("&#39", "''"), ("&nbsp", "\u00a0"),
+                       ("&copy", "©"), ("&middot", "·"), ("&amp", "&")]:
+        x = f"regexp_replace({x}, '{name};?', '{char}', 'g')"
     return x
 
 
