@@ -185,7 +185,7 @@ ORACLE: dict[str, str] = {
         AS description FROM documents""",
     "q_strip_text": f"SELECT page_id, {plain('html')} AS text FROM pages",
     "q_parse_date": f"""
-      SELECT o_orderkey, CAST(try_strptime(w, ['%Y-%m-%d', '%d/%m/%Y', '%Y/%m/%d']) AS DATE) AS date_collected
+      SELECT o_orderkey, strftime(try_strptime(w, ['%Y-%m-%d', '%d/%m/%Y', '%Y/%m/%d']), '%Y-%m-%d') AS date_collected
       FROM (SELECT o_orderkey, CASE {PRIORITY_DIGIT} WHEN '1' THEN strftime(o_orderdate, '%Y-%m-%d')
         WHEN '2' THEN strftime(o_orderdate, '%-d/%-m/%Y') WHEN '3' THEN strftime(o_orderdate, '%Y/%m/%d')
         WHEN '4' THEN strftime(o_orderdate, '%Y%m%d') ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS w
@@ -194,7 +194,7 @@ ORACLE: dict[str, str] = {
       SELECT l_orderkey, l_partkey, l_linenumber, {double('trim(price_text)')} AS price FROM ({PRICED})""",
     "q_decimal_cast": """
       SELECT l_orderkey, l_partkey, l_linenumber,
-        CAST(CAST(l_extendedprice * (1 - l_discount) AS VARCHAR) AS DECIMAL(10, 2)) AS net_price FROM lineitem""",
+        CAST(CAST(CAST(l_extendedprice * (1 - l_discount) AS VARCHAR) AS DECIMAL(10, 2)) AS VARCHAR) AS net_price FROM lineitem""",
     "q_catalog_expand": LISTINGS,
     "q_catalog_lookup": f"""
       SELECT marketplace, page_url FROM ({LISTINGS}) WHERE category = 'BUILDING' AND subcategory = 'NATION_7'""",
@@ -208,7 +208,7 @@ ORACLE: dict[str, str] = {
     "q_page_detail": rf"""
       SELECT page_id, {plain("regexp_extract(html, '(?s)<div class=\"ad\">(.*?)</div>', 1)")} AS ad,
         array_to_string(list_transform(regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)<', 1),
-          lambda t: {strip(decode('t'))}), chr(10)) AS menu, CAST(NULL AS VARCHAR) AS no_such FROM pages""",
+          lambda t: {strip(decode('t'))}), chr(10)) AS menu, TRUE AS absent FROM pages""",
     "q_product_details": DETAILS,
     "q_card_project": PRODUCTS,
     "q_skip_malformed": """
@@ -263,11 +263,11 @@ ORACLE: dict[str, str] = {
       WHERE t = (SELECT max(t) FROM s)""",
     "q_conform_schema": """
       SELECT l_orderkey || '-' || l_partkey || '-' || l_linenumber AS name,
-        CAST(CAST(l_extendedprice * (1 - l_discount) AS VARCHAR) AS DECIMAL(10, 2)) AS price,
+        CAST(CAST(CAST(l_extendedprice * (1 - l_discount) AS VARCHAR) AS DECIMAL(10, 2)) AS VARCHAR) AS price,
         nullif(l_returnflag, 'N') AS currency, '' AS image_url, '' AS product_detail_url, '' AS page_url,
         '' AS marketplace_name, strftime(l_shipdate, '%Y-%m-%d 00:00:00') AS date_collected, l_linestatus AS category,
         '' AS subcategory, '' AS amazon_category,
-        CAST(CAST(l_tax AS VARCHAR) AS DECIMAL(10, 2)) AS review_score, CAST(0 AS DECIMAL(10, 2)) AS total_reviews,
+        CAST(CAST(CAST(l_tax AS VARCHAR) AS DECIMAL(10, 2)) AS VARCHAR) AS review_score, '0.00' AS total_reviews,
         '' AS brand, '' AS about, '' AS description FROM lineitem""",
     "q_upsert_insert_only": """
       WITH b AS (SELECT doc_id, source, CASE WHEN lang <> 'de' THEN text END AS k FROM documents),

@@ -118,7 +118,7 @@ def q_parse_date(spark, sf):
         .when(shape == "4", F.date_format(day, "yyyyMMdd"))
         .otherwise(F.date_format(day, "yyyy-MM-dd HH:mm:ss"))
     )
-    return I.wide(spark, sf, "orders").select("o_orderkey", parse.parse_date(written).alias("date_collected"))
+    return I.wide(spark, sf, "orders").select("o_orderkey", parse.parse_date(written).cast("string").alias("date_collected"))
 
 
 def q_coerce_numeric(spark, sf):
@@ -129,7 +129,7 @@ def q_coerce_numeric(spark, sf):
 def q_decimal_cast(spark, sf):
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     lines = table(spark, sf, "lineitem").withColumn("net", net)
-    return lines.select("l_orderkey", "l_partkey", "l_linenumber", parse.money("net").alias("net_price"))
+    return lines.select("l_orderkey", "l_partkey", "l_linenumber", parse.money("net").cast("string").alias("net_price"))
 
 
 # --- catalog ---------------------------------------------------------------------------
@@ -178,7 +178,7 @@ def q_page_cards(spark, sf):
 
 def q_page_detail(spark, sf):
     found = pages.extract_records(collected_pages(spark, sf), I.ARTICLE, keep=["page_id"])
-    return found.select("page_id", "ad", F.array_join("menu", "\n").alias("menu"), "no_such")
+    return found.select("page_id", "ad", F.array_join("menu", "\n").alias("menu"), F.isnull("no_such").alias("absent"))
 
 
 def q_product_details(spark, sf):
@@ -329,7 +329,8 @@ def q_conform_schema(spark, sf):
         F.col("l_suppkey").alias("dropped_column"),
     )
     rows = upsert.conform(lines)
-    return rows.withColumn("date_collected", F.date_format("date_collected", "yyyy-MM-dd HH:mm:ss"))
+    money = {c: F.col(c).cast("string") for c in ("price", "review_score", "total_reviews")}
+    return rows.withColumns({**money, "date_collected": F.date_format("date_collected", "yyyy-MM-dd HH:mm:ss")})
 
 
 def q_upsert_insert_only(spark, sf):
