@@ -215,7 +215,7 @@ ORACLE: dict[str, str] = {
       SELECT o_orderkey AS page_no, 2 AS pos, '/dp/x' AS href FROM orders JOIN customer ON o_custkey = c_custkey
       WHERE o_orderstatus = 'F'""",
     "q_enrich_left": """
-      SELECT doc_id, lang, CASE WHEN l.doc_id IS NOT NULL THEN l.quality ELSE n_chars END AS quality, toxic
+      SELECT doc_id, lang, CASE WHEN l.doc_id IS NOT NULL THEN l.quality ELSE n_chars END AS quality, CAST(toxic AS DOUBLE) AS toxic
       FROM documents LEFT JOIN labels l USING (doc_id)""",
     "q_enrich_pages": f"""
       SELECT page_no, pos, product_detail_url, brand, description, total_reviews, review_score

@@ -200,7 +200,7 @@ def q_skip_malformed(spark, sf):
 
 def q_enrich_left(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "lang", F.col("n_chars").alias("quality"))
-    labels = table(spark, sf, "labels").select("doc_id", "quality", "toxic")
+    labels = table(spark, sf, "labels").select("doc_id", "quality", F.col("toxic").cast("double"))
     return products.enrich(docs, labels, key="doc_id")
 
 
