@@ -19,7 +19,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.QUERIES))
 def test_plan(spark, name):
     plan = plan_of(contract.queries()[name](spark, SF))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "FlatMapGroupsInPandas"):

@@ -40,7 +40,7 @@ def _rows(names, rows):
     return sorted(names), Counter(tuple(_value(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.QUERIES))
 def test_query(spark, db, name):
     df = contract.queries()[name](spark, SF)
     got = _rows(df.columns, df.collect())
