@@ -6,12 +6,18 @@ executor costs a re-read of one stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketweave.llm import jaccard
+from marketweave.llm import decontam, jaccard, lines
 from marketweave.session import shared_dir, stage
 
-DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go; a document of which nothing is left goes with them."""
+    found = lines.dedup_lines(docs)
+    chars = F.when(F.col("_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    found = found.filter((F.col("_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")).withColumn("n_chars", chars)
+    return found.select(*docs.columns)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +25,15 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return jaccard.keep_one(docs)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontam.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 STAGES = [
+    ("line dedup", line_dedup),
     ("n-gram Jaccard join", ngram_jaccard_join),
+    ("benchmark decontamination", benchmark_decontamination),
 ]
 
 #: Trained stages are not expressible in SQL; tests compare with a brute-force version.

@@ -2,20 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketweave.llm import jaccard
+from marketweave.llm import decontam, jaccard, lines
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document with its repeated lines cut."""
+    found = lines.dedup_lines(_table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"))
+
+
+def op2_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document and benchmark item it holds."""
+    return decontam.leaks(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf, "documents"))
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
 }
 

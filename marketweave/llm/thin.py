@@ -8,19 +8,30 @@ from pyspark.sql import DataFrame, functions as F
 BITS = 2**23
 
 
-def thin(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of `df` whose key may be in `ids`: all that are, and those that share a bit with one.
-
-    The filter is one megabyte at any size, so it is broadcast.  The more ids there are, the
-    less it spares; it never drops a wanted row.  Null keys are dropped.
-    """
+def _flagged(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """`df` with `_hit`: whether the key's bit is set. A null key has none."""
     slot = F.pmod(F.xxhash64(key), F.lit(BITS)) + 1
     bits = (
         ids.select(slot.alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias("_bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
     )
-    columns = df.columns
     place = F.bitmap_bit_position(slot)
-    byte = F.conv(F.hex(F.substring("_bits", (place / 8).cast("int") + 1, 1)), 16, 10).cast("int")
-    wide = df.filter(F.col(key).isNotNull()).withColumn("_bucket", F.bitmap_bucket_number(slot))
-    return wide.join(F.broadcast(bits), "_bucket").filter(F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1).select(*columns)
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(place / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    wide = df.withColumn("_bucket", F.bitmap_bucket_number(slot)).join(F.broadcast(bits), "_bucket", "left")
+    hit = F.coalesce(F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1, F.lit(False))
+    return wide.withColumn("_hit", hit & F.col(key).isNotNull())
+
+
+def thin(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows of `df` whose key may be in `ids`: all that are, and those that share a bit with one.
+
+    The filter is one megabyte at any size, so it is broadcast.  The more ids there are, the
+    less it spares; it never drops a wanted row.  Null keys are dropped.
+    """
+    return _flagged(df, ids, key).filter("_hit").select(*df.columns)
+
+
+def split_by(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """The rows whose key may be in `ids`, and the others, which surely are not."""
+    flagged = _flagged(df, ids, key)
+    return flagged.filter("_hit").select(*df.columns), flagged.filter("not _hit").select(*df.columns)
