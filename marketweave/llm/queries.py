@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketweave.llm import decontam, jaccard, lines
+from marketweave.llm import decontam, jaccard, lines, quality
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -22,6 +22,11 @@ def op2_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.leaks(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality score of each document."""
+    return quality.scores(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf, "documents"))
 
@@ -29,6 +34,7 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_quality_classifier": op3_quality_classifier,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
 }
 
