@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketweave.llm import decontam, jaccard, lines, quality
+from marketweave.llm import decontam, jaccard, lines, quality, toxicity
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -31,11 +31,17 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity score of each document."""
+    return toxicity.scores(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_quality_classifier": op3_quality_classifier,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
