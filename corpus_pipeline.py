@@ -8,10 +8,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketweave.llm import decontam, jaccard, lines
+from marketweave.llm import decontam, jaccard, lines, mixing, quality
+from marketweave.llm.queries import labelled_domains
 from marketweave.session import shared_dir, stage
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, model).filter(F.col("_score") >= quality.THRESHOLD).select(*docs.columns)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; a document of which nothing is left goes with them."""
     found = lines.dedup_lines(docs)
@@ -30,10 +37,19 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontam.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are drawn, with their rate and number of copies."""
+    marked = labelled_domains(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    found = mixing.mix(docs, marked, mixing.TARGETS).withColumn("copies", mixing.copies(F.col("rate")))
+    return found.filter("copies > 0").select(*docs.columns, "rate", "copies")
+
+
 STAGES = [
+    ("quality classifier", quality_classifier),
     ("line dedup", line_dedup),
     ("n-gram Jaccard join", ngram_jaccard_join),
     ("benchmark decontamination", benchmark_decontamination),
+    ("mixing sources to target weights", mixing_to_targets),
 ]
 
 #: Trained stages are not expressible in SQL; tests compare with a brute-force version.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketweave.llm import decontam, jaccard, lines, quality, toxicity
+from marketweave.llm import decontam, jaccard, lines, mixing, quality, toxicity
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -27,6 +27,21 @@ def op3_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.scores(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """`text, domain` of the documents in the labelled table; a document's domain is its language."""
+    ids = labels.filter("doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(ids, docs["doc_id"] == F.col("_id")).select("text", F.col("lang").alias("domain"))
+
+
+def op4_mixing_weights(spark: SparkSession, sf: str) -> DataFrame:
+    """Rate and copies of each document."""
+    docs = _table(spark, sf, "documents").select("doc_id", "text", "lang")
+    marked = labelled_domains(docs, _table(spark, sf, "labels"))
+    found = mixing.mix(docs.select("doc_id", "text"), marked, mixing.TARGETS)
+    shares = [F.col("posterior")[i].alias(f"p_{d}") for i, d in enumerate(sorted(mixing.TARGETS))]
+    return found.select("doc_id", "n_tokens", *shares, "rate", mixing.copies(F.col("rate")).alias("copies"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf, "documents"))
 
@@ -40,6 +55,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_mixing_weights": op4_mixing_weights,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op10_toxicity": op10_toxicity,
 }
