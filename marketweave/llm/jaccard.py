@@ -2,26 +2,33 @@
 
 A document's set holds its distinct five-word shingles.  Two documents link when 100 times the
 size of the intersection is at least 75 times the size of the union.  Then the sets differ in
-at most a seventh of their summed sizes, so for sets of at most u elements in k = 2u // 7 at
-most.  Elements are dealt by hash to n > k partitions; two linked sets agree on at least n - k
-of them, and the elements of one agreed partition are the signature both share.
-
-Sets are banded by size (a band's upper edge is 16/9 of the lower), and a set whose partner may
-be in the next band signs for that band too.  Empty partitions are no signature, and neither
-are *hot* ones, which more than GROUP nodes share without being one component: a set is safe
-while fewer than n - k of its partitions are such, because then one agreed partition is left.
-Sets that are not safe sign again, in rounds with more partitions, so that shared passages
-spoil fewer of them.  What is still unsafe consists of shared passages for the most part; the
-last round signs with any n2 - k2 of n2 neighbouring partitions together and has no bound on
-groups.  So nothing is lost at any size.
-
-Exact copies are one node.  A group sends first only its pairs with its smallest member; after
-those are verified, pairs between members that are not connected yet.
+at most a seventh of their summed sizes.  Sets are banded by size (a band's upper edge is 16/9
+of the lower), and one whose partner may be in the next band signs for that band too, so both
+sets of a pair sign for the larger one's band.  There a set of s elements, among sets of u at
+most, differs from a partner in at most k = (s + min(4s / 3, u)) // 7 elements.  The elements
+are dealt by hash to more than k partitions; all but k of those of two linked sets agree, and
+the elements of an agreed partition are a signature both have.
+
+A set with F partitions that are not empty thus shares F - k signatures at least with each
+partner; `spare` is one less.  That guarantee gives three things, none of which loses a link:
+- A pair that shares fewer signatures is no link, and its texts are not compared.
+- Signatures of more than GROUP sets (*hot*, as of a passage that many texts quote) form no
+  pairs but those with one member.  A set stays safe while no more of its signatures are hot
+  than it has to spare.
+- Sets that are not safe sign again in rounds with more partitions, of which a shared passage
+  spoils fewer.  A hot signature whose sets are all connected already does not count.  What is
+  unsafe after that consists of shared passages for the most part; it signs with any n2 - k2 of
+  n2 neighbouring partitions together, and the last round compares all unconnected members.
+
+Pairs are refuted by their sizes, then by count sketches (the counts of elements by hash differ
+by no more than the sets do), and what is left is decided on the whole texts.  Exact copies are
+one node wherever they are found: a task signs equal sets once.
 
 Defined results: a null or empty text, or one of white space, has an empty set (n_shingles 0)
 and links with nothing; fewer than five words give one shingle, the whole sequence.  Rows with
-the same doc_id are one node, which links where any of their texts does.  A null doc_id keeps its row with a null component.  An empty table
-gives an empty result.  Other columns are ignored, whatever their names.
+the same doc_id are one node, which links where any of their texts does.  A null doc_id keeps
+its row with a null component.  An empty table gives an empty result.  Other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,8 +46,8 @@ from marketweave.llm.thin import thin
 from marketweave.session import shared_dir, stage
 
 SHINGLE = 5
-GROUP = 24  # members up to which a signature sends all its unconnected pairs
-SKETCH = 256  # buckets of the count sketch that refutes pairs before their texts are read
+GROUP = 24  # members up to which a signature sends all its pairs
+FLUSH = 1_000_000  # pairs a task gathers before it sends them, each once with its count
 #: (k2, n2, extra) of a round: a signature is any n2 - k2 of the n2 partitions of a block; there
 #: are `extra` quarters as many blocks more than differences can spoil.
 ROUNDS = ((0, 1, 1), (0, 1, 6), (0, 1, 20), (3, 6, 2))
@@ -62,9 +69,10 @@ def bands(size: int) -> tuple[int, ...]:
     return (own, own + 1) if size * 4 // 3 >= EDGES[own + 1] else (own,)
 
 
-def most_apart(of: int) -> int:
-    """Elements in which two linked sets that sign for a band differ at most."""
-    return int(2 * (EDGES[of + 1] - 1) // 7)
+def most_apart(of: int, size: int | None = None) -> int:
+    """Elements in which two linked sets that sign for a band differ at most; one has `size`."""
+    upper = int(EDGES[of + 1]) - 1
+    return (2 * upper if size is None else size + min(4 * size // 3, upper)) // 7
 
 
 def sets(column: pa.Array):
@@ -90,16 +98,32 @@ def _identity(members: np.ndarray) -> tuple[int, int]:
     return int(one.view(np.int64)), int(two.view(np.int64))
 
 
+def sketch(members: np.ndarray) -> bytes:
+    """Counts of elements by the first bits of their hash, in half as many buckets as elements
+    or more; nothing if a count does not fit in a byte."""
+    bits = max(4, len(members).bit_length() - 1)
+    counts = np.bincount((members >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+
+
+def apart(one: bytes, two: bytes) -> int:
+    """Lower bound of the symmetric difference of the sets of two sketches."""
+    if not one or not two:
+        return 0
+    a, b = np.frombuffer(one, np.uint8).astype(np.int32), np.frombuffer(two, np.uint8).astype(np.int32)
+    size = min(len(a), len(b))
+    return int(np.abs(a.reshape(size, -1).sum(axis=1) - b.reshape(size, -1).sum(axis=1)).sum())
+
+
 def _summaries(batches):
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("sketch", pa.binary())])
     for batch in batches:
         for part in tokens.chunks(batch):
             rows = []
             for members in sets(part.column("text")):
-                counts = np.bincount((members >> np.uint64(56)).astype(np.int64), minlength=SKETCH)
-                rows.append((len(members), *_identity(members), np.minimum(counts, 255).astype(np.uint8).tobytes()))
-            n, h1, h2, sketch = zip(*rows)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(sketch, pa.binary())], schema=schema)
+                rows.append((len(members), *_identity(members), sketch(members)))
+            n, h1, h2, counts = zip(*rows)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(counts, pa.binary())], schema=schema)
 
 
 def signatures(members: np.ndarray, of: int, k2: int, n2: int, extra: int, turn: int) -> tuple[np.ndarray, int]:
@@ -111,7 +135,7 @@ def signatures(members: np.ndarray, of: int, k2: int, n2: int, extra: int, turn:
     """
     k = most_apart(of)
     blocks = k // (k2 + 1) * (4 + extra) // 4 + 1 + (k > 0)
-    spoilt = min(k, (len(members) + 4 * len(members) // 3) // 7) // (k2 + 1)
+    spoilt = most_apart(of, len(members)) // (k2 + 1)
     seed = np.uint64((of * 64 + turn) * 2 + 1)
     with np.errstate(over="ignore"):
         dealt = tokens.mix(members * seed + np.uint64(turn))
@@ -144,60 +168,127 @@ def signatures(members: np.ndarray, of: int, k2: int, n2: int, extra: int, turn:
 
 
 def _sign(batches, turn: int):
-    """`sig, doc_id, n`: signatures of one round; of equal sets only the first one in the task."""
-    schema = pa.schema([("sig", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("spare", pa.int32())])
+    """`sig, doc_id, spare`: signatures of one round, and for each document and band a row with
+    what it has to spare.  Of equal sets only the first one in the task signs."""
+    schema = pa.schema([("sig", pa.int64()), ("doc_id", pa.int64()), ("spare", pa.int32())])
     signed = set()
     for batch in batches:
         for part in tokens.chunks(batch):
-            sigs, docs, sizes, spares = [], [], [], []
+            sigs, docs, spares = [], [], []
             for doc, members in zip(part.column("doc_id").to_pylist(), sets(part.column("text"))):
                 if doc is None or not len(members) or (same := _identity(members)) in signed:
                     continue
                 signed.add(same)
                 for of in bands(len(members)):
+                    before = len(sigs)
                     for seed in range(SEEDS):
                         found, spare = signatures(members, of, *ROUNDS[turn], turn * SEEDS + seed)
-                        if seed == SEEDS - 1 and spare < 0:
-                            # No deal leaves enough partitions with elements: the whole band's small sets meet.
-                            found = np.append(found, tokens.mix(np.array([of * 97 + turn], np.uint64)))
-                            spare = 0
                         sigs.append(found)
-                        docs.append(np.full(len(found), doc, np.int64))
-                        sizes.append(np.full(len(found), min(len(members), 2**31 - 1), np.int32))
-                        spares.append(np.full(len(found), spare, np.int32))
                         if spare >= 0:
                             break
+                    else:
+                        # No deal leaves enough partitions with elements: such sets of a band meet.
+                        sigs.append(tokens.mix(np.array([of * 97 + turn], np.uint64)))
+                    sigs.append(tokens.mix(np.array([doc], np.int64).view(np.uint64)))
+                    docs.append(np.full(sum(map(len, sigs[before:])), doc, np.int64))
+                    own = np.full(len(docs[-1]), -1, np.int32)
+                    # A partner may have stopped at an earlier deal, where this set counts on nothing.
+                    own[-1] = spare if seed == 0 and spare >= 0 else 0
+                    spares.append(own)
             if sigs:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(docs)), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(spares))], schema=schema)
+                spare = np.concatenate(spares)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(docs)), pa.array(spare, mask=spare < 0)], schema=schema)
+
 
+PAIR, HOT, SPARE = 0, 1, 2
+MANY = 1 << 40  # count of a pair that is compared in any case
 
-def _shared(batches):
-    """Rows of signatures that occur more than once, of rows sorted by signature, with the
-    first row's document. Holds one batch and one row of the last signature."""
-    schema = pa.schema([("sig", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("spare", pa.int32()), ("least", pa.int64())])
-    sig = doc = n = spare = np.zeros(0, np.int64)
-    first, sent = None, True  # of the signature that ended the last batch: its first row; whether that row was sent
+
+def _meet(batches):
+    """From rows sorted by signature: `kind, a, b, n`.
+
+    PAIR: documents a > b and the signatures they share here; HOT: document a has the hot
+    signature b; SPARE: what document a has to spare.  Holds one batch, the rows of one
+    signature up to GROUP, and FLUSH pairs.
+    """
+    schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+
+    def rows(kind, a, b, n):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b), pa.array(n)], schema=schema)
+
+    def flush():
+        a, b, n = (np.concatenate(x) for x in zip(*gathered))
+        gathered.clear()
+        order = np.lexsort((b, a))
+        a, b, n = a[order], b[order], n[order]
+        first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+        return rows(PAIR, a[first], b[first], np.add.reduceat(n, first))
+
+    def gather(x, y, n):
+        keep = x != y
+        x, y = x[keep], y[keep]
+        if len(x):
+            gathered.append((np.maximum(x, y), np.minimum(x, y), np.full(len(x), n, np.int64)))
+        return len(x)
+
+    gathered, count = [], 0
+    held_sig = held_doc = np.zeros(0, np.int64)
+    hot = None  # signature and member of a group that began in an earlier batch
     for batch in batches:
-        if not batch.num_rows:
+        spare = batch.column("spare").to_numpy(zero_copy_only=False)
+        sig, doc = batch.column("sig").to_numpy(), batch.column("doc_id").to_numpy()
+        told = ~np.isnan(spare.astype(float))
+        if told.any():
+            yield rows(SPARE, doc[told], doc[told], spare[told].astype(np.int64))
+            sig, doc = sig[~told], doc[~told]
+        if hot is not None:
+            same = sig == hot[0]
+            if same.any():
+                yield rows(HOT, doc[same], sig[same], np.zeros(same.sum(), np.int64))
+                count += gather(doc[same], np.full(same.sum(), hot[1]), MANY)
+            sig, doc = sig[~same], doc[~same]
+        sig, doc = np.append(held_sig, sig), np.append(held_doc, doc)
+        if not len(sig):
             continue
-        sig, doc, n, spare = (batch.column(c).to_numpy() for c in ("sig", "doc_id", "n", "spare"))
-        if first is not None:
-            sig, doc = np.append(first[0], sig), np.append(first[1], doc)
-            n, spare = np.append(first[2], n).astype(np.int32), np.append(first[3], spare).astype(np.int32)
-        new = np.append(True, sig[1:] != sig[:-1])
-        at = np.flatnonzero(new)
-        group = np.cumsum(new) - 1
-        many = np.diff(np.append(at, len(sig))) > 1
-        take = many[group]
-        if first is not None and sent:
-            take[0] = False
-        least = doc[at][group]
+        at = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+        size = np.diff(np.append(at, len(sig)))
+        # The last signature may go on in the next batch.
         last = at[-1]
-        was_sent = bool(take[last]) or (last == 0 and first is not None and sent)
-        first, sent = (sig[last], doc[last], n[last], spare[last]), was_sent
-        if take.any():
-            yield pa.RecordBatch.from_arrays([pa.array(sig[take]), pa.array(doc[take]), pa.array(n[take].astype(np.int32)), pa.array(spare[take].astype(np.int32)), pa.array(least[take])], schema=schema)
+        if size[-1] <= GROUP:
+            held_sig, held_doc = sig[last:], doc[last:]
+            sig, doc, at, size = sig[:last], doc[:last], at[:-1], size[:-1]
+        else:
+            held_sig = held_doc = np.zeros(0, np.int64)
+            hot = (sig[last], doc[last])
+        of = np.repeat(size, size)
+        for part in _groups(sig, doc, at, size, of, gather):
+            if isinstance(part, int):
+                count += part
+            else:
+                yield rows(HOT, *part)
+        if count >= FLUSH:
+            yield flush()
+            count = 0
+    if len(held_sig):
+        size = np.array([len(held_sig)])
+        for part in _groups(held_sig, held_doc, np.array([0]), size, np.repeat(size, size), gather):
+            count += part
+    if gathered:
+        yield flush()
+
+
+def _groups(sig, doc, at, size, of, gather):
+    """Gathers the pairs of whole groups; gives how many, and the members of hot ones."""
+    small = of <= GROUP
+    for step in range(1, min(GROUP, int(size.max(initial=1)))):
+        keep = small[step:] & (sig[step:] == sig[:-step])
+        if not keep.any():
+            break
+        yield gather(doc[step:][keep], doc[:-step][keep], 1)
+    if not small.all():
+        member, least = doc[~small], np.repeat(doc[at], size)[~small]
+        yield member, sig[~small], np.zeros(len(member), np.int64)
+        yield gather(member, least, MANY)
 
 
 def _jaccard(batches):
@@ -220,15 +311,13 @@ def _jaccard(batches):
 
 
 def _possible(batches):
-    """Drops pairs that their sizes and count sketches refute."""
+    """Drops pairs that their sketches refute."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     for batch in batches:
-        n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
-        one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16) for c in ("s_a", "s_b"))
-        keep = np.abs(one - two).sum(axis=1) * 7 <= n
-        if keep.any():
-            part = batch.filter(pa.array(keep))
-            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], schema=schema)
+        most = (batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()) // 7
+        keep = [apart(x.as_py(), y.as_py()) <= m for x, y, m in zip(batch.column("s_a"), batch.column("s_b"), most.tolist())]
+        part = batch.filter(pa.array(keep, pa.bool_()))
+        yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], schema=schema)
 
 
 def _verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, root: str, name: str) -> DataFrame:
@@ -256,28 +345,33 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     unsafe = None
     for turn in range(len(ROUNDS)):
         signing = docs if unsafe is None else thin(docs, unsafe)
-        rows = signing.mapInArrow(partial(_sign, turn=turn), "sig long, doc_id long, n int, spare int")
-        rows = rows.repartition("sig").sortWithinPartitions("sig", "doc_id")
-        rows = stage(rows.mapInArrow(_shared, "sig long, doc_id long, n int, spare int, least long"), f"shared_{turn}", root)
-        star = rows.filter("doc_id <> least").select(F.col("doc_id").alias("a"), F.col("least").alias("b")).distinct()
-        found.append(_verify(star, nodes, docs, root, f"star_{turn}"))
-        joined = components(_union(found), "a", "b")
-        joined = stage(joined, f"joined_{turn}", root)
-        rows = rows.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id"))
-        groups = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("g"), F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 < c1 and g > 2")
-        open_ = stage(rows.select("sig", "doc_id", "n", "spare", "c").join(groups.select("sig", "g"), "sig"), f"open_{turn}", root)
-        last = turn == len(ROUNDS) - 1
-        small = open_ if last else open_.filter(F.col("g") <= GROUP)
-        side = small.select("sig", F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"))
-        pairs = (
-            small.select("sig", F.col("doc_id").alias("a"), "n", "c").join(side, "sig")
-            .filter("a > b and c <> c_b and 4 * least(n, n_b) >= 3 * greatest(n, n_b)").select("a", "b").distinct()
-        )
-        found.append(_verify(pairs, nodes, docs, root, f"rest_{turn}"))
-        if last:
+        rows = signing.mapInArrow(partial(_sign, turn=turn), "sig long, doc_id long, spare int")
+        rows = rows.repartition("sig").sortWithinPartitions("sig")
+        met = stage(rows.mapInArrow(_meet, "kind int, a long, b long, n long"), f"met_{turn}", root)
+        hot = met.filter(F.col("kind") == HOT).select(F.col("a").alias("doc_id"), F.col("b").alias("sig"))
+        spare = met.filter(F.col("kind") == SPARE).groupBy(F.col("a").alias("doc_id")).agg(F.min("n").alias("spare"))
+        heat = hot.groupBy("doc_id").agg(F.count(F.lit(1)).alias("h"))
+        sizes = nodes.groupBy("doc_id").agg(F.max("n_shingles").alias("n"), F.count_distinct("n_shingles").alias("texts"))
+        # What a linked pair shares at least, besides hot signatures; several texts of one id count on nothing.
+        needs = spare.join(heat, "doc_id", "left").join(sizes, "doc_id")
+        needs = needs.select("doc_id", F.col("n").alias("size"), F.when(F.col("texts") > 1, 0).otherwise(F.col("spare") + 1 - F.coalesce("h", F.lit(0))).alias("need"))
+        needs = stage(needs, f"needs_{turn}", root)
+        side = lambda c: needs.select(F.col("doc_id").alias(c), F.col("size").alias(f"size_{c}"), F.col("need").alias(f"need_{c}"))  # noqa: B023, E731
+        pairs = met.filter(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("n").alias("n")).join(side("a"), "a").join(side("b"), "b")
+        need = F.when(F.col("size_a") > F.col("size_b"), F.col("need_a")).when(F.col("size_a") < F.col("size_b"), F.col("need_b")).otherwise(F.greatest("need_a", "need_b"))
+        pairs = pairs.filter((F.col("n") >= need) & (4 * F.least("size_a", "size_b") >= 3 * F.greatest("size_a", "size_b"))).select("a", "b")
+        found.append(_verify(pairs, nodes, docs, root, str(turn)))
+        joined = components(_union(found), "a", "b").withColumnRenamed("node", "doc_id")
+        member = hot.join(stage(joined, f"joined_{turn}", root), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id"))
+        apart_ = member.groupBy("sig").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 < c1")
+        open_ = stage(member.join(apart_.select("sig"), "sig").select("sig", "doc_id", "c"), f"open_{turn}", root)
+        if turn == len(ROUNDS) - 1:
+            other = open_.select("sig", F.col("doc_id").alias("b"), F.col("c").alias("c_b"))
+            rest = open_.withColumnRenamed("doc_id", "a").join(other, "sig").filter("a > b and c <> c_b").select("a", "b").distinct()
+            found.append(_verify(rest, nodes, docs, root, "rest"))
             break
-        hot = open_.filter(F.col("g") > GROUP).groupBy("doc_id", "spare").count().filter("count > spare")
-        unsafe = stage(hot.select("doc_id").distinct(), f"unsafe_{turn}", root)
+        unsafe = open_.groupBy("doc_id").agg(F.count(F.lit(1)).alias("h")).join(spare, "doc_id").filter("h > spare")
+        unsafe = stage(unsafe.select("doc_id"), f"unsafe_{turn}", root)
         if unsafe.isEmpty():
             break
     joined = stage(components(_union(found), "a", "b"), "joined", root)
