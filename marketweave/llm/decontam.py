@@ -49,6 +49,11 @@ def _runs(words: Column, size: int) -> Column:
     return F.transform(places, lambda i: F.xxhash64(F.lit(size), F.slice(words, i + 1, size)))
 
 
+def _runs_of(words: Column, size: int) -> Column:
+    """The same, with `words` evaluated once."""
+    return _let(words, lambda ws: _runs(ws, size))
+
+
 def _blocks() -> list[tuple[int, int]]:
     """Shift and width of each block of a fingerprint."""
     count, out, at = RADIUS + 1, [], 0
@@ -108,7 +113,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = None
     for q in sizes:
         # One pass reads the words of a text once, though each shingle names them.
-        places = docs.select("doc_id", F.posexplode(_let(_words("text"), lambda ws: _runs(ws, q))).alias("pos", "h"))  # noqa: B023
+        places = docs.select("doc_id", F.posexplode(_runs_of(_words("text"), q)).alias("pos", "h"))
         wanted = anchors.filter(F.col("q") == q).select("h", "at", "n_words")
         found = places.join(F.broadcast(wanted) if small else wanted, "h") if small else thin(places, wanted, "h").join(wanted, "h")
         found = found.select("doc_id", "n_words", F.greatest(F.lit(0), F.col("pos") - F.col("at")).alias("start"))
@@ -120,9 +125,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     held = thin(docs, hits).join(hits, "doc_id").withColumn("ws", F.slice(_words("text"), F.col("start") + 1, F.col("n_words")))
     q = F.least("n_words", F.lit(SHINGLE))
-    runs = F.when(q == SHINGLE, _let(F.col("ws"), lambda ws: _runs(ws, SHINGLE)))
+    runs = F.when(q == SHINGLE, _runs_of(F.col("ws"), SHINGLE))
     for n in range(1, SHINGLE):
-        runs = runs.when(q == n, _let(F.col("ws"), lambda ws, n=n: _runs(ws, n)))
+        runs = runs.when(q == n, _runs_of(F.col("ws"), n))
     cut = held.select("doc_id", "start", "n_words", F.explode(F.array_distinct(runs)).alias("h")).distinct()
     cut = cut.join(F.broadcast(frequency) if small else frequency, "h", "left").withColumn("w", F.coalesce("w", F.lit(rarest)))
     cut = stage(fingerprints(cut, "doc_id", "start", "n_words"), "windows", root)

@@ -19,4 +19,5 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, trained: C
     marks = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & trained)
     marks = marks.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("y"))
     marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(marks, "doc_id")
+    # At most `rows` ids and labels are sent to the executors.
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(marks), "doc_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketweave.llm import decontam, jaccard, lines, mixing, quality, toxicity
+from marketweave.llm import decontam, jaccard, licenses, lines, mainhtml, mixing, pii, quality, rules, toxicity
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -46,6 +46,31 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts and verdict of each document; the trusted texts are those labelled as good."""
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    good = _table(spark, sf, "labels").filter("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
+    trusted = docs.join(good, docs["doc_id"] == F.col("_id")).select("text")
+    return rules.judge(docs, rules.weights(docs, trusted))
+
+
+def op7_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Licence phrases and labels of each document."""
+    return licenses.scan(_table(spark, sf, "documents"))
+
+
+def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Spans of personal data in each document."""
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return pii.scan(docs, pii.train(docs))
+
+
+def op9_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of each page."""
+    pages = _table(spark, sf, "pages")
+    return mainhtml.extract(pages, mainhtml.train(pages))
+
+
 def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Toxicity score of each document."""
     return toxicity.scores(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
@@ -57,6 +82,10 @@ QUERIES = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_mixing_weights": op4_mixing_weights,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_license_scan": op7_license_scan,
+    "op8_pii": op8_pii,
+    "op9_html_extraction": op9_html_extraction,
     "op10_toxicity": op10_toxicity,
 }
 
