@@ -97,6 +97,9 @@ def money(c: Column | str) -> Column:
     """``decimal(10,2)``; half cents round away from zero on the shortest decimal text.
 
     NaN has no decimal form and becomes null; a value too wide for the column fails the
-    job under ANSI mode, as the target table would refuse it.
+    job, as the target table would refuse it, whatever the session's ANSI mode is.
     """
-    return nan_to_null(_col(c).cast("double")).cast("decimal(10,2)")
+    number = nan_to_null(_col(c).cast("double"))
+    held = number.try_cast("decimal(10,2)")
+    wide = F.raise_error(F.concat(F.lit("too wide for decimal(10,2): "), number.cast("string"))).cast("decimal(10,2)")
+    return F.when(number.isNotNull() & held.isNull(), wide).otherwise(held)

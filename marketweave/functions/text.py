@@ -56,33 +56,3 @@ def compose_description(bullets: Column | str, long_text: Column | str) -> Colum
     )
     return strip_text(F.lower(whole))
 
-
-# Markup whose content is not text, and the character references that
-# ordinary pages use.  Nested or rarer markup goes through operators.pages.
-_NON_TEXT = r"(?s)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1>"
-_TAG = r"<[^>]*>"
-_ENTITIES = [
-    ("&lt;?", "<"),
-    ("&gt;?", ">"),
-    ("&quot;?", '"'),
-    ("&#39;?", "'"),
-    ("&nbsp;?", "\u00a0"),
-    ("&copy;?", "©"),
-    ("&middot;?", "·"),
-    ("&amp;?", "&"),
-]
-
-
-def markup_text(c: Column | str) -> Column:
-    """Text of a flat HTML fragment: each text node trimmed, nodes joined without a gap."""
-    without_code = F.regexp_replace(_col(c), _NON_TEXT, "<>")
-    nodes = F.transform(F.split(without_code, _TAG), lambda n: strip_text(decode_entities(n)))
-    return F.array_join(nodes, "")
-
-
-def decode_entities(c: Column | str) -> Column:
-    """The references of the list above; their semicolon may be missing, as readers allow."""
-    c = out = _col(c)
-    for pattern, char in _ENTITIES:
-        out = F.regexp_replace(out, pattern, char)
-    return F.when(c.contains("&"), out).otherwise(c)

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import text, urls
-from .skew import hot_keys, join_unique
+from .skew import join_unique
 
 # The default catalog.
 MARKETPLACES = [
@@ -51,8 +51,7 @@ def expand_catalog(marketplaces: DataFrame, subcategories: DataFrame, marketplac
     offered = subcategories.select(
         "category", F.transform(F.array_distinct("subcategories"), lambda s: _offer(F.col("category"), s)).alias("offers")
     )
-    hot = hot_keys(wanted, "category")
-    listings = join_unique(wanted, offered, "category", "inner", hot).select("*", F.inline("offers"))
+    listings = join_unique(wanted, offered, "category", "inner").select("*", F.inline("offers"))
     return listings.select(
         "marketplace",
         "url",

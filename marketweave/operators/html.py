@@ -15,13 +15,14 @@ from collections import Counter
 from dataclasses import dataclass
 from functools import cached_property
 from html import unescape
-
-# Elements that never have content, elements whose content is no markup, and
-# elements whose content is no text.
-VOID = frozenset(
-    "area base br col embed hr img input keygen link menuitem meta param source track wbr "
-    "basefont bgsound command frame image isindex nextid spacer".split()
-)
+from html.entities import html5
+
+# The void elements of the HTML standard and of its earlier versions, elements
+# whose content is no markup, and elements whose content is no text.
+VOID = frozenset({
+    "area", "base", "basefont", "bgsound", "br", "col", "command", "embed", "frame", "hr", "image", "img", "input",
+    "isindex", "keygen", "link", "menuitem", "meta", "nextid", "param", "source", "spacer", "track", "wbr",
+})
 RAW = frozenset({"script", "style"})
 NO_TEXT = RAW | {"template"}
 
@@ -37,11 +38,28 @@ _TAG = re.compile(
 )
 _ATTR = re.compile(r"""([^\s/=>]+)(?:\s*=+\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*)|))?""")
 _VALUE_WITH_SLASH = re.compile(r"""=\s*[^\s>"'][^\s>]*/\Z""")
+_REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|([a-zA-Z][a-zA-Z0-9]*)(;?)(=?))")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
 
 
+def unescape_attribute(value: str) -> str:
+    """References of an attribute.  A name without its semicolon before ``=`` or more letters
+    is part of an address, as in ``?a=1&copy=2``, and stays."""
+
+    def decoded(m: re.Match) -> str:
+        name, end, equals = m.groups()
+        if name and not end and (equals or name not in html5):
+            return m[0]
+        return unescape(m[0])
+
+    return _REFERENCE.sub(decoded, value) if "&" in value else value
+
+
 class Page:
-    def __init__(self, html: str):
+    """``until`` ends the scan where the first element that it matches ends."""
+
+    def __init__(self, html: str, until: Match | None = None):
+        self._until, self._goal = until, None
         self.tags: list[str] = []
         self.raw_attrs: list[str] = []
         self.parents: list[int] = []
@@ -65,8 +83,7 @@ class Page:
         while found:
             start = found.start()
             if start > at and not hidden:
-                piece = html[at:start]
-                texts.append(unescape(piece) if "&" in piece else piece)
+                texts.append(html[at:start])
             at = found.end()
             tag, attrs, closing = found.groups()
             if tag:
@@ -82,6 +99,8 @@ class Page:
                     by_tag[tag].append(i)
                 else:
                     by_tag[tag] = [i]
+                if self._until is not None and self._goal is None and self._until.accepts(self, i):
+                    self._goal = i
                 if tag not in VOID and not (attrs and attrs[-1] == "/" and not _VALUE_WITH_SLASH.search(attrs)):
                     open_.append(i)
                     open_count[tag] += 1
@@ -96,15 +115,18 @@ class Page:
                 if open_count[tag]:
                     closed = None
                     while closed != tag:
-                        closed = self._close(open_.pop())
+                        inner = open_.pop()
+                        closed = self._close(inner)
                         open_count[closed] -= 1
                         hidden -= closed in NO_TEXT
+                        if inner == self._goal:
+                            return
                     parent = open_[-1] if open_ else -1
             elif html.startswith("<!--", start) and not html.endswith(("-->", "--!>"), start + 2, at):
                 at = len(html)  # a comment without an end
             found = search(html, at, last)
         if at < len(html) and not hidden:
-            texts.append(unescape(html[at:]))
+            texts.append(html[at:])
         while open_:
             self._close(open_.pop())
 
@@ -117,7 +139,7 @@ class Page:
         known = self._attrs.get(i)
         if known is None:
             known = self._attrs[i] = {
-                name.lower(): unescape(double or single or bare)
+                name.lower(): unescape_attribute(double or single or bare)
                 for name, double, single, bare in _ATTR.findall(self.raw_attrs[i])
             }
         return known
@@ -126,7 +148,15 @@ class Page:
         return range(i + 1, self.ends[i])
 
     def text(self, i: int, strip: bool = True) -> str:
-        nodes = self.texts[self.text_from[i] : self.text_to[i]]
+        return self._read(self.texts[self.text_from[i] : self.text_to[i]], strip)
+
+    def whole_text(self) -> str:
+        """Each text node trimmed, nodes joined without a gap."""
+        return self._read(self.texts, True)
+
+    @staticmethod
+    def _read(nodes: list[str], strip: bool) -> str:
+        nodes = [unescape(n) if "&" in n else n for n in nodes]
         return "".join(n.strip() for n in nodes) if strip else "".join(nodes)
 
     def matches(self, path: tuple[Match, ...], scope: range, root: int = -1):

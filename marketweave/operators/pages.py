@@ -77,7 +77,7 @@ class Profile:
     record: Match | None = None
 
     def records(self, html: str) -> Iterator[list]:
-        page = Page(html)
+        page = Page(html, self.regions[0] if self.regions else None)
         scope, outer, root = range(len(page)), None, -1
         for region in self.regions:
             found = next(page.matches((region,), scope, root), None)
@@ -142,6 +142,11 @@ def extract_records(
     for name, rule in profile.fields.items():
         schema = schema.add(name, T.DataType.fromDDL(rule.type))
 
+    # A page without what the attributes of a region must hold has no records.
+    for region in profile.regions:
+        if region.needle:
+            pages = pages.filter(F.col(html).contains(region.needle) | F.col(html).contains("&"))
+
     def parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             source, pos = [], []
@@ -159,6 +164,18 @@ def extract_records(
     return pages.select(*keep, html).mapInArrow(parse_batches, schema)
 
 
+def page_text(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
+    """``keep`` columns and ``text``: all text of each page, node by node trimmed and joined."""
+    schema = T.StructType([pages.schema[c] for c in keep]).add("text", T.StringType())
+
+    def read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [None if m is None else Page(m).whole_text() for m in batch.column(len(keep)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], [*keep, "text"])
+
+    return pages.select(*keep, html).mapInArrow(read_batches, schema)
+
+
 def has_link(href: Column | str = "href") -> Column:
     """Cards without a link, or with an empty one, are passed over without notice."""
     href = text._col(href)
@@ -209,7 +226,8 @@ def product_details(pages: DataFrame, keep: list[str], all_or_nothing: bool = Fa
 def flat_matches(pages: DataFrame, pattern: str, field_name: str, keep: list[str], html: str = "html") -> DataFrame:
     """Records that a flat pattern describes (group 1), without a Python worker.
 
-    For repeated tags that do not nest, such as menu links or paragraphs.
+    For repeated tags that do not nest, such as menu links or paragraphs.  Fields are as the
+    markup has them: character references stay, so join keys are read by ``extract_records``.
     """
     found = F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1))
     return pages.select(*keep, F.posexplode(found).alias("pos", field_name)).withColumn("pos", F.col("pos") + 1)

@@ -8,10 +8,7 @@ from ..functions import text, urls
 from ..schemas import DETAIL_COLUMNS, LISTING, TABLE_KEY
 from . import pages as P
 from .quality import dedupe_keep_first
-from .skew import hot_keys, join_unique
-
-# Rows a key must own before it is worth salting.
-HOT_ROWS = 100_000
+from .skew import join_unique
 
 
 def page_cards(pages: DataFrame, keep: list[str], profile: P.Profile = P.LISTING_PAGE) -> DataFrame:
@@ -44,21 +41,19 @@ def enrich(
     details: DataFrame,
     key: str = TABLE_KEY,
     detail_order: list[str | Column] | None = None,
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Each product with the columns of its detail row.
 
     A product without one keeps its own values and gets nulls in the new columns.  With one,
     the detail's value replaces the product's, a null included.  ``detail_order`` picks the
     first of several detail rows per key; leave it out when the key is unique already.
-    ``hot_rows=None`` skips the look for keys to salt (it reads the key column once more).
     """
     if detail_order is not None:
         details = dedupe_keep_first(details.filter(F.col(key).isNotNull()), [key], detail_order)
-    columns = [c for c in details.columns if c != key]
+    sequence = [c for c in detail_order or () if isinstance(c, str)]
+    columns = [c for c in details.columns if c != key and c not in sequence]
     packed = details.select(key, F.struct(*columns).alias("_detail"))
-    hot = hot_keys(products, key, hot_rows) if hot_rows is not None else None
-    joined = join_unique(products, packed, key, "left", hot)
+    joined = join_unique(products, packed, key, "left")
     found = F.col("_detail").isNotNull()
     kept = [
         F.when(found, F.col("_detail")[c]).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
@@ -68,7 +63,9 @@ def enrich(
     return joined.select(*kept, *new)
 
 
-def detail_rows(pages: DataFrame, url: str = "url", all_or_nothing: bool = False) -> DataFrame:
-    """Detail rows of a table of product pages, keyed like the products."""
-    rows = P.product_details(pages, keep=[url], all_or_nothing=all_or_nothing)
-    return rows.select(F.col(url).alias(TABLE_KEY), *DETAIL_COLUMNS)
+def detail_rows(
+    pages: DataFrame, url: str = "url", all_or_nothing: bool = False, order: list[str] = ()
+) -> DataFrame:
+    """Detail rows of a table of product pages, keyed like the products, with ``order`` columns."""
+    rows = P.product_details(pages, keep=[url, *order], all_or_nothing=all_or_nothing)
+    return rows.select(F.col(url).alias(TABLE_KEY), *DETAIL_COLUMNS, *order)

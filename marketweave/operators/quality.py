@@ -30,7 +30,7 @@ def select_priority(df: DataFrame, priority: list[str] = PRIORITY) -> DataFrame:
     """Priority columns in their order, then the other columns by name."""
     absent = missing_columns(df.columns, priority)
     if absent:
-        raise ValueError(f"missing expected columns: {absent}")
+        raise ValueError(f"the frame lacks {absent}")
     return df.select(*priority, *sorted(set(df.columns) - set(priority)))
 
 

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-MAX_HOT_KEYS = 100
-SAMPLE = 0.001
 SALTS = 64
 
 # Rows per group up to which one limit pass is enough: every map task then forwards at
@@ -13,70 +11,35 @@ SALTS = 64
 SINGLE_PASS_LIMIT = 16
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = 100_000, sample: float = SAMPLE) -> DataFrame:
-    """At most ``MAX_HOT_KEYS`` keys that own about ``min_rows`` rows or more.
-
-    Counted on a sample of the key column alone.  The outcome only decides which rows get a
-    salt in a join; every row takes part in the join whatever is found here.
-    """
-    keys = df.select(F.col(key).alias("_hot")).filter(F.col("_hot").isNotNull())
-    if sample < 1:
-        keys = keys.sample(sample, seed=7)
-    counts = keys.groupBy("_hot").agg(F.count(F.lit(1)).alias("_rows"))
-    top = counts.filter(F.col("_rows") >= min_rows * sample)
-    return top.orderBy(F.desc("_rows"), "_hot").limit(MAX_HOT_KEYS).select("_hot")
-
-
-def row_salt(columns: list[str], salts: int) -> Column:
-    """A salt from the row's own content: a re-run task gives each row the same one."""
-    return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
+def row_salt(df: DataFrame, order: list[str | Column], salts: int) -> Column:
+    """A salt from the row's order columns, which tell rows of a group apart: a re-run task
+    gives each row the same one.  Maps have no hash and are passed over."""
+    plain = [c for c in order if not isinstance(c, str) or not isinstance(df.schema[c].dataType, T.MapType)]
+    named = [c for c in plain if isinstance(c, str)]
+    return F.pmod(F.xxhash64(*(named or [F.lit(0)])), F.lit(salts)).cast("int")
 
 
-def join_unique(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    how: str = "left",
-    hot: DataFrame | None = None,
-    salts: int = SALTS,
-) -> DataFrame:
+def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Left or inner join on ``key`` where ``right`` holds each key once.
 
-    Left rows without a key match nothing; they are spread instead of meeting in one task.
-    Left rows of a ``hot`` key are salted, and the one right row of such a key is repeated
-    per salt.  ``hot`` is bounded by construction, so it may be broadcast.
+    One plain join at every size: adaptive execution cuts the partition of a key that owns many
+    left rows, or of the rows without a key, into several tasks and sends each the one right row.
     """
-    salt = row_salt(left.columns, salts)
-    if hot is None:
-        left = left.withColumn("_salt", F.when(F.col(key).isNull(), salt).otherwise(0))
-        right = right.withColumn("_salt", F.lit(0))
-    else:
-        hot = F.broadcast(hot.select("_hot").withColumn("_is_hot", F.lit(True)))
-        left = (
-            left.join(hot, F.col(key) == F.col("_hot"), "left")
-            .withColumn("_salt", F.when(F.col("_is_hot") | F.col(key).isNull(), salt).otherwise(0))
-            .drop("_hot", "_is_hot")
-        )
-        copies = F.when(F.col("_is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        right = (
-            right.join(hot, F.col(key) == F.col("_hot"), "left")
-            .withColumn("_salt", F.explode(copies))
-            .drop("_hot", "_is_hot")
-        )
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    return left.join(right, key, how)
 
 
 def first_n(df: DataFrame, by: list[str | Column], order: list[str | Column], n: int | None) -> DataFrame:
     """The first ``n`` rows of each group in ``order`` (a total order); all rows for None.
 
-    Spark limits each group inside every map task before the shuffle.  That leaves up to
-    ``n`` rows per task and group, so for a larger ``n`` the group is first limited in
-    ``SALTS`` parts, which bounds what meets in one task to ``n * SALTS`` rows.
+    Spark limits each group inside every map task before the shuffle, up to the ``n`` that
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` allows (``session.SETTINGS`` lifts it).
+    That leaves up to ``n`` rows per task and group, so for a larger ``n`` the group is first
+    limited in ``SALTS`` parts, which bounds what meets in one task to ``n * SALTS`` rows.
     """
     if n is None:
         return df
     if n > SINGLE_PASS_LIMIT:
-        df = _limit(df.withColumn("_salt", row_salt(df.columns, SALTS)), [*by, "_salt"], order, n).drop("_salt")
+        df = _limit(df.withColumn("_salt", row_salt(df, order, SALTS)), [*by, "_salt"], order, n).drop("_salt")
     return _limit(df, by, order, n)
 
 

@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from dataclasses import dataclass
 
-from ..operators.products import HOT_ROWS, detail_rows, enrich, page_cards, to_products
-from ..operators.quality import clean_products
-from ..operators.skew import first_n, hot_keys, join_unique
+from pyspark.sql import DataFrame, functions as F
+
+from ..operators.products import detail_rows, enrich, page_cards, to_products
+from ..operators.quality import clean_products, missing_profile, run_counts, split_malformed
+from ..operators.skew import first_n, join_unique
 from ..schemas import CLEAN, TABLE_KEY
-from ..session import stage
+from ..session import shared_dir, stage
 
 # Row order of a listing: page after page, card after card.
 LISTING_ORDER = ["page_no", "pos"]
 LISTING_KEYS = ["marketplace", "category", "subcategory"]
 
-# URLs that may be broadcast: counted before, a few ten megabytes at most.
-MAX_SENT_URLS = 200_000
-
 
 def extract(pages: DataFrame, listings: DataFrame, run_date: str) -> DataFrame:
     """Collected listing pages -> listing records, with their order columns.
@@ -24,46 +23,91 @@ def extract(pages: DataFrame, listings: DataFrame, run_date: str) -> DataFrame:
     ``pages`` has ``page_url`` (the listing's search URL), ``page_no`` and ``html``.  Pages are
     parsed before the join, so the join moves small records instead of markup.
     """
-    cards = page_cards(pages, keep=["page_url", "page_no"])
-    hot = hot_keys(pages, "page_url", HOT_ROWS)
-    found = join_unique(cards, listings.select("page_url", "url", *LISTING_KEYS), "page_url", "inner", hot)
+    return _listed(page_cards(pages, keep=["page_url", "page_no"]), listings, run_date)
+
+
+def _listed(cards: DataFrame, listings: DataFrame, run_date: str) -> DataFrame:
+    found = join_unique(cards, listings.select("page_url", "url", *LISTING_KEYS), "page_url", "inner")
     return to_products(found, run_date, order=LISTING_ORDER)
 
 
 def transform(
     products: DataFrame,
     detail_pages: DataFrame,
+    detail_order: list[str],
     limit: int | None = 5,
     order: list[str] = LISTING_ORDER,
     by: list[str] = LISTING_KEYS,
-    detail_order: list[str | Column] | None = None,
+    root: str | None = None,
 ) -> DataFrame:
     """The first ``limit`` products of each listing, with what their own pages say.
 
-    ``products`` is read more than once, so give a stage table.  With a limit only the pages
-    of the limited products are parsed, while their URLs are few enough to be sent along.
+    A product has one detail: of several pages of its URL the first in ``detail_order``
+    (columns of ``detail_pages``, such as the time of collection).  With a limit the chosen
+    products are staged, and only their pages are parsed.
     """
-    chosen = first_n(products, by, order, limit)
     if limit is not None:
-        detail_pages = wanted_pages(detail_pages, chosen)
-    return enrich(chosen, detail_rows(detail_pages), detail_order=detail_order)
+        products = stage(first_n(products, by, order, limit), "chosen", root)
+        detail_pages = wanted_pages(detail_pages, products)
+    return enrich(products, detail_rows(detail_pages, order=detail_order), detail_order=detail_order)
 
 
-def wanted_pages(detail_pages: DataFrame, products: DataFrame, most: int = MAX_SENT_URLS) -> DataFrame:
-    """Pages of these products; all pages when there are more than ``most`` URLs to look for."""
+def wanted_pages(detail_pages: DataFrame, products: DataFrame) -> DataFrame:
+    """Pages of these products.  Spark sends the URLs along while their size allows it; a page
+    table that is bucketed by URL stays where it is beyond that."""
     wanted = products.select(F.col(TABLE_KEY).alias("url")).distinct()
-    if wanted.limit(most + 1).count() > most:
-        return detail_pages
-    return detail_pages.join(F.broadcast(wanted), "url", "left_semi")
+    return detail_pages.join(wanted, "url", "left_semi")
+
+
+@dataclass(frozen=True)
+class Run:
+    """What a run leaves: ``clean`` rows; ``profile``, missing values per column before anything
+    is coerced or dropped; ``summary``, one row of counts; ``quarantine``, the cards that gave
+    no product; ``root``, the folder of its stage tables, to be removed by the caller."""
+
+    clean: DataFrame
+    profile: DataFrame
+    summary: DataFrame
+    quarantine: DataFrame
+    root: str
+
+
+def full_run(
+    pages: DataFrame,
+    listings: DataFrame,
+    detail_pages: DataFrame,
+    run_date: str,
+    detail_order: list[str],
+    limit: int | None = 5,
+) -> Run:
+    """All three stages.  Cards and enriched products are written once each: later steps, the
+    counts, and tasks that are run again read those tables and parse nothing twice."""
+    root = shared_dir(pages.sparkSession)
+    cards = stage(page_cards(pages, keep=["page_url", "page_no"]), "cards", root)
+    good, quarantine = split_malformed(cards, F.col("malformed"))
+    products = _listed(good, listings, run_date)
+    enriched = stage(transform(products, detail_pages, detail_order, limit, root=root), "enriched", root)
+    counts = cards.agg(F.count(F.lit(1)).alias("cards"), F.count_if("malformed").alias("malformed"))
+    lost = cards.join(listings.select("page_url"), "page_url", "left_anti").agg(F.count(F.lit(1)).alias("without_listing"))
+    kept = enriched.agg(F.count(F.lit(1)).alias("chosen"))
+    # Four tables of one row each, side by side.
+    rows = counts
+    for other in (lost, run_counts(products, "page_no", TABLE_KEY), kept):
+        rows = rows.unionByName(other, allowMissingColumns=True)
+    summary = rows.agg(*[F.max(c).alias(c) for c in rows.columns])
+    return Run(load(enriched), missing_profile(enriched, CLEAN.names), summary, quarantine, root)
 
 
 def listing_run(
-    pages: DataFrame, listings: DataFrame, detail_pages: DataFrame, run_date: str, limit: int | None = 5
+    pages: DataFrame,
+    listings: DataFrame,
+    detail_pages: DataFrame,
+    run_date: str,
+    detail_order: list[str],
+    limit: int | None = 5,
 ) -> DataFrame:
-    """All three stages.  Products are written once between parsing and enrichment: later
-    steps, and tasks that are run again, read that table and parse nothing twice."""
-    products = stage(extract(pages, listings, run_date), "products")
-    return load(transform(products, detail_pages, limit))
+    """The clean rows of a full run."""
+    return full_run(pages, listings, detail_pages, run_date, detail_order, limit).clean
 
 
 def load(enriched: DataFrame, order: list[str] = (*LISTING_KEYS, *LISTING_ORDER)) -> DataFrame:

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Limits of any size are taken inside the map tasks; Spark stops at 1000 by itself.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "2000000000",
     # Recording a call site per expression takes longer than building the plans here.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -58,12 +60,3 @@ def stage(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan at least one partition per core.
-
-    Only a scan with fewer splits than cores is redistributed, which means a small input;
-    anything larger passes through without a shuffle.  Call it on a plain file scan.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..functions.parse import coerce_numeric, nan_to_null
 from ..functions.text import safe_key
 from ..schemas import CLEAN, LISTING
+from ..session import stage
 
 # Row position in the source: file, split within the file, row within the split.
 SOURCE_POS = "source_pos"
@@ -62,15 +63,17 @@ def _typed(column: str, kind: T.DataType | None) -> Column:
 
 
 def write_json(df: DataFrame, path: str, partition_by: list[str] = (), order: list[str | Column] = ()) -> None:
-    """JSON lines, nulls written out, replacing an earlier run.
+    """JSON lines, nulls written out, replacing an earlier run of the same partitions.
+
+    Partitions that ``df`` has no rows of stay as they are.
 
     With ``order`` rows are range-partitioned by listing and order: file after file holds
     the rows in sequence, and a listing that owns many rows is cut into several files.
     Without it Spark rebalances: small listings share tasks, large ones are split.
     """
-    _partitioned(df, partition_by, order).write.mode("overwrite").partitionBy(*partition_by).option(
-        "ignoreNullFields", False
-    ).json(path)
+    _partitioned(df, partition_by, order).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(*partition_by).option("ignoreNullFields", False).json(path)
 
 
 LISTING_LAYOUT = ["marketplace_key", "category_key", "subcategory_key"]
@@ -80,15 +83,20 @@ def write_listings(df: DataFrame, root: str, order: list[str | Column] = ()) ->
     """Product rows under ``root/<marketplace>/<category>/<subcategory>``, in listing order.
 
     The folder names are path-safe copies of the three columns, so the rows stay whole;
-    ``order`` columns set the sequence and are not written.
+    ``order`` columns set the sequence and are not written.  A listing replaces its own
+    folder; other listings stay.
     """
     keys = {key: safe_key(key.removesuffix("_key")) for key in LISTING_LAYOUT}
     keyed = _partitioned(df.withColumns(keys), LISTING_LAYOUT, order).drop(*order)
-    keyed.write.mode("overwrite").partitionBy(*LISTING_LAYOUT).option("ignoreNullFields", False).json(root)
+    writer = keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LISTING_LAYOUT)
+    writer.option("ignoreNullFields", False).json(root)
 
 
 def _partitioned(df: DataFrame, partition_by: list[str], order: list) -> DataFrame:
+    """Rows as they are to be written.  A range partitioning reads its input twice, for the
+    bounds and for the rows, so the input is staged and what made it runs once."""
     if order:
+        df = stage(df, "ordered")
         keys = [*partition_by, *[c for c in order if c not in partition_by]]
         return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     return df.hint("rebalance", *partition_by) if partition_by else df

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..operators.upsert import conform, rows_to_insert
 from ..schemas import TABLE, TABLE_KEY, TABLE_NOT_NULL
+from ..session import stage
 from .files import write_csv
 
 DESTINATIONS = ("dir", "db")
@@ -87,13 +88,14 @@ def write_products(
     path: str | None = None,
     table: str | None = None,
     order: list[str] = (),
+    buckets: int | None = None,
 ) -> None:
     """Clean rows to ``dir`` (CSV at ``path``) or ``db`` (upsert into ``table``).
 
     Arguments are checked before any job starts.
     """
     if destination not in DESTINATIONS:
-        raise ValueError("destination must be either 'db' or 'dir'")
+        raise ValueError(f"unknown destination {destination!r}, known are {DESTINATIONS}")
     if destination == "dir":
         if path is None:
             raise ValueError("destination 'dir' needs a path")
@@ -101,5 +103,6 @@ def write_products(
         return
     if table is None or not re.fullmatch(r"[\w.]+", table):
         raise ValueError("destination 'db' needs a table name")
-    create_table(df.sparkSession, table)
-    insert_new(conform(df, keep=[c for c in order if c not in TABLE.names]), table, list(order))
+    create_table(df.sparkSession, table, buckets)
+    batch = stage(conform(df, keep=[c for c in order if c not in TABLE.names]), "batch")
+    insert_new(batch, table, list(order) or [TABLE_KEY])

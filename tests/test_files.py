@@ -9,7 +9,7 @@ from marketweave.plans import run
 from marketweave.operators.quality import dedupe_keep_first
 from marketweave.operators.upsert import conform, rows_to_insert
 from marketweave.schemas import CLEAN, ENRICHED, LISTING, TABLE
-from marketweave.session import shared_dir, spread, stage
+from marketweave.session import shared_dir, stage
 from marketweave.sources import files, tables
 
 from test_quality import enriched
@@ -224,12 +224,27 @@ def test_stage_and_shared_dir(spark):
     assert staged.count() == 10 and staged.inputFiles()[0].startswith(f"file://{root}/numbers")
 
 
-def test_spread_only_small_scans(spark, tmp_path):
-    path = str(tmp_path / "p")
-    spark.range(100).repartition(1).write.parquet(path)
-    assert spread(spark.read.parquet(path)).rdd.getNumPartitions() == 4
-    many = spark.range(0, 100, 1, 9)
-    assert spread(many) is many
+def test_a_listing_replaces_only_itself(spark, tmp_path):
+    root = str(tmp_path / "out")
+    rows = lambda sub, name: enriched(spark, [{"name": name, "marketplace": "m", "category": "c", "subcategory": sub}])
+    for sub, name in (("dry food", "a"), ("wet food", "b"), ("dry food", "c")):
+        files.write_listings(rows(sub, name), root)
+        files.write_json(rows(sub, name), root + "2", partition_by=["subcategory"])
+    assert sorted(r["name"] for r in files.scan_products(spark, root).collect()) == ["b", "c"]
+    assert sorted(r["name"] for r in files.scan_products(spark, root + "2").collect()) == ["b", "c"]
+
+
+def test_ordered_sinks_read_their_input_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).selectExpr("id", "cast(id as string) as name").mapInArrow(counted, "id long, name string")
+    files.write_json(df, str(tmp_path / "out"), order=["id"])
+    assert seen.value == 1000
 
 
 def test_keep_first_from_files(spark, tmp_path):

@@ -55,9 +55,15 @@ def test_compose_description(spark):
     assert got == ["one\ntwo\nlong", "long", "", "", "a"]
 
 
-def test_markup_text_joins_trimmed_nodes(column):
-    values = ["a <b>b</b> c", "<p>x &amp; y</p><!-- no --> z", "<script>if (a<b) x()</script>t", "&amp;lt;", "a &amp", "&copy 1"]
-    assert column(values, text.markup_text) == ["abc", "x & yz", "t", "&lt;", "a &", "© 1"]
+def test_money_refuses_what_is_too_wide(spark):
+    df = spark.createDataFrame([(1.005,), (float("nan"),), (None,)], "v double")
+    assert [str(r[0]) for r in df.select(parse.money("v")).collect()] == ["1.01", "None", "None"]
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="too wide"):
+            spark.createDataFrame([(1e9,)], "v double").select(parse.money("v")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
 PRICES = {

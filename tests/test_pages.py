@@ -1,5 +1,6 @@
 """Cards and product pages from markup."""
 
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow.parquet as pq
@@ -7,7 +8,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from marketweave.functions import text
-from marketweave.operators import catalog, pages, products, quality
+from marketweave.operators import catalog, html, pages, products, quality
 from marketweave.operators.html import NO_TEXT, VOID, Match, Page
 from marketweave.plans import run
 
@@ -227,7 +228,7 @@ class PlainReader(HTMLParser):
 def ours(html):
     page = Page(html)
     columns = zip(page.tags, map(page.attrs, range(len(page))), page.parents, page.ends, page.text_from, page.text_to)
-    return [list(row) for row in columns], page.texts
+    return [list(row) for row in columns], [unescape(t) for t in page.texts]
 
 
 PIECES = [
@@ -283,13 +284,34 @@ def test_one_python_pass_per_scan(spark):
     assert text_plan.count("MapInArrow") == 1
 
 
-def test_both_readings_of_the_test_pages_agree(spark):
-    df = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "html")
-    whole = pages.Profile(regions=(Match("html"),), fields={"text": pages.Rule("text", (Match("body"),))})
-    parsed = pages.extract_records(df, whole, keep=["page_id"]).select("page_id", "text")
-    body = text.F.regexp_extract("html", r"(?s)<body>(.*)", 1)
-    flat = df.select("page_id", text.markup_text(body).alias("text"))
-    assert parsed.exceptAll(flat).count() == 0 and parsed.count() == df.count()
+@pytest.mark.parametrize(
+    "markup, want",
+    [
+        ("a <b>b</b> c", "abc"), ("<p>x &amp; y</p><!-- no --> z", "x & yz"), ("<script>if (a<b) x()</script>t", "t"),
+        ("&amp;lt;", "&lt;"), ("a &amp", "a &"), ("&copy 1", "© 1"), ("<SCRIPT>var a=1</SCRIPT>x", "x"),
+        ('<a title="a>b">t</a>', "t"), ("a < b <i>c</i>", "a < bc"), ("<template>hid</template>v", "v"),
+        ("&copysr;", "℗"), ("&eacute;&#x27;", "é'"), (None, None), ("", ""),
+    ],
+)
+def test_page_text(spark, markup, want):
+    df = spark.createDataFrame([(1, markup)], "page_id int, html string")
+    assert [tuple(r) for r in pages.page_text(df, ["page_id"]).collect()] == [(1, want)]
+
+
+@pytest.mark.parametrize(
+    "value, want",
+    [
+        ("/dp/1?a=1&region=us&copy=2", "/dp/1?a=1&region=us&copy=2"), ("?a=1&amp;b=2", "?a=1&b=2"), ("&copy", "©"),
+        ("&copyx", "&copyx"), ("&eacute;", "é"), ("&#39;&#x41", "'A"), ("a&b", "a&b"), ("&nosuch;", "&nosuch;"),
+    ],
+)
+def test_references_in_attributes(value, want):
+    assert html.unescape_attribute(value) == want
+
+
+def test_the_scan_ends_with_its_region():
+    page = html.Page("<nav><a href=x>1</a></nav>" + "<p>z</p>" * 50, html.Match("nav"))
+    assert page.tags == ["nav", "a"]
 
 
 def test_skipped_rows_are_counted_with_the_job(spark):
@@ -316,12 +338,13 @@ def test_whole_run(spark):
     found = run.extract(collected, listings, "2025-07-05")
     assert found.count() == 3
     details = spark.createDataFrame(
-        [(f"{root}/dp/1", detail_page()), (f"{root}/dp/2", detail_page())], "url string, html string"
+        [(f"{root}/dp/1", 1, detail_page()), (f"{root}/dp/2", 1, detail_page()), (f"{root}/dp/2", 2, detail_page())],
+        "url string, seen int, html string",
     )
-    rich = run.transform(found, details, limit=5)
+    rich = run.transform(found, details, ["seen"], limit=5)
     assert rich.count() == 3 and rich.filter("brand is null").count() == 1
     # The two products differ in their URL only, which is no priority column; the third has no brand.
     rows = run.load(rich).collect()
     assert [r["product_detail_url"] for r in rows] == [f"{root}/dp/1"]
     assert rows[0]["description"] == "one\ntwo\nlong" and rows[0]["date_collected"] == "2025-07-05"
-    assert run.transform(found, details, limit=1).count() == 1
+    assert run.transform(found, details, ["seen"], limit=1).count() == 1

@@ -98,42 +98,67 @@ def test_first_n_without_limit_is_the_input(spark):
     assert skew.first_n(df, ["id"], ["id"], None) is df
 
 
-def test_hot_keys_and_salted_join(spark):
-    left = spark.range(9000).select(
+def hot_sides(spark, rows=9000):
+    left = spark.range(rows).select(
         "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k")
     )
-    hot = skew.hot_keys(left, "k", min_rows=1000, sample=1.0)
-    assert [r[0] for r in hot.collect()] == ["hot"]
     right = left.filter("k is not null").select("k").distinct().filter("k <> '7'").withColumn("v", F.length("k"))
-    plain = left.join(right, "k", "left").select("id", "k", "v")
-    salted = skew.join_unique(left, right, "k", "left", hot, salts=8).select("id", "k", "v")
-    unsalted = skew.join_unique(left, right, "k").select("id", "k", "v")
-    for got in (salted, unsalted):
-        assert got.count() == 9000 and got.exceptAll(plain).count() == 0
-    inner = skew.join_unique(left, right, "k", "inner", hot, salts=8)
-    assert inner.count() == left.join(right, "k").count()
-
-
-def test_salted_join_spreads_the_hot_key(spark):
-    """No task of the join holds more than a fraction of a key that owns half of the rows."""
-    left = spark.range(20000).select("id", F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    right = left.select("k").distinct()
-    hot = skew.hot_keys(left, "k", min_rows=5000, sample=1.0)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    spark.conf.set("spark.sql.adaptive.enabled", False)
+    return left, right
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_join_with_a_hot_key_does_not_hang_on_the_optimizer(spark, reuse):
+    left, right = hot_sides(spark)
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        rows = skew.join_unique(left, right, "k").select("id", "k", "v").collect()
+        inner = skew.join_unique(left, right, "k", "inner").count()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    want = {}
+    for i in range(9000):
+        key = ["hot", str(i), None][i % 3]
+        want[i] = (key, len(key) if key and i != 7 else None)
+    assert {r.id: (r.k, r.v) for r in rows} == want and len(rows) == 9000
+    assert inner == sum(v is not None for _, v in want.values())
+
+
+def test_adaptive_execution_cuts_the_hot_key(spark, tmp_path):
+    """No task of the join holds more than a part of a key that owns a third of the rows."""
+    left, right = hot_sides(spark, 300000)
+    left.withColumn("pad", F.sha2(F.col("id").cast("string"), 512)).write.parquet(str(tmp_path / "l"))
+    right.write.parquet(str(tmp_path / "r"))
+    left, right = spark.read.parquet(str(tmp_path / "l")), spark.read.parquet(str(tmp_path / "r"))
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    before = {key: spark.conf.get(key, None) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
     try:
-        joined = skew.join_unique(left, right, "k", "left", hot).filter("k = 'hot'")
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        joined = skew.join_unique(left.repartition(8), right, "k")
+        task = F.spark_partition_id()
+        sizes = joined.select("pad", "v", task.alias("task")).rdd.map(lambda r: r["task"]).countByValue()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", True)
-    assert sum(sizes) == 10000 and max(sizes) < 6000
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+    assert sum(sizes.values()) == 300000 and max(sizes.values()) < 80000
+
+
+def test_first_n_of_a_frame_with_a_map(spark):
+    df = spark.range(100).select("id", F.lit(1).alias("g"), F.create_map(F.lit("a"), "id").alias("m"))
+    assert sorted(r.id for r in skew.first_n(df, ["g"], ["id"], 20).collect()) == list(range(20))
 
 
 def test_enrich_overwrites_with_null_but_only_when_found(spark):
     left = spark.createDataFrame([(1, "u1", "old"), (2, "u2", "old"), (3, None, "old"), (4, "u1", "old")], "i int, product_detail_url string, brand string")
     right = spark.createDataFrame([("u1", None, 4.0), (None, "x", 1.0)], "product_detail_url string, brand string, review_score double")
-    rows = [tuple(r) for r in products.enrich(left, right, hot_rows=2).orderBy("i").collect()]
+    rows = [tuple(r) for r in products.enrich(left, right).orderBy("i").collect()]
     assert rows == [(1, "u1", None, 4.0), (2, "u2", "old", None), (3, None, "old", None), (4, "u1", None, 4.0)]
 
 

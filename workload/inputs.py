@@ -8,7 +8,6 @@ from marketweave.functions import text, urls
 from marketweave.operators.catalog import expand_catalog
 from marketweave.operators.html import Match
 from marketweave.operators.pages import Profile, Rule
-from marketweave.session import spread
 
 SHOP = "https://shop.example.com"
 RUN_DATE = "2025-07-05"
@@ -19,9 +18,9 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def wide(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
-    """A table for row-wise work: the wanted columns, on every core even if the file is small."""
+    """The wanted columns of a table; more splits than the files have come from the session's settings."""
     rows = table(spark, sf, name)
-    return spread(rows.select(*columns) if columns else rows)
+    return rows.select(*columns) if columns else rows
 
 
 # Markup of the collected test pages: a menu, one article, one advertisement.
@@ -30,6 +29,8 @@ MENU = Profile(
     record=Match("li"),
     fields={"href": Rule("attr", (Match("a"),), attr="href"), "label": Rule("text", (Match("a"),))},
 )
+LINKS = Profile(regions=(Match("nav"),), record=Match("li"), fields={"href": Rule("attr", (Match("a"),), attr="href")})
+FIRST_LINK = Profile(regions=(Match("div", ("a",)),), fields={"href": Rule("attr", (Match("a"),), attr="href")})
 ARTICLE = Profile(
     regions=(Match("body"), Match("article")),
     fields={
@@ -50,7 +51,8 @@ def order_pages(spark: SparkSession, sf: str) -> DataFrame:
     orders = wide(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     customer = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
-    row = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
+    # Keys are dealt out before they become markup.
+    row = orders.repartition("o_orderkey").join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
         nation, F.col("c_nationkey") == F.col("n_nationkey")
     )
     query = text.normalize_query("c_mktsegment", "n_name")
@@ -115,12 +117,12 @@ def order_listings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def customer_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """One product page per customer: ``url, html``.
+    """One product page per customer: ``url, collected, html``.
 
     Negative balance: the page lacks its centre column.  Segment MACHINERY: no brand.
     """
-    customer = wide(spark, sf, "customer")
-    row = customer.join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal", "c_nationkey")
+    row = customer.repartition("c_custkey").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     brand = F.when(
         F.col("c_mktsegment") != "MACHINERY",
         F.concat(
@@ -146,9 +148,27 @@ def customer_pages(spark: SparkSession, sf: str) -> DataFrame:
         F.col("c_mktsegment"),
         F.lit("</div></div></body></html>"),
     )
-    return row.select(F.concat(F.lit(f"{SHOP}/dp/"), F.col("c_custkey")).alias("url"), html.alias("html"))
+    url = F.concat(F.lit(f"{SHOP}/dp/"), F.col("c_custkey"))
+    return row.select(url.alias("url"), F.lit(2).alias("collected"), html.alias("html"))
 
 
+def recollected_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Two pages per customer: a later one, and one collected before with another score."""
+    later = customer_pages(spark, sf)
+    before = F.replace(F.col("html"), F.lit(" of 5</span>"), F.lit("7 of 5</span>"))
+    return later.unionByName(later.select("url", F.lit(1).alias("collected"), before.alias("html")))
+
+
+def awkward_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """A page per part whose markup only a reader of HTML gets right: ``p_partkey, html``."""
+    number = F.col("p_partkey")
+    html = F.concat(
+        F.lit('<DIV class="a"><SCRIPT>var a="<b>"</SCRIPT><A TITLE="a>b" href="/dp/'), number,
+        F.lit("?a=1&amp;b=2&region=us&copy=2&x=&eacute;\">&eacute;&#x27;"), F.col("p_size"),
+        F.lit(" < 90 <i>c</i></A><template>hid</template><!-- no --> &lt;"), number, F.lit("&gt;&nbsp;</DIV>"),
+    )
+    return table(spark, sf, "part").select("p_partkey", html.alias("html"))
+
 def gappy_events(spark: SparkSession, sf: str) -> DataFrame:
     """Events with nulls, NaN and empty text in some columns."""
     value = F.col("value")

@@ -115,6 +115,8 @@ DETAILS = f"""
   FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0
 """
 
+DETAILS_WITH_SCORE = DETAILS.replace("CAST('4.' || c_nationkey AS DOUBLE) AS review_score", "'4.' || c_nationkey AS score")
+
 
 def listing_run(limit: int | None) -> str:
     within = f"WHERE rn <= {limit}" if limit else ""
@@ -130,9 +132,43 @@ def listing_run(limit: int | None) -> str:
       SELECT {', '.join(CLEAN.names)} FROM ranked WHERE k = 1"""
 
 
+CLEAN_DOCUMENTS = """
+  SELECT source AS name, CAST(n_chars AS DOUBLE) AS price, lang AS category, '/d/' || doc_id AS product_detail_url FROM documents
+"""
+
+_LISTED = f"SELECT * FROM ({PRODUCTS}) WHERE subcategory <> 'nation_7'"
+
+
+def run_profile() -> str:
+    rich = f"""SELECT p.*, d.brand, d.description, d.total_reviews, d.review_score FROM (
+      SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY category, subcategory ORDER BY page_no, pos) AS rn
+        FROM ({_LISTED})) WHERE rn <= 5) p LEFT JOIN ({DETAILS}) d USING (product_detail_url)"""
+    parts = [
+        f"SELECT {i} AS position, '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS missing_count FROM rich"
+        for i, c in enumerate(CLEAN.names)
+    ]
+    return f"WITH rich AS ({rich}) " + " UNION ALL ".join(parts)
+
+
+def run_summary() -> str:
+    return f"""
+      WITH o AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+      p AS ({_LISTED}),
+      r AS (SELECT row_number() OVER (PARTITION BY category, subcategory ORDER BY page_no, pos) AS rn FROM p)
+      SELECT (SELECT count(*) + count(*) FILTER (WHERE o_orderstatus IN ('F', 'P')) FROM o) AS cards,
+        (SELECT count(*) FROM o WHERE o_orderstatus = 'F') AS malformed,
+        (SELECT count(*) + count(*) FILTER (WHERE o_orderstatus IN ('F', 'P')) FROM o WHERE n_name = 'NATION_7') AS without_listing,
+        (SELECT count(DISTINCT page_no) FROM p) AS pages, (SELECT count(*) FROM p) AS products,
+        (SELECT count(DISTINCT product_detail_url) FROM p) AS distinct_products,
+        (SELECT count(*) FROM r WHERE rn <= 5) AS chosen"""
+
+
+def blocked_url(url: str, ends: list[str]) -> str:
+    return " OR ".join([f"{url} LIKE '%{e}'" for e in ends] + [f"contains({url}, '{d}')" for d in BLOCKED_HOSTS])
+
+
 def blocked() -> str:
-    tests = [f"url LIKE '%{e}'" for e in BLOCKED_ENDS] + [f"contains(url, '{d}')" for d in BLOCKED_HOSTS]
-    return " OR ".join(["resource_type IN ('media', 'audio')", *tests])
+    return "resource_type IN ('media', 'audio') OR " + blocked_url("url", BLOCKED_ENDS)
 
 
 def profile() -> str:
@@ -162,8 +198,8 @@ ORACLE: dict[str, str] = {
     "q_search_url": f"""SELECT doc_id, {search("'https://' || source", 'text')} AS search_url FROM documents""",
     "q_page_frontier": """
       SELECT page_id, n::INTEGER AS page_no, url || '&n=' || n AS frontier_url FROM pages, generate_series(1, 3) t(n)""",
-    "q_page_links": f"SELECT page_id, pos::INTEGER AS pos, href FROM ({LINKS}) WHERE href <> ''",
-    "q_resolve_url": f"SELECT page_id, pos::INTEGER AS pos, {_ORIGIN} || href AS resolved FROM ({LINKS})",
+    "q_page_links": f"SELECT page_id, pos::INTEGER AS pos, {decode('href')} AS href FROM ({LINKS}) WHERE href <> ''",
+    "q_resolve_url": f"SELECT page_id, pos::INTEGER AS pos, {_ORIGIN} || {decode('href')} AS resolved FROM ({LINKS})",
     "q_block_filter": f"""
       SELECT * FROM (SELECT page_id, url, CASE WHEN starts_with(url, 'https') THEN 'document' ELSE 'media' END
         AS resource_type FROM pages) WHERE NOT ({blocked()})""",
@@ -183,6 +219,17 @@ ORACLE: dict[str, str] = {
     "q_compose_description": f"""
       SELECT doc_id, {strip("lower(CASE WHEN lang <> 'en' THEN ' ' || lang ELSE '' END || chr(10) || text)")}
         AS description FROM documents""",
+    "q_resolve_references": """
+      SELECT o_orderkey, CASE o_orderkey % 7 WHEN 0 THEN b || '/c' || k WHEN 1 THEN 'https://shop.example.com/a/d' || k
+        WHEN 2 THEN 'https://other.example.org/e' || k WHEN 3 THEN b || '/page?f=' || k WHEN 4 THEN b || '/h' || k
+        WHEN 5 THEN 'http://x.example.net/i' || k || '#j' ELSE b || '/page?q=1' END AS resolved
+      FROM (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS k, 'https://shop.example.com/a/b' || o_custkey AS b FROM orders)""",
+    "q_block_links": f"""
+      SELECT * FROM (SELECT page_id, pos::INTEGER AS pos, {_ORIGIN} || {decode('href')} AS resolved FROM ({LINKS}))
+      WHERE NOT ({blocked_url('resolved', [*BLOCKED_ENDS, '.'])})""",
+    "q_awkward_markup": """
+      SELECT p_partkey, 'é' || chr(39) || p_size || ' < 90c<' || p_partkey || '>' AS text,
+        '/dp/' || p_partkey || '?a=1&b=2&region=us&copy=2&x=é' AS href FROM part""",
     "q_strip_text": f"SELECT page_id, {plain('html')} AS text FROM pages",
     "q_parse_date": f"""
       SELECT o_orderkey, strftime(try_strptime(w, ['%Y-%m-%d', '%d/%m/%Y', '%Y/%m/%d']), '%Y-%m-%d') AS date_collected
@@ -220,6 +267,15 @@ ORACLE: dict[str, str] = {
     "q_enrich_pages": f"""
       SELECT page_no, pos, product_detail_url, brand, description, total_reviews, review_score
       FROM ({PRODUCTS}) LEFT JOIN ({DETAILS}) USING (product_detail_url)""",
+    "q_enrich_recollected": f"""
+      SELECT page_no, pos, product_detail_url, brand, description, total_reviews, CAST(score || '7' AS DOUBLE) AS review_score
+      FROM ({PRODUCTS}) LEFT JOIN ({DETAILS_WITH_SCORE}) USING (product_detail_url)""",
+    "q_enrich_hot": """
+      WITH l AS (SELECT *, CASE l_orderkey % 3 WHEN 0 THEN 1 WHEN 1 THEN l_partkey END AS key FROM lineitem)
+      SELECT key, l_orderkey, l_linenumber, l_partkey, l_suppkey, p_brand FROM l LEFT JOIN part ON key = p_partkey""",
+    "q_first_n_huge": """
+      SELECT event_id, ts, user_id, event_type, value, props FROM (
+        SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn FROM events) WHERE rn <= 5000""",
     "q_first_n": """
       SELECT event_id, ts, user_id, event_type, value, props FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn <= 5""",
@@ -251,7 +307,7 @@ ORACLE: dict[str, str] = {
       FROM documents GROUP BY 1""",
     "q_scan_csv": """
       SELECT nullif(text, '') AS name, CASE WHEN lang <> 'de' THEN lang END AS currency, source AS category,
-        CAST(n_chars AS DOUBLE) AS price FROM documents WHERE nullif(text, '') IS NOT NULL""",
+        CAST(n_chars AS DOUBLE) AS price FROM documents""",
     "q_latest_snapshot_lex": f"""
       WITH s AS ({_SNAPSHOTS}), k AS (SELECT name, array_to_string(regexp_extract_all(name, '([0-9]+)', 1), '_') AS key
         FROM s WHERE regexp_matches(name, '[0-9]')), top AS (SELECT max(key) AS key FROM k)
@@ -280,6 +336,23 @@ ORACLE: dict[str, str] = {
       SELECT 'name not null' AS "constraint", count(*) FILTER (WHERE name IS NULL) AS violations FROM d
       UNION ALL SELECT 'price not null', count(*) FILTER (WHERE price IS NULL) FROM d
       UNION ALL SELECT 'product_detail_url unique', count(k) - count(DISTINCT k) FROM d""",
+    "q_json_two_listings": """
+      SELECT CASE lang WHEN 'de' THEN CAST(length(text) AS VARCHAR) ELSE text END AS name, lang AS category,
+        source AS subcategory FROM documents WHERE lang IN ('de', 'fr')""",
+    "q_scan_latest": f"SELECT name, price, category, product_detail_url FROM ({CLEAN_DOCUMENTS})",
+    "q_insert_twice": f"""
+      WITH d AS (SELECT *, CASE WHEN price < 3000 THEN 0 ELSE 1 END AS turn, category = 'de' AS keyless FROM ({CLEAN_DOCUMENTS})),
+      r AS (SELECT category, turn FROM d UNION ALL SELECT category, 1 FROM d WHERE keyless AND turn = 0)
+      SELECT 'turn ' || turn AS currency, category, count(*) AS rows_in, count(*) AS ids FROM r GROUP BY turn, category
+      UNION ALL SELECT 'all', 'all', count(*), count(*) FROM r""",
+    "q_write_products_db": f"""
+      SELECT name, CAST(CAST(price AS DECIMAL(10, 2)) AS VARCHAR) AS price, product_detail_url FROM ({CLEAN_DOCUMENTS})""",
+    "q_write_products_dir": f"SELECT name, price, product_detail_url FROM ({CLEAN_DOCUMENTS})",
+    "q_run_profile": run_profile(),
+    "q_run_summary": run_summary(),
+    "q_run_quarantine": """
+      SELECT o_orderkey AS page_no, 2 AS pos, '/dp/x' AS href FROM orders JOIN customer ON o_custkey = c_custkey
+      WHERE o_orderstatus = 'F'""",
     "q_listing_run": listing_run(5),
     "q_listing_run_all": listing_run(None),
 }

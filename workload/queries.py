@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from marketweave.functions import parse, text, urls
 from marketweave.operators import catalog, pages, products, quality, skew, upsert
 from marketweave.plans import run
-from marketweave.schemas import CLEAN, PRIORITY
+from marketweave.schemas import CLEAN, LISTING, PRIORITY
 from marketweave.session import shared_dir, stage
-from marketweave.sources import files
+from marketweave.sources import files, tables
 
 from . import inputs as I
 from .inputs import table
 
-HREF = r'<li><a href="([^"]*)"'
+ENRICHED = ["page_no", "pos", "product_detail_url", "brand", "description", "total_reviews", "review_score"]
 
 
 # --- text, values, URLs ----------------------------------------------------------------
@@ -45,17 +47,32 @@ def q_page_frontier(spark, sf):
 
 
 def q_page_links(spark, sf):
-    collected = I.wide(spark, sf, "pages", "page_id", "html")
-    links = pages.flat_matches(collected, HREF, "href", keep=["page_id"])
+    links = pages.extract_records(collected_pages(spark, sf), I.LINKS, keep=["page_id"])
     return links.filter(pages.has_link("href"))
 
 
 def q_resolve_url(spark, sf):
     collected = I.wide(spark, sf, "pages", "page_id", "url", "html")
-    links = pages.flat_matches(collected, HREF, "href", keep=["page_id", "url"])
+    links = pages.extract_records(collected, I.LINKS, keep=["page_id", "url"])
     return links.select("page_id", "pos", urls.resolve_url("url", "href").alias("resolved"))
 
 
+def q_resolve_references(spark, sf):
+    """References of seven forms, by key, against addresses of two levels."""
+    shape, key = F.col("o_orderkey") % 7, F.col("o_custkey").cast("string")
+    base = F.concat(F.lit("https://shop.example.com/a/b"), key, F.lit("/page?q=1"))
+    href = (
+        F.when(shape == 0, F.concat(F.lit("c"), key))
+        .when(shape == 1, F.concat(F.lit("../d"), key))
+        .when(shape == 2, F.concat(F.lit("//other.example.org/e"), key))
+        .when(shape == 3, F.concat(F.lit("?f="), key))
+        .when(shape == 4, F.concat(F.lit("./g/../h"), key))
+        .when(shape == 5, F.concat(F.lit("http://x.example.net/i"), key, F.lit("#j")))
+        .otherwise("")
+    )
+    return table(spark, sf, "orders").select("o_orderkey", urls.resolve_url(base, href).alias("resolved"))
+
+
 BLOCKED_HOSTS = [*urls.BLOCKED_DOMAINS, "spam-farm", "cheap-pills"]
 BLOCKED_ENDS = [*urls.BLOCKED_EXTENSIONS, ".html"]
 
@@ -67,6 +84,14 @@ def q_block_filter(spark, sf):
     return requests.filter(~urls.is_blocked("url", "resource_type", BLOCKED_ENDS, BLOCKED_HOSTS))
 
 
+def q_block_links(spark, sf):
+    """Requests for the links of each page that pass the filter."""
+    collected = I.wide(spark, sf, "pages", "page_id", "url", "html")
+    links = pages.extract_records(collected, I.LINKS, keep=["page_id", "url"])
+    requests = links.select("page_id", "pos", urls.resolve_url("url", "href").alias("resolved"))
+    return requests.filter(~urls.is_blocked("resolved", None, [*BLOCKED_ENDS, "."], BLOCKED_HOSTS))
+
+
 def q_parse_price(spark, sf):
     lines = I.priced_lines(spark, sf).withColumn("parsed", parse.parse_price("price_text"))
     return lines.select("l_orderkey", "l_partkey", "l_linenumber", "price_text", "parsed.price", "parsed.currency")
@@ -105,8 +130,14 @@ def q_compose_description(spark, sf):
 
 
 def q_strip_text(spark, sf):
-    collected = I.wide(spark, sf, "pages", "page_id", "html")
-    return collected.select("page_id", text.markup_text("html").alias("text"))
+    return pages.page_text(collected_pages(spark, sf), keep=["page_id"])
+
+
+def q_awkward_markup(spark, sf):
+    """Text and link of pages with upper-case tags, ``>`` in attributes and rare references."""
+    collected = I.awkward_pages(spark, sf)
+    links = pages.extract_records(collected, I.FIRST_LINK, keep=["p_partkey"]).select("p_partkey", "href")
+    return pages.page_text(collected, keep=["p_partkey"]).join(links, "p_partkey")
 
 
 def q_parse_date(spark, sf):
@@ -206,9 +237,21 @@ def q_enrich_left(spark, sf):
 
 def q_enrich_pages(spark, sf):
     found = run.extract(I.order_pages(spark, sf), I.order_listings(spark, sf), I.RUN_DATE)
-    return run.transform(stage(found, "products"), I.customer_pages(spark, sf), limit=None).select(
-        "page_no", "pos", "product_detail_url", "brand", "description", "total_reviews", "review_score"
-    )
+    return run.transform(found, I.customer_pages(spark, sf), ["collected"], limit=None).select(*ENRICHED)
+
+
+def q_enrich_recollected(spark, sf):
+    """Two collected pages per product: the first one counts."""
+    found = run.extract(I.order_pages(spark, sf), I.order_listings(spark, sf), I.RUN_DATE)
+    return run.transform(found, I.recollected_pages(spark, sf), ["collected"], limit=None).select(*ENRICHED)
+
+
+def q_enrich_hot(spark, sf):
+    """A key that owns a third of the rows, and as many rows without a key."""
+    key = F.when(F.col("l_orderkey") % 3 == 0, 1).when(F.col("l_orderkey") % 3 == 1, F.col("l_partkey"))
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", key.alias("key"))
+    part = table(spark, sf, "part").select(F.col("p_partkey").alias("key"), "p_brand")
+    return products.enrich(lines, part, key="key")
 
 
 def q_first_n(spark, sf):
@@ -219,6 +262,10 @@ def q_first_n_large(spark, sf):
     return skew.first_n(table(spark, sf, "events"), ["event_type"], ["ts", "event_id"], 500)
 
 
+def q_first_n_huge(spark, sf):
+    return skew.first_n(table(spark, sf, "events"), ["event_type"], ["ts", "event_id"], 5000)
+
+
 def q_preview(spark, sf):
     return table(spark, sf, "lineitem").orderBy(*LINE_ORDER).limit(3)
 
@@ -265,8 +312,7 @@ def q_dedupe_missing_equal(spark, sf):
 
 
 def q_run_counts(spark, sf):
-    collected = I.wide(spark, sf, "pages", "page_id", "html")
-    links = pages.flat_matches(collected, HREF, "href", keep=["page_id"])
+    links = pages.extract_records(collected_pages(spark, sf), I.LINKS, keep=["page_id"])
     return quality.run_counts(links, "page_id", "href")
 
 
@@ -300,6 +346,34 @@ def q_json_partitions(spark, sf):
     return back.groupBy("category_key").agg(F.count("name").alias("products"), F.sum("price").alias("price_sum"))
 
 
+def listing_of_documents(spark: SparkSession, sf: str, lang: str) -> DataFrame:
+    found = table(spark, sf, "documents").filter(F.col("lang") == lang)
+    blank = {c: F.lit(None).cast(LISTING[c].dataType) for c in LISTING.names}
+    return found.select("doc_id", *[{
+        **blank, "name": F.col("text"), "marketplace": F.lit("Shop"), "category": F.col("lang"), "subcategory": F.col("source"),
+    }[c].alias(c) for c in LISTING.names])
+
+
+def q_json_two_listings(spark, sf):
+    """A listing written after another leaves it; written again, it replaces its own rows."""
+    root = f"{shared_dir(spark)}/listings"
+    files.write_listings(listing_of_documents(spark, sf, "de"), root, order=["doc_id"])
+    files.write_listings(listing_of_documents(spark, sf, "fr"), root, order=["doc_id"])
+    again = listing_of_documents(spark, sf, "de").withColumn("name", F.length("name").cast("string"))
+    files.write_listings(again, root, order=["doc_id"])
+    back = files.scan_products(spark, root)
+    return back.select("name", "category", "subcategory")
+
+
+def q_scan_latest(spark, sf):
+    """Two written snapshots; the later one is read."""
+    root = shared_dir(spark)
+    rows = enriched_documents(spark, sf)
+    files.write_csv(rows.limit(3), f"{root}/final_docs_31122024_235959.csv")
+    files.write_csv(rows, f"{root}/final_docs_01012025_000000.csv")
+    return files.scan_latest(spark, root).select("name", "price", "category", "product_detail_url")
+
+
 def q_scan_csv(spark, sf):
     path = f"{shared_dir(spark)}/products.csv"
     files.write_csv(document_products(spark, sf), path)
@@ -339,6 +413,49 @@ def q_upsert_insert_only(spark, sf):
     return upsert.rows_to_insert(batch, target, ["doc_id"]).select("doc_id", "source")
 
 
+def enriched_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as clean products: one column of text, a number, and a key."""
+    values = {
+        "name": F.col("source"), "price": F.col("n_chars").cast("double"), "category": F.col("lang"),
+        "product_detail_url": F.concat(F.lit("/d/"), "doc_id"), "date_collected": F.lit(I.RUN_DATE),
+    }
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in CLEAN}
+    return table(spark, sf, "documents").select(*[{**missing, **values}[c].alias(c) for c in CLEAN.names])
+
+
+def _fresh_table(spark: SparkSession) -> str:
+    return "products_" + uuid.uuid4().hex
+
+
+def q_insert_twice(spark, sf):
+    """Batches that overlap, one after the other: the first row of a key stays, ids differ."""
+    name = _fresh_table(spark)
+    rows = enriched_documents(spark, sf)
+    tables.create_table(spark, name)
+    key = F.when(F.col("category") != "de", F.col("product_detail_url"))
+    for turn, batch in enumerate((rows.filter("price < 3000"), rows)):
+        offered = batch.withColumn("product_detail_url", key).withColumn("currency", F.lit(f"turn {turn}"))
+        conformed = upsert.conform(offered).withColumn("product_detail_url", F.nullif("product_detail_url", F.lit("")))
+        tables.insert_new(stage(conformed, "batch"), name, ["name", "price"])
+    found = spark.table(name)
+    counts = [F.count(F.lit(1)).alias("rows_in"), F.count_distinct("id").alias("ids")]
+    whole = found.agg(*counts).select(F.lit("all").alias("currency"), F.lit("all").alias("category"), "rows_in", "ids")
+    return found.groupBy("currency", "category").agg(*counts).unionByName(whole)
+
+
+def q_write_products_db(spark, sf):
+    name = _fresh_table(spark)
+    tables.write_products(enriched_documents(spark, sf), "db", table=name, buckets=4)
+    tables.write_products(enriched_documents(spark, sf), "db", table=name, buckets=4)
+    return spark.table(name).select("name", F.col("price").cast("string").alias("price"), "product_detail_url")
+
+
+def q_write_products_dir(spark, sf):
+    path = f"{shared_dir(spark)}/final_docs_01012025_000000.csv"
+    tables.write_products(enriched_documents(spark, sf), "dir", path=path)
+    return files.scan_csv(spark, path, CLEAN).select("name", "price", "product_detail_url")
+
+
 def q_constraint_check(spark, sf):
     docs = table(spark, sf, "documents").select(
         F.when(F.col("lang") != "fr", F.col("source")).alias("name"),
@@ -351,9 +468,28 @@ def q_constraint_check(spark, sf):
 # --- whole run -------------------------------------------------------------------------
 
 
+def full_run(spark: SparkSession, sf: str, limit: int | None = 5) -> run.Run:
+    """A run whose catalog lacks one nation's listings."""
+    listings = I.order_listings(spark, sf).filter("subcategory <> 'NATION_7'")
+    return run.full_run(I.order_pages(spark, sf), listings, I.customer_pages(spark, sf), I.RUN_DATE, ["collected"], limit)
+
+
+def q_run_profile(spark, sf):
+    return full_run(spark, sf).profile
+
+
+def q_run_summary(spark, sf):
+    return full_run(spark, sf).summary
+
+
+def q_run_quarantine(spark, sf):
+    return full_run(spark, sf).quarantine.select("page_no", "pos", "href")
+
+
 def q_listing_run(spark, sf, limit=5):
     collected, listings = I.order_pages(spark, sf), I.order_listings(spark, sf)
-    return run.listing_run(collected, listings, I.customer_pages(spark, sf), I.RUN_DATE, limit).select(*CLEAN.names)
+    found = run.listing_run(collected, listings, I.customer_pages(spark, sf), I.RUN_DATE, ["collected"], limit)
+    return found.select(*CLEAN.names)
 
 
 def q_listing_run_all(spark, sf):
