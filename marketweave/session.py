@@ -54,9 +54,10 @@ def stage(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
     """Write a stage table to the shared folder and read it back.
 
     Later stages start from files, so a lost executor costs a re-read, not a re-parse.
+    Zstandard keeps the folder small, and readers free its buffers at once.
     """
     spark = df.sparkSession
     path = f"{root or shared_dir(spark)}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
