@@ -14,15 +14,17 @@ partner; `spare` is one less.  That guarantee gives three things, none of which
 - A pair that shares fewer signatures is no link, and its texts are not compared.
 - Signatures of more than GROUP sets (*hot*, as of a passage that many texts quote) form no
   pairs but those with one member.  A set stays safe while no more of its signatures are hot
-  than it has to spare.
-- Sets that are not safe sign again in rounds with more partitions, of which a shared passage
-  spoils fewer.  A hot signature whose sets are all connected already does not count.  What is
-  unsafe after that consists of shared passages for the most part; it signs with any n2 - k2 of
-  n2 neighbouring partitions together, and the last round compares all unconnected members.
+  than it has to spare.  A hot signature whose sets are all connected already does not count.
+- Sets that are not safe are members of large groups of copies which nearly link, or consist of
+  shared passages.  They fall into clusters by the hot signatures they share.  In a cluster the
+  sets outside of its largest component are compared with all sets of similar size, block by
+  block: a block holds about BLOCK count sketches, and only pairs that these allow go on.
 
 Pairs are refuted by their sizes, then by count sketches (the counts of elements by hash differ
 by no more than the sets do), and what is left is decided on the whole texts.  Exact copies are
-one node wherever they are found: a task signs equal sets once.
+one node wherever they are found: a task signs equal sets once.  No group is held in one task:
+groups of a signature stream past, copies are hung on a smallest one by parts, and clusters are
+cut into blocks.
 
 Defined results: a null or empty text, or one of white space, has an empty set (n_shingles 0)
 and links with nothing; fewer than five words give one shingle, the whole sequence.  Rows with
@@ -33,11 +35,9 @@ ignored, whatever their names.
 
 from __future__ import annotations
 
-from functools import partial
-from itertools import combinations
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from marketweave.llm import tokens
@@ -48,10 +48,10 @@ from marketweave.session import shared_dir, stage
 SHINGLE = 5
 GROUP = 24  # members up to which a signature sends all its pairs
 FLUSH = 1_000_000  # pairs a task gathers before it sends them, each once with its count
-#: (k2, n2, extra) of a round: a signature is any n2 - k2 of the n2 partitions of a block; there
-#: are `extra` quarters as many blocks more than differences can spoil.
-ROUNDS = ((0, 1, 1), (0, 1, 6), (0, 1, 20), (3, 6, 2))
-SEEDS = 6  # tries of one set to find partitions of which enough have elements
+EXTRA = 4  # there are an EXTRA-th more partitions than sets can differ in
+SEEDS = 6  # deals that are tried to find one with enough partitions that have elements
+PARTS = 64  # parts of a class of copies
+BLOCK = 64
 
 _edges = [1]
 while _edges[-1] < 2**40:
@@ -115,106 +115,102 @@ def apart(one: bytes, two: bytes) -> int:
     return int(np.abs(a.reshape(size, -1).sum(axis=1) - b.reshape(size, -1).sum(axis=1)).sum())
 
 
-def _summaries(batches):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("sketch", pa.binary())])
-    for batch in batches:
-        for part in tokens.chunks(batch):
-            rows = []
-            for members in sets(part.column("text")):
-                rows.append((len(members), *_identity(members), sketch(members)))
-            n, h1, h2, counts = zip(*rows)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(counts, pa.binary())], schema=schema)
+def _parts(of: int) -> int:
+    """Partitions of a band."""
+    k = most_apart(of)
+    return k + k // EXTRA + 1 + (k > 0)
 
 
-def signatures(members: np.ndarray, of: int, k2: int, n2: int, extra: int, turn: int) -> tuple[np.ndarray, int]:
-    """Signatures of a set for one band, and how many more of them may be useless.
+def _seed(of: int, turn: int) -> int:
+    return (of * 64 + turn) * 2 + 1
 
-    `n2` neighbouring partitions make a block; a block in which two sets differ at k2
-    partitions or fewer agrees on one of its (n2 - k2)-subsets at least.  k differences spoil
-    k // (k2 + 1) blocks at most, and all others agree.
-    """
-    k = most_apart(of)
-    blocks = k // (k2 + 1) * (4 + extra) // 4 + 1 + (k > 0)
-    spoilt = most_apart(of, len(members)) // (k2 + 1)
-    seed = np.uint64((of * 64 + turn) * 2 + 1)
+
+def signatures(every: list[np.ndarray], of: list[int], turn: int = 0) -> list[tuple[np.ndarray, int]]:
+    """For each set and its band: the signatures of the deal `turn`, and how many of them it can
+    spare: non-empty partitions, less those in which a linked set may differ, less one."""
+    size = np.array([len(m) for m in every])
+    width = np.array([_parts(b) for b in of])
+    seed = np.array([_seed(b, turn) for b in of], np.uint64)
+    begin = np.cumsum(width) - width
+    member = np.concatenate(every)
+    with np.errstate(over="ignore"):
+        dealt = tokens.mix(member * np.repeat(seed, size) + np.uint64(turn))
+        value = tokens.mix(member ^ np.repeat(tokens.mix(seed), size))
+    place = ((dealt >> np.uint64(32)) * np.repeat(width, size).astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+    key = place + np.repeat(begin, size)
+    count = np.bincount(key, minlength=int(width.sum()))
+    full = np.flatnonzero(count)
+    # Sums of halves are exact as floating-point numbers.
+    low = np.bincount(key, (value & np.uint64(0xFFFFFFFF)).astype(float), len(count))[full].astype(np.uint64)
+    high = np.bincount(key, (value >> np.uint64(32)).astype(float), len(count))[full].astype(np.uint64)
+    owner = np.searchsorted(begin, full, side="right") - 1
     with np.errstate(over="ignore"):
-        dealt = tokens.mix(members * seed + np.uint64(turn))
-        value = tokens.mix(members ^ tokens.mix(np.array([seed], np.uint64)))
-    width = blocks * n2
-    place = ((dealt >> np.uint64(32)) * np.uint64(width) >> np.uint64(32)).astype(np.int64)
-    counts = np.bincount(place, minlength=width)
-    order = np.argsort(place, kind="stable")
-    full = np.flatnonzero(counts)
-    sums = np.zeros(width, np.uint64)
-    if len(full):
-        with np.errstate(over="ignore"):
-            sums[full] = np.add.reduceat(value[order], (np.cumsum(counts) - counts)[full])
-    if n2 == 1:
-        with np.errstate(over="ignore"):
-            found = tokens.mix(sums[full] * np.uint64(3) + tokens.mix((full.astype(np.uint64) << np.uint64(20)) + seed))
-        return found, len(found) - spoilt - 1
-    sums, counts = sums.reshape(blocks, n2), counts.reshape(blocks, n2)
-    out, spare = [], np.ones(blocks, bool)
-    for number, subset in enumerate(combinations(range(n2), n2 - k2)):
-        held = counts[:, subset].sum(axis=1) > 0
-        spare &= held
-        with np.errstate(over="ignore"):
-            value = np.zeros(blocks, np.uint64)
-            for j in subset:
-                value = tokens.mix(value * np.uint64(5) + sums[:, j])
-            value = tokens.mix(value + tokens.mix((np.arange(blocks, dtype=np.uint64) << np.uint64(20)) + seed + np.uint64(number << 50)))
-        out.append(value[held])
-    return np.concatenate(out), int(spare.sum()) - spoilt - 1
-
-
-def _sign(batches, turn: int):
-    """`sig, doc_id, spare`: signatures of one round, and for each document and band a row with
-    what it has to spare.  Of equal sets only the first one in the task signs."""
-    schema = pa.schema([("sig", pa.int64()), ("doc_id", pa.int64()), ("spare", pa.int32())])
+        total = low + (high << np.uint64(32))
+        found = tokens.mix(total * np.uint64(3) + tokens.mix(((full - begin[owner]).astype(np.uint64) << np.uint64(20)) + seed[owner]))
+    edge = np.searchsorted(owner, np.arange(len(every) + 1))
+    return [(found[edge[i] : edge[i + 1]], int(edge[i + 1] - edge[i]) - most_apart(of[i], len(every[i])) - 1) for i in range(len(every))]
+
+
+def _sign(batches):
+    """`sig, doc_id, spare, info`: the signatures of each set; for each document and band a row
+    with what it has to spare; for each document a row with its set's size, identity and sketch.
+    Of equal sets only the first one in the task signs."""
+    schema = pa.schema([("sig", pa.int64()), ("doc_id", pa.int64()), ("spare", pa.int32()), ("info", pa.binary())])
     signed = set()
     for batch in batches:
         for part in tokens.chunks(batch):
-            sigs, docs, spares = [], [], []
+            rows, signing = [], []
             for doc, members in zip(part.column("doc_id").to_pylist(), sets(part.column("text"))):
-                if doc is None or not len(members) or (same := _identity(members)) in signed:
-                    continue
-                signed.add(same)
-                for of in bands(len(members)):
-                    before = len(sigs)
-                    for seed in range(SEEDS):
-                        found, spare = signatures(members, of, *ROUNDS[turn], turn * SEEDS + seed)
-                        sigs.append(found)
-                        if spare >= 0:
-                            break
-                    else:
-                        # No deal leaves enough partitions with elements: such sets of a band meet.
-                        sigs.append(tokens.mix(np.array([of * 97 + turn], np.uint64)))
-                    sigs.append(tokens.mix(np.array([doc], np.int64).view(np.uint64)))
-                    docs.append(np.full(sum(map(len, sigs[before:])), doc, np.int64))
-                    own = np.full(len(docs[-1]), -1, np.int32)
+                same = _identity(members)
+                rows.append((same[0] ^ (doc or 0), doc, np.array([len(members), *same], np.int64).tobytes() + sketch(members)))
+                if doc is not None and len(members) and same not in signed:
+                    signed.add(same)
+                    signing += [(doc, members, of) for of in bands(len(members))]
+            sig, doc, info = zip(*rows)
+            yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(doc, pa.int64()), pa.nulls(len(rows), pa.int32()), pa.array(info, pa.binary())], schema=schema)
+            if not signing:
+                continue
+            docs, every, of = zip(*signing)
+            sigs, lengths, spares = [], [], []
+            for i, (found, spare) in enumerate(signatures(every, of)):
+                mine, turn = [found], 1
+                while spare < 0 and turn < SEEDS:
+                    found, spare = signatures([every[i]], [of[i]], turn)[0]
                     # A partner may have stopped at an earlier deal, where this set counts on nothing.
-                    own[-1] = spare if seed == 0 and spare >= 0 else 0
-                    spares.append(own)
-            if sigs:
-                spare = np.concatenate(spares)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(docs)), pa.array(spare, mask=spare < 0)], schema=schema)
-
-
-PAIR, HOT, SPARE = 0, 1, 2
+                    spare = min(spare, 0)
+                    mine.append(found)
+                    turn += 1
+                if spare < 0:
+                    # No deal leaves enough partitions with elements: such sets of a band meet.
+                    mine.append(tokens.mix(np.array([of[i] * 97 + 1], np.uint64)))
+                    spare = 0
+                sigs += mine
+                lengths.append(sum(map(len, mine)))
+                spares.append(spare)
+            owners = np.repeat(np.array(docs, np.int64), lengths)
+            n = len(owners)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(owners), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=schema)
+            n = len(docs)
+            spread = tokens.mix(np.array(docs, np.int64).view(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(docs, pa.int64()), pa.array(spares, pa.int32()), pa.nulls(n, pa.binary())], schema=schema)
+
+
+PAIR, HOT, SPARE, SET = 0, 1, 2, 3
 MANY = 1 << 40  # count of a pair that is compared in any case
 
 
 def _meet(batches):
-    """From rows sorted by signature: `kind, a, b, n`.
+    """From rows sorted by signature: `kind, a, b, n, info`.
 
     PAIR: documents a > b and the signatures they share here; HOT: document a has the hot
-    signature b; SPARE: what document a has to spare.  Holds one batch, the rows of one
+    signature b; SPARE: what document a has to spare; SET: what there is of document a.  Holds one batch, the rows of one
     signature up to GROUP, and FLUSH pairs.
     """
-    schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("info", pa.binary())])
 
-    def rows(kind, a, b, n):
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b), pa.array(n)], schema=schema)
+    def rows(kind, a, b, n, info=None):
+        info = pa.nulls(len(a), pa.binary()) if info is None else info
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b), pa.array(n), info], schema=schema)
 
     def flush():
         a, b, n = (np.concatenate(x) for x in zip(*gathered))
@@ -235,12 +231,19 @@ def _meet(batches):
     held_sig = held_doc = np.zeros(0, np.int64)
     hot = None  # signature and member of a group that began in an earlier batch
     for batch in batches:
-        spare = batch.column("spare").to_numpy(zero_copy_only=False)
+        known = batch.column("info").is_valid()
+        if batch.column("info").null_count < batch.num_rows:
+            part = batch.filter(known)
+            zero = np.zeros(part.num_rows, np.int64)
+            yield rows(SET, part.column("doc_id"), zero, zero, part.column("info"))
+            batch = batch.filter(pc.invert(known))
+        told = batch.column("spare").is_valid()
+        if batch.column("spare").null_count < batch.num_rows:
+            part = batch.filter(told)
+            doc = part.column("doc_id").to_numpy()
+            yield rows(SPARE, doc, doc, part.column("spare").cast(pa.int64()))
+            batch = batch.filter(pc.invert(told))
         sig, doc = batch.column("sig").to_numpy(), batch.column("doc_id").to_numpy()
-        told = ~np.isnan(spare.astype(float))
-        if told.any():
-            yield rows(SPARE, doc[told], doc[told], spare[told].astype(np.int64))
-            sig, doc = sig[~told], doc[~told]
         if hot is not None:
             same = sig == hot[0]
             if same.any():
@@ -332,50 +335,108 @@ def _verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, root: str, name
     return stage(both.mapInArrow(_jaccard, "a long, b long"), f"links_{name}", root)
 
 
+def _nodes(batches):
+    """`doc_id, n_shingles, h1, h2, sketch` of SET rows."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("sketch", pa.binary())])
+    for batch in batches:
+        info = batch.column("info").to_pylist()
+        head = np.frombuffer(b"".join(x[:24] for x in info), np.int64).reshape(-1, 3)
+        yield pa.RecordBatch.from_arrays([batch.column("a"), *map(pa.array, head.T.copy()), pa.array([x[24:] for x in info], pa.binary())], schema=schema)
+
+
+def _copies(nodes: DataFrame) -> DataFrame:
+    """Links `a, b` that connect equal sets: each to the smallest of its part, those to the smallest of all."""
+    same = ["h1", "h2", "n_shingles"]
+    nodes = nodes.select("doc_id", *same, F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).alias("part"))
+    least = nodes.groupBy(*same, "part").agg(F.min("doc_id").alias("b"))
+    first = least.groupBy(*same).agg(F.min("b").alias("b"))
+    near = nodes.join(least, [*same, "part"]).select(F.col("doc_id").alias("a"), "b")
+    far = least.withColumnRenamed("b", "a").join(first, same).select("a", "b")
+    return near.unionByName(far).filter("a > b").distinct()
+
+
+def _folded(sketches: list[bytes], size: int) -> np.ndarray:
+    return np.stack([np.frombuffer(s, np.uint8).astype(np.int16).reshape(size, -1).sum(axis=1, dtype=np.int16) for s in sketches])
+
+
+def _blocks(batches):
+    """Pairs of a block of loose sets and a block of sets that their sketches do not refute."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    for batch in batches:
+        for loose, every in zip(batch.column("loose").to_pylist(), batch.column("every").to_pylist()):
+            size = min(len(x["sketch"]) for x in (*loose, *every))
+            one, two = ([np.array([x[c] for x in side]) for c in ("doc_id", "n", "c")] for side in (loose, every))
+            n = one[1][:, None] + two[1][None, :]
+            keep = (one[2][:, None] != two[2][None, :]) & (7 * np.abs(one[1][:, None] - two[1][None, :]) <= n)
+            if size:  # else some counts do not fit in a sketch, which refutes nothing
+                left, right = (_folded([x["sketch"] for x in side], size) for side in (loose, every))
+                for i in np.flatnonzero(keep.any(axis=1)):
+                    keep[i] &= 7 * np.abs(left[i] - right).sum(axis=1, dtype=np.int64) <= n[i]
+            i, j = np.nonzero(keep)
+            if len(i):
+                a, b = one[0][i], two[0][j]
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], schema=schema)
+
+
+def _clustered(open_: DataFrame, unsafe: DataFrame, nodes: DataFrame, root: str) -> DataFrame:
+    """Pairs `a, b` of unsafe documents of one cluster and of different components."""
+    member = open_.join(unsafe, "doc_id")
+    least = member.groupBy("sig").agg(F.min("doc_id").alias("b"))
+    shared = member.join(least, "sig").select(F.col("doc_id").alias("a"), "b").distinct()
+    cluster = components(stage(shared, "shared", root), "a", "b").select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
+    # Sizes of linked sets are within 4 / 3, three of these steps at most.
+    step = F.floor(F.log("n_shingles") / F.log(F.lit(4 / 3)) * 2).cast("int")
+    kept = member.select("doc_id", "c").distinct().join(cluster, "doc_id").join(nodes.select("doc_id", "n_shingles", "sketch"), "doc_id")
+    kept = stage(kept.select("cluster", step.alias("step"), "doc_id", F.col("n_shingles").alias("n"), "c", "sketch"), "members", root)
+    counts = kept.groupBy("cluster", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("cluster").agg(F.max(F.struct("n", "c"))["c"].alias("main"))
+    slots = kept.groupBy("cluster", "step").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("slots"))
+    kept = kept.join(slots, ["cluster", "step"]).join(counts, "cluster")
+    kept = kept.withColumn("slot", F.pmod(F.xxhash64("doc_id"), "slots"))
+    row = F.collect_list(F.struct("doc_id", "n", "c", "sketch"))
+    every = stage(kept.groupBy("cluster", "step", "slot").agg(row.alias("every")).drop("slot"), "blocks", root)
+    loose = kept.filter("c <> main").groupBy("cluster", "step", "slot").agg(row.alias("loose")).drop("slot")
+    loose = loose.withColumn("step", F.explode(F.sequence(F.col("step") - 3, F.col("step") + 3)))
+    pairs = loose.join(every, ["cluster", "step"]).select("loose", "every").mapInArrow(_blocks, "a long, b long")
+    return pairs.distinct()
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """`doc_id, n_shingles, component_id` of each row of `docs` (`doc_id`, `text`)."""
     spark = docs.sparkSession
     root = shared_dir(spark)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    every = stage(docs.mapInArrow(_summaries, "doc_id long, n_shingles long, h1 long, h2 long, sketch binary"), "summaries", root)
+    rows = docs.mapInArrow(_sign, "sig long, doc_id long, spare int, info binary")
+    rows = rows.repartition("sig").sortWithinPartitions("sig")
+    met = stage(rows.mapInArrow(_meet, "kind int, a long, b long, n long, info binary"), "met", root)
+    every = met.filter(F.col("kind") == SET).select("a", "info").mapInArrow(_nodes, "doc_id long, n_shingles long, h1 long, h2 long, sketch binary")
+    every = stage(every, "sets", root)
     nodes = every.filter("doc_id is not null and n_shingles > 0")
-    copies = nodes.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("b"))
-    links = nodes.join(copies, ["h1", "h2", "n_shingles"]).filter("doc_id > b").select(F.col("doc_id").alias("a"), "b")
-    found = [stage(links.distinct(), "copies", root)]
-    unsafe = None
-    for turn in range(len(ROUNDS)):
-        signing = docs if unsafe is None else thin(docs, unsafe)
-        rows = signing.mapInArrow(partial(_sign, turn=turn), "sig long, doc_id long, spare int")
-        rows = rows.repartition("sig").sortWithinPartitions("sig")
-        met = stage(rows.mapInArrow(_meet, "kind int, a long, b long, n long"), f"met_{turn}", root)
-        hot = met.filter(F.col("kind") == HOT).select(F.col("a").alias("doc_id"), F.col("b").alias("sig"))
-        spare = met.filter(F.col("kind") == SPARE).groupBy(F.col("a").alias("doc_id")).agg(F.min("n").alias("spare"))
-        heat = hot.groupBy("doc_id").agg(F.count(F.lit(1)).alias("h"))
-        sizes = nodes.groupBy("doc_id").agg(F.max("n_shingles").alias("n"), F.count_distinct("n_shingles").alias("texts"))
-        # What a linked pair shares at least, besides hot signatures; several texts of one id count on nothing.
-        needs = spare.join(heat, "doc_id", "left").join(sizes, "doc_id")
-        needs = needs.select("doc_id", F.col("n").alias("size"), F.when(F.col("texts") > 1, 0).otherwise(F.col("spare") + 1 - F.coalesce("h", F.lit(0))).alias("need"))
-        needs = stage(needs, f"needs_{turn}", root)
-        side = lambda c: needs.select(F.col("doc_id").alias(c), F.col("size").alias(f"size_{c}"), F.col("need").alias(f"need_{c}"))  # noqa: B023, E731
-        pairs = met.filter(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("n").alias("n")).join(side("a"), "a").join(side("b"), "b")
-        need = F.when(F.col("size_a") > F.col("size_b"), F.col("need_a")).when(F.col("size_a") < F.col("size_b"), F.col("need_b")).otherwise(F.greatest("need_a", "need_b"))
-        pairs = pairs.filter((F.col("n") >= need) & (4 * F.least("size_a", "size_b") >= 3 * F.greatest("size_a", "size_b"))).select("a", "b")
-        found.append(_verify(pairs, nodes, docs, root, str(turn)))
-        joined = components(_union(found), "a", "b").withColumnRenamed("node", "doc_id")
-        member = hot.join(stage(joined, f"joined_{turn}", root), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id"))
-        apart_ = member.groupBy("sig").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 < c1")
-        open_ = stage(member.join(apart_.select("sig"), "sig").select("sig", "doc_id", "c"), f"open_{turn}", root)
-        if turn == len(ROUNDS) - 1:
-            other = open_.select("sig", F.col("doc_id").alias("b"), F.col("c").alias("c_b"))
-            rest = open_.withColumnRenamed("doc_id", "a").join(other, "sig").filter("a > b and c <> c_b").select("a", "b").distinct()
-            found.append(_verify(rest, nodes, docs, root, "rest"))
-            break
-        unsafe = open_.groupBy("doc_id").agg(F.count(F.lit(1)).alias("h")).join(spare, "doc_id").filter("h > spare")
-        unsafe = stage(unsafe.select("doc_id"), f"unsafe_{turn}", root)
-        if unsafe.isEmpty():
-            break
-    joined = stage(components(_union(found), "a", "b"), "joined", root)
-    out = every.select("doc_id", "n_shingles").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    found = [stage(_copies(nodes), "copies", root)]
+
+    hot = met.filter(F.col("kind") == HOT).select(F.col("a").alias("doc_id"), F.col("b").alias("sig"))
+    spare = met.filter(F.col("kind") == SPARE).groupBy(F.col("a").alias("doc_id")).agg(F.min("n").alias("spare"))
+    heat = hot.groupBy("doc_id").agg(F.count(F.lit(1)).alias("h"))
+    sizes = nodes.groupBy("doc_id").agg(F.max("n_shingles").alias("n"), F.count_distinct("n_shingles").alias("texts"))
+    # What a linked pair shares at least, besides hot signatures; several texts of one id count on nothing.
+    need = F.when(F.col("texts") > 1, 0).otherwise(F.col("spare") + 1 - F.coalesce("h", F.lit(0)))
+    needs = stage(spare.join(heat, "doc_id", "left").join(sizes, "doc_id").select("doc_id", F.col("n").alias("size"), need.alias("need")), "needs", root)
+    side = lambda c: needs.select(F.col("doc_id").alias(c), F.col("size").alias(f"size_{c}"), F.col("need").alias(f"need_{c}"))
+    pairs = met.filter(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("n").alias("n")).join(side("a"), "a").join(side("b"), "b")
+    need = F.when(F.col("size_a") > F.col("size_b"), F.col("need_a")).when(F.col("size_a") < F.col("size_b"), F.col("need_b")).otherwise(F.greatest("need_a", "need_b"))
+    pairs = pairs.filter((F.col("n") >= need) & (4 * F.least("size_a", "size_b") >= 3 * F.greatest("size_a", "size_b"))).select("a", "b")
+    found.append(_verify(pairs, nodes, docs, root, "pairs"))
+
+    joined = stage(components(_union(found), "a", "b").withColumnRenamed("node", "doc_id"), "joined", root)
+    member = hot.join(joined, "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id"))
+    split = member.groupBy("sig").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 < c1")
+    open_ = stage(member.join(split.select("sig"), "sig").select("sig", "doc_id", "c"), "open", root)
+    unsafe = open_.groupBy("doc_id").agg(F.count(F.lit(1)).alias("h")).join(spare, "doc_id").filter("h > spare")
+    unsafe = stage(unsafe.select("doc_id"), "unsafe", root)
+    if not unsafe.isEmpty():
+        rest = _verify(_clustered(open_, unsafe, nodes, root), nodes, docs, root, "rest")
+        if not rest.isEmpty():
+            joined = stage(components(_union([*found, rest]), "a", "b").withColumnRenamed("node", "doc_id"), "rejoined", root)
+    out = every.select("doc_id", "n_shingles").join(joined, "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 

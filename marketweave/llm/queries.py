@@ -89,4 +89,19 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+#: The other operators train a model or verify by hashes; tests compare them with brute force.
+ORACLE: dict[str, str] = {
+    "op5_ngram_jaccard_join": r"""
+      WITH RECURSIVE
+      w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+      s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS g FROM w),
+      n AS (SELECT doc_id, len(g) AS n FROM s),
+      u AS (SELECT doc_id, unnest(g) AS h FROM s),
+      both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM u a JOIN u b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+      e AS (SELECT a, b FROM both_ JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * k >= 75 * (x.n + y.n - k)),
+      r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+      SELECT n.doc_id, n.n AS n_shingles, c.component_id
+      FROM n JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) c ON n.doc_id = c.a""",
+}
