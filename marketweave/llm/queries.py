@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketweave.llm import decontam, jaccard, licenses, lines, mainhtml, mixing, pii, quality, rules, toxicity
+from marketweave.llm import decontam, jaccard, labelled, licenses, lines, mainhtml, mixing, pii, quality, rules, toxicity
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -49,8 +49,8 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
 def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Counts and verdict of each document; the trusted texts are those labelled as good."""
     docs = _table(spark, sf, "documents").select("doc_id", "text")
-    good = _table(spark, sf, "labels").filter("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
-    trusted = docs.join(good, docs["doc_id"] == F.col("_id")).select("text")
+    good = _table(spark, sf, "labels").filter("quality = 1")
+    trusted = labelled.sample(docs, good, "quality", rules.TRUSTED_ROWS, F.lit(True)).select("text")
     return rules.judge(docs, rules.weights(docs, trusted))
 
 

@@ -1,10 +1,10 @@
 """Quality rules in DataFrame functions only: counts, and a hashed n-gram log-likelihood ratio.
 
-Words and pairs of neighbouring words, lower-cased, are hashed into BUCKETS.  Their counts over
-the trusted texts and over all texts give two multinomials (add-one); a bucket weighs the
+Words and pairs of neighbouring words are hashed into BUCKETS.  Their counts over trusted texts
+(a bounded sample of those labelled as good) and over all texts give two multinomials (add-one); a bucket weighs the
 logarithm of their ratio, in thousandths.  A text's ratio is the mean weight of its words and
 pairs.  Texts that fail the base rules, or whose ratio is below LEAST_RATIO, are not kept.  The
-counts cover every row; only BUCKETS sums reach the driver.
+counts of the raw corpus cover every row; only BUCKETS sums reach the driver.
 
 Defined results: a null text has no words; texts of fewer than 50 words fail the base rules.
 The ratio of a text without words is 0.  Without trusted texts all weights are 0.  Null ids and
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from marketweave.llm.decontam import _let
 
 BUCKETS = 16384
+TRUSTED_ROWS = 20000  # trusted texts that are counted, by hashed id
 LEAST_RATIO = -0.3
 LEAST_WORDS = 50
 SPACE = r"[\x20\x09-\x0D]+"
@@ -35,15 +36,11 @@ def _grams(found: Column) -> Column:
     return F.concat(one, two)
 
 
-def _lower(text: str) -> Column:
-    return F.lower(F.coalesce(F.col(text), F.lit("")))
-
-
 def weights(docs: DataFrame, trusted: DataFrame) -> list[int]:
     """Thousandths of the log ratio of each bucket's share among `trusted` (`text`) and `docs`."""
 
     def shares(df: DataFrame) -> np.ndarray:
-        grams = df.select(F.explode(_let(words(_lower("text")), _grams)).alias("g")).groupBy("g").count()
+        grams = df.select(F.explode(_let(words(F.coalesce("text", F.lit(""))), _grams)).alias("g")).groupBy("g").count()
         table = np.ones(BUCKETS)
         for r in grams.collect():  # at most BUCKETS rows
             table[r["g"]] += r["count"]
@@ -112,10 +109,9 @@ def judge(docs: DataFrame, table: list[int], id_: str = "doc_id", text: str = "t
         _without(whole, " \t\n\x0b\x0c\r").cast("long").alias("word_chars"),
         (F.length(whole) - _without(whole, "#*$%&|<>")).cast("long").alias("n_symbols"),
         _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        _let(words(whole), lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("r"))).alias("_s"),
-        _let(words(_lower(text)), lambda w: _mean_weight(w, value)).alias("ratio"),
+        _let(words(whole), lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("r"), _mean_weight(w, value).alias("m"))).alias("_s"),
     )
-    found = found.select(id_, F.col("_s.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", F.col("_s.r").alias("n_repeat_words"), "ratio")
+    found = found.select(id_, F.col("_s.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", F.col("_s.r").alias("n_repeat_words"), F.col("_s.m").alias("ratio"))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     found = found.withColumn("base_failed", failed)
     return found.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= LEAST_RATIO))

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that one numpy pass handles; a longer text is handled alone.
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True

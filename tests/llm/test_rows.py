@@ -176,7 +176,7 @@ def test_rules_ratio(documents):
     bad = [" ".join(f"{w}%%" for w in prose(rng, 80).split()) for _ in range(20)]
     docs = documents(enumerate(good + bad))
     table = rules.weights(docs, docs.filter("doc_id < 30"))
-    counts = lambda rows: Counter(r.g for r in rows.select(F.explode(rules._grams(rules.words(F.lower("text")))).alias("g")).collect())
+    counts = lambda rows: Counter(r.g for r in rows.select(F.explode(rules._grams(rules.words(F.col("text")))).alias("g")).collect())
     raw, trusted = counts(docs), counts(docs.filter("doc_id < 30"))
     n, m = sum(raw.values()) + rules.BUCKETS, sum(trusted.values()) + rules.BUCKETS
     assert table == [round(1000 * np.log((trusted[b] + 1) / m / ((raw[b] + 1) / n))) for b in range(rules.BUCKETS)]
