@@ -76,10 +76,11 @@ def parse_score(c: Column | str) -> Column:
 
 
 # The three accepted layouts, tried in this order; one- or two-digit
-# month and day, four-digit year from 0001 on.
-_YMD_DASH = r"^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"
-_DMY_SLASH = r"^([0-9]{1,2})/([0-9]{1,2})/((?!0000)[0-9]{4})\z"
-_YMD_SLASH = r"^(?!0000)[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}\z"
+# month and day (a one-digit day may have a space before it), four-digit year from 0001 on.
+_DAY = "(?:[0-9]{1,2}| [1-9])"
+_YMD_DASH = rf"^(?!0000)[0-9]{{4}}-[0-9]{{1,2}}-{_DAY}\z"
+_DMY_SLASH = rf"^({_DAY})/([0-9]{{1,2}})/((?!0000)[0-9]{{4}})\z"
+_YMD_SLASH = rf"^(?!0000)[0-9]{{4}}/[0-9]{{1,2}}/{_DAY}\z"
 
 
 def parse_date(c: Column | str) -> Column:
@@ -90,7 +91,7 @@ def parse_date(c: Column | str) -> Column:
         .when(c.rlike(_DMY_SLASH), F.regexp_replace(c, _DMY_SLASH, "$3-$2-$1"))
         .when(c.rlike(_YMD_SLASH), F.translate(c, "/", "-"))
     )
-    return iso.try_cast("date")
+    return F.translate(iso, " ", "").try_cast("date")
 
 
 def money(c: Column | str) -> Column:

@@ -216,3 +216,9 @@ def test_blocked_requests(spark):
     df = spark.createDataFrame(rows, "url string, type string, expected boolean")
     got = df.select(urls.is_blocked("url", "type").alias("b"), "expected").collect()
     assert [r["b"] for r in got] == [r["expected"] for r in got]
+
+
+def test_a_space_before_a_one_digit_day(column):
+    values = [" 5/07/2025", "2025-07- 5", "2025/07/ 5", " 15/07/2025", "  5/07/2025", "5/ 7/2025"]
+    found = column(values, parse.parse_date)
+    assert found[:3] == [datetime.date(2025, 7, 5)] * 3 and found[3:] == [None] * 3
