@@ -6,7 +6,8 @@ A line of length l is cut into TAU + 1 even segments.  A line within the distanc
 them unchanged, shifted by little: the probe of a line of length l + d looks up, for d of 0 to
 TAU and each segment, only the substrings whose shift leaves enough edits for both sides.
 Segments and substrings are hashed with the length and the segment's number, so a key only
-meets lines of one length.  Pairs are verified by a banded bit-parallel edit distance.
+meets lines of one length.  Candidates must share all but TAU of FINE finer segments too; what
+they differ in is verified by a banded bit-parallel edit distance.
 
 Index keys are reduced to their smallest and largest line and a count before anything is
 joined, so a key that two lines have at most never forms a group.  A key of more lines is
@@ -32,7 +33,8 @@ from marketweave.session import shared_dir, stage
 
 TAU = 2
 MIN_CHARS = 24
-PAIRS = 1024  # pairs a key may form without being refined
+FINE = 12  # segments that a candidate must share but for TAU before its distance is taken
+PAIRS = 128  # pairs a key may form without being refined
 
 
 def _let(value: Column, use) -> Column:
@@ -77,7 +79,8 @@ def edit_within(a: Column, b: Column, tau: int = TAU) -> Column:
                 carry = (x.bitwiseAND(s["vp"]) + s["vp"]).bitwiseXOR(s["vp"])
                 return _let(carry.bitwiseOR(x).bitwiseOR(s["vn"]).bitwiseAND(mask), moved)
 
-            return _let(same, entered)
+            # A distance beyond the bound stays there.
+            return F.when(s["e"] > tau, s).otherwise(_let(same, entered))
 
         fall = F.lit(2**tau - 1).cast("long")
         start = F.struct((mask - fall).alias("vp"), fall.alias("vn"), gap.alias("e"))
@@ -88,103 +91,148 @@ def edit_within(a: Column, b: Column, tau: int = TAU) -> Column:
     return (gap <= tau) & (distance <= tau)
 
 
-def _cuts(length: Column) -> list[tuple[Column, Column]]:
-    """Start (from 1) and size of each of TAU + 1 even segments."""
-    base, over = F.floor(length / (TAU + 1)).cast("int"), F.pmod(length, F.lit(TAU + 1)).cast("int")
-    return [
-        (base * i + F.greatest(F.lit(0), over + i - TAU - 1) + 1, base + F.when(over + i >= TAU + 1, 1).otherwise(0))
-        for i in range(TAU + 1)
-    ]
+def _cut(d: int, i: int) -> tuple[str, str]:
+    """Start (from 1) and size of segment `i` of TAU + 1 even ones, in a text `d` shorter than `_size`."""
+    sizes = [f"int((_size - {d} + {j}) div {TAU + 1})" for j in range(i + 1)]
+    return " + ".join(["1", *sizes[:i]]), sizes[i]
 
 
-def _entry(context: Column | None, text: Column, length: Column, i: int, at: Column, size: Column, role: int, d: int) -> Column:
-    parts = ([] if context is None else [context]) + [length, F.lit(i), F.substr(text, at, size)]
-    fits = (length > TAU) & (at >= 1) & (at + size - 1 <= F.length(text))
-    return F.when(fits, F.struct(F.xxhash64(*parts).alias("key"), F.lit(role).alias("role"), F.lit(d).alias("d"), at.alias("at"), size.alias("size")))
+#: What an entry is, by its number: role (0 indexed, 1 probe), length less than the line's,
+#: segment, and shift of the substring against the segment.
+INDEXED = [(0, 0, i, 0) for i in range(TAU + 1)]
+PROBES = [
+    (1, d, i, shift)
+    for d in range(TAU + 1)
+    for i in range(TAU + 1)
+    for shift in range(max(-i, d - (TAU - i)), min(i, d + (TAU - i)) + 1)
+]
 
 
-def _indexed(text: Column, context: Column | None = None) -> list[Column]:
-    length = F.length(text)
-    return [_entry(context, text, length, i, at, size, 0, 0) for i, (at, size) in enumerate(_cuts(length))]
+def _entries(df: DataFrame, text: str, wanted: list[tuple], *columns: str, context: str | None = None) -> DataFrame:
+    """`columns, key, entry` of the wanted entries of each row's text; `_size` is its length.
+
+    Texts and lengths are columns already, so the hashes are all that is computed here.  A text
+    of MIN_CHARS characters holds every entry; shorter rests, which have a context, may not.
+    """
+    keys = []
+    for _, d, i, shift in wanted:
+        at, size = _cut(d, i)
+        hashed = f"xxhash64({context + ', ' if context else ''}_size - {d}, {i}, substring({text}, {at} + {shift}, {size}))"
+        if context:
+            hashed = f"if(_size - {d} > {TAU} and {at} + {shift} >= 1 and {at} + {shift} + {size} - 1 <= _size, {hashed}, null)"
+        keys.append(F.expr(hashed))
+    return df.select(*columns, F.posexplode(F.array(*keys)).alias("entry", "key")).filter("key is not null")
 
 
-def _probed(text: Column, context: Column | None = None, only: int | None = None) -> list[Column]:
-    out = []
-    for d in range(TAU + 1) if only is None else [only]:
-        length = F.length(text) - d
-        for i, (at, size) in enumerate(_cuts(length)):
-            for shift in range(max(-i, d - (TAU - i)), min(i, d + (TAU - i)) + 1):
-                out.append(_entry(context, text, length, i, at + shift, size, 1, d))
-    return out
+def _rest(text: str, wanted: list[tuple]) -> Column:
+    """The text without the substring of its entry."""
+    cases = []
+    for number, (_, d, i, shift) in enumerate(wanted):
+        at, size = _cut(d, i)
+        cases.append(f"when {number} then concat(substring({text}, 1, {at} + {shift} - 1), substring({text}, {at} + {shift} + {size}))")
+    return F.expr(f"case entry {' '.join(cases)} end")
 
 
-def _rows(df: DataFrame, entries: list[Column], *columns: str) -> DataFrame:
-    out = df.select(*columns, F.explode(F.filter(F.array(*entries), lambda x: x.isNotNull())).alias("_e"))
-    return out.select(*columns, "_e.*")
+def _what(wanted: list[tuple], field: int) -> Column:
+    return F.element_at(F.array(*[F.lit(w[field]) for w in wanted]), F.col("entry") + 1)
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """`doc_id, pos, line, id` of each line that is compared."""
+    """`doc_id, pos, line, id, _size` of each line that is compared."""
     found = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    found = found.filter(F.length("line") >= MIN_CHARS)
+    found = found.withColumn("_size", F.length("line")).filter(F.col("_size") >= MIN_CHARS)
     return found.withColumn("id", F.xxhash64("line"))
 
 
-def candidates(found: DataFrame, root: str) -> DataFrame:
-    """`a, b`: ids of different lines that share a segment's key."""
-    keys = _rows(found, _indexed(F.col("line")), "id").select("key", "id").distinct()
-    keys = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n"))
-    keys = stage(keys, "keys", root)
-    probes = _rows(found, _probed(F.col("line")), "id").select("key", "id")
-    near = probes.join(keys, "key").filter("n > 2 or low <> id or high <> id")
-    near = near.select("id", F.explode(F.array_distinct(F.array("low", "high"))).alias("other")).filter("id <> other")
-    out = [stage(near.select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")).distinct(), "near_0", root)]
-
-    # Keys of three lines or more: the same rows again, of these keys only, with the rest of the line.
-    full = keys.filter("n > 2").select("key")
-    rest = F.concat(F.substr("line", F.lit(1), F.col("at") - 1), F.substr(F.col("line"), F.col("at") + F.col("size")))
-    both = _rows(found, _indexed(F.col("line")) + _probed(F.col("line")), "id", "line")
-    open_ = thin(both, full, "key").join(full, "key").select("key", "id", "role", "d", rest.alias("rest")).distinct()
+def candidates(found: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    """`a, b`: ids of different lines that share a segment's key; and `id, line` of these lines."""
+    keys = _entries(found, "line", INDEXED, "id").groupBy("key")
+    keys = keys.agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n"))
+    # Repeats of one line are one; what holds two lines and repeats counts as a key of more.
+    keys = keys.withColumn("n", F.when(F.col("low") == F.col("high"), 1).otherwise(F.col("n")))
+    hits = _entries(found, "line", PROBES, "id").select("key", "id").join(keys, "key")
+    hits = hits.filter("n > 2 or low <> id or high <> id")
+    hits = stage(hits.distinct(), "hits", root)
+    near = hits.filter("n <= 2").select("id", F.explode(F.array_distinct(F.array("low", "high"))).alias("other"))
+    near = near.filter("id <> other").select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b"))
+    out = [near]
+
+    # Keys of three lines or more: the entries of their lines again, with the rest of the line.
+    # A line's own segments are among its probes, so the hits hold the indexed lines too.
+    full = hits.filter("n > 2").select("key").distinct()
+    every = INDEXED + PROBES
+    wanted = hits.select(F.explode(F.array("id", "low", "high")).alias("id"))
+    lines = stage(thin(found.select("id", "line", "_size"), wanted, "id").distinct(), "lines", root)
+    again = lines.join(hits.filter("n > 2").select("id").distinct(), "id", "left_semi")
+    going = _entries(again, "line", every, "id", "line", "_size").join(full, "key")
+    open_ = going.select("key", "id", _what(every, 0).alias("role"), _what(every, 1).alias("d"), _rest("line", every).alias("rest")).distinct()
     level = 0
     while True:
         level += 1
         open_ = stage(open_, f"open_{level}", root)
         size = open_.groupBy("key").agg(F.sum(1 - F.col("role")).alias("ni"), F.sum("role").alias("np"))
-        size = size.filter("ni > 0 and np > 0")
-        # At each end of a key only the rests' lengths vary, by d; the indexed rests have one length.
-        open_ = open_.join(size.withColumn("big", F.col("ni") * F.col("np") > PAIRS).select("key", "big"), "key")
-        uncut = F.length("rest") - F.col("d") <= TAU
-        open_ = stage(open_.withColumn("ends", ~F.col("big") | uncut), f"sized_{level}", root)
-        one = open_.filter("ends and role = 0").select("key", F.col("id").alias("x"))
-        two = open_.filter("ends and role = 1").select("key", F.col("id").alias("y"))
+        size = size.filter("ni > 0 and np > 0").select("key", (F.col("ni") * F.col("np") > PAIRS).alias("big"))
+        sized = open_.join(size, "key").withColumn("_size", F.length("rest"))
+        sized = stage(sized.withColumn("ends", ~F.col("big") | (F.col("_size") - F.col("d") <= TAU)), f"sized_{level}", root)
+        one = sized.filter("ends and role = 0").select("key", F.col("id").alias("x"))
+        two = sized.filter("ends and role = 1").select("key", F.col("id").alias("y"))
         pairs = one.join(two, "key").filter("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
         out.append(stage(pairs.distinct(), f"near_{level}", root))
-        going = open_.filter("not ends")
+        going = sized.filter("not ends").select(F.col("key").alias("ctx"), "id", "role", "d", "rest", "_size")
         if going.isEmpty():
             break
-        text, context = F.col("rest"), F.col("key")
-        next_ = [_rows(going.filter("role = 0").withColumnRenamed("key", "ctx"), _indexed(text, F.col("ctx")), "id", "rest")]
-        for d in range(TAU + 1):
-            side = going.filter((F.col("role") == 1) & (F.col("d") == d)).withColumnRenamed("key", "ctx")
-            next_.append(_rows(side, _probed(text, F.col("ctx"), only=d), "id", "rest"))
-        every = next_[0]
-        for part in next_[1:]:
-            every = every.unionByName(part)
-        rest = F.concat(F.substr("rest", F.lit(1), F.col("at") - 1), F.substr(F.col("rest"), F.col("at") + F.col("size")))
-        open_ = every.select("key", "id", "role", "d", rest.alias("rest")).distinct()
+        # Roles and the difference of the lengths stay what they are.
+        parts = []
+        for role, d, wanted in [(0, 0, INDEXED), *((1, d, [w for w in PROBES if w[1] == d]) for d in range(TAU + 1))]:
+            side = going.filter((F.col("role") == role) & (F.col("d") == d))
+            cut = _entries(side, "rest", wanted, "id", "rest", "_size", context="ctx")
+            parts.append(cut.select("key", "id", F.lit(role).alias("role"), F.lit(d).alias("d"), _rest("rest", wanted).alias("rest")))
+        open_ = parts[0]
+        for part in parts[1:]:
+            open_ = open_.unionByName(part)
+        open_ = open_.distinct()
     pairs = out[0]
     for part in out[1:]:
         pairs = pairs.unionByName(part)
-    return pairs.distinct()
+    return pairs.distinct(), lines
+
+
+def _holds_segments(a: str, b: str) -> Column:
+    """Whether all but TAU of FINE even segments of a text occur in another one about where they
+    are; `_size` is the first one's length. TAU edits spoil TAU segments at most."""
+    size = F.col("_size")
+    base, over = F.floor(size / FINE).cast("int"), F.pmod(size, F.lit(FINE))
+    found = F.lit(0)
+    for i in range(FINE):
+        at = base * i + F.greatest(F.lit(0), over + i - FINE) + 1
+        width = base + F.when(over + i >= FINE, 1).otherwise(0)
+        start = F.greatest(F.lit(1), at - TAU)
+        near = F.substr(F.col(b), start, at + width + TAU - start)
+        found = found + F.when(near.contains(F.substr(F.col(a), at, width)), 1).otherwise(0)
+    return found >= FINE - TAU
+
+
+def _trimmed(both: DataFrame, a: str, b: str) -> DataFrame:
+    """`both` with common heads and tails cut from the two texts, in FINE steps; their edit
+    distance stays the same."""
+    least = F.least("_size", F.length(b))
+    steps = [F.floor(F.col("_least") * j / FINE).cast("int") for j in range(FINE, 0, -1)]
+    both = both.withColumn("_least", least)
+    head = F.coalesce(*[F.when(F.substr(F.col(a), F.lit(1), n) == F.substr(F.col(b), F.lit(1), n), n) for n in steps], F.lit(0))
+    both = both.withColumn("_head", head)
+    tail = F.coalesce(*[F.when((n <= F.col("_least") - F.col("_head")) & (F.right(F.col(a), n) == F.right(F.col(b), n)), n) for n in steps], F.lit(0))
+    both = both.withColumn("_tail", tail)
+    inner = lambda c: F.substr(F.col(c), F.col("_head") + 1, F.length(c) - F.col("_head") - F.col("_tail"))
+    return both.withColumns({a: inner(a), b: inner(b)})
 
 
 def links(found: DataFrame, root: str) -> DataFrame:
     """`a, b`: ids of lines within the edit distance."""
-    pairs = stage(candidates(found, root), "pairs", root)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    lines = stage(thin(found.select("id", "line"), wanted, "id").distinct(), "texts", root)
+    pairs, lines = candidates(found, root)
     side = lambda c: lines.select(F.col("id").alias(c), F.col("line").alias(f"line_{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("_size", F.length("line_a"))
+    # Most candidates share one segment and no more: those are not worth the distance.
+    both = stage(_trimmed(both.filter(_holds_segments("line_a", "line_b")), "line_a", "line_b"), "alike", root)
     return stage(both.filter(edit_within(F.col("line_a"), F.col("line_b"))).select("a", "b"), "links", root)
 
 
@@ -194,7 +242,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     found = occurrences(docs)
     joined = components(links(found, root), "a", "b").withColumnRenamed("node", "id")
     # Equal ids of unequal lines are kept apart by a second hash.
-    found = found.select("doc_id", "pos", "id", F.xxhash64(F.lit(1), "line").alias("also"))
+    found = stage(found.select("doc_id", "pos", "id", F.xxhash64(F.lit(1), "line").alias("also")), "places", root)
     first = found.groupBy("id", "also").agg(F.min(F.struct("doc_id", "pos")).alias("f"), F.count(F.lit(1)).alias("n"))
     first = stage(first, "first", root)
     joined = stage(joined, "classes", root)
