@@ -13,7 +13,7 @@ Index keys are reduced to their smallest and largest line and a count before any
 joined, so a key that two lines have at most never forms a group.  A key of more lines is
 refined: what is left of its lines without the shared part must be within the distance again,
 so the rest is cut into segments in turn, until a key holds PAIRS pairs at most or the rest is
-too short to cut.  No line is dropped or capped.
+too short to cut.  Of those pairs the ones go on whose counts of characters are near enough.  No line is dropped or capped.
 
 A class is a connected component of linked lines.  Its first line, by doc_id and then by place,
 stays; the others are removed.
@@ -25,7 +25,7 @@ equal places of both stay.  An empty table gives an empty result.  Other columns
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marketweave.llm.components import components
 from marketweave.llm.thin import split_by, thin
@@ -33,8 +33,10 @@ from marketweave.session import shared_dir, stage
 
 TAU = 2
 MIN_CHARS = 24
+#: Characters that are counted together, eight classes to a number.
+CLASSES = (("e", "a", "i", "o", "u", "n", "t", "s"), ("r", "h", "d", "l", "cm", "gfpb", "vwykjxqz", " .,"))
 FINE = 12  # segments that a candidate must share but for TAU before its distance is taken
-PAIRS = 128  # pairs a key may form without being refined
+PAIRS = 1_000_000  # pairs that a key may form inside a join without being refined
 
 
 def _let(value: Column, use) -> Column:
@@ -144,57 +146,78 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return found.withColumn("id", F.xxhash64("line"))
 
 
-def candidates(found: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
-    """`a, b`: ids of different lines that share a segment's key; and `id, line` of these lines."""
+def _histogram(text: str) -> Column:
+    """Counts of classes of characters, up to 255 each, in two numbers."""
+    out = []
+    for part in CLASSES:
+        number = F.lit(0).cast("long")
+        for k, members in enumerate(part):
+            count = F.least(F.lit(255), F.length(text) - F.length(F.translate(F.col(text), members, ""))).cast("long")
+            number = number.bitwiseOR(F.shiftleft(count, 8 * k))
+        out.append(number)
+    return F.struct(*[n.alias(f"h{j}") for j, n in enumerate(out)])
+
+
+def _alike(a: str, b: str) -> Column:
+    """Whether two histograms may be of texts within the distance: an edit moves two counts by one at most."""
+    byte = lambda c, k: F.shiftrightunsigned(c, 8 * k).bitwiseAND(F.lit(255))
+    apart = [F.abs(byte(F.col(a)[f"h{j}"], k) - byte(F.col(b)[f"h{j}"], k)) for j, part in enumerate(CLASSES) for k in range(len(part))]
+    return sum(apart, F.lit(0)) <= 2 * TAU
+
+
+def candidates(found: DataFrame, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """`a, b`: ids of different lines that share a segment's key; `id, line` of these lines; and
+    `id` of all lines that may be linked or repeated."""
     keys = _entries(found, "line", INDEXED, "id").groupBy("key")
     keys = keys.agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n"))
     # Repeats of one line are one; what holds two lines and repeats counts as a key of more.
-    keys = keys.withColumn("n", F.when(F.col("low") == F.col("high"), 1).otherwise(F.col("n")))
+    keys = keys.withColumn("again", F.col("n") > 1).withColumn("n", F.when(F.col("low") == F.col("high"), 1).otherwise(F.col("n")))
     hits = _entries(found, "line", PROBES, "id").select("key", "id").join(keys, "key")
+    # A line's own segments are among its probes, so a repeated line finds that its key is used again.
+    hits = stage(hits.filter("again or low <> id").distinct(), "hits", root)
+    seen = hits.select(F.explode(F.array("id", "low", "high")).alias("id"))
     hits = hits.filter("n > 2 or low <> id or high <> id")
-    hits = stage(hits.distinct(), "hits", root)
     near = hits.filter("n <= 2").select("id", F.explode(F.array_distinct(F.array("low", "high"))).alias("other"))
     near = near.filter("id <> other").select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b"))
     out = [near]
 
     # Keys of three lines or more: the entries of their lines again, with the rest of the line.
-    # A line's own segments are among its probes, so the hits hold the indexed lines too.
+    # For the same reason the hits hold all the indexed lines of these keys.
     full = hits.filter("n > 2").select("key").distinct()
     every = INDEXED + PROBES
     wanted = hits.select(F.explode(F.array("id", "low", "high")).alias("id"))
     lines = stage(thin(found.select("id", "line", "_size"), wanted, "id").distinct(), "lines", root)
-    again = lines.join(hits.filter("n > 2").select("id").distinct(), "id", "left_semi")
-    going = _entries(again, "line", every, "id", "line", "_size").join(full, "key")
-    open_ = going.select("key", "id", _what(every, 0).alias("role"), _what(every, 1).alias("d"), _rest("line", every).alias("rest")).distinct()
+    again = lines.join(hits.filter("n > 2").select("id").distinct(), "id", "left_semi").withColumn("hist", _histogram("line"))
+    going = _entries(again, "line", every, "id", "line", "_size", "hist").join(full, "key")
+    open_ = going.select("key", "id", "hist", _what(every, 0).alias("role"), _what(every, 1).alias("d"), _rest("line", every).alias("rest"))
     level = 0
     while True:
         level += 1
-        open_ = stage(open_, f"open_{level}", root)
-        size = open_.groupBy("key").agg(F.sum(1 - F.col("role")).alias("ni"), F.sum("role").alias("np"))
-        size = size.filter("ni > 0 and np > 0").select("key", (F.col("ni") * F.col("np") > PAIRS).alias("big"))
-        sized = open_.join(size, "key").withColumn("_size", F.length("rest"))
-        sized = stage(sized.withColumn("ends", ~F.col("big") | (F.col("_size") - F.col("d") <= TAU)), f"sized_{level}", root)
-        one = sized.filter("ends and role = 0").select("key", F.col("id").alias("x"))
-        two = sized.filter("ends and role = 1").select("key", F.col("id").alias("y"))
-        pairs = one.join(two, "key").filter("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
+        key = Window.partitionBy("key")
+        sized = open_.repartition("key").distinct()  # dealt once for the repeats and the counts
+        sized = sized.withColumns({"ni": F.sum(1 - F.col("role")).over(key), "np": F.sum("role").over(key), "_size": F.length("rest")})
+        ends = (F.col("ni") * F.col("np") <= PAIRS) | (F.col("_size") - F.col("d") <= TAU)
+        sized = stage(sized.filter("ni > 0 and np > 0").withColumn("ends", ends).drop("ni", "np"), f"sized_{level}", root)
+        one = sized.filter("ends and role = 0").select("key", F.col("id").alias("x"), F.col("hist").alias("hx"))
+        two = sized.filter("ends and role = 1").select("key", F.col("id").alias("y"), F.col("hist").alias("hy"))
+        pairs = one.join(two, "key").filter((F.col("x") != F.col("y")) & _alike("hx", "hy")).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
         out.append(stage(pairs.distinct(), f"near_{level}", root))
-        going = sized.filter("not ends").select(F.col("key").alias("ctx"), "id", "role", "d", "rest", "_size")
+        going = sized.filter("not ends").select(F.col("key").alias("ctx"), "id", "hist", "role", "d", "rest", "_size")
         if going.isEmpty():
             break
         # Roles and the difference of the lengths stay what they are.
         parts = []
         for role, d, wanted in [(0, 0, INDEXED), *((1, d, [w for w in PROBES if w[1] == d]) for d in range(TAU + 1))]:
             side = going.filter((F.col("role") == role) & (F.col("d") == d))
-            cut = _entries(side, "rest", wanted, "id", "rest", "_size", context="ctx")
-            parts.append(cut.select("key", "id", F.lit(role).alias("role"), F.lit(d).alias("d"), _rest("rest", wanted).alias("rest")))
+            cut = _entries(side, "rest", wanted, "id", "hist", "rest", "_size", context="ctx")
+            parts.append(cut.select("key", "id", "hist", F.lit(role).alias("role"), F.lit(d).alias("d"), _rest("rest", wanted).alias("rest")))
         open_ = parts[0]
         for part in parts[1:]:
             open_ = open_.unionByName(part)
-        open_ = open_.distinct()
     pairs = out[0]
     for part in out[1:]:
         pairs = pairs.unionByName(part)
-    return pairs.distinct(), lines
+    return pairs.distinct(), lines, seen
 
 
 def _holds_segments(a: str, b: str) -> Column:
@@ -226,23 +249,25 @@ def _trimmed(both: DataFrame, a: str, b: str) -> DataFrame:
     return both.withColumns({a: inner(a), b: inner(b)})
 
 
-def links(found: DataFrame, root: str) -> DataFrame:
-    """`a, b`: ids of lines within the edit distance."""
-    pairs, lines = candidates(found, root)
+def links(found: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    """`a, b`: ids of lines within the edit distance; and `id` of all lines that may be linked or repeated."""
+    pairs, lines, seen = candidates(found, root)
     side = lambda c: lines.select(F.col("id").alias(c), F.col("line").alias(f"line_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("_size", F.length("line_a"))
     # Most candidates share one segment and no more: those are not worth the distance.
     both = stage(_trimmed(both.filter(_holds_segments("line_a", "line_b")), "line_a", "line_b"), "alike", root)
-    return stage(both.filter(edit_within(F.col("line_a"), F.col("line_b"))).select("a", "b"), "links", root)
+    return stage(both.filter(edit_within(F.col("line_a"), F.col("line_b"))).select("a", "b"), "links", root), seen
 
 
 def repeated(docs: DataFrame) -> DataFrame:
     """`doc_id, removed`: the places of the lines that repeat an earlier one, of documents with any."""
     root = shared_dir(docs.sparkSession)
     found = occurrences(docs)
-    joined = components(links(found, root), "a", "b").withColumnRenamed("node", "id")
-    # Equal ids of unequal lines are kept apart by a second hash.
-    found = stage(found.select("doc_id", "pos", "id", F.xxhash64(F.lit(1), "line").alias("also")), "places", root)
+    edges, seen = links(found, root)
+    joined = components(edges, "a", "b").withColumnRenamed("node", "id")
+    # Only lines that share a key are looked at again. A second hash keeps unequal lines of equal ids apart.
+    found = found.select("doc_id", "pos", "id", F.xxhash64(F.lit(1), "line").alias("also"))
+    found = stage(thin(found, seen, "id"), "places", root)
     first = found.groupBy("id", "also").agg(F.min(F.struct("doc_id", "pos")).alias("f"), F.count(F.lit(1)).alias("n"))
     first = stage(first, "first", root)
     joined = stage(joined, "classes", root)
@@ -251,7 +276,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     linked = linked.drop("f").join(class_first, "component").select("id", "also", "f")
     alone = first.filter("n > 1").join(joined, "id", "left_anti").select("id", "also", "f")
     many = stage(alone.unionByName(linked), "many", root)
-    again = thin(found, many, "id").join(many, ["id", "also"]).filter(F.struct("doc_id", "pos") != F.col("f"))
+    again = found.join(many, ["id", "also"]).filter(F.struct("doc_id", "pos") != F.col("f"))
     return again.groupBy("doc_id").agg(F.collect_set("pos").alias("removed"))
 
 
@@ -262,7 +287,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     touched, rest = split_by(docs, gone, "doc_id")
     columns = docs.columns
     lines = F.split("text", "\n")
-    places = gone.select(F.col("doc_id").alias("_gone_id"), F.col("removed").alias("_gone"))
+    # The same plan at any size: documents that change are dealt by id, the others are not moved.
+    places = gone.hint("merge").select(F.col("doc_id").alias("_gone_id"), F.col("removed").alias("_gone"))
     touched = touched.join(places, touched["doc_id"] == F.col("_gone_id"), "left")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
     whole = _let(lines, lambda x: F.array_join(F.transform(kept, lambda i: F.get(x, i)), "\n"))
