@@ -10,6 +10,18 @@ def fold(key: str, parts: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string")), F.lit(parts)), F.lit(-1)).cast("int")
 
 
+def smallest(keys: DataFrame, key: str, rows: int) -> DataFrame:
+    """The `rows` keys with the smallest hashes.
+
+    Keys beyond four times the share that is wanted are filtered before the limit, so what
+    meets in one task does not grow with the table.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(2**40))
+    total = keys.count()
+    bound = 2**40 if total <= 4 * rows else -(-(2**40) * 4 * rows // total)
+    return keys.filter(place < bound).orderBy(place, key).limit(rows)
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, trained: Column) -> DataFrame:
     """`doc_id, text, y` of at most `rows` labelled rows, the same ones in any order of the input.
 
@@ -18,6 +30,6 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, trained: C
     """
     marks = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & trained)
     marks = marks.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("y"))
-    marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    marks = smallest(marks, "doc_id", rows)
     # At most `rows` ids and labels are sent to the executors.
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(marks), "doc_id")

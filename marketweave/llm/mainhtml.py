@@ -23,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from marketweave.llm.labelled import smallest
+
 SAMPLE_ROWS = 400  # pages that train the chain, by hashed id
 LONGEST = 200_000  # characters of a page that trains; longer ones are read, not trained on
 WIDTH = 4096  # hashed features
@@ -249,9 +251,10 @@ def _rebuilt(found: list, y: np.ndarray, rng) -> tuple[list, np.ndarray]:
 
 def train(pages: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, np.ndarray]:
     """Weights and transitions from a bounded sample of the pages that mark their article."""
-    some = pages.filter(F.col("html").contains("<article") & (F.length("html") <= LONGEST)).select("html")
-    some = some.orderBy(F.xxhash64("html")).limit(rows)
-    labelled = [m for r in sorted(r[0] for r in some.collect()) if (m := marked(r))]
+    some = pages.filter(F.col("html").contains("<article") & (F.length("html") <= LONGEST)).select("html", F.xxhash64("html").alias("h"))
+    keys = smallest(some.select("h").distinct(), "h", rows)
+    some = some.join(F.broadcast(keys), "h").groupBy("h").agg(F.min("html").alias("html"))
+    labelled = [m for r in sorted(r["html"] for r in some.collect()) if (m := marked(r))]
     rng = np.random.default_rng(11)
     every = []
     for found, y in labelled:

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from marketweave.llm import tokens
+from marketweave.llm.labelled import smallest
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 64, 32
@@ -349,8 +350,8 @@ def _around(batches):
 def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> dict:
     """The network, from a bounded sample of the texts that hold a digit or an at sign."""
     some = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("text").rlike("[0-9@]"))
-    some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    found = some.mapInArrow(_around, "doc_id long, x binary, y binary")
+    ids = smallest(some.select("doc_id").distinct(), "doc_id", rows)
+    found = some.join(F.broadcast(ids), "doc_id").mapInArrow(_around, "doc_id long, x binary, y binary")
     found = found.orderBy(F.xxhash64("x", "doc_id"), "x").limit(TRAIN_WINDOWS).collect()
     x, y = (np.array([np.frombuffer(r[c], np.int8) for r in found]).reshape(-1, WINDOW).astype(np.int64) for c in "xy")
     return fit(x, y)

@@ -31,7 +31,7 @@ def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """`text, domain` of a bounded sample of the documents in the labelled table; a document's
     domain is its language."""
     ids = labels.filter("doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
-    ids = ids.orderBy(F.xxhash64("_id"), "_id").limit(mixing.LABELLED_ROWS)
+    ids = labelled.smallest(ids, "_id", mixing.LABELLED_ROWS)
     return docs.join(F.broadcast(ids), docs["doc_id"] == F.col("_id")).select("text", F.col("lang").alias("domain"))
 
 

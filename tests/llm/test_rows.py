@@ -47,6 +47,13 @@ def test_fold_is_the_crc(spark):
     assert spark.sql("select cast(null as long) id").select(labelled.fold("id", 5)).first()[0] == -1
 
 
+def test_smallest_is_the_limit_of_the_order(spark):
+    keys = spark.range(5000).withColumnRenamed("id", "k")
+    want = {r.k for r in keys.orderBy(F.pmod(F.xxhash64("k"), F.lit(2**40)), "k").limit(100).collect()}
+    assert {r.k for r in labelled.smallest(keys, "k", 100).collect()} == want
+    assert labelled.smallest(keys, "k", 9000).count() == 5000 and labelled.smallest(keys.limit(0), "k", 5).count() == 0
+
+
 # --- quality classifier ----------------------------------------------------------------
 
 
