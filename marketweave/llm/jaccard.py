@@ -14,9 +14,10 @@ partner; `spare` is one less.  That guarantee gives three things, none of which
 - A pair that shares fewer signatures is no link, and its texts are not compared.
 - Signatures of more than GROUP sets (*hot*, as of a passage that many texts quote) form no
   pairs but those with one member.  A set stays safe while no more of its signatures are hot
-  than it has to spare.  A hot signature whose sets are all connected already does not count.
+  than it has to spare.
 - Sets that are not safe are members of large groups of copies which nearly link, or consist of
-  shared passages.  They fall into clusters by the hot signatures they share.  In a cluster the
+  shared passages.  Their components fall into clusters by the hot signatures they share; one
+  that shares none with another component is done.  In a cluster the
   sets outside of its largest component are compared with all sets of similar size, block by
   block: a block holds about BLOCK count sketches, and only pairs that these allow go on.
 
@@ -378,15 +379,15 @@ def _blocks(batches):
                 yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], schema=schema)
 
 
-def _clustered(open_: DataFrame, unsafe: DataFrame, nodes: DataFrame, root: str) -> DataFrame:
-    """Pairs `a, b` of unsafe documents of one cluster and of different components."""
-    member = open_.join(unsafe, "doc_id")
-    least = member.groupBy("sig").agg(F.min("doc_id").alias("b"))
-    shared = member.join(least, "sig").select(F.col("doc_id").alias("a"), "b").distinct()
-    cluster = components(stage(shared, "shared", root), "a", "b").select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
+def _clustered(split: DataFrame, unsafe: DataFrame, nodes: DataFrame, root: str) -> DataFrame:
+    """Pairs `a, b` of unsafe documents (`doc_id, c`) of one cluster and of different components.
+    Components fall into clusters by the hot signatures they share (`split`: `sig, c`)."""
+    least = split.groupBy("sig").agg(F.min("c").alias("b"))
+    shared = split.join(least, "sig").select(F.col("c").alias("a"), "b").distinct()
+    cluster = components(stage(shared, "shared", root), "a", "b").select(F.col("node").alias("c"), F.col("component").alias("cluster"))
     # Sizes of linked sets are within 4 / 3, three of these steps at most.
     step = F.floor(F.log("n_shingles") / F.log(F.lit(4 / 3)) * 2).cast("int")
-    kept = member.select("doc_id", "c").distinct().join(cluster, "doc_id").join(nodes.select("doc_id", "n_shingles", "sketch"), "doc_id")
+    kept = unsafe.join(cluster, "c").join(nodes.select("doc_id", "n_shingles", "sketch"), "doc_id")
     kept = stage(kept.select("cluster", step.alias("step"), "doc_id", F.col("n_shingles").alias("n"), "c", "sketch"), "members", root)
     counts = kept.groupBy("cluster", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("cluster").agg(F.max(F.struct("n", "c"))["c"].alias("main"))
     slots = kept.groupBy("cluster", "step").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("slots"))
@@ -427,13 +428,14 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     found.append(_verify(pairs, nodes, docs, root, "pairs"))
 
     joined = stage(components(_union(found), "a", "b").withColumnRenamed("node", "doc_id"), "joined", root)
-    member = hot.join(joined, "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id"))
-    split = member.groupBy("sig").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 < c1")
-    open_ = stage(member.join(split.select("sig"), "sig").select("sig", "doc_id", "c"), "open", root)
-    unsafe = open_.groupBy("doc_id").agg(F.count(F.lit(1)).alias("h")).join(spare, "doc_id").filter("h > spare")
-    unsafe = stage(unsafe.select("doc_id"), "unsafe", root)
-    if not unsafe.isEmpty():
-        rest = _verify(_clustered(open_, unsafe, nodes, root), nodes, docs, root, "rest")
+    # Documents with more hot signatures than they can spare, and the components that meet in one.
+    unsafe = needs.filter("need <= 0").select("doc_id").join(joined, "doc_id", "left")
+    unsafe = stage(unsafe.select("doc_id", F.coalesce("component", "doc_id").alias("c")), "unsafe", root)
+    met_in = stage(hot.join(unsafe, "doc_id").select("sig", "c").distinct(), "met_in", root)
+    several = met_in.groupBy("sig").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("sig")
+    split = stage(met_in.join(several, "sig"), "split", root)
+    if not split.isEmpty():
+        rest = _verify(_clustered(split, unsafe, nodes, root), nodes, docs, root, "rest")
         if not rest.isEmpty():
             joined = stage(components(_union([*found, rest]), "a", "b").withColumnRenamed("node", "doc_id"), "rejoined", root)
     out = every.select("doc_id", "n_shingles").join(joined, "doc_id", "left")
