@@ -52,8 +52,7 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Counts and verdict of each document; the trusted texts are those labelled as good."""
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     good = _table(spark, sf, "labels").filter("quality = 1")
-    trusted = labelled.sample(docs, good, "quality", rules.TRUSTED_ROWS, F.lit(True)).select("text")
-    return rules.judge(docs, rules.weights(docs, trusted))
+    return rules.judge(docs, rules.weights(docs, rules.trusted(docs, good)))
 
 
 def op7_license_scan(spark: SparkSession, sf: str) -> DataFrame:

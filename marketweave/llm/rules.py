@@ -1,10 +1,10 @@
 """Quality rules in DataFrame functions only: counts, and a hashed n-gram log-likelihood ratio.
 
-Words and pairs of neighbouring words are hashed into BUCKETS.  Their counts over trusted texts
-(a bounded sample of those labelled as good) and over all texts give two multinomials (add-one); a bucket weighs the
-logarithm of their ratio, in thousandths.  A text's ratio is the mean weight of its words and
+Words and pairs of neighbouring words are hashed into BUCKETS.  Their counts over the trusted
+texts (all that are labelled as good) and over all texts give two multinomials (add-one); a
+bucket weighs the logarithm of their ratio, in thousandths.  A text's ratio is the mean weight of its words and
 pairs.  Texts that fail the base rules, or whose ratio is below LEAST_RATIO, are not kept.  The
-counts of the raw corpus cover every row; only BUCKETS sums reach the driver.
+counts cover every row; only BUCKETS sums reach the driver.
 
 Defined results: a null text has no words; texts of fewer than 50 words fail the base rules.
 The ratio of a text without words is 0.  Without trusted texts all weights are 0.  Null ids and
@@ -17,9 +17,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marketweave.llm.decontam import _let
+from marketweave.llm.thin import thin
 
 BUCKETS = 16384
-TRUSTED_ROWS = 20000  # trusted texts that are counted, by hashed id
 LEAST_RATIO = -0.3
 LEAST_WORDS = 50
 SPACE = r"[\x20\x09-\x0D]+"
@@ -36,6 +36,14 @@ def _grams(found: Column) -> Column:
     return F.concat(one, two)
 
 
+def trusted(docs: DataFrame, good: DataFrame) -> DataFrame:
+    """`text` of every row of `docs` whose doc_id is in `good`; only texts that may be are moved."""
+    ids = good.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # The same plan at any size. A semi join would be pushed below the filter and move all texts.
+    return thin(rows, ids).join(ids.hint("merge"), "doc_id").select("text")
+
+
 def weights(docs: DataFrame, trusted: DataFrame) -> list[int]:
     """Thousandths of the log ratio of each bucket's share among `trusted` (`text`) and `docs`."""
 

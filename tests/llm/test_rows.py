@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from marketweave.llm import labelled, licenses, mainhtml, mixing, pii, quality, rules, tokens, toxicity
+from marketweave.llm import labelled, licenses, mainhtml, mixing, pii, quality, queries, rules, tokens, toxicity
 
 ODD = [None, "", " \n\t", "word", "é" * 300, "a " * 30000, "x\x00y \U0001f600 z"]
 
@@ -196,6 +196,17 @@ def test_rules_ratio(documents):
     assert rules.judge(docs.limit(0), table).count() == 0
 
 
+def test_rules_count_all_trusted_texts(spark, tmp_path):
+    """If every text is labelled as good, both counts are the same, however many texts there are."""
+    ids = spark.range(20300).withColumnRenamed("id", "doc_id")
+    text = F.concat_ws(" ", *[F.concat(F.lit("w"), F.xxhash64("doc_id", F.lit(j)).cast("string")) for j in range(3)])
+    ids.select("doc_id", text.alias("text")).write.parquet(f"{tmp_path}/documents.parquet")
+    twice = ids.unionByName(ids.limit(9)).select("doc_id", F.lit(1).alias("quality"))
+    twice.unionByName(spark.sql("select cast(null as long) doc_id, 1 quality")).write.parquet(f"{tmp_path}/labels.parquet")
+    got = queries.op6_quality_rules(spark, str(tmp_path))
+    assert got.agg(F.count("doc_id"), F.max(F.abs("ratio"))).first()[:] == (20300, 0.0)
+
+
 # --- licences --------------------------------------------------------------------------
 
 
