@@ -2,9 +2,10 @@
 
 The places of three fixed phrases are the base.  The method looks for licence notices by their
 templates.  Each template is indexed by its RARE words of highest inverse document frequency,
-counted over all texts, with their positions in the template.  The file's words that are in the
-index, of which it looks up the LOOKED_UP of highest frequency rank, vote for (template, offset),
-the offset being their place less the template's; postings are intersected by grouping on it.
+counted over all texts, with their positions in the template.  All words of a file that are in
+the index vote for (template, offset), the offset being their place less the template's; postings
+are intersected by grouping on it.  Only words of templates whose key phrase's words the file
+holds, and LEAST_SHARE of whose weight, are looked up: no other template can be verified.
 An offset that gathers LEAST_SHARE of the template's indexed weight is a candidate, and its
 mandatory key phrase must stand where the template has it.  The score is the largest share of a
 verified template, or of the template of a base label.
@@ -24,7 +25,6 @@ from marketweave.llm.decontam import _let
 from marketweave.session import shared_dir, stage
 
 RARE = 6  # and three fifths of the template's words at most
-LOOKED_UP = 12
 LEAST_SHARE = 0.5
 
 # Phrases of the base and their labels.
@@ -92,6 +92,26 @@ def index(docs: DataFrame) -> list[tuple[str, str, int, float]]:
     return out
 
 
+def _looked_up(found: Column, entries: list[tuple[str, str, int, float]]) -> Column:
+    """The index's words of every template that may be verified in a row of these words."""
+    keys = {w for _, key in TEMPLATES.values() for w in key.split()}
+
+    def wanted(held: Column) -> Column:
+        parts = []
+        for label, (_, key) in sorted(TEMPLATES.items()):
+            mine = [(w, weight) for w, of, _, weight in entries if of == label]
+            holds = F.lit(True)
+            for w in sorted(set(key.split())):
+                holds = holds & F.array_contains(held, w)
+            weight = sum((F.when(F.array_contains(held, w), x).otherwise(0.0) for w, x in mine), F.lit(0.0))
+            # Shares are rounded before they are compared.
+            enough = weight >= (LEAST_SHARE - 1e-5) * sum(x for _, x in mine)
+            parts.append(F.when(holds & enough, _strings(sorted({w for w, _ in mine}))).otherwise(F.array().cast("array<string>")))
+        return F.array_distinct(F.concat(*parts))
+
+    return _let(F.array_intersect(_strings(sorted(keys | {w for w, *_ in entries})), found), wanted)
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """`doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score` of each row."""
     spark = docs.sparkSession
@@ -102,11 +122,9 @@ def scan(docs: DataFrame) -> DataFrame:
     whole: dict[str, float] = {}
     for _, label, _, weight in entries:
         whole[label] = whole.get(label, 0.0) + weight
-    rank = {w: weight for w, _, _, weight in entries}
-    ordered = _strings(sorted(rank, key=lambda w: (-rank[w], w)))  # the file's words come out in this order
 
     # The index's words of each file, with their places.
-    held = F.slice(F.array_intersect(ordered, words("text")), 1, LOOKED_UP)
+    held = _looked_up(words("text"), entries)
     gated = docs.select("doc_id", "_h", "text", held.alias("_held")).filter(F.size("_held") > 0)
     places = _let(words("text"), lambda ws: F.filter(F.transform(ws, lambda w, i: F.struct(w.alias("word"), i.alias("place"))), lambda x: F.array_contains("_held", x["word"])))
     votes = gated.select("doc_id", "_h", F.explode(places).alias("_p")).select("doc_id", "_h", "_p.*")

@@ -236,6 +236,21 @@ def test_licenses(documents):
     assert licenses.scan(documents([])).count() == 0
 
 
+def test_licenses_all_notices_of_a_text(documents):
+    """No notice is lost among others, nor in a long text in which the index's words are scattered."""
+    notices = [text for text, _ in licenses.TEMPLATES.values()]
+    loose = sorted({w for text in notices for w in text.split()}, reverse=True)
+    scattered = " ".join(f"{w} word{i} other{i}" for i, w in enumerate(loose * 3))
+    texts = [f" xx{i} ".join(notices) for i in range(2)] + [" yy ".join(reversed(notices))]
+    texts += [f"{scattered} {text} {scattered}" for text in notices] + [scattered]
+    got = {r.doc_id: r for r in licenses.scan(documents(enumerate(texts)).repartition(3)).collect()}
+    for i in range(3):
+        assert got[i].labels == ",".join(sorted(licenses.TEMPLATES)) and got[i].score == 1
+    for i, label in enumerate(licenses.TEMPLATES, 3):
+        assert got[i].labels == label and got[i].score == 1
+    assert got[len(texts) - 1].labels == "" and got[len(texts) - 1].score == 0
+
+
 # --- personal data ---------------------------------------------------------------------
 
 PIECES = ["a.b@c.de", "@", "x@y", "1.2.3.4", "300.1.1.1", "10.20.30.40.50", "4111111111111111", "4111 1111 1111 1111", "4111-1111-1111-1112",
