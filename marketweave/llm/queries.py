@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketweave.llm import decontam, jaccard, labelled, licenses, lines, mainhtml, mixing, pii, quality, rules, toxicity
+from marketweave.llm import (
+    decontam, filter_audit, jaccard, labelled, licenses, lines, mainhtml, mixing, packing, pii, quality, rules, toxicity, whitening,
+)
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -77,6 +80,21 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.scores(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+def op11_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Pieces of each document's tokens with their places in sequences."""
+    return packing.pack(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """What each filter does in each order of the five."""
+    return filter_audit.audit(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """Whitened components of each embedding."""
+    return whitening.whiten(_table(spark, sf, "embeddings"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -88,6 +106,9 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_html_extraction": op9_html_extraction,
     "op10_toxicity": op10_toxicity,
+    "op11_packing": op11_packing,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 #: The other operators train a model or verify by hashes; tests compare them with brute force.
@@ -105,4 +126,30 @@ ORACLE: dict[str, str] = {
       r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
       SELECT n.doc_id, n.n AS n_shingles, c.component_id
       FROM n JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) c ON n.doc_id = c.a""",
+    "op12_filter_audit": r"""
+      WITH w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        e AS (SELECT t, min(doc_id) AS first FROM w GROUP BY t),
+        l AS (SELECT doc_id, coalesce(max(quality), 0) = 1 AS good, coalesce(max(toxic), 0) = 1 AS toxic FROM labels GROUP BY doc_id),
+        f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, [
+            len(ws) < 200, 100 * len(list_distinct(ws)) < 50 * len(ws),
+            100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t), regexp_matches(t, '[#$%&*|]'),
+            coalesce(w.doc_id > first, false)] AS fails
+          FROM w JOIN e USING (t) LEFT JOIN l ON w.doc_id = l.doc_id),
+        c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY ALL),
+        x AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+        o AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM x a, x b, x c, x d, x e
+          WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+        s AS (SELECT o, i AS step, o[i] AS own, o[1:i - 1] AS before FROM o, x),
+        r AS (SELECT part, o, step, own, n, good, toxic, fails[own] AS failed,
+            len(list_filter(before, lambda b: fails[b])) > 0 AS gone, len(list_filter(fails, lambda b: b)) AS k FROM c, s)
+      SELECT part, array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)), '') AS filter_order, step::int AS step,
+        coalesce(sum(n) FILTER (NOT failed AND NOT gone), 0)::bigint AS kept,
+        coalesce(sum(n) FILTER (failed AND NOT gone), 0)::bigint AS removed,
+        coalesce(sum(n) FILTER (failed AND gone), 0)::bigint AS redundant,
+        coalesce(sum(n) FILTER (failed AND k = 1), 0)::bigint AS unique_fails,
+        coalesce(sum(good) FILTER (failed AND NOT gone), 0)::bigint AS good_lost,
+        coalesce(sum(toxic) FILTER (failed AND NOT gone), 0)::bigint AS toxic_lost,
+        sum(sum(n) FILTER (failed AND NOT gone)) OVER (PARTITION BY part, own)::bigint AS shapley
+      FROM r GROUP BY part, o, step, own""",
 }

@@ -66,6 +66,17 @@ def chunks(batch: pa.RecordBatch, text: str = "text"):
         at = to
 
 
+def segments(text: bytes):
+    """A long text in parts that end where white space is."""
+    at = 0
+    while at < len(text):
+        to = min(len(text), at + CHUNK)
+        while to < len(text) and text[to] not in b" \t\n\v\f\r":
+            to += 1
+        yield text[at:to]
+        at = to
+
+
 def words(column: pa.Array, lower: bool = True) -> Words:
     data, offsets = as_bytes(column)
     if lower:
