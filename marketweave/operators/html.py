@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 from html import unescape
@@ -39,20 +40,72 @@ _TAG = re.compile(
 _ATTR = re.compile(r"""([^\s/=>]+)(?:\s*=+\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*)|))?""")
 _VALUE_WITH_SLASH = re.compile(r"""=\s*[^\s>"'][^\s>]*/\Z""")
 _REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|([a-zA-Z][a-zA-Z0-9]*)(;?)(=?))")
-_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
+
+
+def raw_end(tag: str) -> re.Pattern:
+    """What ends the content of an element that is no markup."""
+    return re.compile(rf"</{tag}(?=[\s/>])", re.I)
+
+
+_RAW_END = {tag: raw_end(tag) for tag in RAW}
+
+
+_DIGITS = re.compile(r"&#([0-9]{8,})(;?)")
+
+
+def decoded(text: str) -> str:
+    """A text with its character references read, however many digits a number has."""
+    if "&" not in text:
+        return text
+
+    def short(m: re.Match) -> str:
+        digits = m[1].lstrip("0")
+        return "\ufffd" if len(digits) > 7 else f"&#{digits or 0}{m[2]}"
+
+    return unescape(_DIGITS.sub(short, text) if "&#" in text else text)
 
 
 def unescape_attribute(value: str) -> str:
     """References of an attribute.  A name without its semicolon before ``=`` or more letters
     is part of an address, as in ``?a=1&copy=2``, and stays."""
 
-    def decoded(m: re.Match) -> str:
+    def one(m: re.Match) -> str:
         name, end, equals = m.groups()
         if name and not end and (equals or name not in html5):
             return m[0]
-        return unescape(m[0])
+        return decoded(m[0])
+
+    return _REFERENCE.sub(one, value) if "&" in value else value
+
+
+def events(html: str, raw: dict[str, re.Pattern] = _RAW_END) -> Iterator[tuple[str, str, str]]:
+    """``("text", text, "")``, ``("start", tag, attributes)`` and ``("end", tag, "")`` in page order.
 
-    return _REFERENCE.sub(decoded, value) if "&" in value else value
+    The content of ``raw`` elements is passed over.  A tag that closes itself, or a void one, gives
+    ``"void"`` instead of a start, and has no end.  Linear in the page, whatever is left open in it.
+    """
+    at, last = 0, html.rfind(">") + 1
+    found = _TAG.search(html, 0, last)
+    while found:
+        start = found.start()
+        if start > at:
+            yield "text", html[at:start], ""
+        at = found.end()
+        tag, attrs, closing = found.groups()
+        if tag:
+            tag = tag.lower()
+            alone = tag in VOID or bool(attrs and attrs[-1] == "/" and not _VALUE_WITH_SLASH.search(attrs))
+            yield "void" if alone else "start", tag, attrs
+            if tag in raw and not alone:
+                close = raw[tag].search(html, at)
+                at = close.start() if close else len(html)
+        elif closing:
+            yield "end", closing.lower(), ""
+        elif html.startswith("<!--", start) and not html.endswith(("-->", "--!>"), start + 2, at):
+            at = len(html)
+        found = _TAG.search(html, at, last)
+    if at < len(html):
+        yield "text", html[at:], ""
 
 
 class Page:
@@ -156,7 +209,7 @@ class Page:
 
     @staticmethod
     def _read(nodes: list[str], strip: bool) -> str:
-        nodes = [unescape(n) if "&" in n else n for n in nodes]
+        nodes = [decoded(n) if "&" in n else n for n in nodes]
         return "".join(n.strip() for n in nodes) if strip else "".join(nodes)
 
     def matches(self, path: tuple[Match, ...], scope: range, root: int = -1):

@@ -262,6 +262,26 @@ def test_scan_is_linear_in_broken_markup():
     assert len(Page("<div>" * 50000 + "</b>" * 50000)) == 50000
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=12))
+def test_events_are_those_of_the_page(pieces):
+    markup = "".join(pieces)
+    page, found = Page(markup), list(html.events(markup))
+    assert [tag for kind, tag, _ in found if kind in ("start", "void")] == page.tags
+    if not any(tag in NO_TEXT for tag in page.tags):
+        assert [text for kind, text, _ in found if kind == "text"] == page.texts
+
+
+@pytest.mark.parametrize(
+    "value, want",
+    [("&#" + "1" * 5000 + ";x", "\ufffdx"), ("&#" + "0" * 5000 + "65;", "A"), ("&#00000000;", "\ufffd"), ("&#99999999", "\ufffd"), ("a &#xFFFFFFFFFFFFF; b", "a \ufffd b"), ("&#65;&amp;", "A&")],
+)
+def test_references_of_any_length(spark, value, want):
+    assert html.decoded(value) == html.unescape_attribute(value) == want
+    df = spark.createDataFrame([(1, f"<nav a='{value}'>{value}</nav>")], "page_id int, html string")
+    assert pages.page_text(df, ["page_id"]).head()["text"] == want
+
+
 def test_comment_without_end_hides_the_rest():
     page = Page("<p>a<!-- b <i>c</i> d")
     assert page.tags == ["p"] and page.texts == ["a"]
