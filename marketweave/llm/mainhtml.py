@@ -7,97 +7,114 @@ a bounded sample that mark their article, and rebuilt forms of them, in which th
 stands in other wrappers among headers, notices, sidebars, forms and reader comments.  Pages
 are decoded by Viterbi; all blocks of the article are kept, whole and in order.
 
+Training reads at most SAMPLE_ROWS pages, by hashed id, of LONGEST characters at most; of an
+article's sentences the first SENTENCES may stand as decoys in its rebuilt forms.  Reading and
+decoding know no such bounds.
+
 Defined results: null or empty html, and pages without an article block, give the empty text.
+Where no page marks its article, nothing can be learned and every page gives the empty text.
 A null page_id or url keeps its row.  Repeated rows have equal results.  An empty table gives
 an empty result.  White space is what Python's `str.split` parts by.
 """
 
 from __future__ import annotations
 
-import html as references
 import re
 import zlib
+from collections import Counter
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from marketweave.llm.labelled import smallest
+from marketweave.operators import html as markup
+from marketweave.operators.html import decoded, events, raw_end
+
+cloudpickle.register_pickle_by_value(markup)
 
 SAMPLE_ROWS = 400  # pages that train the chain, by hashed id
 LONGEST = 200_000  # characters of a page that trains; longer ones are read, not trained on
 WIDTH = 4096  # hashed features
 EPOCHS = 6
+SENTENCES = 40
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 # Elements of HTML that do not part text, have no end tag, or hold no readable text.
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span"
     " strike strong sub sup time tt u var wbr br input".split()
 )
-VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "svg", "math", "object", "select"}
+#: Elements without readable text; the content of the first ones is no markup.
+RAW = {tag: raw_end(tag) for tag in ("script", "style", "textarea", "iframe", "noembed", "noframes", "xmp")}
+HIDDEN = {*RAW, "noscript", "template", "svg", "math", "object", "select", "datalist"}
+#: Ancestors of a block that count as features: the outermost and the nearest ones.
+OUTER, NEAR = 8, 16
 _ENDS_P = set("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 _MARKS = re.compile(r"[.,;:!?]")
 
 
 def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
     """`text, ancestors, share of linked text` of each block that has text. An ancestor is a tag
-    with its class names, outermost first."""
+    with its class names, outermost first.
+
+    An end tag closes up to its nearest open partner; a paragraph ends where another block starts,
+    a list item where the next one does.  Every step costs what it closes, so a page takes time in
+    proportion to its size, whatever is left open in it.
+    """
     out: list[tuple[str, tuple[str, ...], float]] = []
     stack: list[tuple[str, str]] = []
+    solid: list[int] = []  # places of the elements in the stack that part text
+    open_: Counter = Counter()
     parts: list[str] = []
-    linked = at = 0
-    raw = None
+    linked = hidden = 0
 
     def end() -> None:
         nonlocal linked
-        text = " ".join("".join(parts).split())
+        text = " ".join(decoded("".join(parts)).split()) if parts else ""
         if text:
-            out.append((text, tuple(name for tag, name in stack if tag not in INLINE), linked / len(text)))
+            near = solid if len(solid) <= OUTER + NEAR else solid[:OUTER] + solid[-NEAR:]
+            out.append((text, tuple(stack[i][1] for i in near), min(1.0, linked / len(text))))
         parts.clear()
         linked = 0
 
-    for m in _TOKEN.finditer(page):
-        if raw is None and m.start() > at:
-            text = references.unescape(page[at : m.start()])
-            parts.append(text)
-            if any(tag == "a" for tag, _ in stack):
-                linked += len(text)
-        at = m.end()
-        if not m[2]:
-            continue
-        tag = m[2].lower()
-        if raw is not None:
-            if m[1] and tag == raw:
-                raw = None
+    def close(to: int) -> None:
+        nonlocal hidden
+        for tag, _ in stack[to:]:
+            open_[tag] -= 1
+            hidden -= tag in HIDDEN
+        del stack[to:]
+        while solid and solid[-1] >= to:
+            solid.pop()
+
+    for kind, value, attrs in events(page, RAW):
+        if kind == "text":
+            if not hidden:
+                parts.append(value)
+                linked += len(value) if open_["a"] else 0
             continue
-        if tag == "br":
+        if value == "br":
             parts.append(" ")
-        elif tag not in INLINE:
+        elif value not in INLINE:
             end()
-        if m[1]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
-        elif tag in RAW:
-            raw = tag if not m[3].endswith("/") else None
-        elif tag not in VOID and not m[3].endswith("/"):
-            if tag in _ENDS_P or tag == "li":
-                closed = "li" if tag == "li" else "p"
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == closed:
-                        del stack[i:]
-                        break
-                    if stack[i][0] not in INLINE:
-                        break
-            names = " ".join(a or b or c for a, b, c in _NAMES.findall(m[3]))
-            stack.append((tag, f"{tag} {names}".strip().lower()))
-    if raw is None and at < len(page):
-        parts.append(references.unescape(page[at:]))
+        if kind == "end":
+            if open_[value]:
+                at = len(stack) - 1
+                while stack[at][0] != value:
+                    at -= 1
+                close(at)
+        elif kind == "start":
+            closed = "li" if value == "li" else "p" if value in _ENDS_P else None
+            if closed and solid and stack[solid[-1]][0] == closed:
+                close(solid[-1])
+            names = " ".join(a or b or c for a, b, c in _NAMES.findall(attrs))
+            stack.append((value, f"{value} {names}".strip().lower()))
+            open_[value] += 1
+            hidden += value in HIDDEN
+            if value not in INLINE:
+                solid.append(len(stack) - 1)
     end()
     return out
 
@@ -220,7 +237,7 @@ def _rebuilt(found: list, y: np.ndarray, rng) -> tuple[list, np.ndarray]:
     article's sentences around and inside it."""
     body = [text for (text, _, _), label in zip(found, y) if label]
     rest = [text for (text, _, _), label in zip(found, y) if not label] or ["-"]
-    sentences = [s for text in body for s in re.split(r"(?<=[.!?]) ", text)][:40]
+    sentences = [s for text in body for s in re.split(r"(?<=[.!?]) ", text)][:SENTENCES]
     wrap = _WRAP[rng.integers(len(_WRAP))]
     pages: list[tuple[str, list[str], int]] = []
 
