@@ -1,7 +1,9 @@
 """Line dedup by a segment-partition edit join, in DataFrame functions only.
 
-Lines of MIN_CHARS characters or more are compared; shorter ones (list marks, table cells,
-blank lines) stay where they are.  Two lines link when their edit distance is TAU at most.
+Lines of MIN_CHARS characters or more are compared by edit distance: two link when it is TAU at
+most.  Shorter lines that hold a letter or digit are alike only if they are equal, as two edits
+make another word of a short one; shorter ones without (list marks, rules, blank lines) stay.
+
 A line of length l is cut into TAU + 1 even segments.  A line within the distance holds one of
 them unchanged, shifted by little: the probe of a line of length l + d looks up, for d of 0 to
 TAU and each segment, only the substrings whose shift leaves enough edits for both sides.
@@ -10,10 +12,15 @@ meets lines of one length.  Candidates must share all but TAU of FINE finer segm
 they differ in is verified by a banded bit-parallel edit distance.
 
 Index keys are reduced to their smallest and largest line and a count before anything is
-joined, so a key that two lines have at most never forms a group.  A key of more lines is
-refined: what is left of its lines without the shared part must be within the distance again,
-so the rest is cut into segments in turn, until a key holds PAIRS pairs at most or the rest is
-too short to cut.  Of those pairs the ones go on whose counts of characters are near enough.  No line is dropped or capped.
+joined, so a key that two lines have at most never forms a group.  A key of more lines keeps
+what is left of them without the shared part; those rests must be within the distance again.
+If they form PAIRS pairs at most, the ones go on whose counts of characters are near enough.
+Rests of a larger group lose the head and the tail that all of them share, which changes no
+distance.  If CORE characters are left at most, as in lines of one template that differ in a
+number, no pair is formed: each rest names its variants within the distance (two places open,
+one character less, and so on), all that name one variant are within the distance of its smallest
+indexed line, and each links with that one.  Longer rests are cut into segments in turn.
+No line is dropped or capped, and no link is lost.
 
 A class is a connected component of linked lines.  Its first line, by doc_id and then by place,
 stays; the others are removed.
@@ -25,7 +32,9 @@ equal places of both stay.  An empty table gives an empty result.  Other columns
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from marketweave.llm.components import components
 from marketweave.llm.thin import split_by, thin
@@ -36,7 +45,10 @@ MIN_CHARS = 24
 #: Characters that are counted together, eight classes to a number.
 CLASSES = (("e", "a", "i", "o", "u", "n", "t", "s"), ("r", "h", "d", "l", "cm", "gfpb", "vwykjxqz", " .,"))
 FINE = 12  # segments that a candidate must share but for TAU before its distance is taken
-PAIRS = 1_000_000  # pairs that a key may form inside a join without being refined
+PAIRS = 10_000  # pairs that a key may form
+CORE = 12  # characters up to which the rests of a larger group name their variants
+#: Unicode's noncharacters, which no text holds: an open place, and what stands for a part cut out.
+HOLE, MARKS = "\ufdd0", [chr(c) for c in range(0xFDD1, 0xFDF0)]
 
 
 def _let(value: Column, use) -> Column:
@@ -126,12 +138,16 @@ def _entries(df: DataFrame, text: str, wanted: list[tuple], *columns: str, conte
     return df.select(*columns, F.posexplode(F.array(*keys)).alias("entry", "key")).filter("key is not null")
 
 
-def _rest(text: str, wanted: list[tuple]) -> Column:
-    """The text without the substring of its entry."""
-    cases = []
+def _rest(text: str, wanted: list[tuple], level: int) -> Column:
+    """The text with marks for the substring of its entry.
+
+    TAU + 1 marks keep what stands before the shared part from what stands behind it: two edits
+    cannot bring something across.  So texts are within the distance if their rests are.
+    """
+    cases, mark = [], MARKS[level % len(MARKS)] * (TAU + 1)
     for number, (_, d, i, shift) in enumerate(wanted):
         at, size = _cut(d, i)
-        cases.append(f"when {number} then concat(substring({text}, 1, {at} + {shift} - 1), substring({text}, {at} + {shift} + {size}))")
+        cases.append(f"when {number} then concat(substring({text}, 1, {at} + {shift} - 1), '{mark}', substring({text}, {at} + {shift} + {size}))")
     return F.expr(f"case entry {' '.join(cases)} end")
 
 
@@ -140,9 +156,10 @@ def _what(wanted: list[tuple], field: int) -> Column:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """`doc_id, pos, line, id, _size` of each line that is compared."""
-    found = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    found = found.withColumn("_size", F.length("line")).filter(F.col("_size") >= MIN_CHARS)
+    """`doc_id, text_id, pos, line, id, _size` of each line that may be removed."""
+    text_id = F.xxhash64("text").alias("text_id")
+    found = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), text_id, F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    found = found.withColumn("_size", F.length("line")).filter((F.col("_size") >= MIN_CHARS) | F.col("line").rlike(r"[\p{L}\p{N}]"))
     return found.withColumn("id", F.xxhash64("line"))
 
 
@@ -165,9 +182,49 @@ def _alike(a: str, b: str) -> Column:
     return sum(apart, F.lit(0)) <= 2 * TAU
 
 
-def candidates(found: DataFrame, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """`a, b`: ids of different lines that share a segment's key; `id, line` of these lines; and
-    `id` of all lines that may be linked or repeated."""
+def _common(a: str, b: str) -> Column:
+    """How many characters two texts begin with together."""
+    both = F.struct(F.split(a, "").alias("a"), F.split(b, "").alias("b"), F.least(F.length(a), F.length(b)).alias("n"))
+    step = lambda x: lambda s, i: F.when((s == i) & (F.get(x["a"], i) == F.get(x["b"], i)), s + 1).otherwise(s)
+    run = lambda x: F.aggregate(F.sequence(F.lit(0), x["n"] - 1), F.lit(0), step(x))
+    return F.when(F.least(F.length(a), F.length(b)) == 0, 0).otherwise(_let(both, run))
+
+
+def _variants(df: DataFrame) -> DataFrame:
+    """`v, id, role`: hashes of what a rest is within the distance of, by role and difference of length.
+
+    Of rests of one length: two places open, or one character less.  Of an indexed one and one that
+    is a character longer: one place open, the character left out.  Two longer: both left out.  All
+    that share one of these are within two edits of the indexed ones among them.  Two open places in
+    front of all spare the cases of short rests.
+    """
+    text = f"concat('{HOLE}{HOLE}', rest)"
+    n = "(length(rest) + 2)"
+    less = lambda t, i: f"concat(left({t}, {i} - 1), substring({t}, {i} + 1))"
+    open_ = lambda t, i: f"concat(left({t}, {i} - 1), '{HOLE}', substring({t}, {i} + 1))"
+    each = lambda body, size=n, i="i": f"transform(sequence(1, {size}), {i} -> {body})"
+    hashed = lambda kind, value: f"xxhash64(key, {kind}, {value})"
+    pairs = lambda kind, change: f"filter(flatten({each(each(f'if(i < j, {hashed(kind, change(change(text, 'j'), 'i'))}, null)', i='j'))}), h -> h is not null)"
+    two_open, one_less = pairs(0, open_), each(hashed(1, less(text, "i")))
+    one_open = each(hashed(2, open_(text, "i")))
+    less_open = f"flatten({each(each(hashed(2, open_(less(text, 'j'), 'i')), f'{n} - 1'), i='j')})"
+    kinds = f"""case when role = 0 then concat({two_open}, {one_less}, {one_open}, array({hashed(3, text)}))
+        when d = 0 then concat({two_open}, {one_less}) when d = 1 then {less_open} else {pairs(3, less)} end"""
+    return df.select(F.explode(F.array_distinct(F.expr(kinds))).alias("v"), "id", "role")
+
+
+def _stars(df: DataFrame) -> DataFrame:
+    """`a, b`: each line with the smallest indexed one that shares a variant with it."""
+    named = _variants(df)
+    center = named.groupBy("v").agg(F.min(F.when(F.col("role") == 0, F.col("id"))).alias("center"), F.min("id").alias("low"), F.max("id").alias("high"))
+    center = center.filter("center is not null and low <> high").select("v", "center")
+    found = named.join(center, "v").filter("id <> center").select(F.greatest("id", "center").alias("a"), F.least("id", "center").alias("b"))
+    return found.distinct()
+
+
+def candidates(found: DataFrame, root: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """`a, b`: ids of different lines that share a segment's key; ids that are within the distance
+    for sure; `id, line` of these lines; and `id` of all lines that may be linked or repeated."""
     keys = _entries(found, "line", INDEXED, "id").groupBy("key")
     keys = keys.agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n"))
     # Repeats of one line are one; what holds two lines and repeats counts as a key of more.
@@ -179,7 +236,7 @@ def candidates(found: DataFrame, root: str) -> tuple[DataFrame, DataFrame, DataF
     hits = hits.filter("n > 2 or low <> id or high <> id")
     near = hits.filter("n <= 2").select("id", F.explode(F.array_distinct(F.array("low", "high"))).alias("other"))
     near = near.filter("id <> other").select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b"))
-    out = [near]
+    out, sure = [near], [near.filter("false")]
 
     # Keys of three lines or more: the entries of their lines again, with the rest of the line.
     # For the same reason the hits hold all the indexed lines of these keys.
@@ -189,35 +246,39 @@ def candidates(found: DataFrame, root: str) -> tuple[DataFrame, DataFrame, DataF
     lines = stage(thin(found.select("id", "line", "_size"), wanted, "id").distinct(), "lines", root)
     again = lines.join(hits.filter("n > 2").select("id").distinct(), "id", "left_semi").withColumn("hist", _histogram("line"))
     going = _entries(again, "line", every, "id", "line", "_size", "hist").join(full, "key")
-    open_ = going.select("key", "id", "hist", _what(every, 0).alias("role"), _what(every, 1).alias("d"), _rest("line", every).alias("rest"))
+    open_ = going.select("key", "id", "hist", _what(every, 0).alias("role"), _what(every, 1).alias("d"), _rest("line", every, 0).alias("rest"))
     level = 0
     while True:
         level += 1
-        key = Window.partitionBy("key")
-        sized = open_.repartition("key").distinct()  # dealt once for the repeats and the counts
-        sized = sized.withColumns({"ni": F.sum(1 - F.col("role")).over(key), "np": F.sum("role").over(key), "_size": F.length("rest")})
-        ends = (F.col("ni") * F.col("np") <= PAIRS) | (F.col("_size") - F.col("d") <= TAU)
-        sized = stage(sized.filter("ni > 0 and np > 0").withColumn("ends", ends).drop("ni", "np"), f"sized_{level}", root)
-        one = sized.filter("ends and role = 0").select("key", F.col("id").alias("x"), F.col("hist").alias("hx"))
-        two = sized.filter("ends and role = 1").select("key", F.col("id").alias("y"), F.col("hist").alias("hy"))
+        open_ = stage(open_.distinct(), f"open_{level}", root)
+        size, back = F.length("rest"), F.reverse("rest")
+        ends = [F.min("rest").alias("lo"), F.max("rest").alias("hi"), F.min(back).alias("rlo"), F.max(back).alias("rhi"), F.min(size).alias("least"), F.max(size).alias("most")]
+        groups = open_.groupBy("key").agg(F.sum(1 - F.col("role")).alias("ni"), F.sum("role").alias("np"), *ends).filter("ni > 0 and np > 0")
+        groups = groups.withColumn("few", F.col("ni") * F.col("np") <= PAIRS)
+        groups = groups.withColumn("head", F.when(~F.col("few"), _common("lo", "hi")).otherwise(0))
+        groups = groups.withColumn("tail", F.when(~F.col("few"), F.least(_common("rlo", "rhi"), F.col("least") - F.col("head"))).otherwise(0))
+        kind = F.when(F.col("few"), 0).when(F.col("most") - F.col("head") - F.col("tail") <= CORE, 1).otherwise(2)
+        sized = open_.join(groups.select("key", kind.alias("kind"), "head", "tail"), "key")
+        sized = sized.withColumn("rest", F.when(F.col("kind") > 0, F.substr("rest", F.col("head") + 1, F.length("rest") - F.col("head") - F.col("tail"))))
+        sized = stage(sized.withColumn("_size", F.length("rest")).drop("head", "tail"), f"sized_{level}", root)
+        one = sized.filter("kind = 0 and role = 0").select("key", F.col("id").alias("x"), F.col("hist").alias("hx"))
+        two = sized.filter("kind = 0 and role = 1").select("key", F.col("id").alias("y"), F.col("hist").alias("hy"))
         pairs = one.join(two, "key").filter((F.col("x") != F.col("y")) & _alike("hx", "hy")).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
         out.append(stage(pairs.distinct(), f"near_{level}", root))
-        going = sized.filter("not ends").select(F.col("key").alias("ctx"), "id", "hist", "role", "d", "rest", "_size")
-        if going.isEmpty():
+        left = {r["kind"] for r in sized.select("kind").distinct().collect()}  # three at most
+        if 1 in left:
+            sure.append(stage(_stars(sized.filter("kind = 1")), f"stars_{level}", root))
+        if 2 not in left:
             break
+        going = sized.filter("kind = 2").select(F.col("key").alias("ctx"), "id", "hist", "role", "d", "rest", "_size")
         # Roles and the difference of the lengths stay what they are.
         parts = []
         for role, d, wanted in [(0, 0, INDEXED), *((1, d, [w for w in PROBES if w[1] == d]) for d in range(TAU + 1))]:
             side = going.filter((F.col("role") == role) & (F.col("d") == d))
             cut = _entries(side, "rest", wanted, "id", "hist", "rest", "_size", context="ctx")
-            parts.append(cut.select("key", "id", "hist", F.lit(role).alias("role"), F.lit(d).alias("d"), _rest("rest", wanted).alias("rest")))
-        open_ = parts[0]
-        for part in parts[1:]:
-            open_ = open_.unionByName(part)
-    pairs = out[0]
-    for part in out[1:]:
-        pairs = pairs.unionByName(part)
-    return pairs.distinct(), lines, seen
+            parts.append(cut.select("key", "id", "hist", F.lit(role).alias("role"), F.lit(d).alias("d"), _rest("rest", wanted, level).alias("rest")))
+        open_ = reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, out).distinct(), reduce(DataFrame.unionByName, sure).distinct(), lines, seen
 
 
 def _holds_segments(a: str, b: str) -> Column:
@@ -251,23 +312,27 @@ def _trimmed(both: DataFrame, a: str, b: str) -> DataFrame:
 
 def links(found: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
     """`a, b`: ids of lines within the edit distance; and `id` of all lines that may be linked or repeated."""
-    pairs, lines, seen = candidates(found, root)
+    pairs, sure, lines, seen = candidates(found, root)
+    pairs = pairs.join(sure, ["a", "b"], "left_anti")
     side = lambda c: lines.select(F.col("id").alias(c), F.col("line").alias(f"line_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("_size", F.length("line_a"))
     # Most candidates share one segment and no more: those are not worth the distance.
     both = stage(_trimmed(both.filter(_holds_segments("line_a", "line_b")), "line_a", "line_b"), "alike", root)
-    return stage(both.filter(edit_within(F.col("line_a"), F.col("line_b"))).select("a", "b"), "links", root), seen
+    near = both.filter(edit_within(F.col("line_a"), F.col("line_b"))).select("a", "b")
+    return stage(near.unionByName(sure), "links", root), seen
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """`doc_id, removed`: the places of the lines that repeat an earlier one, of documents with any."""
+    """`doc_id, text_id, removed`: the places of the lines that repeat an earlier one, of texts with any."""
     root = shared_dir(docs.sparkSession)
-    found = occurrences(docs)
+    every = occurrences(docs)
+    found = every.filter(F.col("_size") >= MIN_CHARS)
     edges, seen = links(found, root)
     joined = components(edges, "a", "b").withColumnRenamed("node", "id")
     # Only lines that share a key are looked at again. A second hash keeps unequal lines of equal ids apart.
-    found = found.select("doc_id", "pos", "id", F.xxhash64(F.lit(1), "line").alias("also"))
-    found = stage(thin(found, seen, "id"), "places", root)
+    place = ["doc_id", "text_id", "pos", "id", F.xxhash64(F.lit(1), "line").alias("also")]
+    short = every.filter(F.col("_size") < MIN_CHARS).select(*place)
+    found = stage(thin(found.select(*place), seen, "id").unionByName(short), "places", root)
     first = found.groupBy("id", "also").agg(F.min(F.struct("doc_id", "pos")).alias("f"), F.count(F.lit(1)).alias("n"))
     first = stage(first, "first", root)
     joined = stage(joined, "classes", root)
@@ -277,7 +342,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     alone = first.filter("n > 1").join(joined, "id", "left_anti").select("id", "also", "f")
     many = stage(alone.unionByName(linked), "many", root)
     again = found.join(many, ["id", "also"]).filter(F.struct("doc_id", "pos") != F.col("f"))
-    return again.groupBy("doc_id").agg(F.collect_set("pos").alias("removed"))
+    return again.groupBy("doc_id", "text_id").agg(F.collect_set("pos").alias("removed"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -288,8 +353,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     lines = F.split("text", "\n")
     # The same plan at any size: documents that change are dealt by id, the others are not moved.
-    places = gone.hint("merge").select(F.col("doc_id").alias("_gone_id"), F.col("removed").alias("_gone"))
-    touched = touched.join(places, touched["doc_id"] == F.col("_gone_id"), "left")
+    places = gone.hint("merge").select(F.col("doc_id").alias("_gone_id"), F.col("text_id").alias("_gone_text"), F.col("removed").alias("_gone"))
+    touched = touched.join(places, (touched["doc_id"] == F.col("_gone_id")) & (F.xxhash64("text") == F.col("_gone_text")), "left")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
     whole = _let(lines, lambda x: F.array_join(F.transform(kept, lambda i: F.get(x, i)), "\n"))
     text = F.when(F.col("_gone").isNull() | F.col("text").isNull(), F.col("text")).otherwise(whole)

@@ -203,31 +203,89 @@ def changed(rng, line, edits):
     return "".join(line)
 
 
-@pytest.mark.parametrize("pairs", [4, 32, 1024])
-def test_line_dedup(documents, monkeypatch, pairs):
-    monkeypatch.setattr(lines, "PAIRS", pairs)
-    rng = random.Random(pairs)
-    base = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(18, 50))) for _ in range(40)]
-    rows = [(i, "\n".join(changed(rng, rng.choice(base[:6] if rng.random() < 0.6 else base), rng.randrange(0, 4)) for _ in range(rng.randrange(0, 9)))) for i in range(80)]
-    rows += [(None, base[0]), (500, None), (501, ""), (502, "\n\n")]
-    found = [(i, p, x) for i, t in rows if i is not None and t is not None for p, x in enumerate(t.split("\n")) if len(x) >= lines.MIN_CHARS]
+def deduped(rows):
+    """Text and number of removed lines of each document, all pairs of lines compared."""
+    found = [(i, p, x) for i, t in rows if i is not None and t is not None for p, x in enumerate(t.split("\n"))]
+    found = [(i, p, x) for i, p, x in found if len(x) >= lines.MIN_CHARS or re.search(r"[^\W_]", x)]
     unique = sorted({x for *_, x in found})
-    near = [(a, b) for i, a in enumerate(unique) for b in unique[:i] if abs(len(a) - len(b)) <= lines.TAU and distance(a, b) <= lines.TAU]
-    assert len(near) > 20
-    root = roots(unique, near)
-    first = {}
+    long = sorted((x for x in unique if len(x) >= lines.MIN_CHARS), key=len)
+    near = []
+    for i, a in enumerate(long):
+        for b in reversed(long[:i]):
+            if len(a) - len(b) > lines.TAU:
+                break
+            if distance(a, b) <= lines.TAU:
+                near.append((a, b))
+    root, first = roots(unique, near), {}
     for i, p, x in sorted(found):
         first.setdefault(root[x], (i, p))
-    want = {}
+    kept_places, removable = set(first.values()), {(i, p) for i, p, _ in found}
+    want = []
     for i, t in rows:
         if i is None or t is None:
-            want[i] = (t, 0)
+            want.append((i, t, 0))
             continue
         cut = t.split("\n")
-        kept = [x for p, x in enumerate(cut) if len(x) < lines.MIN_CHARS or first[root[x]] == (i, p)]
-        want[i] = ("\n".join(kept), len(cut) - len(kept))
+        kept = [x for p, x in enumerate(cut) if (i, p) not in removable or (i, p) in kept_places]
+        want.append((i, "\n".join(kept), len(cut) - len(kept)))
+    return want, near
+
+
+@pytest.mark.parametrize("pairs, core", [(4, 14), (1024, 12)])
+def test_line_dedup(documents, monkeypatch, pairs, core):
+    monkeypatch.setattr(lines, "PAIRS", pairs)
+    monkeypatch.setattr(lines, "CORE", core)
+    rng = random.Random(pairs)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(18, 50))) for _ in range(40)]
+    rows = [(i, "\n".join(changed(rng, rng.choice(base[:6] if rng.random() < 0.6 else base), rng.randrange(0, 4)) for _ in range(rng.randrange(0, 9)))) for i in range(80)]
+    rows += [(90 + i, rng.choice(["Accept all", "-", "* * *", "", "  ", "1.", base[i], "x" * 30]) + "\nAccept all cookies") for i in range(20)]
+    rows += [(None, base[0]), (500, None), (501, ""), (502, "\n\n")]
+    want, near = deduped(rows)
+    assert len(near) > 20
     got = lines.dedup_lines(documents(rows)).collect()
-    assert {r.doc_id: (r.text, r._removed) for r in got} == want and all(r.score == "x" for r in got)
+    assert {r.doc_id: (r.text, r._removed) for r in got} == {i: (t, n) for i, t, n in want} and all(r.score == "x" for r in got)
+    assert sum("Accept all cookies" in (r.text or "") for r in got) == 1
+
+
+def test_lines_of_templates(documents, monkeypatch):
+    """Numbers in one, two and odd places of lines, so that members are near by chains only."""
+    monkeypatch.setattr(lines, "PAIRS", 1)
+    rng = random.Random(6)
+    forms = [
+        lambda: f"Page {rng.randrange(10000):04d} of the yearly report of this company",
+        lambda: f"Order {rng.randrange(300)} was sent to customer {rng.randrange(300)} by post",
+        lambda: f"{rng.randrange(100000)} visitors have read this article so far",
+        lambda: f"This text was last changed at {rng.randrange(24):02d}:{rng.randrange(60):02d}",
+        lambda: "Mixed lines of equal length " + "".join(rng.choice("abcd") for _ in range(6)),
+    ]
+    rows = [(i, "\n".join(rng.choice(forms)() for _ in range(4))) for i in range(160)]
+    want, near = deduped(rows)
+    got = {(r.doc_id, r.text, r._removed) for r in lines.dedup_lines(documents(rows)).collect()}
+    assert len(near) > 1000 and got == set(want)
+
+
+def test_variants_link_what_is_within_the_distance(spark):
+    """Stars of variants give the components of all pairs of an indexed rest and a probed one."""
+    rng = random.Random(13)
+    for turn in range(6):
+        n = turn if turn < 3 else rng.randrange(3, 8)
+        rests = list({"".join(rng.choice("ab1") for _ in range(n + d)) for d in (0, 0, 1, 2) for _ in range(12)})
+        rows = [(7, i, 0, 0, r) for i, r in enumerate(rests) if len(r) == n] + [(7, i, 1, len(r) - n, r) for i, r in enumerate(rests)]
+        df = spark.createDataFrame(rows, "key long, id long, role int, d int, rest string")
+        got = [(r.a, r.b) for r in lines._stars(df).collect()]
+        assert all(distance(rests[a], rests[b]) <= lines.TAU for a, b in got)
+        want = [(a, b) for _, a, role, _, x in rows if role == 0 for _, b, other, _, y in rows if other == 1 and a != b and distance(x, y) <= lines.TAU]
+        ids = [str(i) for i in range(len(rests))]
+        text = lambda pairs: [(str(a), str(b)) for a, b in pairs]
+        assert roots(ids, text(got)) == roots(ids, text(want))
+
+
+def test_lines_of_repeated_ids(documents):
+    line = "The very same line stands in both of these rows"
+    rows = [(1, line), (1, line), (1, "x\n" + line), (2, line), (1, "A short one\nOnly here"), (3, "A short one")]
+    got = sorted((r.doc_id, r.text, r._removed) for r in lines.dedup_lines(documents(rows)).collect())
+    # Equal lines at equal places of one id stay, others go.
+    assert got == sorted([(1, line, 0), (1, line, 0), (1, "x", 1), (2, "", 1), (1, "A short one\nOnly here", 0), (3, "", 1)])
 
 
 def test_line_dedup_is_native(documents):

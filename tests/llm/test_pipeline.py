@@ -7,9 +7,9 @@ import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from marketweave.llm import lines, mixing, quality
+from marketweave.llm import mixing, quality
 
-from .test_pairs import distance, linked, roots, shingles
+from .test_pairs import deduped, linked, roots, shingles
 from .test_rows import ODD, junk, prose
 
 DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long, score string"
@@ -82,19 +82,9 @@ def test_quality_stage(spark, folder, steps):
 def test_line_stage(steps):
     _, before, after = steps[1]
     rows = {r.doc_id: r.text for r in before.collect()}
-    found = [(i, p, x) for i, t in rows.items() if i is not None and t is not None for p, x in enumerate(t.split("\n")) if len(x) >= lines.MIN_CHARS]
-    unique = sorted({x for *_, x in found})
-    near = [(a, b) for i, a in enumerate(unique) for b in unique[:i] if abs(len(a) - len(b)) <= lines.TAU and distance(a, b) <= lines.TAU]
-    root, first = roots(unique, near), {}
-    for i, p, x in sorted(found):
-        first.setdefault(root[x], (i, p))
     want = {}
-    for i, t in rows.items():
-        if i is None or t is None:
-            want[i] = t
-            continue
-        kept = "\n".join(x for p, x in enumerate(t.split("\n")) if len(x) < lines.MIN_CHARS or first[root[x]] == (i, p))
-        if kept == t or re.search(r"[^\x20\x09-\x0D]", kept):
+    for i, kept, removed in deduped(list(rows.items()))[0]:
+        if not removed or re.search(r"[^\x20\x09-\x0D]", kept):
             want[i] = kept
     assert texts_of(after) == want and any(t != rows[i] for i, t in want.items())
     assert all(r.n_chars == len(r.text) for r in after.collect() if r.doc_id is not None and r.text is not None and r.doc_id < 150)
