@@ -420,11 +420,13 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     sizes = nodes.groupBy("doc_id").agg(F.max("n_shingles").alias("n"), F.count_distinct("n_shingles").alias("texts"))
     # What a linked pair shares at least, besides hot signatures; several texts of one id count on nothing.
     need = F.when(F.col("texts") > 1, 0).otherwise(F.col("spare") + 1 - F.coalesce("h", F.lit(0)))
-    needs = stage(spare.join(heat, "doc_id", "left").join(sizes, "doc_id").select("doc_id", F.col("n").alias("size"), need.alias("need")), "needs", root)
-    side = lambda c: needs.select(F.col("doc_id").alias(c), F.col("size").alias(f"size_{c}"), F.col("need").alias(f"need_{c}"))
+    needs = stage(spare.join(heat, "doc_id", "left").join(sizes, "doc_id").select("doc_id", F.col("n").alias("size"), need.alias("need"), "texts"), "needs", root)
+    side = lambda c: needs.select(F.col("doc_id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("size", "need", "texts")])
     pairs = met.filter(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("n").alias("n")).join(side("a"), "a").join(side("b"), "b")
     need = F.when(F.col("size_a") > F.col("size_b"), F.col("need_a")).when(F.col("size_a") < F.col("size_b"), F.col("need_b")).otherwise(F.greatest("need_a", "need_b"))
-    pairs = pairs.filter((F.col("n") >= need) & (4 * F.least("size_a", "size_b") >= 3 * F.greatest("size_a", "size_b"))).select("a", "b")
+    # Several texts of one id have sizes of their own, which the verification knows.
+    sized = (4 * F.least("size_a", "size_b") >= 3 * F.greatest("size_a", "size_b")) | (F.greatest("texts_a", "texts_b") > 1)
+    pairs = pairs.filter(((F.col("n") >= need) | (F.greatest("texts_a", "texts_b") > 1)) & sized).select("a", "b")
     found.append(_verify(pairs, nodes, docs, root, "pairs"))
 
     joined = stage(components(_union(found), "a", "b").withColumnRenamed("node", "doc_id"), "joined", root)

@@ -8,6 +8,8 @@ target adds one, a negation before an insult lowers it, and so does a verb of re
 head of the clause.  The cascade is composed into one table before any text is read.  A
 document's score is a logistic function of its clauses' weights, fitted on the same rows.
 
+The lexicon keeps the LEXICON entries of most evidence; SAMPLE_ROWS bounds the labelled rows.
+
 Defined results: null, empty and white texts have no clause and get the score of texts without
 any match.  Without labels of both kinds the lexicon is empty and every score is the share of
 label 1, or 0 without labels.  A null doc_id is scored and not held out.  Repeated rows score
@@ -30,6 +32,7 @@ from marketweave.llm.labelled import fold, sample
 SAMPLE_ROWS = 20000
 LEXICON = 4000  # entries kept, by evidence
 STEMS = (4, 5, 6)  # leading characters that may be an entry
+THREATENED = 3.0  # weight of a threat against a target, about that of a learned entry
 LEAST = 3  # toxic texts an entry must be in
 THRESHOLD = 0.3
 
@@ -61,7 +64,7 @@ def threats(state: int, symbol: int):
     if symbol == THREAT:
         return 3, symbol, 1.0, 0.0
     if state and symbol in (TARGET, INSULT):
-        return 0, symbol, 1.0, 0.5
+        return 0, symbol, 1.0, THREATENED
     return max(0, state - 1), symbol, 1.0, 0.0
 
 
@@ -115,12 +118,10 @@ def grammar() -> list[list[tuple[int, float, float]]]:
     return compose(insults, threats, targets, negations, reports)
 
 
-def automaton(lexicon: dict[str, float]) -> ahocorasick.Automaton | None:
-    """Finds lexicon entries in a text whose words are parted by one space. Stems end in `*`."""
-    if not lexicon:
-        return None
+def automaton(lexicon: dict[str, float]) -> ahocorasick.Automaton:
+    """Finds lexicon entries and threats in a text whose words are parted by one space. Stems end in `*`."""
     found = ahocorasick.Automaton()
-    for entry in lexicon:
+    for entry in [*lexicon, *CLOSED[THREAT].split()]:
         found.add_word(" " + entry[:-1] if entry.endswith("*") else f" {entry} ", entry)
     found.make_automaton()
     return found
@@ -133,7 +134,7 @@ def _weight(word: str, lexicon: dict[str, float]) -> float:
 def features(text: str | None, lexicon: dict[str, float], found, table) -> tuple[float, ...]:
     """Sum and largest of the weights of matched clauses, matches, and matches per hundred words."""
     text = (text or "").lower()
-    if found is None or next(found.iter(" " + GAP.sub(" ", text) + " "), None) is None:
+    if next(found.iter(" " + GAP.sub(" ", text) + " "), None) is None:
         return 0.0, 0.0, 0.0, 0.0
     total = most = 0.0
     matches = n_words = 0
@@ -145,8 +146,9 @@ def features(text: str | None, lexicon: dict[str, float], found, table) -> tuple
             symbol = INSULT if own else TAGS.get(word, OTHER)
             state, factor, added = table[state][symbol]
             weight += own * factor + added
-            hit |= own > 0
-            matches += own > 0
+            matched = own > 0 or added >= THREATENED
+            hit |= matched
+            matches += matched
         if hit:
             total += weight
             most = max(most, weight)

@@ -96,6 +96,15 @@ def test_jaccard_passages_that_everyone_quotes(documents, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_jaccard_texts_of_one_id(documents):
+    """An id links where any of its texts does, however large the others are."""
+    rng = random.Random(17)
+    small, large = words(rng, 60, 5000), words(rng, 600, 5000)
+    rows = [(1, " ".join(large)), (1, " ".join(small)), (2, " ".join([*small, "more"])), (3, " ".join(["less", *large])), (4, " ".join(words(rng, 60, 5000)))]
+    got = jaccard.jaccard_components(documents(rows)).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
 def test_jaccard_keeps_one(documents):
     text = " ".join(f"a{i}" for i in range(40))
     rows = [(5, text), (2, text + " z"), (9, "else where it is"), (None, text), (7, ""), (8, ""), (9, "else where it is")]

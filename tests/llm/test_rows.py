@@ -549,6 +549,14 @@ def test_toxicity_on_held_out_documents(spark, documents):
     assert next(r for r in found if r.doc_id is None).predicted == 1
 
 
+def test_threats_count_by_themselves():
+    found, table = toxicity.automaton({}), toxicity.grammar()
+    read = lambda text: toxicity.features(text, {}, found, table)
+    assert read("I will hunt you down and kill you") > read("I will hunt you") > read("") == (0.0, 0.0, 0.0, 0.0)
+    assert read("We hunt for mushrooms and kill time") == read("I thank you") == read("")
+    assert read("Hunt.\nYou")[0] == 0.0
+
+
 def test_toxicity_without_labels(spark, documents):
     none = labels_of(spark, [], "toxic")
     assert [r.predicted for r in toxicity.scores(documents([(1, "scum")]), none).collect()] == [0]
