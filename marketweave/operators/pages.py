@@ -1,6 +1,7 @@
 """Page table to record table: one Arrow pass over the HTML, then plain columns.
 
-``extract_records`` is the only Python stage of the package.  It streams Arrow batches
+``extract_records`` is the only Python stage of the package, and ``jvm=True`` spares plain pages
+even that.  It streams Arrow batches
 through a task, emits one row per record, and leaves the HTML behind, so nothing
 downstream ever shuffles markup.  It keeps the partitioning of the scan: large inputs
 have splits enough, and moving raw pages costs more than parsing them where they are.
@@ -9,15 +10,16 @@ have splits enough, and moving raw pages costs more than parsing them where they
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import parse, text
-from . import html as html_module
+from . import html as html_module, plain
 from .html import Match, Page
 
 # The page pass carries its own code to the executors; they need nothing installed.
@@ -63,6 +65,10 @@ class Rule:
         return page.text(first, strip=self.kind == "text")
 
 
+def _reason(failure: Exception) -> str:
+    return f"{type(failure).__name__}: {failure}"[:500]
+
+
 @dataclass(frozen=True)
 class Profile:
     """What a record is on one kind of page.
@@ -76,8 +82,20 @@ class Profile:
     fields: dict[str, Rule] = field(hash=False)
     record: Match | None = None
 
-    def records(self, html: str) -> Iterator[list]:
-        page = Page(html, self.regions[0] if self.regions else None)
+    def attempts(self, html: str | bytes | None) -> Iterator[tuple[int | None, list | None, str | None]]:
+        """Number, fields and, instead of the fields, the reason why there are none."""
+        try:
+            page = Page(html.decode() if isinstance(html, bytes) else html or "", self.regions[0] if self.regions else None)
+            for n, read in enumerate(self.records(page), 1):
+                try:
+                    yield n, read(), None
+                except Exception as failure:
+                    yield n, None, _reason(failure)
+        except Exception as failure:
+            yield None, None, _reason(failure)
+
+    def records(self, page: Page) -> Iterator[Callable[[], list]]:
+        """What reads the fields of each record of a page."""
         scope, outer, root = range(len(page)), None, -1
         for region in self.regions:
             found = next(page.matches((region,), scope, root), None)
@@ -89,7 +107,10 @@ class Profile:
         outer = scope if outer is None else outer
         scopes = [scope] if self.record is None else map(page.inside, page.matches((self.record,), scope, root))
         for own in scopes:
-            yield [rule.read(page, outer if rule.outer else own, root) for rule in self.fields.values()]
+            yield partial(self._read, page, own, outer, root)
+
+    def _read(self, page: Page, own: range, outer: range, root: int) -> list:
+        return [rule.read(page, outer if rule.outer else own, root) for rule in self.fields.values()]
 
 
 # Markup of the listing pages and of the product pages.
@@ -131,31 +152,56 @@ PRODUCT_PAGE = Profile(
 
 
 def extract_records(
-    pages: DataFrame, profile: Profile, keep: list[str] | None = None, html: str = "html"
+    pages: DataFrame,
+    profile: Profile,
+    keep: list[str] | None = None,
+    html: str = "html",
+    error: str | None = None,
+    jvm: bool = False,
 ) -> DataFrame:
-    """One row per record of each page: ``keep`` columns, 1-based ``pos``, profile fields."""
+    """One row per record of each page: ``keep`` columns, 1-based ``pos``, profile fields.
+
+    ``html`` is text, or bytes of UTF-8.  A page that cannot be read, or a record of it, does not
+    end the job and leaves the others as they are: with ``error`` it gives a row whose column of
+    that name holds the reason, with null fields (and a null ``pos`` if no record can be told);
+    without it gives none.  With ``jvm`` plainly written pages are read by built-in expressions
+    and the Arrow pass only gets the others; each branch scans the table.
+    """
     keep = [c for c in pages.columns if c != html] if keep is None else keep
-    types = [_ARROW[r.type] for r in profile.fields.values()]
-    names = list(profile.fields)
+    types = [_ARROW[r.type] for r in profile.fields.values()] + [pa.string()] * bool(error)
+    names = [*profile.fields, *([error] if error else [])]
     schema = T.StructType([pages.schema[c] for c in keep])
     schema = schema.add("pos", T.IntegerType())
     for name, rule in profile.fields.items():
         schema = schema.add(name, T.DataType.fromDDL(rule.type))
+    if error:
+        schema = schema.add(error, T.StringType())
 
     # A page without what the attributes of a region must hold has no records.
-    for region in profile.regions:
-        if region.needle:
-            pages = pages.filter(F.col(html).contains(region.needle) | F.col(html).contains("&"))
+    if isinstance(pages.schema[html].dataType, T.StringType):
+        for region in profile.regions:
+            if region.needle:
+                pages = pages.filter(F.col(html).contains(region.needle) | F.col(html).contains("&"))
+        if jvm:
+            plain_page = plain.is_plain(F.col(html))
+            found = pages.filter(plain_page).select(*keep, F.posexplode(plain.records(profile, f"`{html}`")).alias("pos", "_r"))
+            found = found.select(*keep, (F.col("pos") + 1).alias("pos"), *[F.col("_r")[c].alias(c) for c in profile.fields])
+            rest = extract_records(pages.filter(~plain_page), profile, keep, html, error)
+            return found.unionByName(rest, allowMissingColumns=True)
+
+    width = len(profile.fields)
 
     def parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             source, pos = [], []
             values = [[] for _ in names]
             for row, markup in enumerate(batch.column(len(keep)).to_pylist()):
-                for n, record in enumerate(profile.records(markup or ""), 1):
+                for n, record, reason in profile.attempts(markup):
+                    if reason and not error:
+                        continue
                     source.append(row)
                     pos.append(n)
-                    for column, value in zip(values, record):
+                    for column, value in zip(values, [*(record or [None] * width), *([reason] if error else [])]):
                         column.append(value)
             kept = [batch.column(i).take(pa.array(source, pa.int64())) for i in range(len(keep))]
             fields = [pa.array(v, t) for v, t in zip(values, types)]
@@ -202,13 +248,13 @@ def _number_lost(field_text: str, pattern: str, value: Column) -> Column:
     return F.coalesce(F.col(field_text).rlike(pattern) & value.isNull(), F.lit(False))
 
 
-def product_details(pages: DataFrame, keep: list[str], all_or_nothing: bool = False) -> DataFrame:
-    """Brand, description, review count and score, one row per product page.
+def product_details(pages: DataFrame, keep: list[str], all_or_nothing: bool = False, jvm: bool = False) -> DataFrame:
+    """Brand, description, review count and score, one row per product page that can be read.
 
     A count or score that is punctuation only is null.  With ``all_or_nothing`` such a page
     gives no row at all, so its product stays without any detail.
     """
-    found = extract_records(pages, PRODUCT_PAGE, keep=keep)
+    found = extract_records(pages, PRODUCT_PAGE, keep=keep, jvm=jvm)
     reviews, score = parse.parse_reviews("reviews_text"), parse.parse_score("score_text")
     if all_or_nothing:
         found = found.filter(
@@ -221,13 +267,3 @@ def product_details(pages: DataFrame, keep: list[str], all_or_nothing: bool = Fa
         reviews.alias("total_reviews"),
         score.alias("review_score"),
     )
-
-
-def flat_matches(pages: DataFrame, pattern: str, field_name: str, keep: list[str], html: str = "html") -> DataFrame:
-    """Records that a flat pattern describes (group 1), without a Python worker.
-
-    For repeated tags that do not nest, such as menu links or paragraphs.  Fields are as the
-    markup has them: character references stay, so join keys are read by ``extract_records``.
-    """
-    found = F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1))
-    return pages.select(*keep, F.posexplode(found).alias("pos", field_name)).withColumn("pos", F.col("pos") + 1)

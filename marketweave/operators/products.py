@@ -11,10 +11,15 @@ from .quality import dedupe_keep_first
 from .skew import join_unique
 
 
-def page_cards(pages: DataFrame, keep: list[str], profile: P.Profile = P.LISTING_PAGE) -> DataFrame:
-    """Cards with a link, one row each; ``malformed`` marks those that give no product."""
-    cards = P.extract_records(pages, profile, keep=keep).filter(P.has_link())
-    return cards.withColumn("malformed", P.is_malformed())
+def page_cards(pages: DataFrame, keep: list[str], profile: P.Profile = P.LISTING_PAGE, jvm: bool = False) -> DataFrame:
+    """Cards with a link, one row each; ``malformed`` marks those that give no product.
+
+    A page or card that could not be read is a malformed row too; ``error`` says why.
+    """
+    cards = P.extract_records(pages, profile, keep=keep, error="error", jvm=jvm)
+    failed = F.col("error").isNotNull()
+    malformed = failed | F.coalesce(P.is_malformed(), F.lit(False))
+    return cards.filter(failed | P.has_link()).withColumn("malformed", malformed)
 
 
 def to_products(cards: DataFrame, run_date: str, root_url: Column | str = "url", order: list[str] = ()) -> DataFrame:
@@ -64,8 +69,8 @@ def enrich(
 
 
 def detail_rows(
-    pages: DataFrame, url: str = "url", all_or_nothing: bool = False, order: list[str] = ()
+    pages: DataFrame, url: str = "url", all_or_nothing: bool = False, order: list[str] = (), jvm: bool = False
 ) -> DataFrame:
     """Detail rows of a table of product pages, keyed like the products, with ``order`` columns."""
-    rows = P.product_details(pages, keep=[url, *order], all_or_nothing=all_or_nothing)
+    rows = P.product_details(pages, keep=[url, *order], all_or_nothing=all_or_nothing, jvm=jvm)
     return rows.select(F.col(url).alias(TABLE_KEY), *DETAIL_COLUMNS, *order)

@@ -23,10 +23,11 @@ def extract(pages: DataFrame, listings: DataFrame, run_date: str) -> DataFrame:
     ``pages`` has ``page_url`` (the listing's search URL), ``page_no`` and ``html``.  Pages are
     parsed before the join, so the join moves small records instead of markup.
     """
-    return _listed(page_cards(pages, keep=["page_url", "page_no"]), listings, run_date)
+    return listed(page_cards(pages, keep=["page_url", "page_no"]), listings, run_date)
 
 
-def _listed(cards: DataFrame, listings: DataFrame, run_date: str) -> DataFrame:
+def listed(cards: DataFrame, listings: DataFrame, run_date: str) -> DataFrame:
+    """Cards joined with their listings' columns, as listing records."""
     found = join_unique(cards, listings.select("page_url", "url", *LISTING_KEYS), "page_url", "inner")
     return to_products(found, run_date, order=LISTING_ORDER)
 
@@ -62,8 +63,8 @@ def wanted_pages(detail_pages: DataFrame, products: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class Run:
     """What a run leaves: ``clean`` rows; ``profile``, missing values per column before anything
-    is coerced or dropped; ``summary``, one row of counts; ``quarantine``, the cards that gave
-    no product; ``root``, the folder of its stage tables, to be removed by the caller."""
+    is coerced or dropped; ``summary``, one row of counts; ``quarantine``, the cards and pages that
+    gave no product, with the ``error`` of those that could not be read; ``root``, the folder of its stage tables, to be removed by the caller."""
 
     clean: DataFrame
     profile: DataFrame
@@ -85,7 +86,7 @@ def full_run(
     root = shared_dir(pages.sparkSession)
     cards = stage(page_cards(pages, keep=["page_url", "page_no"]), "cards", root)
     good, quarantine = split_malformed(cards, F.col("malformed"))
-    products = _listed(good, listings, run_date)
+    products = listed(good, listings, run_date)
     enriched = stage(transform(products, detail_pages, detail_order, limit, root=root), "enriched", root)
     counts = cards.agg(F.count(F.lit(1)).alias("cards"), F.count_if("malformed").alias("malformed"))
     lost = cards.join(listings.select("page_url"), "page_url", "left_anti").agg(F.count(F.lit(1)).alias("without_listing"))

@@ -1,14 +1,18 @@
 """Cards and product pages from markup."""
 
+import random
+import sys
 from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from marketweave.functions import text
-from marketweave.operators import catalog, html, pages, products, quality
+from marketweave.operators import catalog, html, pages, plain, products, quality
 from marketweave.operators.html import NO_TEXT, VOID, Match, Page
 from marketweave.plans import run
 
@@ -282,6 +286,84 @@ def test_references_of_any_length(spark, value, want):
     assert pages.page_text(df, ["page_id"]).head()["text"] == want
 
 
+# Pieces of plain pages, and some that are not.
+PLAIN_PIECES = [
+    "<div>", "</div>", "</div>", "<p>", "</p>", "<b>", "</b>", "<br>", "<br/>", "<hr />", "</br>", '<img src="a b">', '<div class="a  b" id="z">', '<div id="z">',
+    '<a href="x?a=1&amp;b=2">', "</a>", "</a>", "text ", " ", " &amp; ", "&amp;lt;", "&nbsp;", "<h2>", "</h2>", "<li>", "</li>", '<span class="b a">', '<span class="ab">',
+    "</span>", '<b href="y" href="z">', "\u2003x\x1c", "<i>deep</i>", "é", "<ul>", "</ul>", '<input disabled>', "<!-- c -->", "a < b", "<P>", "&copy;", "<script>1</script>",
+]
+CHECKED = [
+    pages.Profile((), {"first": pages.Rule("text", (Match("b"),)), "raw": pages.Rule("raw", (Match("p"),)), "all": pages.Rule("texts", (Match("div"), Match("li")))}),
+    pages.Profile(
+        (Match("div", ("a",)),),
+        {
+            "href": pages.Rule("attr", (Match("a"),), attr="href"), "there": pages.Rule("present", (Match("h2"), Match(classes=("b",)))),
+            "name": pages.Rule("text", (Match("span"),), within=Match("h2")), "out": pages.Rule("texts", (Match("b"),), outer=True),
+            "deep": pages.Rule("text", (Match("div"), Match("ul"), Match("li"))), "any": pages.Rule("present", (Match("i"),), within=Match("p")),
+        },
+        record=Match("li"),
+    ),
+    pages.Profile((Match("div"), Match("div", id="z")), {"t": pages.Rule("texts", (Match(attr=("src", "a b")),)), "x": pages.Rule("raw", (Match("p"),), outer=True)}, record=Match("div", class_attr="a b")),
+]
+
+
+@pytest.mark.parametrize("number", range(len(CHECKED)))
+def test_plain_pages_are_read_alike(spark, number):
+    """The same records from expressions and from the Arrow pass, on generated pages."""
+    rng, rows = random.Random(number), []
+    for i in range(3000):
+        some = PLAIN_PIECES if i % 3 == 0 else PLAIN_PIECES[:36]
+        body = "".join(rng.choice(some) for _ in range(rng.randrange(0, 22)))
+        rows.append((i, body if i % 2 else f'<div class="a">{body}<ul><li>{body}</li></ul></div>'))
+    rows += [(-1, None), (-2, ""), (-3, "<div>" * 30)]
+    df = spark.createDataFrame(rows, "page_id int, html string").repartition(4)
+    assert df.filter(plain.is_plain(F.col("html"))).count() > 1500
+    one = pages.extract_records(df, CHECKED[number], keep=["page_id"])
+    two = pages.extract_records(df, CHECKED[number], keep=["page_id"], jvm=True)
+    assert two.schema.simpleString() == one.schema.simpleString()
+    want, got = sorted(map(str, one.collect())), sorted(map(str, two.collect()))
+    assert len(want) > 150 and got == want
+
+
+def test_plain_pages_need_no_worker(spark):
+    page = REGION.format(before="", after="", cards=card(LINK, NAME)).replace("\n", "")
+    df = spark.createDataFrame([(1, page)], "page_id int, html string")
+    found = products.page_cards(df, ["page_id"], jvm=True)
+    assert df.filter(plain.is_plain(F.col("html"))).count() == 1 and found.count() == 1
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1  # the branch of the others
+
+
+def test_a_page_that_raises_leaves_the_others(spark):
+    good = REGION.format(before="", after="", cards=card(LINK, NAME)).encode()
+    rows = [(1, good), (2, b"\xff" + good), (3, None), (4, good)]
+    df = spark.createDataFrame(rows, "page_id int, html binary")
+    found = {r.page_id: r for r in products.page_cards(df, ["page_id"]).collect()}
+    assert sorted(found) == [1, 2, 4] and found[1].name_text == found[4].name_text == "Cat Food"
+    assert found[2].malformed and found[2].error.startswith("UnicodeDecodeError") and found[2].pos is None
+    assert [r.page_id for r in pages.extract_records(df, pages.LISTING_PAGE, ["page_id"]).collect()] == [1, 4]
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+class Picky(pages.Rule):
+    def read(self, page, scope, root):
+        value = super().read(page, scope, root)
+        if value == "/dp/2":
+            raise ValueError("no such product")
+        return value
+
+
+def test_a_record_that_raises_leaves_the_others(spark):
+    cards = "".join(card(f'<a class="a-link-normal" href="/dp/{i}">x</a>', NAME) for i in range(1, 5))
+    df = spark.createDataFrame([(1, REGION.format(before="", after="", cards=cards))], "page_id int, html string")
+    listing = pages.LISTING_PAGE
+    picky = pages.Profile(listing.regions, {**listing.fields, "href": Picky("attr", (Match("a", ("a-link-normal",)),), attr="href")}, listing.record)
+    rows = products.page_cards(df, ["page_id"], picky).orderBy("pos").collect()
+    assert [(r.pos, r.href, r.error) for r in rows] == [(1, "/dp/1", None), (2, None, "ValueError: no such product"), (3, "/dp/3", None), (4, "/dp/4", None)]
+    assert [r.pos for r in rows if r.malformed] == [2]
+
+
 def test_comment_without_end_hides_the_rest():
     page = Page("<p>a<!-- b <i>c</i> d")
     assert page.tags == ["p"] and page.texts == ["a"]

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 PARSE_PAGES = {
     "q_page_region", "q_page_cards", "q_page_detail", "q_product_details", "q_card_project", "q_skip_malformed",
     "q_page_links", "q_resolve_url", "q_block_links", "q_strip_text", "q_run_counts", "q_run_quarantine",
-    "q_enrich_pages", "q_enrich_recollected",
+    "q_enrich_pages", "q_enrich_recollected", "q_page_errors", "q_skip_malformed_jvm", "q_card_project_jvm", "q_product_details_jvm",
 }
 # Products and cards are staged: what is left to plan parses nothing more.
 STAGED = {"q_listing_run", "q_listing_run_all", "q_run_profile", "q_run_summary", "q_run_quarantine"}
@@ -33,7 +33,9 @@ def test_plan(spark, name):
     # Markup is never moved once it is collected: it may be redistributed before parsing
     # (small test files), but no exchange above the page pass carries it.
     above = plan.split("MapInArrow")[0]
-    assert not re.search(r"\bhtml#", above) or name not in PARSE_PAGES
+    assert not re.search(r"\bhtml#", above) or name not in PARSE_PAGES or name.endswith("_jvm")
+    if name.endswith("_jvm"):  # the branch of expressions: what it generates has left the markup behind
+        assert re.search(r"Generate posexplode\(.*?\), \[[^\]]*\]", above) and not re.search(r"Generate posexplode\(.*\), \[[^\]]*\bhtml#[^\]]*\], false", above)
 
 
 def reads(plan):

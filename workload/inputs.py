@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def wide(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
-    """The wanted columns of a table; more splits than the files have come from the session's settings."""
+    """The wanted columns of a table, in the splits of its files."""
     rows = table(spark, sf, name)
     return rows.select(*columns) if columns else rows
 
@@ -42,6 +42,15 @@ ARTICLE = Profile(
 )
 
 
+def dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of keys dealt out to all cores before they become markup.
+
+    The number is asked for, so adaptive execution leaves it: by the size of the keys it would
+    put them together again, but what they become is a thousand times as large.
+    """
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def order_pages(spark: SparkSession, sf: str) -> DataFrame:
     """One listing page per order: ``page_url, page_no, html``.
 
@@ -51,8 +60,7 @@ def order_pages(spark: SparkSession, sf: str) -> DataFrame:
     orders = wide(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     customer = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
-    # Keys are dealt out before they become markup.
-    row = orders.repartition("o_orderkey").join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
+    row = dealt(orders, "o_orderkey").join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
         nation, F.col("c_nationkey") == F.col("n_nationkey")
     )
     query = text.normalize_query("c_mktsegment", "n_name")
@@ -122,7 +130,7 @@ def customer_pages(spark: SparkSession, sf: str) -> DataFrame:
     Negative balance: the page lacks its centre column.  Segment MACHINERY: no brand.
     """
     customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal", "c_nationkey")
-    row = customer.repartition("c_custkey").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    row = dealt(customer, "c_custkey").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     brand = F.when(
         F.col("c_mktsegment") != "MACHINERY",
         F.concat(

@@ -261,6 +261,17 @@ ORACLE: dict[str, str] = {
     "q_skip_malformed": """
       SELECT o_orderkey AS page_no, 2 AS pos, '/dp/x' AS href FROM orders JOIN customer ON o_custkey = c_custkey
       WHERE o_orderstatus = 'F'""",
+    "q_page_errors": f"""
+      SELECT page_id, pos::INTEGER AS pos, href, {strip(decode('label'))} AS label, NULL AS error FROM (
+        SELECT page_id, unnest(hrefs) AS href, unnest(labels) AS label, unnest(generate_series(1, len(hrefs))) AS pos
+        FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)"', 1) AS hrefs,
+          regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)<', 1) AS labels FROM pages WHERE page_id % 7 <> 3)) WHERE href <> ''
+      UNION ALL SELECT page_id, NULL, NULL, NULL, 'UnicodeDecodeError' FROM pages WHERE page_id % 7 = 3""",
+    "q_card_project_jvm": PRODUCTS,
+    "q_product_details_jvm": DETAILS,
+    "q_skip_malformed_jvm": """
+      SELECT o_orderkey AS page_no, 2 AS pos, '/dp/x' AS href FROM orders JOIN customer ON o_custkey = c_custkey
+      WHERE o_orderstatus = 'F'""",
     "q_enrich_left": """
       SELECT doc_id, lang, CASE WHEN l.doc_id IS NOT NULL THEN l.quality ELSE n_chars END AS quality, CAST(toxic AS DOUBLE) AS toxic
       FROM documents LEFT JOIN labels l USING (doc_id)""",

@@ -226,6 +226,32 @@ def q_skip_malformed(spark, sf):
     return quarantine.select("page_no", "pos", "href")
 
 
+def q_page_errors(spark, sf):
+    """Menu links of pages kept as bytes, of which some are no text, with the reason in their place."""
+    broken = F.concat(F.unhex(F.lit("FF")), F.encode("html", "UTF-8"))
+    raw = collected_pages(spark, sf).withColumn("html", F.when(F.col("page_id") % 7 == 3, broken).otherwise(F.encode("html", "UTF-8")))
+    found = pages.extract_records(raw, I.MENU, keep=["page_id"], error="error")
+    found = found.filter(F.col("error").isNotNull() | pages.has_link())
+    return found.select("page_id", "pos", "href", "label", F.substring_index("error", ":", 1).alias("error"))
+
+
+def q_skip_malformed_jvm(spark, sf):
+    """The same cards from pages without a Python worker, but for a third that hold a comment."""
+    comment = F.when(F.col("page_no") % 3 == 0, "<!-- > -->").otherwise("")
+    collected = I.order_pages(spark, sf).withColumn("html", F.concat("html", comment))
+    cards = products.page_cards(collected, keep=["page_no"], jvm=True)
+    return quality.split_malformed(cards, F.col("malformed"))[1].select("page_no", "pos", "href")
+
+
+def q_card_project_jvm(spark, sf):
+    cards = products.page_cards(I.order_pages(spark, sf), keep=["page_url", "page_no"], jvm=True)
+    return run.listed(cards, I.order_listings(spark, sf), I.RUN_DATE)
+
+
+def q_product_details_jvm(spark, sf):
+    return products.detail_rows(I.customer_pages(spark, sf), jvm=True)
+
+
 # --- enrichment, limits ----------------------------------------------------------------
 
 
