@@ -57,8 +57,32 @@ def check_constraints(df: DataFrame, not_null: list[str] = TABLE_NOT_NULL, uniqu
         raise ValueError("; ".join(f"{r['constraint']}: {r['violations']} rows" for r in broken))
 
 
-def rows_to_insert(batch: DataFrame, target: DataFrame, order: list[str | Column], key: str = TABLE_KEY) -> DataFrame:
-    """Rows of ``batch`` an insert-only upsert adds to ``target``.
+KEY_PART = "key_part"
+
+
+def key_part(key: Column | str, parts: int) -> Column:
+    """The number of the part of a partitioned target in which a key is; null keys are in part 0."""
+    return F.coalesce(F.pmod(F.xxhash64(key), F.lit(parts)), F.lit(0)).cast("int")
+
+
+def touched_parts(batch: DataFrame, target: DataFrame, parts: int, key: str = TABLE_KEY) -> DataFrame:
+    """Of a target partitioned by ``key_part`` what may hold keys of the batch.
+
+    The driver learns which parts the batch touches (``parts`` numbers at most) and its smallest
+    and largest key.  The scan then lists the folders of these parts only, and skips the row groups
+    whose keys are all smaller or larger; so it grows with the batch and not with the target.
+    """
+    known = batch.filter(F.col(key).isNotNull())
+    seen = known.agg(F.collect_set(key_part(key, parts)).alias("parts"), F.min(key).alias("low"), F.max(key).alias("high")).head()
+    if not seen["parts"]:
+        return target.filter("false")
+    return target.filter(F.col(KEY_PART).isin(sorted(seen["parts"])) & F.col(key).between(seen["low"], seen["high"]))
+
+
+def rows_to_insert(
+    batch: DataFrame, target: DataFrame, order: list[str | Column], key: str = TABLE_KEY, parts: int | None = None
+) -> DataFrame:
+    """Rows of ``batch`` an insert-only upsert adds to ``target``; ``parts`` if that is partitioned by key.
 
     A key that exists is left alone, the first row of a new key wins, and rows without a key
     never conflict: those pass without a shuffle, so they cannot meet in one task.  Of the
@@ -66,6 +90,7 @@ def rows_to_insert(batch: DataFrame, target: DataFrame, order: list[str | Column
     key, and a target that is bucketed by it is not moved at all.
     """
     first = dedupe_keep_first(batch.filter(F.col(key).isNotNull()), [key], order)
+    target = touched_parts(batch, target, parts, key) if parts else target
     known = target.filter(F.col(key).isNotNull()).select(key)
     new = first.join(known, key, "left_anti").select(*batch.columns)
     return new.unionByName(batch.filter(F.col(key).isNull()))

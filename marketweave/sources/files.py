@@ -65,7 +65,8 @@ def _typed(column: str, kind: T.DataType | None) -> Column:
 def write_json(df: DataFrame, path: str, partition_by: list[str] = (), order: list[str | Column] = ()) -> None:
     """JSON lines, nulls written out, replacing an earlier run of the same partitions.
 
-    Partitions that ``df`` has no rows of stay as they are.
+    Partitions that ``df`` has no rows of stay as they are; ``write_listings`` with the listings
+    of the run clears those that were emptied.
 
     With ``order`` rows are range-partitioned by listing and order: file after file holds
     the rows in sequence, and a listing that owns many rows is cut into several files.
@@ -79,17 +80,57 @@ def write_json(df: DataFrame, path: str, partition_by: list[str] = (), order: li
 LISTING_LAYOUT = ["marketplace_key", "category_key", "subcategory_key"]
 
 
-def write_listings(df: DataFrame, root: str, order: list[str | Column] = ()) -> None:
+def run_manifest(df: DataFrame, listings: DataFrame) -> DataFrame:
+    """One row per listing of a run: its folder names, ``products``, and ``state``.
+
+    ``listings`` has the three name columns of every listing the run visited, and may have
+    ``failed``.  A listing is ``written`` if it delivered rows, ``emptied`` if it delivered none,
+    and ``kept`` if it failed, whatever it delivered before that.  Rows of listings that the run
+    does not know are ``written``.  Counting is partial in the map tasks.
+    """
+    keys = {key: F.coalesce(safe_key(key.removesuffix("_key")), F.lit("")) for key in LISTING_LAYOUT}
+    failed = F.coalesce(F.col("failed"), F.lit(False)) if "failed" in listings.columns else F.lit(False)
+    visited = listings.select(*[v.alias(k) for k, v in keys.items()], failed.alias("failed"))
+    visited = visited.groupBy(*LISTING_LAYOUT).agg(F.max("failed").alias("failed"))
+    counted = df.select(*[v.alias(k) for k, v in keys.items()]).groupBy(*LISTING_LAYOUT).agg(F.count(F.lit(1)).alias("products"))
+    both = visited.join(counted, LISTING_LAYOUT, "full").withColumn("products", F.coalesce("products", F.lit(0)))
+    state = F.when(F.col("failed"), "kept").when(F.col("products") == 0, "emptied").otherwise("written")
+    return both.select(*LISTING_LAYOUT, "products", state.alias("state"))
+
+
+def write_listings(
+    df: DataFrame, root: str, order: list[str | Column] = (), listings: DataFrame | None = None, run: str | None = None
+) -> DataFrame | None:
     """Product rows under ``root/<marketplace>/<category>/<subcategory>``, in listing order.
 
     The folder names are path-safe copies of the three columns, so the rows stay whole;
     ``order`` columns set the sequence and are not written.  A listing replaces its own
     folder; other listings stay.
+
+    With the ``listings`` of the run, one that was visited and is empty now replaces its folder by
+    a row without values, which ``scan_products`` passes over, so rows of an earlier run do not
+    outlive it; a failed one keeps its folder and its rows of this run are left out.  What became
+    of each listing is returned, and appended to ``root/_manifest`` under the name of the run.
+    All listings go out in one write.
     """
     keys = {key: safe_key(key.removesuffix("_key")) for key in LISTING_LAYOUT}
-    keyed = _partitioned(df.withColumns(keys), LISTING_LAYOUT, order).drop(*order)
+    manifest = None
+    if listings is not None:
+        df = stage(df, "delivered")
+        manifest = stage(run_manifest(df, listings), "manifest")
+        kept = manifest.filter("state = 'kept'").select(*LISTING_LAYOUT)
+        plain = {f"_{key}": F.coalesce(value, F.lit("")) for key, value in keys.items()}
+        same = [F.col(f"_{key}") == kept[key] for key in LISTING_LAYOUT]
+        df = df.withColumns(plain).join(kept, same, "left_anti").drop(*plain)
+    keyed = df.withColumns(keys)
+    if manifest is not None:
+        keyed = keyed.unionByName(manifest.filter("state = 'emptied'").select(*LISTING_LAYOUT), allowMissingColumns=True)
+    keyed = _partitioned(keyed, LISTING_LAYOUT, order).drop(*order)
     writer = keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LISTING_LAYOUT)
     writer.option("ignoreNullFields", False).json(root)
+    if manifest is not None:
+        manifest.withColumn("run", F.lit(run).cast("string")).write.mode("append").json(f"{root.rstrip('/')}/_manifest")
+    return manifest
 
 
 def _partitioned(df: DataFrame, partition_by: list[str], order: list) -> DataFrame:

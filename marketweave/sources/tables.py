@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..operators.upsert import conform, rows_to_insert
+from ..operators.upsert import KEY_PART, conform, key_part, rows_to_insert
 from ..schemas import TABLE, TABLE_KEY, TABLE_NOT_NULL
 from ..session import stage
 from .files import write_csv
@@ -23,16 +23,28 @@ def table_name(run_key: str) -> str:
     return run_key.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
 
 
-def create_table(spark: SparkSession, table: str, buckets: int | None = None) -> None:
+def create_table(spark: SparkSession, table: str, buckets: int | None = None, parts: int | None = None) -> None:
     """The managed table, if it does not exist: a number and the fixed columns.
 
     ``buckets`` stores the rows by key, so that an upsert into a large table moves only the batch.
+    ``parts`` stores them in that many folders by a hash of the key, so that an upsert reads only
+    the folders its batch touches; the table remembers the number.
     """
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TABLE)
     clustered = f" CLUSTERED BY ({TABLE_KEY}) INTO {buckets} BUCKETS" if buckets else ""
+    if parts:
+        columns += f", {KEY_PART} int"
+        clustered = f" PARTITIONED BY ({KEY_PART}){clustered} TBLPROPERTIES ('{KEY_PART}s' = '{parts}')"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ID} bigint, {columns}) USING parquet{clustered}")
 
 
+def _parts(spark: SparkSession, table: str) -> int | None:
+    """The number of parts that a table was created with."""
+    if KEY_PART not in spark.table(table).columns:
+        return None
+    return int(spark.sql(f"SHOW TBLPROPERTIES {table} ('{KEY_PART}s')").head()["value"])
+
+
 def insert_new(batch: DataFrame, table: str, order: list[str | Column]) -> int:
     """Insert-only upsert of conformed rows; returns how many rows were offered.
 
@@ -47,10 +59,13 @@ def insert_new(batch: DataFrame, table: str, order: list[str | Column]) -> int:
     broken = [f"{c} not null: {seen[c]} rows" for c in TABLE_NOT_NULL if seen[c]]
     if broken:
         raise ValueError("; ".join(broken))
-    target = spark.table(table)
+    target, parts = spark.table(table), _parts(spark, table)
     used = target.agg(F.coalesce(F.max(ID) + 1, F.lit(0))).head()[0]
-    new = rows_to_insert(batch, target, order)
+    new = rows_to_insert(batch, target, order, parts=parts)
     numbered = new.select((F.monotonically_increasing_id() + F.lit(used)).alias(ID), *TABLE.names)
+    if parts:
+        # Rows of a part meet in few tasks, so a batch adds few files to it.
+        numbered = numbered.withColumn(KEY_PART, key_part(TABLE_KEY, parts)).hint("rebalance", KEY_PART)
     numbered.write.insertInto(table)
     return seen["offered"]
 
@@ -89,6 +104,7 @@ def write_products(
     table: str | None = None,
     order: list[str] = (),
     buckets: int | None = None,
+    parts: int | None = None,
 ) -> None:
     """Clean rows to ``dir`` (CSV at ``path``) or ``db`` (upsert into ``table``).
 
@@ -103,6 +119,6 @@ def write_products(
         return
     if table is None or not re.fullmatch(r"[\w.]+", table):
         raise ValueError("destination 'db' needs a table name")
-    create_table(df.sparkSession, table, buckets)
+    create_table(df.sparkSession, table, buckets, parts)
     batch = stage(conform(df, keep=[c for c in order if c not in TABLE.names]), "batch")
     insert_new(batch, table, list(order) or [TABLE_KEY])

@@ -1,10 +1,13 @@
 import json
+import re
+import uuid
 from datetime import datetime
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from marketweave.operators import upsert
 from marketweave.plans import run
 from marketweave.operators.quality import dedupe_keep_first
 from marketweave.operators.upsert import conform, rows_to_insert
@@ -252,3 +255,68 @@ def test_keep_first_from_files(spark, tmp_path):
     (tmp_path / "x.json").write_text("\n".join(map(json.dumps, lines)))
     df = files.scan_products(spark, str(tmp_path / "x.json"))
     assert [r["url"] for r in dedupe_keep_first(df, ["name"], [files.SOURCE_POS]).collect()] == ["0"]
+
+
+# --- listings of a run -----------------------------------------------------------------
+
+
+def listed(spark, rows):
+    rows = [(n, "Shop", c, s, i) for i, (n, c, s) in enumerate(rows)]
+    return spark.createDataFrame(rows, "name string, marketplace string, category string, subcategory string, at int")
+
+
+def test_an_emptied_listing_clears_its_folder(spark, tmp_path):
+    root = str(tmp_path / "listings")
+    all_ = spark.createDataFrame([("Shop", "A & b", s) for s in ("x", "y", "z")] + [("Shop", "c", "x"), ("Shop", "n", None)], "marketplace string, category string, subcategory string")
+    first = listed(spark, [("one", "A & b", "x"), ("two", "A & b", "y"), ("three", "A & b", "z"), ("four", "c", "x"), ("five", "n", None)])
+    done = files.write_listings(first, root, order=["at"], listings=all_, run="1")
+    assert {r.state for r in done.collect()} == {"written"} and sum(r.products for r in done.collect()) == 5
+    failed = all_.withColumn("failed", (F.col("subcategory") == "y") | (F.col("category") == "c"))
+    second = listed(spark, [("new", "A & b", "x"), ("part of a failed one", "c", "x"), ("unknown", "d", "x")])
+    done = files.write_listings(second, root, order=["at"], listings=failed, run="2")
+    states = {(r.category_key, r.subcategory_key): (r.products, r.state) for r in done.collect()}
+    assert states == {
+        ("A_b", "x"): (1, "written"), ("A_b", "y"): (0, "kept"), ("A_b", "z"): (0, "emptied"), ("c", "x"): (1, "kept"), ("d", "x"): (1, "written"), ("n", ""): (0, "emptied"),
+    }
+    kept = sorted(r["name"] for r in files.scan_products(spark, root).collect())
+    assert kept == ["five", "four", "new", "two", "unknown"] or kept == ["four", "new", "two", "unknown"]
+    logged = spark.read.json(f"{root}/_manifest").groupBy("run").count().collect()
+    assert {(r["run"], r["count"]) for r in logged} == {("1", 5), ("2", 6)}
+
+
+def test_listings_that_all_came_out_empty(spark, tmp_path):
+    root = str(tmp_path / "listings")
+    rows = listed(spark, [("one", "a", "x"), ("two", "b", "x")])
+    names = rows.select("marketplace", "category", "subcategory")
+    files.write_listings(rows, root, listings=names)
+    assert files.scan_products(spark, root).count() == 2
+    files.write_listings(rows.limit(0), root, listings=names)
+    assert files.scan_products(spark, root).count() == 0
+
+
+# --- a target that is partitioned by key -----------------------------------------------
+
+
+def test_an_upsert_reads_the_parts_its_batch_touches(spark):
+    name = "parted_" + uuid.uuid4().hex
+    tables.create_table(spark, name, parts=32)
+    order = ["name"]
+    wide = [(f"n{i}", 1.0, f"/p/{i}" if i else None) for i in range(400)]
+    rows = lambda some: upsert.conform(spark.createDataFrame(some, "name string, price double, product_detail_url string"))
+    assert tables.insert_new(stage(rows(wide), "batch"), name, order) == 400
+    batch = stage(rows([("again", 2.0, "/p/7"), ("new", 2.0, "/p/new"), ("keyless", 2.0, None), ("new too", 3.0, "/p/new")]), "batch")
+    touched = upsert.touched_parts(batch, spark.table(name), 32)
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*key_part", plan) and "GreaterThanOrEqual(product_detail_url" in plan
+    read = len(touched.inputFiles())
+    assert 0 < read <= 2 * max(1, len(spark.table(name).inputFiles()) // 32) + 2 < len(spark.table(name).inputFiles())
+    assert tables.insert_new(batch, name, order) == 4
+    found = spark.table(name)
+    assert found.count() == 402 and found.select("id").distinct().count() == 402
+    assert [r["name"] for r in found.filter("product_detail_url = '/p/7'").collect()] == ["n7"]
+    assert [r["name"] for r in found.filter("product_detail_url = '/p/new'").collect()] == ["new"]
+    assert found.filter("product_detail_url is null").count() == 2
+    nothing = stage(rows([("keyless", 2.0, None)]), "batch")
+    assert tables.insert_new(nothing, name, order) == 1 and spark.table(name).count() == 403
+    with pytest.raises(ValueError):
+        tables.insert_new(stage(rows([(None, 2.0, "/p/x")]), "batch"), name, order)

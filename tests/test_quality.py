@@ -1,4 +1,6 @@
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -248,3 +250,43 @@ def test_priority_matches_schema():
     assert CLEAN.names[: len(PRIORITY)] == PRIORITY
     assert CLEAN.names[len(PRIORITY) :] == ["page_url", "product_detail_url", "total_reviews"]
     assert len(TABLE.names) == 16
+
+
+# --- page order ------------------------------------------------------------------------
+
+
+def chained(links):
+    """First page and number of each page by following the links one by one."""
+    before = {}
+    for at, to in links.items():
+        if to and to in links and to != at:
+            before[to] = min(at, before.get(to, at))
+    out = {}
+    for at in links:
+        seen, now = [], at
+        while now in before and now not in seen:
+            seen.append(now)
+            now = before[now]
+        loop = now in seen or (now not in before and links[now] == now)
+        out[at] = (None, None) if loop else (now, len(seen) + 1)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_page_order(spark, seed):
+    rng = random.Random(seed)
+    names = [f"u{i:03d}" for i in range(60)]
+    rng.shuffle(names)
+    links = dict(zip(names, names[1:] + [None])) if seed == 0 else {}
+    for i, name in enumerate(names):
+        links.setdefault(name, rng.choice([names[(i + 1) % 60]] * 6 + [None, "", name, "nowhere", rng.choice(names)]))
+    rows = [(n, to, f"<p>{n}") for n, to in links.items()] + [(None, names[0], "x"), (names[5], links[names[5]], "repeated")]
+    pages = spark.createDataFrame(rows, "url string, next_url string, html string")
+    got = catalog.page_order(pages).collect()
+    want = chained(links)
+    assert len(got) == 62
+    for r in got:
+        assert (r.first_url, r.page_no) == ((None, None) if r.url is None else want[r.url]), r
+    if seed == 0:
+        assert sorted(r.page_no for r in got if r.url)[-1] == 60
+    assert catalog.page_order(pages.limit(0)).count() == 0

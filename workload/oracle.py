@@ -261,6 +261,21 @@ ORACLE: dict[str, str] = {
     "q_skip_malformed": """
       SELECT o_orderkey AS page_no, 2 AS pos, '/dp/x' AS href FROM orders JOIN customer ON o_custkey = c_custkey
       WHERE o_orderstatus = 'F'""",
+    "q_page_chain": """
+      WITH RECURSIVE l AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 10 <> 9 THEN c_custkey + 1
+          WHEN (c_custkey // 10) % 7 = 3 THEN c_custkey - 9 END AS following FROM customer),
+        r AS (SELECT k, k AS first, 1 AS n FROM l WHERE k NOT IN (SELECT following FROM l WHERE following IS NOT NULL)
+          UNION ALL SELECT b.k, r.first, r.n + 1 FROM r JOIN l a ON a.k = r.k JOIN l b ON b.k = a.following)
+      SELECT l.k AS c_custkey, 'https://shop.example.com/c/' || r.first AS first_url, r.n::BIGINT AS page_no FROM l LEFT JOIN r USING (k)""",
+    "q_upsert_by_parts": """
+      SELECT source AS name, CAST(CAST(n_chars AS DECIMAL(10, 2)) AS VARCHAR) AS price, '/d/' || doc_id AS product_detail_url FROM documents""",
+    "q_listing_emptied": """
+      SELECT CASE WHEN lang = 'fr' THEN text ELSE CAST(length(text) AS VARCHAR) END AS name, lang AS category, source AS subcategory
+      FROM documents WHERE lang <> 'de'""",
+    "q_listing_manifest": r"""
+      SELECT regexp_replace(lang, '[^\p{L}\p{N}_]+', '_', 'g') AS category_key, regexp_replace(source, '[^\p{L}\p{N}_]+', '_', 'g') AS subcategory_key,
+        CASE lang WHEN 'de' THEN 0 ELSE count(*) END AS products, CASE lang WHEN 'de' THEN 'emptied' WHEN 'fr' THEN 'kept' ELSE 'written' END AS state
+      FROM documents GROUP BY lang, source""",
     "q_page_errors": f"""
       SELECT page_id, pos::INTEGER AS pos, href, {strip(decode('label'))} AS label, NULL AS error FROM (
         SELECT page_id, unnest(hrefs) AS href, unnest(labels) AS label, unnest(generate_series(1, len(hrefs))) AS pos

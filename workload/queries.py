@@ -190,6 +190,16 @@ def q_catalog_lookup(spark, sf):
     return catalog.find_listing(customer_listings(spark, sf), "BUILDING", "NATION_7").select("marketplace", "page_url")
 
 
+def q_page_chain(spark, sf):
+    """Pages in the order of their links to the next one: tens of customers, of which some are loops."""
+    key = F.col("c_custkey")
+    back = F.when(F.floor(key / 10) % 7 == 3, key - 9)
+    following = F.when(key % 10 == 9, back).otherwise(key + 1)
+    address = lambda k: F.concat(F.lit(f"{I.SHOP}/c/"), k.cast("string"))
+    chained = table(spark, sf, "customer").select("c_custkey", address(key).alias("url"), address(following).alias("next_url"))
+    return catalog.page_order(chained).select("c_custkey", "first_url", "page_no")
+
+
 # --- pages -----------------------------------------------------------------------------
 
 
@@ -372,8 +382,9 @@ def q_json_partitions(spark, sf):
     return back.groupBy("category_key").agg(F.count("name").alias("products"), F.sum("price").alias("price_sum"))
 
 
-def listing_of_documents(spark: SparkSession, sf: str, lang: str) -> DataFrame:
-    found = table(spark, sf, "documents").filter(F.col("lang") == lang)
+def listing_of_documents(spark: SparkSession, sf: str, lang: str | None = None) -> DataFrame:
+    found = table(spark, sf, "documents")
+    found = found if lang is None else found.filter(F.col("lang") == lang)
     blank = {c: F.lit(None).cast(LISTING[c].dataType) for c in LISTING.names}
     return found.select("doc_id", *[{
         **blank, "name": F.col("text"), "marketplace": F.lit("Shop"), "category": F.col("lang"), "subcategory": F.col("source"),
@@ -391,6 +402,27 @@ def q_json_two_listings(spark, sf):
     return back.select("name", "category", "subcategory")
 
 
+def q_listing_emptied(spark, sf):
+    """Two runs: in the second the German listings are empty and the French ones failed."""
+    root = f"{shared_dir(spark)}/listings"
+    docs = listing_of_documents(spark, sf)
+    listings = docs.select("marketplace", "category", "subcategory").distinct()
+    files.write_listings(docs, root, order=["doc_id"], listings=listings, run="first")
+    again = docs.filter("category <> 'de'").withColumn("name", F.length("name").cast("string"))
+    failed = listings.withColumn("failed", F.col("category") == "fr")
+    files.write_listings(again, root, order=["doc_id"], listings=failed, run="second")
+    return files.scan_products(spark, root).select("name", "category", "subcategory")
+
+
+def q_listing_manifest(spark, sf):
+    """What became of each listing of a run in which some are empty and some failed."""
+    docs = listing_of_documents(spark, sf)
+    listings = docs.select("marketplace", "category", "subcategory").distinct()
+    some = docs.filter("category <> 'de'")
+    failed = listings.withColumn("failed", F.col("category") == "fr")
+    return files.run_manifest(some, failed).select("category_key", "subcategory_key", "products", "state")
+
+
 def q_scan_latest(spark, sf):
     """Two written snapshots; the later one is read."""
     root = shared_dir(spark)
@@ -482,6 +514,16 @@ def q_write_products_dir(spark, sf):
     return files.scan_csv(spark, path, CLEAN).select("name", "price", "product_detail_url")
 
 
+def q_upsert_by_parts(spark, sf):
+    """Batches into a table that is partitioned by key: the second adds what the first lacks."""
+    name = _fresh_table(spark)
+    rows = enriched_documents(spark, sf)
+    for batch in (rows.filter("price < 3000"), rows):
+        tables.write_products(batch, "db", table=name, parts=16)
+    found = spark.table(name)
+    return found.select("name", F.col("price").cast("string").alias("price"), "product_detail_url")
+
+
 def q_constraint_check(spark, sf):
     docs = table(spark, sf, "documents").select(
         F.when(F.col("lang") != "fr", F.col("source")).alias("name"),
