@@ -55,7 +55,7 @@ def transform(
 
 def wanted_pages(detail_pages: DataFrame, products: DataFrame) -> DataFrame:
     """Pages of these products.  Spark sends the URLs along while their size allows it; a page
-    table that is bucketed by URL stays where it is beyond that."""
+    table that is stored by URL (``tables.save_by_key``) stays where it is beyond that."""
     wanted = products.select(F.col(TABLE_KEY).alias("url")).distinct()
     return detail_pages.join(wanted, "url", "left_semi")
 

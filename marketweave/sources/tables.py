@@ -38,6 +38,18 @@ def create_table(spark: SparkSession, table: str, buckets: int | None = None, pa
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ID} bigint, {columns}) USING parquet{clustered}")
 
 
+def save_by_key(df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
+    """The rows as a managed table that is stored by a hash of ``key`` in ``buckets`` parts, each sorted.
+
+    Collected pages are moved once, here; joins of the table by ``key`` then bring the other side's
+    narrow rows to where the pages are.  Every part is written by one task, so choose as many as
+    the session's ``spark.sql.shuffle.partitions`` or more; with fewer Spark deals both sides anew.
+    """
+    dealt = df.repartition(buckets, key).sortWithinPartitions(key)
+    dealt.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def _parts(spark: SparkSession, table: str) -> int | None:
     """The number of parts that a table was created with."""
     if KEY_PART not in spark.table(table).columns:

@@ -3,16 +3,20 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from marketweave.functions import urls
 from marketweave.operators import quality
+from marketweave.plans import run
+from marketweave.sources import tables
+from workload import inputs as I
 
 SF = "/root/testdata/sf0.001"
 PARSE_PAGES = {
     "q_page_region", "q_page_cards", "q_page_detail", "q_product_details", "q_card_project", "q_skip_malformed",
     "q_page_links", "q_resolve_url", "q_block_links", "q_strip_text", "q_run_counts", "q_run_quarantine",
-    "q_enrich_pages", "q_enrich_recollected", "q_page_errors", "q_skip_malformed_jvm", "q_card_project_jvm", "q_product_details_jvm",
+    "q_enrich_pages", "q_enrich_recollected", "q_page_errors", "q_enrich_stored_pages", "q_skip_malformed_jvm", "q_card_project_jvm", "q_product_details_jvm",
 }
 # Products and cards are staged: what is left to plan parses nothing more.
 STAGED = {"q_listing_run", "q_listing_run_all", "q_run_profile", "q_run_summary", "q_run_quarantine"}
@@ -84,3 +88,36 @@ def test_predicates_reach_the_scan(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     plan = plan_of(pages.filter(~urls.is_blocked("url", None, [".html"], ["spam-farm"])))
     assert "StringEndsWith(url,.html)" in plan and "StringContains(url,spam-farm)" in plan
+
+
+def below_exchanges(plan):
+    """For each exchange of a plan the text of what is under it."""
+    lines = plan.splitlines()
+    depth = lambda line: len(re.match(r"[ :|+*-]*", line)[0])
+    for i, line in enumerate(lines):
+        if re.search(r"[+:]- (\w+ )?Exchange", line) or re.match(r"[ :|+-]*Exchange", line):
+            under = []
+            for after in lines[i + 1 :]:
+                if depth(after) <= depth(line):
+                    break
+                under.append(after)
+            yield "\n".join(under)
+
+
+def test_stored_pages_stay_where_they_are(spark):
+    """Without broadcasts, no exchange stands above a node that carries markup."""
+    collected = I.recollected_pages(spark, SF)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    stored = tables.save_by_key(collected, "pages_stored_by_url", "url", 8)
+    products = spark.range(40).select(F.concat(F.lit(f"{I.SHOP}/dp/"), F.col("id").cast("string")).alias("product_detail_url"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(run.wanted_pages(stored, products))
+        moved = plan_of(run.wanted_pages(collected, products))
+        found = run.transform(products.withColumn("brand", F.lit("x")), stored, ["collected"], limit=None)
+        assert found.filter("review_score is not null").count() > 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "html" in plan
+    assert not any("html" in under for under in below_exchanges(plan))
+    assert any("html" in under for under in below_exchanges(moved))  # what the test would see

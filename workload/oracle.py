@@ -296,6 +296,10 @@ ORACLE: dict[str, str] = {
     "q_enrich_recollected": f"""
       SELECT page_no, pos, product_detail_url, brand, description, total_reviews, CAST(score || '7' AS DOUBLE) AS review_score
       FROM ({PRODUCTS}) LEFT JOIN ({DETAILS_WITH_SCORE}) USING (product_detail_url)""",
+    "q_enrich_stored_pages": f"""
+      SELECT page_no, pos, product_detail_url, brand, description, total_reviews, CAST(score || '7' AS DOUBLE) AS review_score
+      FROM (SELECT *, row_number() OVER (PARTITION BY marketplace, category, subcategory ORDER BY page_no, pos) AS rn FROM ({PRODUCTS}))
+      LEFT JOIN ({DETAILS_WITH_SCORE}) USING (product_detail_url) WHERE rn <= 5""",
     "q_enrich_hot": """
       WITH l AS (SELECT *, CASE l_orderkey % 3 WHEN 0 THEN 1 WHEN 1 THEN l_partkey END AS key FROM lineitem)
       SELECT key, l_orderkey, l_linenumber, l_partkey, l_suppkey, p_brand FROM l LEFT JOIN part ON key = p_partkey""",

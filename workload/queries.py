@@ -282,6 +282,14 @@ def q_enrich_recollected(spark, sf):
     return run.transform(found, I.recollected_pages(spark, sf), ["collected"], limit=None).select(*ENRICHED)
 
 
+def q_enrich_stored_pages(spark, sf):
+    """Details from pages that are stored by their address: the chosen products come to them."""
+    name = "pages_" + uuid.uuid4().hex
+    stored = tables.save_by_key(I.recollected_pages(spark, sf), name, "url", 16)
+    found = run.extract(I.order_pages(spark, sf), I.order_listings(spark, sf), I.RUN_DATE)
+    return run.transform(found, stored, ["collected"], limit=5).select(*ENRICHED)
+
+
 def q_enrich_hot(spark, sf):
     """A key that owns a third of the rows, and as many rows without a key."""
     key = F.when(F.col("l_orderkey") % 3 == 0, 1).when(F.col("l_orderkey") % 3 == 1, F.col("l_partkey"))
