@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..functions.parse import coerce_numeric, nan_to_null
 from ..schemas import NULLABLE_PRIORITY, NUMERIC_COLUMNS, PRIORITY
@@ -34,10 +35,14 @@ def select_priority(df: DataFrame, priority: list[str] = PRIORITY) -> DataFrame:
     return df.select(*priority, *sorted(set(df.columns) - set(priority)))
 
 
+def _missing_counts(df: DataFrame, columns: list[str]) -> list[Column]:
+    return [F.count_if(is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(columns)]
+
+
 def missing_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """``(position, column, missing_count)`` per column, from one pass over the rows."""
     columns = df.columns if columns is None else columns
-    counts = df.agg(*[F.count_if(is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(columns)])
+    counts = df.agg(*_missing_counts(df, columns))
     rows = F.array(
         *[
             F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.col(f"m{i}").alias("missing_count"))
@@ -47,6 +52,23 @@ def missing_profile(df: DataFrame, columns: list[str] | None = None) -> DataFram
     return counts.select(F.inline(rows))
 
 
+def observe_profile(df: DataFrame, name: str, columns: list[str] | None = None) -> tuple[DataFrame, Observation]:
+    """The same rows; their profile and number are known once a job has run over them, so the job
+    that writes them spares the pass that ``missing_profile`` needs."""
+    seen = Observation(name)
+    columns = df.columns if columns is None else columns
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *_missing_counts(df, columns)), seen
+
+
+def observed_profile(spark: SparkSession, seen: Observation, columns: list[str]) -> DataFrame:
+    """What ``missing_profile`` gives, from the counts of a job that has run."""
+    counts = [seen.get[f"m{i}"] for i in range(len(columns))]
+    names = ["position", "column", "missing_count"]
+    kinds = [pa.int32(), pa.string(), pa.int64()]
+    values = [list(range(len(columns))), columns, counts]
+    return spark.createDataFrame(pa.table([pa.array(v, k) for v, k in zip(values, kinds)], names))
+
+
 def coerce_columns(df: DataFrame, columns: list[str] = NUMERIC_COLUMNS) -> DataFrame:
     """Number columns as double; whatever is no number becomes null."""
     present = [c for c in columns if c in df.columns]
@@ -82,18 +104,12 @@ def split_malformed(df: DataFrame, malformed: Column) -> tuple[DataFrame, DataFr
     return df.filter(~bad), df.filter(bad)
 
 
-def skip_malformed(df: DataFrame, malformed: Column, name: str = "rows") -> tuple[DataFrame, Observation]:
-    """Good rows only; the counts come with the job that uses them, not from a second pass."""
+def observe_malformed(df: DataFrame, malformed: Column, name: str = "rows") -> tuple[DataFrame, Observation]:
+    """The same rows; how many were ``read`` and ``malformed`` comes with the job that uses them,
+    not from a second pass."""
     seen = Observation(name)
     bad = F.coalesce(malformed, F.lit(False))
-    counted = df.observe(seen, F.count(F.lit(1)).alias("read"), F.count_if(bad).alias("skipped"))
-    return counted.filter(~bad), seen
-
-
-def count_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """The same rows; their number is known once a job has run over them."""
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    return df.observe(seen, F.count(F.lit(1)).alias("read"), F.count_if(bad).alias("malformed")), seen
 
 
 def run_counts(records: DataFrame, page: str, product: str) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.products import detail_rows, enrich, page_cards, to_products
-from ..operators.quality import clean_products, missing_profile, run_counts, split_malformed
+from ..operators.quality import clean_products, observe_malformed, observe_profile, observed_profile, run_counts, split_malformed
 from ..operators.skew import first_n, join_unique
 from ..schemas import CLEAN, TABLE_KEY
 from ..session import shared_dir, stage
@@ -81,22 +81,26 @@ def full_run(
     detail_order: list[str],
     limit: int | None = 5,
 ) -> Run:
-    """All three stages.  Cards and enriched products are written once each: later steps, the
-    counts, and tasks that are run again read those tables and parse nothing twice."""
-    root = shared_dir(pages.sparkSession)
-    cards = stage(page_cards(pages, keep=["page_url", "page_no"]), "cards", root)
+    """All three stages.  Cards and enriched products are written once each: later steps and tasks
+    that are run again read those tables and parse nothing twice.  The profile and what can be
+    counted row by row are taken while the rows are written."""
+    spark = pages.sparkSession
+    root = shared_dir(spark)
+    cards, cards_seen = observe_malformed(page_cards(pages, keep=["page_url", "page_no"]), F.col("malformed"), "cards")
+    cards = stage(cards, "cards", root)
     good, quarantine = split_malformed(cards, F.col("malformed"))
     products = listed(good, listings, run_date)
-    enriched = stage(transform(products, detail_pages, detail_order, limit, root=root), "enriched", root)
-    counts = cards.agg(F.count(F.lit(1)).alias("cards"), F.count_if("malformed").alias("malformed"))
+    enriched = transform(products, detail_pages, detail_order, limit, root=root)
+    enriched, enriched_seen = observe_profile(enriched, "enriched", CLEAN.names)
+    enriched = stage(enriched, "enriched", root)
     lost = cards.join(listings.select("page_url"), "page_url", "left_anti").agg(F.count(F.lit(1)).alias("without_listing"))
-    kept = enriched.agg(F.count(F.lit(1)).alias("chosen"))
-    # Four tables of one row each, side by side.
-    rows = counts
-    for other in (lost, run_counts(products, "page_no", TABLE_KEY), kept):
-        rows = rows.unionByName(other, allowMissingColumns=True)
+    # Two tables of one row each, side by side; the rest was counted as it was written.
+    rows = lost.unionByName(run_counts(products, "page_no", TABLE_KEY), allowMissingColumns=True)
+    known = {"cards": cards_seen.get["read"], "malformed": cards_seen.get["malformed"], "chosen": enriched_seen.get["rows"]}
+    counted = {c: F.lit(n).cast("long").alias(c) for c, n in known.items()}
     summary = rows.agg(*[F.max(c).alias(c) for c in rows.columns])
-    return Run(load(enriched), missing_profile(enriched, CLEAN.names), summary, quarantine, root)
+    summary = summary.select(counted["cards"], counted["malformed"], *rows.columns, counted["chosen"])
+    return Run(load(enriched), observed_profile(spark, enriched_seen, CLEAN.names), summary, quarantine, root)
 
 
 def listing_run(

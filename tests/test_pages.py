@@ -416,12 +416,12 @@ def test_the_scan_ends_with_its_region():
     assert page.tags == ["nav", "a"]
 
 
-def test_skipped_rows_are_counted_with_the_job(spark):
+def test_malformed_rows_are_counted_with_the_job(spark):
     rows = [(i, REGION.format(before="", after="", cards=card(LINK, NAME if i % 2 else ""))) for i in range(6)]
     df = spark.createDataFrame(rows, "page_id int, html string")
-    good, seen = quality.skip_malformed(products.page_cards(df, ["page_id"]), text.F.col("malformed"), "cards")
-    assert len(good.collect()) == 3
-    assert seen.get == {"read": 6, "skipped": 3}
+    cards, seen = quality.observe_malformed(products.page_cards(df, ["page_id"]), F.col("malformed"), "cards")
+    assert len(cards.collect()) == 6
+    assert seen.get == {"read": 6, "malformed": 3}
 
 
 def test_whole_run(spark):

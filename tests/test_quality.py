@@ -252,6 +252,16 @@ def test_priority_matches_schema():
     assert len(TABLE.names) == 16
 
 
+def test_profile_of_the_job_that_writes(spark):
+    rows = [{"name": f"n{i}", "brand": None if i % 3 else "b", "review_score": float("nan") if i == 2 else 1.0} for i in range(9)]
+    df = enriched(spark, rows)
+    watched, seen = quality.observe_profile(df, "written", CLEAN.names)
+    watched.write.format("noop").mode("overwrite").save()
+    assert seen.get["rows"] == 9
+    got, want = quality.observed_profile(spark, seen, CLEAN.names), quality.missing_profile(df, CLEAN.names)
+    assert got.schema.simpleString() == want.schema.simpleString() and sorted(got.collect()) == sorted(want.collect())
+
+
 # --- page order ------------------------------------------------------------------------
 
 
