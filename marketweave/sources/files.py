@@ -8,6 +8,7 @@ from ..functions.parse import coerce_numeric, nan_to_null
 from ..functions.text import safe_key
 from ..schemas import CLEAN, LISTING
 from ..session import stage
+from .ranges import csv_records
 
 # Row position in the source: file, split within the file, row within the split.
 SOURCE_POS = "source_pos"
@@ -55,6 +56,29 @@ def scan_csv(spark: SparkSession, path: str | list[str], schema: T.StructType =
     return rows.select(*[_typed(c, types.get(c)) for c in rows.columns])
 
 
+def scan_csv_ranges(spark: SparkSession, path: str | list[str], schema: T.StructType = CLEAN) -> DataFrame:
+    """The rows of ``scan_csv``, each file read by as many tasks as it has ranges.
+
+    Fields are read as ``scan_csv`` does, line breaks of quoted ones as they are in the file.  For
+    one large file; it is read twice, first for its quotes.  Files with different headers fail
+    the job.
+    """
+    names = spark.read.option("header", True).option("escape", '"').csv(path).columns
+    records = csv_records(spark, path).filter(F.col("record") != "")
+    text = ", ".join(f"`{n}` string" for n in names)
+    fields = F.from_csv("record", F.lit(text), {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE"})
+    rows = records.select(F.struct("file", "split", "row").alias(SOURCE_POS), fields.alias("_f"))
+    header = (F.col(f"{SOURCE_POS}.split") == 0) & (F.col(f"{SOURCE_POS}.row") == 0)
+    same = F.lit(True)
+    for n in names:
+        same = same & (F.trim(F.col("_f")[n]) == n)
+    wrong = F.raise_error(F.concat(F.lit("unexpected header in "), F.col(f"{SOURCE_POS}.file")))
+    rows = rows.filter(F.when(header, F.when(F.coalesce(same, F.lit(False)), F.lit(False)).otherwise(wrong.cast("boolean"))).otherwise(F.lit(True)))
+    rows = rows.select(*[F.col("_f")[n].alias(n) for n in names], SOURCE_POS)
+    types = {f.name: f.dataType for f in schema}
+    return rows.select(*[_typed(c, types.get(c)) for c in names], SOURCE_POS)
+
+
 def _typed(column: str, kind: T.DataType | None) -> Column:
     if kind is None or isinstance(kind, T.StringType):
         return F.col(column)

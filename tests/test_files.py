@@ -1,11 +1,13 @@
+import csv
 import json
+import random
 import re
 import uuid
 from datetime import datetime
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from marketweave.operators import upsert
 from marketweave.plans import run
@@ -320,3 +322,53 @@ def test_an_upsert_reads_the_parts_its_batch_touches(spark):
     assert tables.insert_new(nothing, name, order) == 1 and spark.table(name).count() == 403
     with pytest.raises(ValueError):
         tables.insert_new(stage(rows([(None, 2.0, "/p/x")]), "batch"), name, order)
+
+
+# --- ranges of large files -------------------------------------------------------------
+
+
+@pytest.fixture
+def small_ranges(spark):
+    keys = {"spark.sql.files.maxPartitionBytes": "700b", "spark.sql.files.openCostInBytes": "700b"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_csv_file_is_read_in_ranges(spark, tmp_path, small_ranges):
+    rng = random.Random(2)
+    words = ["plain", 'with "quotes"', "a,b", "two\nlines", "", "\n\n", '"', "long " * 300, "é", " spaced ", "x\n" * 200]
+    rows = [{"name": f"n{i}", "currency": rng.choice(words) or None, "category": rng.choice(words) or None, "price": i / 2} for i in range(300)]
+    for part in range(2):
+        with open(tmp_path / f"{part}.csv", "w", newline="") as file:
+            writer = csv.DictWriter(file, list(rows[0]), lineterminator="\n" if part else "\r\n")
+            writer.writeheader()
+            writer.writerows(rows[part::2])
+    schema = "name string, currency string, category string, price double"
+    kinds = T.StructType.fromDDL(schema)
+    found = files.scan_csv_ranges(spark, str(tmp_path), kinds)
+    got = [tuple(r)[:4] for r in found.orderBy(files.SOURCE_POS).collect()]
+    key = lambda r: tuple(str(v) for v in r)
+    assert [r[0] for r in got] == [r["name"] for part in range(2) for r in rows[part::2]]
+    assert sorted(got, key=key) == sorted((tuple(r.values()) for r in rows), key=key)
+    assert found.select(files.SOURCE_POS).distinct().count() == 300
+    lines = spark.read.option("lineSep", "\n").text(str(tmp_path))
+    assert lines.select("_metadata.file_block_start").distinct().count() > 20
+    assert found.schema.simpleString().startswith("struct<name:string,currency:string,category:string,price:double,source_pos:struct<file")
+
+
+def test_ranges_of_odd_csv_files(spark, tmp_path, small_ranges):
+    (tmp_path / "a.csv").write_text("name,price\n")
+    assert files.scan_csv_ranges(spark, str(tmp_path / "a.csv")).count() == 0
+    (tmp_path / "b.csv").write_text('name,price\n\nx,1\n\ny,"2"')
+    assert [(r["name"], r["price"]) for r in files.scan_csv_ranges(spark, str(tmp_path / "b.csv")).orderBy(files.SOURCE_POS).collect()] == [("x", 1.0), ("y", 2.0)]
+    (tmp_path / "c.csv").write_text('name,price\nx,"never closed' + "\nmore" * 400)
+    assert files.scan_csv_ranges(spark, str(tmp_path / "c.csv")).count() == 1
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "1.csv").write_text("name,price\nx,1\n")
+    (tmp_path / "d" / "2.csv").write_text("price,name\n1,x\n")
+    with pytest.raises(Exception, match="unexpected header"):
+        files.scan_csv_ranges(spark, str(tmp_path / "d")).collect()

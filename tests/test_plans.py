@@ -19,7 +19,7 @@ PARSE_PAGES = {
     "q_enrich_pages", "q_enrich_recollected", "q_page_errors", "q_enrich_stored_pages", "q_skip_malformed_jvm", "q_card_project_jvm", "q_product_details_jvm",
 }
 # Products and cards are staged: what is left to plan parses nothing more.
-STAGED = {"q_listing_run", "q_listing_run_all", "q_run_profile", "q_run_summary", "q_run_quarantine"}
+STAGED = {"q_scan_csv_ranges", "q_listing_run", "q_listing_run_all", "q_run_profile", "q_run_summary", "q_run_quarantine"}
 TWO_PASSES = {"q_awkward_markup": 2, "q_enrich_pages": 2, "q_enrich_recollected": 2}
 
 

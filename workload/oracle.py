@@ -338,6 +338,9 @@ ORACLE: dict[str, str] = {
     "q_scan_csv": """
       SELECT nullif(text, '') AS name, CASE WHEN lang <> 'de' THEN lang END AS currency, source AS category,
         CAST(n_chars AS DOUBLE) AS price FROM documents""",
+    "q_scan_csv_ranges": """
+      SELECT nullif(text, '') AS name, CASE WHEN lang <> 'de' THEN lang END AS currency, source AS category,
+        CAST(n_chars AS DOUBLE) AS price FROM documents""",
     "q_latest_snapshot_lex": f"""
       WITH s AS ({_SNAPSHOTS}), k AS (SELECT name, array_to_string(regexp_extract_all(name, '([0-9]+)', 1), '_') AS key
         FROM s WHERE regexp_matches(name, '[0-9]')), top AS (SELECT max(key) AS key FROM k)

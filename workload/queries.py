@@ -446,6 +446,13 @@ def q_scan_csv(spark, sf):
     return files.scan_csv(spark, path, DOC_FIELDS).drop(files.SOURCE_POS)
 
 
+def q_scan_csv_ranges(spark, sf):
+    """The same file read in byte ranges; its texts hold line breaks and quotes."""
+    path = f"{shared_dir(spark)}/products.csv"
+    files.write_csv(document_products(spark, sf), path)
+    return files.scan_csv_ranges(spark, path, DOC_FIELDS).drop(files.SOURCE_POS)
+
+
 def q_latest_snapshot_lex(spark, sf):
     return files.latest_snapshot(I.snapshot_names(spark, sf), order="name")
 
