@@ -5,8 +5,8 @@ words is one shingle).  A shingle weighs ln(1 + items / items that hold it), in
 The similarity of a window of a document and an item is the summed weight of the shingles both
 have over that of the shingles either has; SIMILARITY or more is a leak.
 
-A window is as many words as the item has, at any place of the text (the whole text, if that is
-shorter).  Windows that cannot reach the similarity are not built.  An item's *anchors* are its
+A window is as many words as the item has, or as the text has from there on, at any place of the
+text, so an item that the text's end cuts short is compared with what there is of it.  Windows that cannot reach the similarity are not built.  An item's *anchors* are its
 rarest shingles, ANCHORED of its weight or more; a similar window lacks 1 - SIMILARITY of the
 item's weight at most, so it holds the other anchors.  Anchors are looked up in every text, and
 the windows that hold enough of them, in whatever order, get a 64-bit SimHash of their weighted
@@ -148,15 +148,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     starts = near.select(*unit, F.explode(starts).alias("start")).distinct()
     units = stage(starts.groupBy(*unit).agg(F.collect_list("start").alias("starts")), "units", root)
 
-    text = thin(docs, units).join(units, ["doc_id", "text_id"]).withColumn("ws", _words("text")).select(*unit, "starts", F.size("ws").alias("size"), "ws")
+    text = thin(docs, units).join(units, ["doc_id", "text_id"]).withColumn("ws", _words("text")).select(*unit, "starts", "ws")
     text = text.withColumn("ws", F.slice("ws", first + 1, 2 * F.col("n_words") + F.col("q")))
     q = F.col("q")
     runs = F.when(q == SHINGLE, _runs_of(F.col("ws"), SHINGLE))
     for n in range(1, SHINGLE):
         runs = runs.when(q == n, _runs_of(F.col("ws"), n))
-    # A text shorter than the item is one window; what starts behind the last one is part of that.
-    last = F.greatest(F.lit(0), F.col("size") - F.col("n_words"))
-    text = text.withColumn("starts", F.filter("starts", lambda s: s <= last))
     cut = text.select(*unit, "starts", F.posexplode(runs).alias("at", "h"))
     cut = cut.join(F.broadcast(frequency) if small else frequency, "h", "left").withColumn("w", F.coalesce("w", F.lit(rarest)))
     # A set, as rows may repeat an id and its text.

@@ -326,7 +326,7 @@ def test_decontamination(spark, documents):
         rows.append((i, " ".join(words(rng, 70, 3000) + long[29:] + long[:29] + words(rng, 70, 3000))))
         rows.append((i + 10, " ".join((long[:50] + ["odd"]) * 40)))
     # Two texts of one id, of which one holds an item; cut short by the text's end.
-    rows += [(230, items[4][1]), (230, " ".join(words(rng, 40, 3000))), (231, " ".join(items[5][1].split()[:-1]))]
+    rows += [(230, items[4][1]), (230, " ".join(words(rng, 40, 3000))), (231, " ".join(items[5][1].split()[:-1])), (232, " ".join([*words(rng, 30, 3000), *items[6][1].split()[:-2]]))]
     rows += [(70, "well, ONLY three\nwords here"), (71, common), (None, items[0][1]), (72, None), (73, ""), (74, items[3][1].upper())]
     cut = lambda t: [w for w in re.split(r"[^\w]+", (t or "").lower()) if w]
     runs = lambda w, q: [tuple(w[i : i + q]) for i in range(len(w) - q + 1)]
@@ -339,7 +339,7 @@ def test_decontamination(spark, documents):
         for i, w in targets.items():
             q = min(5, len(w))
             mine = set(runs(w, q))
-            for at in range(max(1, len(text) - len(w) + 1)):
+            for at in range(len(text)):
                 there = set(runs(text[at : at + len(w)], q))
                 both, either = sum(map(weight, mine & there)), sum(map(weight, mine | there))
                 if d is not None and both >= decontam.SIMILARITY * either:
