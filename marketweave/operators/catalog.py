@@ -98,10 +98,11 @@ def page_order(pages: DataFrame, root: str | None = None, key: str = "url", foll
 
     A listing starts at a page that no other page links to, and ends where a link is missing, empty,
     or leads to no page of the table.  Numbers come from list ranking: every page knows the page that
-    is 1, 2, 4, ... links before it, so as many rounds suffice as the number of pages has binary
-    digits, each one join of addresses, written to the shared folder.  The last join gives every row
-    its number; it moves the rows if the numbers are too large to be sent along and the table is not
-    bucketed by address, so pass narrow ones.
+    is 1, 2, 4, ... links before it, so as many rounds suffice as the length of the longest listing
+    has binary digits, each one join of addresses, written to the shared folder.  Every join is a
+    merge join: the staged addresses are so small as files that Spark would send them through the
+    driver, at any number of rows.  The last one gives every row its number; it moves the rows
+    unless the table is bucketed by address, so pass narrow ones.
 
     A page that several pages link to follows the one with the smallest address.  Pages in a loop
     have no first one: their ``first_url`` and ``page_no`` are null.  Of rows that repeat an
@@ -114,18 +115,20 @@ def page_order(pages: DataFrame, root: str | None = None, key: str = "url", foll
     before = every.filter("to is not null and to <> at").groupBy(F.col("to").alias("at")).agg(F.min("at").alias("jump"))
     own_loop = F.col("to") == F.col("at")
     # A page that links to itself is a loop of one, unless another page leads there.
-    known = every.join(before, "at", "left").withColumn("jump", F.coalesce("jump", F.when(own_loop, F.col("at"))))
+    known = every.join(before.hint("merge"), "at", "left").withColumn("jump", F.coalesce("jump", F.when(own_loop, F.col("at"))))
     # `jump` is the page `n` links before; once that is a first page, it is `first` and `jump` is null.
     alone = F.col("jump").isNull()
     start = known.select("at", "jump", F.when(alone, 0).otherwise(1).cast("long").alias("n"), F.when(alone, F.col("at")).alias("first"))
     now = stage(start, "rank_0", root)
-    pages_known, reach = now.count(), 1
-    while reach < pages_known and not now.filter("jump is not null").isEmpty():
-        reach *= 2
+    reach, left, before_round = 1, now.filter("jump is not null").count(), None
+    # Each round numbers the pages up to `reach` links from a first one.  Where it numbers none, only loops are left.
+    while left and left != before_round:
+        reach, before_round = reach * 2, left
         ahead = now.select(F.col("at").alias("jump"), F.col("jump").alias("over"), F.col("n").alias("m"), F.col("first").alias("start"))
-        step = now.join(ahead, "jump", "left")
-        # A page that has its first one keeps its number: the one before it is none.
-        n = F.col("n") + F.coalesce("m", F.lit(0))
-        now = stage(step.select("at", F.col("over").alias("jump"), n.alias("n"), F.coalesce("first", "start").alias("first")), f"rank_{reach}", root)
+        step = now.filter("jump is not null").join(ahead.hint("merge"), "jump", "left")
+        step = step.select("at", F.col("over").alias("jump"), (F.col("n") + F.coalesce("m", F.lit(0))).alias("n"), F.col("start").alias("first"))
+        # A page that has its first one keeps its number.
+        now = stage(now.filter("jump is null").unionByName(step), f"rank_{reach}", root)
+        left = now.filter("jump is not null").count()
     found = now.select(F.col("at").alias(key), F.col("first").alias("first_url"), F.when(F.col("first").isNotNull(), F.col("n") + 1).alias("page_no"))
-    return pages.join(found, key, "left").select(*pages.columns, "first_url", "page_no")
+    return pages.join(found.hint("merge"), key, "left").select(*pages.columns, "first_url", "page_no")

@@ -300,3 +300,14 @@ def test_page_order(spark, seed):
     if seed == 0:
         assert sorted(r.page_no for r in got if r.url)[-1] == 60
     assert catalog.page_order(pages.limit(0)).count() == 0
+
+
+def test_page_order_sends_nothing_along_and_ends_where_only_loops_are_left(spark, tmp_path):
+    """Short listings and loops among many pages: no broadcast, and no round for each digit of the page count."""
+    address = lambda i: f"u{i:04d}"
+    links = {address(i): (address(i + 1) if i % 4 < 3 else address(i - 3) if i % 8 == 7 else None) for i in range(600)}
+    pages = spark.createDataFrame(list(links.items()), "url string, next_url string")
+    got = catalog.page_order(pages, root=str(tmp_path))
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {r.url: (r.first_url, r.page_no) for r in got.collect()} == chained(links)
+    assert sorted(p.name for p in tmp_path.glob("rank_*")) == ["rank_0", "rank_2", "rank_4", "rank_8"]
