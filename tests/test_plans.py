@@ -121,3 +121,10 @@ def test_stored_pages_stay_where_they_are(spark):
     assert "SortMergeJoin" in plan and "html" in plan
     assert not any("html" in under for under in below_exchanges(plan))
     assert any("html" in under for under in below_exchanges(moved))  # what the test would see
+
+
+def test_pages_are_made_in_tasks_of_a_bounded_size(spark, monkeypatch):
+    """More rows become more tasks, whatever the joins before put together."""
+    monkeypatch.setattr(I, "ROWS_A_TASK", 40)
+    assert I.order_pages(spark, SF).rdd.getNumPartitions() == -(-I.table(spark, SF, "orders").count() // 40) > 8
+    assert I.customer_pages(spark, SF).rdd.getNumPartitions() == max(4, -(-I.table(spark, SF, "customer").count() // 40))

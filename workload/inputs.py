@@ -42,13 +42,19 @@ ARTICLE = Profile(
 )
 
 
-def dealt(rows: DataFrame, key: str) -> DataFrame:
-    """Rows of keys dealt out to all cores before they become markup.
+#: Rows of one task that makes markup of them: some MB of pages, read in seconds.
+ROWS_A_TASK = 40_000
+
+
+def dealt(rows: DataFrame, key: str, source: DataFrame) -> DataFrame:
+    """Rows of keys dealt out to all cores before they become markup, in tasks of a bounded size.
 
     The number is asked for, so adaptive execution leaves it: by the size of the keys it would
-    put them together again, but what they become is a thousand times as large.
+    put them together again, but what they become is a thousand times as large.  ``source`` is the
+    table that has as many rows; its footers tell the number.
     """
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, key)
+    tasks = -(-source.count() // ROWS_A_TASK)
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, tasks), key)
 
 
 def order_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -60,9 +66,9 @@ def order_pages(spark: SparkSession, sf: str) -> DataFrame:
     orders = wide(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     customer = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
-    row = dealt(orders, "o_orderkey").join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
-        nation, F.col("c_nationkey") == F.col("n_nationkey")
-    )
+    # Dealt after the joins, which may put the rows into a few tasks; these move keys and names only.
+    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    row = dealt(joined, "o_orderkey", orders)
     query = text.normalize_query("c_mktsegment", "n_name")
     number = F.concat(F.col("o_custkey").cast("string"), F.lit(".50"))
     priority = F.substring("o_orderpriority", 1, 1)
@@ -130,7 +136,8 @@ def customer_pages(spark: SparkSession, sf: str) -> DataFrame:
     Negative balance: the page lacks its centre column.  Segment MACHINERY: no brand.
     """
     customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal", "c_nationkey")
-    row = dealt(customer, "c_custkey").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    joined = customer.join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    row = dealt(joined, "c_custkey", customer)
     brand = F.when(
         F.col("c_mktsegment") != "MACHINERY",
         F.concat(
