@@ -450,3 +450,25 @@ def test_whole_run(spark):
     assert [r["product_detail_url"] for r in rows] == [f"{root}/dp/1"]
     assert rows[0]["description"] == "one\ntwo\nlong" and rows[0]["date_collected"] == "2025-07-05"
     assert run.transform(found, details, ["seen"], limit=1).count() == 1
+
+
+def test_attributes_of_repeated_tags_are_read_once(monkeypatch):
+    """A bounded number of short ones is kept."""
+    read = []
+    monkeypatch.setattr(html, "_KNOWN", {})
+    monkeypatch.setattr(html, "_MOST_KNOWN", 3)
+    attributes = html.attributes
+    monkeypatch.setattr(html, "attributes", lambda raw: read.append(raw) or attributes(raw))
+    page = html.Page('<p class="a">x</p>' * 5 + f'<p id="{"i" * 300}"></p>' * 2 + "".join(f"<p id={i}></p>" for i in range(9)))
+    assert [page.attrs(i) for i in range(5)] == [{"class": "a"}] * 5 and len(read) == 1
+    assert [len(page.attrs(i)["id"]) for i in (5, 6)] == [300, 300] and len(read) == 3
+    assert [page.attrs(i)["id"] for i in range(7, 16)] == [*"012345678"] and len(html._KNOWN) <= 3
+
+
+def test_elements_with_text_only():
+    """They are read in one step, unless what looks like their end tag ends something else."""
+    page = html.Page("<p><b>x</b><br>y</br><i/>z</i></p><p>u</P><template><b>t</b></template><script>s</script>v")
+    assert page.tags == ["p", "b", "br", "i", "p", "template", "b", "script"]
+    assert page.ends == [4, 2, 3, 4, 5, 7, 7, 8] and page.texts == ["x", "y", "z", "u", "v"]
+    assert [page.text(i) for i in range(8)] == ["xyz", "x", "", "", "u", "", "", ""]
+    assert html._ELEMENT.findall("<b>x</b>") == [("b", "", "x", "")]
