@@ -51,11 +51,11 @@ class Rule:
 
     def read(self, page: Page, scope: range, root: int):
         if self.within is not None:
-            holder = next(page.matches((self.within,), scope, root), None)
+            holder = page.first((self.within,), scope, root)
             scope = page.inside(holder) if holder is not None else range(0)
         if self.kind == "texts":
             return [page.text(i) for i in page.matches(self.path, scope, root)]
-        first = next(page.matches(self.path, scope, root), None)
+        first = page.first(self.path, scope, root)
         if self.kind == "present":
             return first is not None
         if first is None:
@@ -98,7 +98,7 @@ class Profile:
         """What reads the fields of each record of a page."""
         scope, outer, root = range(len(page)), None, -1
         for region in self.regions:
-            found = next(page.matches((region,), scope, root), None)
+            found = page.first((region,), scope, root)
             if found is None:
                 return
             scope = page.inside(found)
@@ -183,10 +183,14 @@ def extract_records(
             if region.needle:
                 pages = pages.filter(F.col(html).contains(region.needle) | F.col(html).contains("&"))
         if jvm:
-            plain_page = plain.is_plain(F.col(html))
-            found = pages.filter(plain_page).select(*keep, F.posexplode(plain.records(profile, f"`{html}`")).alias("pos", "_r"))
+            # Conditions inside what generates the rows, not filters: those Spark would move down to the scan
+            # of what the pages are made from, into as few tasks as that has.
+            plain_page, none = plain.is_plain(F.col(html)), F.array().cast("array<string>")
+            read = plain.records(profile, f"`{html}`")
+            found = pages.select(*keep, F.posexplode(F.when(plain_page, read)).alias("pos", "_r"))
             found = found.select(*keep, (F.col("pos") + 1).alias("pos"), *[F.col("_r")[c].alias(c) for c in profile.fields])
-            rest = extract_records(pages.filter(~plain_page), profile, keep, html, error)
+            left = pages.select(*keep, F.explode(F.when(plain_page, none).otherwise(F.array(html))).alias(html))
+            rest = extract_records(left, profile, keep, html, error)
             return found.unionByName(rest, allowMissingColumns=True)
 
     width = len(profile.fields)

@@ -29,9 +29,10 @@ MOST_PIECES = 20_000
 # The references that plain pages may use, the ampersand last.
 REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 _REFERENCE = r"&(?:amp|lt|gt|quot|#39);"
-_VALUE = rf'(?:[^"<>&\p{{Z}}\p{{Cc}}]| |{_REFERENCE})*+'
+# Runs of common characters are taken at once.
+_VALUE = rf'(?:[ !#-%\x27-;=?-~]++|[^\x00-\x7F\p{{Z}}\p{{Cc}}]++|{_REFERENCE})*+'
 _TAG = rf'(?!(?:{"|".join(sorted(NO_TEXT))})[ >])[a-z][a-z0-9]*+(?: [a-z][a-z-]*+="{_VALUE}")*+'
-_TEXT = rf"(?:[^<>&]|{_REFERENCE}|&nbsp;)*+"
+_TEXT = rf"(?:[^<>&]++|{_REFERENCE}|&nbsp;)*+"
 PLAIN = rf"\A{_TEXT}(?:<(?:{_TAG}(?:(?<=br|hr) ?/)?|/[a-z][a-z0-9]*+)>{_TEXT})*+\z"
 # White space as a reader of text trims it.
 _SPACES = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -83,9 +84,10 @@ def _below(node: str, above: tuple[Match, ...], root: str) -> str:
     return f"exists(p.nodes, {outer} -> {within} and {_is(above[-1], outer)} and {_below(outer, above[:-1], root)})"
 
 
-def _matches(path: tuple[Match, ...], scope: str, root: str, node: str) -> str:
-    """The elements of a scope that match a path, in page order."""
-    return f"filter(p.nodes, {node} -> {_inside(node, scope)} and {_is(path[-1], node)} and {_below(node, path[:-1], root)})"
+def _matches(path: tuple[Match, ...], scope: str | None, root: str, node: str, among: str = "p.nodes") -> str:
+    """The elements of a scope that match a path, in page order; ``among`` holds them, and only them without a scope."""
+    inside = f"{_inside(node, scope)} and " if scope else ""
+    return f"filter({among}, {node} -> {inside}{_is(path[-1], node)} and {_below(node, path[:-1], root)})"
 
 
 def _text(node: str, strip: bool) -> str:
@@ -101,11 +103,11 @@ def _let(name: str, value: str, body: str) -> str:
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def _read(rule: Rule, scope: str, root: str) -> str:
-    """The SQL of one field of a record."""
+def _read(rule: Rule, among: str, root: str) -> str:
+    """The SQL of one field of a record; ``among`` holds the elements inside it."""
 
-    def within(scope: str) -> str:
-        found = _matches(rule.path, scope, root, "x")
+    def within(scope: str | None) -> str:
+        found = _matches(rule.path, scope, root, "x", among)
         if rule.kind == "texts":
             return f"transform({found}, x -> {_text('x', True)})"
         if rule.kind == "present":
@@ -114,9 +116,9 @@ def _read(rule: Rule, scope: str, root: str) -> str:
         return _let("f", f"get({found}, 0)", f"if(f is null, cast(null as string), {value})")
 
     if rule.within is None:
-        return within(scope)
+        return within(None)
     nothing = {"texts": "cast(array() as array<string>)", "present": "false"}.get(rule.kind, "cast(null as string)")
-    return _let("h", f"get({_matches((rule.within,), scope, root, 'x')}, 0)", f"if(h is null, {nothing}, {within('h.path')})")
+    return _let("h", f"get({_matches((rule.within,), None, root, 'x', among)}, 0)", f"if(h is null, {nothing}, {within('h.path')})")
 
 
 def page_nodes(html: str) -> str:
@@ -143,15 +145,17 @@ def page_nodes(html: str) -> str:
 
 def records(profile: Profile, html: str) -> Column:
     """The records of a plain page as an array of structs."""
-    fields = lambda own, outer, root: ", ".join(
-        f"{_read(rule, outer if rule.outer else own, root)} as {name}" for name, rule in profile.fields.items()
-    )
+    def fields(own: str, outer: str, root: str) -> str:
+        read = ", ".join(f"{_read(rule, 'wide' if rule.outer else 'own', root)} as {name}" for name, rule in profile.fields.items())
+        read = _let("own", f"filter(p.nodes, x -> {_inside('x', own)})", f"struct({read})")
+        return _let("wide", f"filter(p.nodes, x -> {_inside('x', outer)})", read) if any(r.outer for r in profile.fields.values()) else read
+
     regions = [f"r{i}" for i in range(len(profile.regions))]
     root, last = (f"{regions[0]}.path", f"{regions[-1]}.path") if regions else ("''", "''")
     if profile.record is None:
-        body = f"array(struct({fields(last, root, root)}))"
+        body = f"array({fields(last, root, root)})"
     else:
-        body = f"transform({_matches((profile.record,), last, root, 'x')}, rec -> struct({fields('rec.path', root, root)}))"
+        body = f"transform({_matches((profile.record,), last, root, 'x')}, rec -> {fields('rec.path', root, root)})"
     kinds = ", ".join(f"{name}: {rule.type}" for name, rule in profile.fields.items())
     none = f"cast(array() as array<struct<{kinds}>>)"
     for i in reversed(range(len(regions))):

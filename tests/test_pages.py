@@ -472,3 +472,11 @@ def test_elements_with_text_only():
     assert page.ends == [4, 2, 3, 4, 5, 7, 7, 8] and page.texts == ["x", "y", "z", "u", "v"]
     assert [page.text(i) for i in range(8)] == ["xyz", "x", "", "", "u", "", "", ""]
     assert html._ELEMENT.findall("<b>x</b>") == [("b", "", "x", "")]
+
+
+def test_plain_pages_are_told_where_they_are_dealt(spark):
+    """Not in the scan of what they are made from, which may have few splits."""
+    made = spark.range(50).repartition(7, "id").select("id", F.concat(F.lit("<p>s-latency-cf-section "), F.col("id").cast("string")).alias("html"))
+    plan = pages.extract_records(made, pages.LISTING_PAGE, keep=["id"], jvm=True)._jdf.queryExecution().executedPlan().toString()
+    below = plan.split("Exchange")[1:]
+    assert len(below) == 2 and not any("RLIKE" in part.split("Generate")[0] for part in below)
