@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marketweave.llm import decontam, jaccard, lines, mixing, quality
 from marketweave.llm.queries import labelled_domains
-from marketweave.session import shared_dir, stage
+from marketweave.session import BATCH, shared_dir, stage
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
+    spark.conf.set(*BATCH)
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.score(docs, model).filter(F.col("_score") >= quality.THRESHOLD).select(*docs.columns)
 
@@ -39,6 +40,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are drawn, with their rate and number of copies."""
+    spark.conf.set(*BATCH)
     marked = labelled_domains(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     found = mixing.mix(docs, marked, mixing.TARGETS).withColumn("copies", mixing.copies(F.col("rate")))
     return found.filter("copies > 0").select(*docs.columns, "rate", "copies")

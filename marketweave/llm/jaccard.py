@@ -44,11 +44,14 @@ from pyspark.sql import DataFrame, functions as F
 from marketweave.llm import tokens
 from marketweave.llm.components import components
 from marketweave.llm.thin import thin
-from marketweave.session import shared_dir, stage
+from marketweave.session import shared_dir, small_batches, stage
 
 SHINGLE = 5
 GROUP = 24  # members up to which a signature sends all its pairs
-FLUSH = 1_000_000  # pairs a task gathers before it sends them, each once with its count
+TEXT = 500_000  # bytes of text that are signed at once; the arrays take some 50 times that
+GATHER = 200_000  # pairs a task gathers before it counts how often each comes
+FLUSH = 400_000  # different pairs it holds before it sends them, each once with its count
+SEND = 100_000  # pairs in a batch it sends
 EXTRA = 4  # there are an EXTRA-th more partitions than sets can differ in
 SEEDS = 6  # deals that are tried to find one with enough partitions that have elements
 PARTS = 64  # parts of a class of copies
@@ -159,7 +162,7 @@ def _sign(batches):
     schema = pa.schema([("sig", pa.int64()), ("doc_id", pa.int64()), ("spare", pa.int32()), ("info", pa.binary())])
     signed = set()
     for batch in batches:
-        for part in tokens.chunks(batch):
+        for part in tokens.chunks(batch, size=TEXT):
             rows, signing = [], []
             for doc, members in zip(part.column("doc_id").to_pylist(), sets(part.column("text"))):
                 same = _identity(members)
@@ -205,7 +208,7 @@ def _meet(batches):
 
     PAIR: documents a > b and the signatures they share here; HOT: document a has the hot
     signature b; SPARE: what document a has to spare; SET: what there is of document a.  Holds one batch, the rows of one
-    signature up to GROUP, and FLUSH pairs.
+    signature up to GROUP, FLUSH different pairs, and GATHER pairs that are not yet counted.
     """
     schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("info", pa.binary())])
 
@@ -213,13 +216,20 @@ def _meet(batches):
         info = pa.nulls(len(a), pa.binary()) if info is None else info
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b), pa.array(n), info], schema=schema)
 
-    def flush():
+    def counted():
+        """How many different pairs there are; afterwards each is there once, with its count."""
         a, b, n = (np.concatenate(x) for x in zip(*gathered))
         gathered.clear()
         order = np.lexsort((b, a))
         a, b, n = a[order], b[order], n[order]
         first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
-        return rows(PAIR, a[first], b[first], np.add.reduceat(n, first))
+        gathered.append((a[first], b[first], np.add.reduceat(n, first)))
+        return len(first)
+
+    def flush():
+        a, b, n = gathered.pop()
+        for at in range(0, len(a), SEND):
+            yield rows(PAIR, a[at : at + SEND], b[at : at + SEND], n[at : at + SEND])
 
     def gather(x, y, n):
         keep = x != y
@@ -270,15 +280,17 @@ def _meet(batches):
                 count += part
             else:
                 yield rows(HOT, *part)
-        if count >= FLUSH:
-            yield flush()
+        if count >= GATHER:
             count = 0
+            if counted() >= FLUSH:
+                yield from flush()
     if len(held_sig):
         size = np.array([len(held_sig)])
         for part in _groups(held_sig, held_doc, np.array([0]), size, np.repeat(size, size), gather):
             count += part
     if gathered:
-        yield flush()
+        counted()
+        yield from flush()
 
 
 def _groups(sig, doc, at, size, of, gather):
@@ -328,12 +340,14 @@ def _verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, root: str, name
     """The pairs `a, b` whose documents link; sizes and sketches first, then the texts of the rest."""
     side = lambda s: nodes.select(F.col("doc_id").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("sketch").alias(f"s_{s}"))
     known = pairs.join(side("a"), "a").join(side("b"), "b").filter("4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)")
-    possible = stage(known.mapInArrow(_possible, "a long, b long"), f"possible_{name}", root)
+    with small_batches(docs.sparkSession):
+        possible = stage(known.mapInArrow(_possible, "a long, b long"), f"possible_{name}", root)
     text = lambda s, c: docs.select(F.col("doc_id").alias(s), F.col("text").alias(c))
     wanted = stage(possible.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"wanted_{name}", root)
     docs = thin(docs, wanted)
     both = possible.join(text("b", "right"), "b").join(text("a", "left"), "a")
-    return stage(both.mapInArrow(_jaccard, "a long, b long"), f"links_{name}", root)
+    with small_batches(docs.sparkSession):
+        return stage(both.mapInArrow(_jaccard, "a long, b long"), f"links_{name}", root)
 
 
 def _nodes(batches):
@@ -408,7 +422,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     rows = docs.mapInArrow(_sign, "sig long, doc_id long, spare int, info binary")
     rows = rows.repartition("sig").sortWithinPartitions("sig")
-    met = stage(rows.mapInArrow(_meet, "kind int, a long, b long, n long, info binary"), "met", root)
+    with small_batches(spark):
+        met = stage(rows.mapInArrow(_meet, "kind int, a long, b long, n long, info binary"), "met", root)
     every = met.filter(F.col("kind") == SET).select("a", "info").mapInArrow(_nodes, "doc_id long, n_shingles long, h1 long, h2 long, sketch binary")
     every = stage(every, "sets", root)
     nodes = every.filter("doc_id is not null and n_shingles > 0")

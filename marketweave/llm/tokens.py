@@ -54,14 +54,15 @@ def as_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(batch: pa.RecordBatch, text: str = "text"):
-    """Slices of a batch whose text fits in CHUNK bytes, a longer text alone."""
+def chunks(batch: pa.RecordBatch, text: str = "text", size: int | None = None):
+    """Slices of a batch whose text fits in `size` bytes (CHUNK by default), a longer text alone."""
+    size = size or CHUNK
     if not batch.num_rows:
         return
     _, offsets = as_bytes(batch.column(text))
     at = 0
     while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, side="right")) - 1)
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1)
         yield batch.slice(at, to - at)
         at = to
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +51,26 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/marketweave-{uuid.uuid4().hex}"
 
 
+#: Bytes of rows in a batch that goes to a Python worker.  The JVM holds up to three times that
+#: beside its heap for each task, and the worker a copy; Spark's own limits are 64 MB and 10,000 rows.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """What runs inside sends its Python workers batches of at most BATCH bytes, for rows with whole texts."""
+    key, size = BATCH
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def stage(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
     """Write a stage table to the shared folder and read it back.
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -9,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from marketweave import session
 from marketweave.llm import components, decontam, jaccard, lines, thin
 
 
@@ -170,6 +172,68 @@ def test_groups_over_batches():
         assert star == {d for d, _ in want_hot}
 
 
+def peak_mb(batches):
+    tracemalloc.start()
+    for _ in batches:
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak / 1e6
+
+
+def test_memory_of_signing_and_meeting():
+    """What a worker holds does not follow the size of its batch or the number of its pairs."""
+    rng = np.random.default_rng(5)
+    text = " ".join(f"w{i}" for i in rng.integers(0, 30_000, 400))
+    every = pa.RecordBatch.from_arrays([pa.array(range(1400)), pa.array([f"{i} {text}" for i in range(1400)])], ["doc_id", "text"])
+    assert every.nbytes > 2_500_000
+    assert peak_mb(jaccard._sign([every])) < 60
+    sig = np.repeat(np.arange(6000), 20)
+    doc = rng.integers(0, 2**40, len(sig))
+    part = lambda i: pa.RecordBatch.from_arrays([pa.array(sig[i : i + 10_000]), pa.array(doc[i : i + 10_000]), pa.nulls(10_000, pa.int32()), pa.nulls(10_000, pa.binary())], ["sig", "doc_id", "spare", "info"])
+    assert peak_mb(jaccard._meet(part(i) for i in range(0, len(sig), 10_000))) < 110
+
+
+def test_pairs_are_counted_while_they_are_gathered(monkeypatch):
+    """A pair comes once with its count, in batches of a bounded size, however often they are counted."""
+    monkeypatch.setattr(jaccard, "GATHER", 7)
+    for flush, send in ((1000, 3), (10, 3), (1, 1000)):
+        monkeypatch.setattr(jaccard, "FLUSH", flush)
+        monkeypatch.setattr(jaccard, "SEND", send)
+        sig, doc = np.repeat(np.arange(40), 3), np.tile([1, 2, 3, 4, 2, 9], 20)
+        batches = [pa.RecordBatch.from_arrays([pa.array(sig[i : i + 12]), pa.array(doc[i : i + 12]), pa.nulls(12, pa.int32()), pa.nulls(12, pa.binary())], ["sig", "doc_id", "spare", "info"]) for i in range(0, 120, 12)]
+        found = list(jaccard._meet(batches))
+        assert max(b.num_rows for b in found) <= send
+        rows = [r for b in found for r in b.to_pylist()]
+        if flush == 1000:
+            assert len(rows) == 6
+        total = Counter()
+        for r in rows:
+            assert r["kind"] == jaccard.PAIR
+            total[r["a"], r["b"]] += r["n"]
+        assert total == {(2, 1): 20, (3, 1): 20, (3, 2): 20, (4, 2): 20, (9, 4): 20, (9, 2): 20}
+
+
+def test_texts_go_to_workers_in_small_batches(spark, documents, monkeypatch):
+    """Texts are signed and compared under the limit of a batch, which is as before afterwards."""
+    key, size = session.BATCH
+    before, seen = spark.conf.get(key), {}
+
+    def noted(df, name, root=None):
+        seen[name] = spark.conf.get(key)
+        return session.stage(df, name, root)
+
+    monkeypatch.setattr(jaccard, "stage", noted)
+    text = " ".join(f"a{i}" for i in range(40))
+    assert jaccard.jaccard_components(documents([(5, text), (2, text + " z")])).count() == 2
+    assert {seen[name] for name in ("met", "possible_pairs", "links_pairs")} == {size}
+    assert spark.conf.get(key) == before
+    wide = spark.range(0, 3000, 1, 1).selectExpr("id", "repeat('abcdefgh', 500) AS text")
+    with session.small_batches(spark):
+        sizes = wide.mapInArrow(lambda batches: (b.select(["id"]).slice(0, 1).set_column(0, "id", pa.array([b.nbytes])) for b in batches), "id long").collect()
+    assert len(sizes) > 2 and max(r.id for r in sizes) < 5_000_000
+
+
 def test_components(spark):
     rng = random.Random(6)
     edges = [(i, i + 1) for i in range(0, 60)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(60)] + [(7, 7), (300, 299), (299, 300)]
