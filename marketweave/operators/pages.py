@@ -12,7 +12,8 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from functools import partial
+from functools import partial, reduce
+from operator import and_
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -179,19 +180,18 @@ def extract_records(
 
     # A page without what the attributes of a region must hold has no records.
     if isinstance(pages.schema[html].dataType, T.StringType):
-        for region in profile.regions:
-            if region.needle:
-                pages = pages.filter(F.col(html).contains(region.needle) | F.col(html).contains("&"))
+        needed = [F.col(html).contains(r.needle) | F.col(html).contains("&") for r in profile.regions if r.needle]
         if jvm:
             # Conditions inside what generates the rows, not filters: those Spark would move down to the scan
-            # of what the pages are made from, into as few tasks as that has.
-            plain_page, none = plain.is_plain(F.col(html)), F.array().cast("array<string>")
-            read = plain.records(profile, f"`{html}`")
-            found = pages.select(*keep, F.posexplode(F.when(plain_page, read)).alias("pos", "_r"))
+            # of what the pages are made from, into as few tasks as that has, and make the pages once more for them.
+            may, plain_page, none = reduce(and_, needed, F.lit(True)), plain.is_plain(F.col(html)), F.array().cast("array<string>")
+            found = pages.select(*keep, F.posexplode(F.when(may, plain.records(profile, f"`{html}`"))).alias("pos", "_r"))
             found = found.select(*keep, (F.col("pos") + 1).alias("pos"), *[F.col("_r")[c].alias(c) for c in profile.fields])
-            left = pages.select(*keep, F.explode(F.when(plain_page, none).otherwise(F.array(html))).alias(html))
+            left = pages.select(*keep, F.explode(F.when(~may | plain_page, none).otherwise(F.array(html))).alias(html))
             rest = extract_records(left, profile, keep, html, error)
             return found.unionByName(rest, allowMissingColumns=True)
+        for condition in needed:
+            pages = pages.filter(condition)
 
     width = len(profile.fields)
 

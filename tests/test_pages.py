@@ -480,3 +480,70 @@ def test_plain_pages_are_told_where_they_are_dealt(spark):
     plan = pages.extract_records(made, pages.LISTING_PAGE, keep=["id"], jvm=True)._jdf.queryExecution().executedPlan().toString()
     below = plan.split("Exchange")[1:]
     assert len(below) == 2 and not any("RLIKE" in part.split("Generate")[0] for part in below)
+
+
+NEST_STARTS = [
+    "div", 'div class="a"', 'div class="a  b" id="z"', 'div id="z"', 'div class=" a-section a-spacing-base "', 'div class="a-section a-spacing-base"', "p", 'p class="b a" class="c"',
+    'a href="x?a=1&amp;b=2"', 'a class="w a-link-normal" href="/dp/1" href="/dp/2"', 'a class="c" class="a-link-normal" href="/q"', "h2", "li", "ul", "span", 'span class="b a"',
+    'span class="ab"', 'span class="rush-component s-latency-cf-section"', 'span data-component-type="s-product-image"', 'b class="a-price"', 'i class="a-offscreen"', 'b href="y"', "sp", "x1",
+    'b class="a-offscreen" title="a class="', "em", "li", "li", "li", "li", "h2", "ul", "span",
+]
+NEST_VOIDS = ["<br>", "<br/>", "<hr />", '<img src="a b">', '<img class="s-image" src="/i">', '<img class="a-price b" src="s">', '<img class="a-offscreen">', '<input class="a">']
+NEST_TEXTS = ["text ", " ", " &amp; ", "&amp;lt;", "&nbsp;", " x\x1c", "é\U0001f600", "&amp;nbsp; ", " a  b\n ", "&quot;&#39;"]
+
+
+def nested_page(rng, deep):
+    """Elements in elements, each with its end tag."""
+    some = []
+    for _ in range(rng.randrange(0, 4 if deep else 2)):
+        kind = rng.random()
+        if kind < 0.25 or not deep:
+            some.append(rng.choice(NEST_TEXTS))
+        elif kind < 0.4:
+            some.append(rng.choice(NEST_VOIDS))
+        else:
+            start = rng.choice(NEST_STARTS)
+            some.append(f"<{start}>{nested_page(rng, deep - 1)}</{start.split()[0]}>")
+    return "".join(some)
+
+
+NESTED_CHECKED = [
+    *CHECKED,
+    pages.LISTING_PAGE,
+    pages.Profile((Match("div"),), {"own": pages.Rule("texts", (Match("p"), Match("span"))), "raw": pages.Rule("raw", (Match(classes=("a",)),)), "src": pages.Rule("attr", (Match("img"),), attr="src", outer=True)}, record=Match("div")),
+    pages.Profile((), {"any": pages.Rule("texts", (Match(),)), "void": pages.Rule("text", (Match(classes=("a-offscreen",)),)), "br": pages.Rule("raw", (Match("br"),))}, record=Match(classes=("a-price",))),
+]
+
+
+@pytest.mark.parametrize("number", range(len(NESTED_CHECKED)))
+def test_nested_pages_are_read_by_patterns(spark, number):
+    """The same records as from the Arrow pass, many of them without the fold."""
+    rng, profile = random.Random(number), NESTED_CHECKED[number]
+    region = '<span class="rush-component s-latency-cf-section">{}</span>'
+    rows = [(i, (region if i % 2 else '<div class="a"><div id="z">{}</div></div>').format("".join(nested_page(rng, 7) for _ in range(4)))) for i in range(1500)]
+    rows += [(-1, None), (-2, ""), (-3, "<div>" * 30 + "</div>" * 30), (-4, '<div class="a"><li><h2><span> x </span></h2>' + "<p>" * 40 + "y" + "</p>" * 40 + "</li></div>")]
+    df = spark.createDataFrame(rows, "page_id int, html string").repartition(4)
+    one = pages.extract_records(df, profile, keep=["page_id"])
+    two = pages.extract_records(df, profile, keep=["page_id"], jvm=True)
+    assert sorted(map(str, two.collect())) == sorted(map(str, one.collect()))
+    few = df.filter(plain.is_nested(F.col("html")))
+    assert few.count() > 500 and plain._by_patterns(profile)
+    found = few.select("page_id", F.expr(plain._by_nesting(profile, "html")).alias("r"))
+    read = found.filter("r is not null")
+    assert read.count() > 0.2 * few.count() and read.selectExpr("sum(size(r))").head()[0] > 40
+
+
+def test_nested_pages_are_not_folded(spark, monkeypatch):
+    monkeypatch.setattr(plain, "_folded", lambda profile, html: f"cast(raise_error('folded') as array<struct<{', '.join(f'{c}: {r.type}' for c, r in profile.fields.items())}>>)")
+    page = REGION.format(before="", after="", cards=card(LINK, NAME)).replace("\n", "")
+    df = spark.createDataFrame([(1, page)], "page_id int, html string")
+    assert [r.name_text for r in products.page_cards(df, ["page_id"], jvm=True).collect()] == ["Cat Food"]
+
+
+@pytest.mark.parametrize("body", ['<a title="x href=" id="q" href="/y">z</a>', "<abbr/><b>x</b><abbr/>y", '<b title="class="> u</b>', '<a href="/x?a=">z</a>'])
+def test_misleading_attributes(spark, body):
+    """A value that ends like the start of an attribute, a short name that closes itself."""
+    profile = pages.Profile((Match("div"),), {"href": pages.Rule("attr", (Match("a"),), attr="href"), "own": pages.Rule("text", (Match("abbr"),)), "id": pages.Rule("present", (Match(classes=("u",)),))})
+    df = spark.createDataFrame([(1, f"<div>{body}</div>")], "page_id int, html string")
+    rows = [pages.extract_records(df, profile, ["page_id"], jvm=jvm).collect() for jvm in (False, True)]
+    assert rows[0] == rows[1] and len(rows[0]) == 1
